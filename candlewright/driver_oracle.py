@@ -76,3 +76,263 @@ ORACLE = {
     "kline_ties_daily": kline_sql(L_DEDUP_SQL, "1d"),
     "dedup_keep_last": f"SELECT * EXCLUDE (_p, _s) FROM ({L_DEDUP_FULL_SQL}) z",
 }
+
+
+# ---------------------------------------------------------------- batch 2
+
+from candlewright.fixtures import O_SQL  # noqa: E402
+
+_SECS_CASE = "CASE interval " + " ".join(
+    f"WHEN '{k}' THEN {v}" for k, v in INTERVAL_SECONDS.items()) + " END"
+
+
+def tbars(intervals=BASE_INTERVALS) -> str:
+    return kline_all_sql(T_SQL, intervals)
+
+
+def _spans(src: str) -> str:
+    return f"""SELECT symbol, CAST(year(time) AS INTEGER) AS year, count(*) AS count,
+  min(agg_trade_id) AS start_id, max(agg_trade_id) AS end_id,
+  max(agg_trade_id) - min(agg_trade_id) + 1 - count(*) AS gap_count, '' AS note
+FROM ({src}) t GROUP BY symbol, year(time)"""
+
+
+def _gaps(src: str) -> str:
+    return f"""SELECT symbol, year, id AS prev_id, next_id, next_id - id - 1 AS missing FROM (
+  SELECT symbol, year, id, lead(id) OVER (PARTITION BY symbol, year ORDER BY id) AS next_id
+  FROM (SELECT DISTINCT symbol, CAST(year(time) AS INTEGER) AS year, agg_trade_id AS id FROM ({src}) t) u) v
+WHERE next_id - id > 1"""
+
+
+def _gap_totals(src: str) -> str:
+    return f"""SELECT s.*, coalesce(x.gr, 0) AS gap_ranges, coalesce(x.mi, 0) AS missing_ids
+FROM ({_spans(src)}) s LEFT JOIN (
+  SELECT symbol, year, count(*) AS gr, CAST(sum(missing) AS BIGINT) AS mi FROM ({_gaps(src)}) g
+  GROUP BY symbol, year) x ON s.symbol = x.symbol AND s.year = x.year"""
+
+
+def _continuity(src: str) -> str:
+    return f"""SELECT symbol, prev_year, year, prev_end_id, start_id, start_id - prev_end_id - 1 AS missing
+FROM (SELECT symbol, year, start_id, end_id,
+        lag(year) OVER (PARTITION BY symbol ORDER BY year) AS prev_year,
+        lag(end_id) OVER (PARTITION BY symbol ORDER BY year) AS prev_end_id
+      FROM ({_spans(src)}) s) w
+WHERE prev_end_id IS NOT NULL AND start_id <> prev_end_id + 1"""
+
+
+def _expected(bars: str) -> str:
+    return f"""SELECT symbol, interval, year, suffix, expected, count, count - expected AS diff,
+  CASE WHEN interval = '1s' AND count - expected < 0 THEN 'sparse (no-trade seconds)' ELSE '' END AS note
+FROM (SELECT symbol, interval, year, count,
+        CASE WHEN month(last) = 12 AND day(last) = 31 THEN CAST(year AS VARCHAR)
+             ELSE strftime(last, '%Y-%m-%d') END AS suffix,
+        CAST(CASE WHEN month(last) = 12 AND day(last) = 31
+                  THEN CASE WHEN (year % 4 = 0 AND year % 100 <> 0) OR year % 400 = 0 THEN 366 ELSE 365 END
+                  ELSE dayofyear(last) END * (86400 // {_SECS_CASE}) AS BIGINT) AS expected
+      FROM (SELECT symbol, interval, CAST(year(time) AS INTEGER) AS year, count(*) AS count,
+                   CAST(max(time) AS DATE) AS last
+            FROM ({bars}) b GROUP BY symbol, interval, year(time)) g) e"""
+
+
+def _report(src: str) -> str:
+    bars = kline_all_sql(src, BASE_INTERVALS)
+    return f"""SELECT symbol, 'trades' AS kind, printf('%s_%s_%d.parquet', symbol, 'aggTrades', year) AS name,
+  CAST(NULL AS VARCHAR) AS interval, CAST(NULL AS BIGINT) AS interval_seconds, year,
+  CAST(NULL AS BIGINT) AS expected, count, CAST(NULL AS BIGINT) AS diff, start_id, end_id, gap_count,
+  CAST(NULL AS BIGINT) AS missing, note
+FROM ({_spans(src)}) s
+UNION ALL
+SELECT symbol, 'bars', printf('%s_kline_%s_%s.parquet', symbol, interval, suffix), interval,
+  CAST({_SECS_CASE} AS BIGINT), year, expected, count, diff, NULL, NULL, NULL, NULL, note
+FROM ({_expected(bars)}) e
+UNION ALL
+SELECT symbol, 'continuity', printf('%s_%s_%d.parquet', symbol, 'aggTrades', year), NULL, NULL, year,
+  NULL, NULL, NULL, prev_end_id, start_id, NULL, missing,
+  printf('agg_id gap: end=%d start=%d missing=%d', prev_end_id, start_id, missing)
+FROM ({_continuity(src)}) c"""
+
+
+def _perturbed() -> str:
+    local = f"SELECT symbol, interval, time, open, high, low, close, qty, qty_usd FROM ({tbars(('1h', '4h', '1d'))}) x"
+    return f"""local AS ({local}),
+b AS (SELECT *, {_SECS_CASE} AS secs, epoch_us(time) // (CAST({_SECS_CASE} AS BIGINT) * 1000000) AS i FROM local),
+kept AS (SELECT symbol, interval, time, open, high, low,
+           CASE WHEN i % 50 = 0 THEN close * CAST(1.0002 AS DOUBLE) ELSE close END AS close, qty, qty_usd
+         FROM b WHERE i % 97 <> 0),
+extra AS (SELECT symbol, interval, time - to_seconds(secs) AS time, close AS open, close AS high,
+            close AS low, close, CASE WHEN i % 2 = 0 THEN 0.0 ELSE qty END AS qty, 0.0 AS qty_usd
+          FROM b WHERE i % 89 = 0),
+ref AS (SELECT * FROM kept UNION ALL
+        SELECT * FROM extra e WHERE NOT EXISTS (SELECT 1 FROM local l WHERE l.symbol = e.symbol
+          AND l.interval = e.interval AND l.time = e.time))"""
+
+
+def _detail() -> str:
+    return f"""WITH {_perturbed()},
+d AS (SELECT coalesce(l.symbol, r.symbol) AS symbol, coalesce(l.interval, r.interval) AS interval,
+        coalesce(l.time, r.time) AS time,
+        l.open AS open_p, r.open AS open_b, l.open - r.open AS open_diff,
+        l.high AS high_p, r.high AS high_b, l.high - r.high AS high_diff,
+        l.low AS low_p, r.low AS low_b, l.low - r.low AS low_diff,
+        l.close AS close_p, r.close AS close_b, l.close - r.close AS close_diff
+      FROM local l FULL OUTER JOIN ref r
+        ON l.symbol = r.symbol AND l.interval = r.interval AND l.time = r.time),
+dd AS (SELECT *, CASE WHEN open_diff IS NOT NULL OR high_diff IS NOT NULL OR low_diff IS NOT NULL
+                        OR close_diff IS NOT NULL
+                      THEN coalesce(abs(open_diff), 0.0) + coalesce(abs(high_diff), 0.0)
+                           + coalesce(abs(low_diff), 0.0) + coalesce(abs(close_diff), 0.0) END AS sum_abs_diff
+       FROM d)"""
+
+
+_SUMMARY = f"""WITH {_perturbed()},
+j AS (SELECT coalesce(l.symbol, r.symbol) AS symbol, coalesce(l.interval, r.interval) AS interval,
+        l.close AS close_l, r.close AS close_a, l.qty AS qty_l, r.qty AS qty_a,
+        l.symbol IS NOT NULL AS in_l, r.symbol IS NOT NULL AS in_r
+      FROM local l FULL OUTER JOIN ref r
+        ON l.symbol = r.symbol AND l.interval = r.interval AND l.time = r.time),
+g AS (SELECT symbol, interval,
+        count(*) FILTER (WHERE in_l) AS local_bars, count(*) FILTER (WHERE in_r) AS api_bars,
+        count(*) FILTER (WHERE in_l AND in_r) AS matched,
+        count(*) FILTER (WHERE in_r AND NOT in_l AND coalesce(qty_a, 0.0) > 0) AS missing_local,
+        count(*) FILTER (WHERE in_l AND NOT in_r) AS missing_api,
+        max(abs(close_l - close_a)) FILTER (WHERE in_l AND in_r) AS mac,
+        max(abs(close_l - close_a) / greatest(abs(close_a), 1e-12)) FILTER (WHERE in_l AND in_r) AS mrc,
+        max(abs(qty_l - qty_a)) FILTER (WHERE in_l AND in_r) AS maq,
+        max(abs(qty_l - qty_a) / greatest(abs(qty_a), 1e-12)) FILTER (WHERE in_l AND in_r) AS mrq
+      FROM j GROUP BY symbol, interval),
+h AS (SELECT symbol, interval, local_bars, api_bars, matched, missing_local, missing_api,
+        CASE WHEN matched = 0 THEN 0.0 ELSE mac END AS max_abs_close,
+        CASE WHEN matched = 0 THEN 0.0 ELSE mrc END AS max_rel_close,
+        CASE WHEN matched = 0 THEN 0.0 ELSE maq END AS max_abs_qty,
+        CASE WHEN matched = 0 THEN 0.0 ELSE mrq END AS max_rel_qty FROM g)
+SELECT *, CASE WHEN local_bars = 0 AND api_bars = 0 THEN 'SKIP'
+               WHEN matched = 0 THEN 'FAIL'
+               WHEN missing_local > 0 OR missing_api > 0 THEN 'FAIL'
+               WHEN max_rel_close <= 1e-4 AND max_rel_qty <= 5e-2 THEN 'PASS'
+               WHEN max_rel_close <= 1e-3 THEN 'WARN' ELSE 'FAIL' END AS status
+FROM h"""
+
+
+def _sma_cols() -> str:
+    return ", ".join(
+        f"CASE WHEN count(close) OVER w{n} = {n} THEN round(sum(close) OVER w{n}, 6) / {float(n)} END AS SMA{n}"
+        for n in (7, 25, 99))
+
+
+_SMA_WINDOWS = "WINDOW " + ", ".join(
+    f"w{n} AS (PARTITION BY symbol, interval ORDER BY time ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    for n in (7, 25, 99))
+
+_NATION_SYMBOLS = """SELECT replace(n_name, '_', '') || (['USDT', 'FDUSD', 'BTC', 'XYZ', ''])[n_nationkey % 5 + 1]
+  AS symbol, n_nationkey FROM nation"""
+
+_QUOTE_RE = "^(.+)(USDT|USDC|BUSD|FDUSD|TUSD|DAI|BTC|ETH|BNB)$"
+
+_TPM_WINDOW = ("2024-01-10 06:15:00", "2024-01-10 09:40:00")
+
+ORACLE.update({
+    "coverage_by_year": f"""SELECT symbol, CAST(year(time) AS INTEGER) AS year,
+  CAST(min(time) AS DATE) AS first_date, CAST(max(time) AS DATE) AS last_date, count(*) AS rows,
+  (month(max(time)) = 12 AND day(max(time)) = 31) AS complete,
+  CASE WHEN month(max(time)) = 12 AND day(max(time)) = 31 THEN CAST(year(max(time)) AS VARCHAR)
+       ELSE strftime(max(time), '%Y-%m-%d') END AS suffix
+FROM ({L_SQL}) l GROUP BY symbol, year(time)""",
+    "rows_per_year": f"SELECT CAST(year(time) AS INTEGER) AS year, count(*) AS rows FROM ({L_SQL}) l GROUP BY year(time)",
+    "last_date_resume": f"""WITH l AS ({L_SQL}),
+s AS (SELECT DISTINCT symbol FROM l UNION SELECT 'NODATA'),
+m AS (SELECT symbol, CAST(max(time) AS DATE) AS last_date FROM l GROUP BY symbol)
+SELECT s.symbol, m.last_date, coalesce(CAST(m.last_date + 1 AS DATE), DATE '2020-01-01') AS start_date
+FROM s LEFT JOIN m ON s.symbol = m.symbol""",
+    "year_ranges": f"""SELECT symbol, CAST(year(time) AS INTEGER) AS year, min(time) AS min_time, max(time) AS max_time
+FROM ({L_SQL}) l GROUP BY symbol, year(time)""",
+    "distinct_years": f"SELECT DISTINCT symbol, CAST(year(time) AS INTEGER) AS year FROM ({L_SQL}) l",
+    "id_span_check": _spans(T_SQL),
+    "id_gaps": _gaps(T_SQL),
+    "id_check_with_gaps": _gap_totals(T_SQL),
+    "id_gaps_dense": f"""WITH o AS (SELECT 'ORDERS' AS symbol, agg_trade_id FROM ({O_SQL}) x),
+s AS (SELECT symbol, count(*) AS count, min(agg_trade_id) AS start_id, max(agg_trade_id) AS end_id,
+        max(agg_trade_id) - min(agg_trade_id) + 1 - count(*) AS gap_count, '' AS note FROM o GROUP BY symbol),
+g AS (SELECT symbol, id, lead(id) OVER (PARTITION BY symbol ORDER BY id) AS next_id
+      FROM (SELECT DISTINCT symbol, agg_trade_id AS id FROM o) u)
+SELECT s.*, coalesce(x.gr, 0) AS gap_ranges, coalesce(x.mi, 0) AS missing_ids
+FROM s LEFT JOIN (SELECT symbol, count(*) AS gr, CAST(sum(next_id - id - 1) AS BIGINT) AS mi
+                  FROM g WHERE next_id - id > 1 GROUP BY symbol) x ON s.symbol = x.symbol""",
+    "cross_year_continuity": _continuity(L_DEDUP_SQL),
+    "bar_expected_counts": _expected(tbars()),
+    "missing_bars": f"""WITH b AS ({tbars(('1m', '3m', '5m'))}),
+g AS (SELECT symbol, interval, year(time) AS y, CAST(max(time) AS DATE) AS last
+      FROM b GROUP BY symbol, interval, year(time)),
+grid AS (SELECT symbol, interval, unnest(generate_series(make_timestamp(y, 1, 1, 0, 0, 0),
+           CAST(last AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 SECOND, to_seconds({_SECS_CASE}))) AS time
+         FROM g)
+SELECT symbol, interval, time FROM grid EXCEPT SELECT symbol, interval, time FROM b""",
+    "trades_per_minute": f"""WITH c AS (SELECT symbol, {_bucket(60)} AS t, count(*) AS n FROM ({T_SQL}) x GROUP BY symbol, t),
+r AS (SELECT symbol, min(t) AS lo, max(t) AS hi FROM c GROUP BY symbol),
+grid AS (SELECT symbol, unnest(generate_series(lo, hi, INTERVAL 1 MINUTE)) AS t FROM r)
+SELECT grid.symbol, grid.t AS time, coalesce(c.n, 0) AS n
+FROM grid LEFT JOIN c ON grid.symbol = c.symbol AND grid.t = c.t""",
+    "trades_per_minute_window": f"""WITH x AS (SELECT * FROM ({T_SQL}) t
+  WHERE time >= TIMESTAMP '{_TPM_WINDOW[0]}' AND time < TIMESTAMP '{_TPM_WINDOW[1]}'),
+c AS (SELECT symbol, {_bucket(60)} AS t, count(*) AS n FROM x GROUP BY symbol, t),
+grid AS (SELECT symbol, unnest(generate_series(TIMESTAMP '{_TPM_WINDOW[0]}',
+           TIMESTAMP '{_TPM_WINDOW[1]}' - INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) AS t
+         FROM (SELECT DISTINCT symbol FROM c) s)
+SELECT grid.symbol, grid.t AS time, coalesce(c.n, 0) AS n
+FROM grid LEFT JOIN c ON grid.symbol = c.symbol AND grid.t = c.t""",
+    "check_report": _report(L_DEDUP_SQL),
+    "run_counters": f"""SELECT count(*) FILTER (WHERE kind = 'trades') AS trade_checks,
+  count(*) FILTER (WHERE kind = 'trades' AND (gap_count <> 0 OR coalesce(note, '') <> '')) AS trade_bad,
+  count(*) FILTER (WHERE kind = 'bars') AS bar_checks,
+  count(*) FILTER (WHERE kind = 'bars' AND (diff <> 0 OR coalesce(note, '') <> '')
+                   AND NOT starts_with(coalesce(note, ''), 'sparse')) AS bar_bad,
+  count(*) FILTER (WHERE kind = 'continuity') AS errors
+FROM ({_report(L_DEDUP_SQL)}) r""",
+    "compare_summary": _SUMMARY,
+    "compare_detail_topk": f"""{_detail()}
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY symbol, interval
+                ORDER BY coalesce(sum_abs_diff, 0.0) DESC, time ASC) AS INTEGER) AS rank FROM dd) z
+WHERE rank <= 50""",
+    "compare_totals": f"""{_detail()}
+SELECT symbol, interval, count(*) AS total_rows, count(*) FILTER (WHERE sum_abs_diff IS NULL) AS missing_rows,
+  count(*) FILTER (WHERE coalesce(sum_abs_diff, 0.0) > 0) AS diff_rows,
+  round(coalesce(sum(0.0 + coalesce(abs(open_diff), 0.0) + coalesce(abs(high_diff), 0.0)
+        + coalesce(abs(low_diff), 0.0) + coalesce(abs(close_diff), 0.0)), 0.0), 6) AS total_sum_abs,
+  count(*) FILTER (WHERE sum_abs_diff IS NULL) + count(*) FILTER (WHERE coalesce(sum_abs_diff, 0.0) > 0)
+    AS mismatched
+FROM dd GROUP BY symbol, interval""",
+    "sma_7_25_99": f"""SELECT symbol, interval, time, close, {_sma_cols()}
+FROM ({tbars(('1h',))}) b {_SMA_WINDOWS}""",
+    "last_60_bars": f"""SELECT symbol, interval, time, open, high, low, close FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, interval ORDER BY time DESC) AS rn
+  FROM ({tbars(('1h',))}) b) x WHERE rn <= 60""",
+    "recent_bars": f"""WITH w AS (SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY symbol, interval ORDER BY time DESC) AS rn
+    FROM ({tbars(('1h',))}) b WHERE time <= TIMESTAMP '2024-01-15 12:00:00') x WHERE rn <= 158),
+s AS (SELECT symbol, interval, time, open, high, low, close, rn, {_sma_cols()} FROM w {_SMA_WINDOWS})
+SELECT symbol, interval, time, open, high, low, close, SMA7, SMA25, SMA99 FROM s WHERE rn <= 60""",
+    "symbol_split": f"""WITH s AS ({_NATION_SYMBOLS}),
+s2 AS (SELECT symbol FROM s UNION ALL
+       SELECT (['BTC', 'ETHFDUSD', 'USDT'])[n_nationkey + 1] FROM nation WHERE n_nationkey < 3),
+q AS (SELECT symbol, regexp_extract(symbol, '{_QUOTE_RE}', 2) AS quote FROM s2)
+SELECT symbol, CASE WHEN quote = '' THEN symbol ELSE regexp_extract(symbol, '{_QUOTE_RE}', 1) END AS base, quote
+FROM q""",
+    "archive_names": f"""WITH s AS ({_NATION_SYMBOLS}),
+om AS (SELECT DISTINCT c.c_nationkey AS n_nationkey, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS m
+       FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+g AS (SELECT s.symbol, om.m, last_day(om.m) AS ld FROM om JOIN s ON om.n_nationkey = s.n_nationkey),
+h AS (SELECT symbol, m, ld,
+        printf('%s-%s-%04d-%02d.zip', symbol, 'aggTrades', year(m), month(m)) AS monthly,
+        printf('%s-%s-%04d-%02d-%02d.zip', symbol, 'aggTrades', year(ld), month(ld), day(ld)) AS daily FROM g)
+SELECT symbol, monthly, daily,
+  printf('%s/data/%s/%s/%s/%s/%s', 'https://archives.invalid', 'futures/um', 'monthly', 'aggTrades', symbol, monthly)
+    AS monthly_url,
+  printf('%s/data/%s/%s/%s/%s/%s', 'https://archives.invalid', 'spot', 'daily', 'aggTrades', symbol, daily)
+    AS daily_url,
+  symbol AS parsed_symbol, CAST(year(m) AS INTEGER) AS parsed_year, CAST(month(m) AS INTEGER) AS parsed_month,
+  false AS monthly_is_daily, CAST(day(ld) AS INTEGER) AS parsed_day, ld AS daily_date,
+  CAST(year(ld) AS INTEGER) AS stored_year
+FROM h""",
+    "symbol_union": """SELECT DISTINCT symbol FROM (SELECT event_type AS symbol FROM events
+  UNION SELECT l_returnflag FROM lineitem UNION SELECT o_orderstatus FROM orders) s
+WHERE NOT starts_with(symbol, '_')""",
+})

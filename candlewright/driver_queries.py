@@ -65,3 +65,251 @@ QUERIES = {
     "kline_ties_daily": q_kline_ties_daily,
     "dedup_keep_last": q_dedup_keep_last,
 }
+
+
+# ---------------------------------------------------------------- coverage
+
+from candlewright.fixtures import table, trades_O  # noqa: E402
+from candlewright.functions import names as N  # noqa: E402
+from candlewright.functions.timecols import ntz_to_micros  # noqa: E402
+from candlewright.operators import analytics as AN  # noqa: E402
+from candlewright.operators import compare as CMP  # noqa: E402
+from candlewright.operators import coverage as COV  # noqa: E402
+from candlewright.operators import quality as QC  # noqa: E402
+
+TAIL_END = "2024-01-15 12:00:00"
+NO_DATA_SYMBOL = "NODATA"
+
+
+def q_coverage_by_year(spark, d):
+    return COV.coverage_by_year(trades_L(spark, d))
+
+
+def q_rows_per_year(spark, d):
+    return COV.rows_per_year(trades_L(spark, d))
+
+
+def q_last_date_resume(spark, d):
+    L = trades_L(spark, d)
+    wanted = L.select("symbol").distinct().unionByName(
+        spark.range(1).select(F.lit(NO_DATA_SYMBOL).alias("symbol")))
+    return COV.start_dates(wanted, L)
+
+
+def q_year_ranges(spark, d):
+    return COV.time_range(trades_L(spark, d).withColumn("year", F.year("time")), ["symbol", "year"])
+
+
+def q_distinct_years(spark, d):
+    return COV.distinct_years(trades_L(spark, d), ["symbol"])
+
+
+# ---------------------------------------------------------------- trade ids
+
+def q_id_span_check(spark, d):
+    return QC.id_span_check(trades_T(spark, d))
+
+
+def q_id_gaps(spark, d):
+    return QC.id_gaps(trades_T(spark, d), bucket=97)
+
+
+def q_id_check_with_gaps(spark, d):
+    return QC.id_check_with_gaps(trades_T(spark, d), bucket=97)
+
+
+def q_id_gaps_dense(spark, d):
+    # the whole orders table as one id sequence
+    return QC.id_check_with_gaps(trades_O(spark, d).withColumn("symbol", F.lit("ORDERS")),
+                                 keys=["symbol"], bucket=1000)
+
+
+def q_cross_year_continuity(spark, d):
+    return QC.cross_year_continuity(QC.id_span_check(L_dedup(spark, d)))
+
+
+# ---------------------------------------------------------------- bars checks
+
+def T_bars(spark, d, intervals=None):
+    from candlewright.schemas import BASE_INTERVALS
+    return klines_all_intervals(trades_T(spark, d), intervals or BASE_INTERVALS,
+                                zero_qty="null", decimals=6)
+
+
+def q_bar_expected_counts(spark, d):
+    return QC.bar_expected_counts(T_bars(spark, d))
+
+
+def q_missing_bars(spark, d):
+    return QC.missing_bars(T_bars(spark, d, ("1m", "3m", "5m")))
+
+
+def q_trades_per_minute(spark, d):
+    return QC.trades_per_minute(trades_T(spark, d))
+
+
+def q_trades_per_minute_window(spark, d):
+    return QC.trades_per_minute(trades_T(spark, d), start="2024-01-10 06:15:00",
+                                end="2024-01-10 09:40:00")
+
+
+def L_report(spark, d):
+    Ld = L_dedup(spark, d)
+    spans = QC.id_span_check(Ld)
+    bars = klines_all_intervals(Ld, zero_qty="null", decimals=6)
+    return QC.check_report(spans, QC.bar_expected_counts(bars), QC.cross_year_continuity(spans))
+
+
+def q_check_report(spark, d):
+    return L_report(spark, d)
+
+
+def q_run_counters(spark, d):
+    return QC.run_counters(L_report(spark, d))
+
+
+# ---------------------------------------------------------------- compare
+
+COMPARE_INTERVALS = ("1h", "4h", "1d")
+
+
+def perturbed_reference(local: DataFrame) -> DataFrame:
+    """A reference bar set derived from ``local``: bar index ``i = epoch / width``;
+    drop bars with i % 97 == 0, scale close by 1 + 2e-4 when i % 50 == 0, and add
+    reference-only bars one width before bars with i % 89 == 0 (qty 0 when i is
+    even: phantom bars)."""
+    secs = QC.interval_seconds_col(F.col("interval"))
+    idx = F.floor(ntz_to_micros("time") / (secs.cast("long") * F.lit(1_000_000)))
+    b = local.withColumn("_i", idx)
+    kept = (b.filter(F.col("_i") % 97 != 0)
+            .withColumn("close", F.when(F.col("_i") % 50 == 0, F.col("close") * F.lit(1 + 2e-4))
+                        .otherwise(F.col("close"))))
+    extra = (b.filter(F.col("_i") % 89 == 0)
+             .select("symbol", "interval",
+                     F.timestamp_add("SECOND", -secs, F.col("time")).alias("time"),
+                     F.col("close").alias("open"), F.col("close").alias("high"),
+                     F.col("close").alias("low"), "close",
+                     F.when(F.col("_i") % 2 == 0, F.lit(0.0)).otherwise(F.col("qty")).alias("qty"),
+                     F.lit(0.0).alias("qty_usd"))
+             .join(local.select("symbol", "interval", "time"), ["symbol", "interval", "time"], "left_anti"))
+    return kept.select(*extra.columns).unionByName(extra)
+
+
+def compare_inputs(spark, d):
+    local = T_bars(spark, d, COMPARE_INTERVALS).select(
+        "symbol", "interval", "time", "open", "high", "low", "close", "qty", "qty_usd")
+    return local, perturbed_reference(local)
+
+
+def q_compare_summary(spark, d):
+    local, ref = compare_inputs(spark, d)
+    return CMP.compare_summary(local, ref)
+
+
+def q_compare_detail_topk(spark, d):
+    local, ref = compare_inputs(spark, d)
+    return CMP.top_mismatches(CMP.compare_detail(local, ref), k=50)
+
+
+def q_compare_totals(spark, d):
+    local, ref = compare_inputs(spark, d)
+    return r6(CMP.compare_totals(CMP.compare_detail(local, ref)))
+
+
+# ---------------------------------------------------------------- analytics
+
+def q_sma_7_25_99(spark, d):
+    bars = T_bars(spark, d, ("1h",))
+    return AN.sma(bars, decimals=6).select("symbol", "interval", "time", "close", "SMA7", "SMA25", "SMA99")
+
+
+def q_last_60_bars(spark, d):
+    return AN.last_n_bars(T_bars(spark, d, ("1h",)), n=60).select(
+        "symbol", "interval", "time", "open", "high", "low", "close")
+
+
+def q_recent_bars(spark, d):
+    return AN.recent_bars(T_bars(spark, d, ("1h",)), TAIL_END, decimals=6)
+
+
+# ---------------------------------------------------------------- names
+
+def nation_symbols(spark, d):
+    quotes = F.array(*[F.lit(q) for q in ("USDT", "FDUSD", "BTC", "XYZ", "")])
+    n = table(spark, d, "nation")
+    return n.select(F.concat(F.regexp_replace("n_name", "_", ""),
+                             F.element_at(quotes, (F.col("n_nationkey") % 5 + 1).cast("int")))
+                    .alias("symbol"), "n_nationkey")
+
+
+def q_symbol_split(spark, d):
+    s = nation_symbols(spark, d)
+    s = s.unionByName(s.filter(F.col("n_nationkey") < 3).select(
+        F.element_at(F.array(F.lit("BTC"), F.lit("ETHFDUSD"), F.lit("USDT")),
+                     (F.col("n_nationkey") + 1).cast("int")).alias("symbol"), "n_nationkey"))
+    base, quote = N.split_symbol("symbol")
+    return s.select("symbol", base.alias("base"), quote.alias("quote"))
+
+
+def nation_months(spark, d):
+    """(symbol, month) for every month in which a nation's customers ordered."""
+    o = table(spark, d, "orders").select("o_custkey", F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("m"))
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    s = nation_symbols(spark, d)
+    om = o.join(c, o.o_custkey == c.c_custkey).select(F.col("c_nationkey").alias("n_nationkey"), "m").distinct()
+    return om.join(s, "n_nationkey").select("symbol", "m")
+
+
+def q_archive_names(spark, d):
+    g = nation_months(spark, d).withColumns(
+        {"data_type": F.lit("aggTrades"), "market": F.lit("future"), "market_sub": F.lit("um")})
+    g = g.withColumns({
+        "monthly": N.monthly_archive_name("symbol", "data_type", F.year("m"), F.month("m")),
+        "daily": N.daily_archive_name("symbol", "data_type", F.last_day("m")),
+    })
+    p = N.parse_archive_name(F.col("daily"))
+    pm = N.parse_archive_name(F.col("monthly"))
+    return g.select(
+        "symbol", "monthly", "daily",
+        N.archive_url("symbol", "data_type", "market", "market_sub", "monthly", F.lit(False)).alias("monthly_url"),
+        N.archive_url("symbol", "data_type", F.lit("spot"), "market_sub", "daily", F.lit(True)).alias("daily_url"),
+        pm["symbol"].alias("parsed_symbol"), pm["year"].alias("parsed_year"),
+        pm["month"].alias("parsed_month"), pm["daily"].alias("monthly_is_daily"),
+        p["day"].alias("parsed_day"), N.archive_date(F.col("daily")).alias("daily_date"),
+        N.stored_year(N.stored_file_name("symbol", "data_type", F.date_format(F.last_day("m"), "yyyy-MM-dd")))
+        .alias("stored_year"))
+
+
+def q_symbol_union(spark, d):
+    from candlewright.sources.store import discover_symbols
+    return (discover_symbols(trades_T(spark, d)).unionByName(discover_symbols(trades_L(spark, d)))
+            .unionByName(discover_symbols(trades_O(spark, d))).distinct())
+
+
+QUERIES.update({
+    "coverage_by_year": q_coverage_by_year,
+    "rows_per_year": q_rows_per_year,
+    "last_date_resume": q_last_date_resume,
+    "year_ranges": q_year_ranges,
+    "distinct_years": q_distinct_years,
+    "id_span_check": q_id_span_check,
+    "id_gaps": q_id_gaps,
+    "id_check_with_gaps": q_id_check_with_gaps,
+    "id_gaps_dense": q_id_gaps_dense,
+    "cross_year_continuity": q_cross_year_continuity,
+    "bar_expected_counts": q_bar_expected_counts,
+    "missing_bars": q_missing_bars,
+    "trades_per_minute": q_trades_per_minute,
+    "trades_per_minute_window": q_trades_per_minute_window,
+    "check_report": q_check_report,
+    "run_counters": q_run_counters,
+    "compare_summary": q_compare_summary,
+    "compare_detail_topk": q_compare_detail_topk,
+    "compare_totals": q_compare_totals,
+    "sma_7_25_99": q_sma_7_25_99,
+    "last_60_bars": q_last_60_bars,
+    "recent_bars": q_recent_bars,
+    "symbol_split": q_symbol_split,
+    "archive_names": q_archive_names,
+    "symbol_union": q_symbol_union,
+})

@@ -37,6 +37,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**PINNED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)

@@ -6,6 +6,7 @@ multiset of rows once columns are sorted by name.
 
 from __future__ import annotations
 
+import datetime
 import math
 import os
 
@@ -33,7 +34,12 @@ def _norm(v):
             return None
         return round(v, 6)
     if isinstance(v, pd.Timestamp):
-        return v.to_pydatetime().replace(tzinfo=None)
+        v = v.to_pydatetime().replace(tzinfo=None)
+    if isinstance(v, datetime.datetime):
+        return v.isoformat(sep=" ") if (v.hour, v.minute, v.second, v.microsecond) != (0, 0, 0, 0) \
+            else v.date().isoformat()
+    if isinstance(v, datetime.date):
+        return v.isoformat()
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())
