@@ -336,3 +336,145 @@ FROM h""",
   UNION SELECT l_returnflag FROM lineitem UNION SELECT o_orderstatus FROM orders) s
 WHERE NOT starts_with(symbol, '_')""",
 })
+
+
+# ---------------------------------------------------------------- batch 3
+
+from candlewright.fixtures import L_SQL as _L  # noqa: E402,F401
+
+_T_US = f"SELECT *, epoch_us(time) AS ts FROM ({T_SQL}) t0"
+
+_RAW_METRICS = f"""SELECT symbol || '-metrics-' || strftime(time, '%Y-%m-%d') AS archive,
+  CASE WHEN agg_trade_id % 997 = 0 THEN '2025-13-01 00:00:00' ELSE strftime(time, '%Y-%m-%d %H:%M:%S') END
+    AS create_time, symbol,
+  CASE WHEN agg_trade_id % 7 = 0 THEN '' WHEN agg_trade_id % 11 = 0 THEN 'x' ELSE CAST(price AS VARCHAR) END AS m1,
+  CASE WHEN agg_trade_id % 7 = 0 THEN '' WHEN agg_trade_id % 11 = 0 THEN 'x' ELSE CAST(quantity AS VARCHAR) END AS m2,
+  CASE WHEN agg_trade_id % 7 = 0 THEN '' WHEN agg_trade_id % 11 = 0 THEN 'x' ELSE CAST(agg_trade_id AS VARCHAR) END
+    AS m3,
+  CASE WHEN agg_trade_id % 7 = 0 THEN '' WHEN agg_trade_id % 11 = 0 THEN 'x' ELSE CAST(price / 4 AS VARCHAR) END
+    AS m4,
+  CASE WHEN agg_trade_id % 7 = 0 THEN '' WHEN agg_trade_id % 11 = 0 THEN 'x' ELSE CAST(quantity + 0.5 AS VARCHAR) END
+    AS m5,
+  '0.25' AS m6
+FROM ({T_SQL}) t"""
+
+_METRICS_PARSED = f"""SELECT archive, try_strptime(create_time, '%Y-%m-%d %H:%M:%S') AS time, symbol,
+  TRY_CAST(m1 AS DOUBLE) AS sum_open_interest, TRY_CAST(m2 AS DOUBLE) AS sum_open_interest_value,
+  TRY_CAST(m3 AS DOUBLE) AS count_toptrader_long_short_ratio, TRY_CAST(m4 AS DOUBLE) AS sum_toptrader_long_short_ratio,
+  TRY_CAST(m5 AS DOUBLE) AS count_long_short_ratio, TRY_CAST(m6 AS DOUBLE) AS sum_taker_long_short_vol_ratio
+FROM ({_RAW_METRICS}) r"""
+
+_L_YEAR = f"SELECT *, CAST(year(time) AS INTEGER) AS year FROM ({L_FULL_SQL}) l0"
+
+_T_DAILY_BARS = kline_sql(L_DEDUP_SQL, "1d")
+
+_STARTS = f"""SELECT symbol, CAST(CAST(max(time) AS DATE) + 1 AS DATE) AS start_date FROM ({T_SQL}) t GROUP BY symbol"""
+
+_CUTOFF = "CAST(least(DATE '2024-04-05', DATE '2024-06-01') + 1 AS DATE)"
+
+
+def _plan_sql() -> str:
+    url = ("printf('%s/data/%s/%s/%s/%s/%s', 'https://archives.invalid', 'futures/um', "
+           "CASE WHEN daily THEN 'daily' ELSE 'monthly' END, data_type, symbol, file_name)")
+    return f"""WITH s AS ({_STARTS}),
+ms AS (SELECT symbol, CAST(unnest(generate_series(CAST(date_trunc('month', start_date) AS DATE), {_CUTOFF},
+               INTERVAL 1 MONTH)) AS DATE) AS date FROM s),
+mo AS (SELECT ms.symbol, v.dt AS data_type, ms.date FROM ms, (VALUES ('aggTrades'), ('fundingRate')) v(dt)
+       WHERE CAST(ms.date + INTERVAL 1 MONTH AS DATE) <= {_CUTOFF}),
+ds AS (SELECT symbol, CAST(unnest(generate_series(start_date, CAST({_CUTOFF} - 1 AS DATE), INTERVAL 1 DAY)) AS DATE)
+         AS date FROM s),
+da AS (SELECT ds.symbol, v.dt AS data_type, ds.date FROM ds, (VALUES ('aggTrades'), ('metrics')) v(dt)),
+da2 AS (SELECT * FROM da WHERE NOT (data_type = 'aggTrades' AND EXISTS (
+          SELECT 1 FROM mo WHERE mo.symbol = da.symbol AND mo.data_type = 'aggTrades'
+            AND mo.date = CAST(date_trunc('month', da.date) AS DATE)))),
+p AS (SELECT symbol, data_type, date, false AS daily,
+        printf('%s-%s-%04d-%02d.zip', symbol, data_type, year(date), month(date)) AS file_name FROM mo
+      UNION ALL
+      SELECT symbol, data_type, date, true AS daily,
+        printf('%s-%s-%04d-%02d-%02d.zip', symbol, data_type, year(date), month(date), day(date)) FROM da2),
+present AS (SELECT DISTINCT printf('%s-%s-%04d-%02d.zip', symbol, 'aggTrades', 2024, 1) AS file_name FROM ({T_SQL}) t)
+SELECT symbol, data_type, date, daily, file_name, {url} AS url FROM p
+WHERE file_name NOT IN (SELECT file_name FROM present)"""
+
+
+def _select_sql() -> str:
+    return f"""WITH t AS ({T_SQL}),
+files AS (SELECT DISTINCT printf('%s-%s-%04d-%02d-%02d.zip', symbol, 'aggTrades', year(time), month(time), day(time))
+            AS file_name, symbol, CAST(time AS DATE) AS d, true AS daily FROM t
+          UNION ALL SELECT DISTINCT printf('%s-%s-%04d-%02d.zip', symbol, 'aggTrades', 2024, 1), symbol,
+            DATE '2024-01-01', false FROM t WHERE length(symbol) <= 5
+          UNION ALL SELECT DISTINCT printf('%s-%s-%04d-%02d.zip', symbol, 'aggTrades', 2023, 12), symbol,
+            DATE '2023-12-01', false FROM t)
+SELECT file_name, CAST(year(d) AS INTEGER) AS archive_year, daily, d AS archive_date FROM files f
+WHERE (daily AND d >= DATE '2024-01-05' AND NOT EXISTS (
+         SELECT 1 FROM files m WHERE NOT m.daily AND m.symbol = f.symbol
+           AND m.d = CAST(date_trunc('month', f.d) AS DATE)))
+   OR (NOT daily AND last_day(d) >= DATE '2024-01-05')"""
+
+
+def _stale_sql() -> str:
+    bars = kline_all_sql(L_DEDUP_SQL)
+    ivs = ", ".join(f"'{i}'" for i in BASE_INTERVALS)
+    return f"""WITH src AS (SELECT symbol, CAST(year(time) AS INTEGER) AS year, CAST(max(time) AS DATE) AS source_last_date
+             FROM ({L_DEDUP_SQL}) l GROUP BY symbol, year(time)),
+b AS (SELECT symbol, interval, time FROM ({bars}) x
+      WHERE NOT ((symbol = 'A' AND year(time) = 1999 AND interval = '4h')
+                 OR (symbol = 'N' AND time >= TIMESTAMP '2001-10-01 00:00:00'))),
+bc AS (SELECT symbol, interval, CAST(year(time) AS INTEGER) AS year, CAST(max(time) AS DATE) AS bar_last_date
+       FROM b GROUP BY symbol, interval, year(time)),
+w AS (SELECT src.*, unnest([{ivs}]) AS interval FROM src),
+j AS (SELECT w.*, bc.bar_last_date, (month(bc.bar_last_date) = 12 AND day(bc.bar_last_date) = 31) AS bar_complete
+      FROM w LEFT JOIN bc ON w.symbol = bc.symbol AND w.interval = bc.interval AND w.year = bc.year),
+g AS (SELECT symbol, year, first(source_last_date) AS source_last_date,
+        count(*) FILTER (WHERE bar_last_date IS NULL) AS missing_intervals,
+        count(*) FILTER (WHERE NOT coalesce(bar_complete, false) AND bar_last_date < source_last_date)
+          AS older_intervals
+      FROM j GROUP BY symbol, year)
+SELECT *, missing_intervals > 0 OR older_intervals > 0 AS stale FROM g"""
+
+
+ORACLE.update({
+    "epoch_normalize": f"""WITH r AS (SELECT symbol, agg_trade_id,
+    CASE WHEN agg_trade_id % 2 = 0 THEN ts // 1000 ELSE ts END AS tt FROM ({_T_US}) t),
+u AS (SELECT symbol, agg_trade_id, CASE WHEN tt > 1000000000000000 THEN tt ELSE tt * 1000 END AS us FROM r)
+SELECT symbol, agg_trade_id, make_timestamp(us) AS time, us AS ts, strftime(make_timestamp(us), '%Y-%m-%d') AS date,
+  CAST(year(make_timestamp(us)) AS INTEGER) AS year FROM u""",
+    "metrics_repair": f"""WITH p AS ({_METRICS_PARSED})
+SELECT * EXCLUDE (archive) FROM p WHERE archive NOT IN (SELECT archive FROM p WHERE time IS NULL)""",
+    "metrics_quarantine": f"""SELECT archive, count(*) AS bad_rows, 'parse error' AS error
+FROM ({_METRICS_PARSED}) p WHERE time IS NULL GROUP BY archive""",
+    "schema_repair": """SELECT o_orderstatus AS symbol, o_orderkey AS agg_trade_id,
+  make_timestamp(epoch_ms(o_orderdate) * 1000) AS time, o_totalprice AS price, CAST(1.0 AS DOUBLE) AS quantity,
+  o_orderkey AS first_trade_id, o_orderkey AS last_trade_id, (o_orderkey % 2 = 1) AS is_buyer_maker,
+  false AS is_best_match, epoch_ms(o_orderdate) * 1000 AS ts FROM orders""",
+    "funding_normalize": """SELECT o_orderstatus AS symbol, make_timestamp((epoch_ms(o_orderdate) + o_orderkey) * 1000) AS time,
+  CAST(8 AS INTEGER) AS funding_interval_hours, o_totalprice / 1e6 AS last_funding_rate FROM orders""",
+    "bvol_normalize": """SELECT make_timestamp((epoch_ms(o_orderdate) + o_orderkey) * 1000) AS time,
+  o_orderstatus || 'BVOLUSDT' AS symbol, o_orderstatus AS base_asset, 'USDT' AS quote_asset,
+  o_totalprice / 1000 AS index_value FROM orders""",
+    "time_filters": f"""WITH t AS (SELECT symbol, agg_trade_id, time FROM ({T_SQL}) x)
+SELECT *, 'between' AS label FROM t WHERE time BETWEEN TIMESTAMP '2024-01-03 00:00:00' AND TIMESTAMP '2024-01-05 12:30:00'
+UNION ALL SELECT *, 'at_or_before' FROM t WHERE time <= TIMESTAMP '2024-01-02 06:00:00'
+UNION ALL SELECT *, 'half_open' FROM t WHERE time >= TIMESTAMP '2024-01-07 00:00:00' AND time < TIMESTAMP '2024-01-08 00:00:00'
+UNION ALL SELECT *, 'days' FROM t WHERE time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-11 23:59:59.999'
+UNION ALL SELECT *, 'year' FROM t WHERE year(time) = 2024 AND month(time) = 1 AND day(time) = 20""",
+    "write_read_roundtrip": f"""SELECT * FROM ({_L_YEAR}) l WHERE year IN (1996, 1997)
+  AND time BETWEEN TIMESTAMP '1996-06-01 00:00:00' AND TIMESTAMP '1997-03-31 00:00:00'""",
+    "upsert_year": f"""SELECT * EXCLUDE (seq, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, year, agg_trade_id
+                               ORDER BY seq DESC, time DESC, _p DESC, _s DESC) AS rn
+  FROM (SELECT *, CASE WHEN _p % 2 = 1 THEN 1 ELSE 0 END AS seq FROM ({_L_YEAR}) l) u) v WHERE rn = 1""",
+    "replace_month": f"""WITH l AS ({_L_YEAR}),
+nw AS (SELECT * FROM l WHERE _p % 2 = 1 AND year(time) = 1998 AND month(time) = 3)
+SELECT * FROM l WHERE _p % 2 = 0
+  AND NOT (year(time) = 1998 AND month(time) = 3 AND symbol IN (SELECT DISTINCT symbol FROM nw))
+UNION ALL SELECT * FROM nw""",
+    "bars_dedup_keep_first": f"""SELECT symbol, '1d' AS interval, time, open, high, low,
+  CASE WHEN day(time) % 3 = 0 THEN close * 2 ELSE close END AS close, qty, qty_usd, buyer_qty, seller_qty,
+  avg_price, buyer_avg_price, seller_avg_price
+FROM ({_T_DAILY_BARS}) b WHERE time BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1998-12-31 23:59:59.999'""",
+    "archive_plan": _plan_sql(),
+    "archive_select": _select_sql(),
+    "stale_partitions": _stale_sql(),
+    "refresh_symbol": kline_sql(T_SQL, "1h"),
+})

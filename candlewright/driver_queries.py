@@ -313,3 +313,224 @@ QUERIES.update({
     "archive_names": q_archive_names,
     "symbol_union": q_symbol_union,
 })
+
+
+# ---------------------------------------------------------------- normalisation
+
+from candlewright.functions.timecols import ntz_to_millis, parse_datetime, day_bounds  # noqa: E402
+from candlewright.operators import merge as M  # noqa: E402
+from candlewright.operators import normalize as NZ  # noqa: E402
+from candlewright.plans import archive_plan as AP  # noqa: E402
+from candlewright.plans import refresh as RF  # noqa: E402
+from candlewright.session import shared_dir  # noqa: E402
+from candlewright.sources import store as ST  # noqa: E402
+
+
+def q_epoch_normalize(spark, d):
+    T = trades_T(spark, d)
+    raw = T.select("symbol", "agg_trade_id", "price", "quantity", "first_trade_id", "last_trade_id",
+                   "is_buyer_maker",
+                   F.when(F.col("agg_trade_id") % 2 == 0, F.expr("ts div 1000"))
+                   .otherwise(F.col("ts")).alias("transact_time"))
+    n = NZ.normalize_trades(raw, keep=("symbol",))
+    return n.select("symbol", "agg_trade_id", "time", "ts",
+                    F.date_format("time", "yyyy-MM-dd").alias("date"), F.year("time").alias("year"))
+
+
+def raw_metrics(spark, d):
+    """Metrics CSV fields (strings) derived from T: one archive per symbol-day;
+    ids divisible by 997 carry an impossible month, so their archive fails."""
+    T = trades_T(spark, d)
+    i = F.col("agg_trade_id")
+    num = lambda c: (F.when(i % 7 == 0, F.lit("")).when(i % 11 == 0, F.lit("x"))
+                     .otherwise(c.cast("string")))
+    return T.select(
+        F.concat_ws("-", "symbol", F.lit("metrics"), F.date_format("time", "yyyy-MM-dd")).alias("archive"),
+        F.when(i % 997 == 0, F.lit("2025-13-01 00:00:00"))
+         .otherwise(F.date_format("time", "yyyy-MM-dd HH:mm:ss")).alias("create_time"),
+        "symbol",
+        num(F.col("price")).alias("sum_open_interest"),
+        num(F.col("quantity")).alias("sum_open_interest_value"),
+        num(i).alias("count_toptrader_long_short_ratio"),
+        num(F.col("price") / 4).alias("sum_toptrader_long_short_ratio"),
+        num(F.col("quantity") + 0.5).alias("count_long_short_ratio"),
+        F.lit("0.25").alias("sum_taker_long_short_vol_ratio"))
+
+
+def q_metrics_repair(spark, d):
+    good, _ = NZ.split_bad_archives(NZ.normalize_metrics(raw_metrics(spark, d), keep=("archive",)))
+    return good.drop("archive")
+
+
+def q_metrics_quarantine(spark, d):
+    _, bad = NZ.split_bad_archives(NZ.normalize_metrics(raw_metrics(spark, d), keep=("archive",)))
+    return bad
+
+
+def q_schema_repair(spark, d):
+    O = trades_O(spark, d)
+    raw = O.select("symbol", "agg_trade_id", "price", "quantity", "first_trade_id", "last_trade_id",
+                   ntz_to_millis("time").alias("trade_time"), "is_buyer_maker")
+    return NZ.normalize_trades(raw, keep=("symbol",))
+
+
+def q_funding_normalize(spark, d):
+    o = table(spark, d, "orders")
+    raw = o.select(F.col("o_orderstatus").alias("symbol"),
+                   (ntz_to_millis("o_orderdate") + F.col("o_orderkey")).cast("string").alias("calc_time"),
+                   F.lit("8").alias("funding_interval_hours"),
+                   (F.col("o_totalprice") / 1e6).cast("string").alias("last_funding_rate"))
+    return NZ.normalize_funding(raw, keep=("symbol",))
+
+
+def q_bvol_normalize(spark, d):
+    o = table(spark, d, "orders")
+    raw = o.select((ntz_to_millis("o_orderdate") + F.col("o_orderkey")).alias("calc_time"),
+                   F.concat(F.col("o_orderstatus"), F.lit("BVOLUSDT")).alias("symbol"),
+                   F.col("o_orderstatus").alias("base_asset"), F.lit("USDT").alias("quote_asset"),
+                   (F.col("o_totalprice") / 1000).cast("string").alias("index_value"))
+    return NZ.normalize_bvol(raw)
+
+
+TIME_BOUNDS = {
+    "between": ("2024-01-03T00:00:00", "2024-01-05 12:30"),
+    "at_or_before": (None, "2024-01-02T06:00"),
+    "half_open": ("2024-01-07", "2024-01-08 00:00:00"),
+}
+
+
+def q_time_filters(spark, d):
+    T = trades_T(spark, d).select("symbol", "agg_trade_id", "time")
+    b = TIME_BOUNDS
+    lo, hi = day_bounds(F.lit("2024-01-10"), F.lit("2024-01-11"))
+    parts = [
+        M.time_between(T, parse_datetime(F.lit(b["between"][0])), parse_datetime(F.lit(b["between"][1])))
+        .withColumn("label", F.lit("between")),
+        M.time_at_or_before(T, parse_datetime(F.lit(b["at_or_before"][1]))).withColumn("label", F.lit("at_or_before")),
+        M.time_half_open(T, parse_datetime(F.lit(b["half_open"][0])), parse_datetime(F.lit(b["half_open"][1])))
+        .withColumn("label", F.lit("half_open")),
+        M.time_between(T, lo, hi).withColumn("label", F.lit("days")),
+        M.in_year(T, 2024).filter(F.month("time") == 1).filter(F.dayofmonth("time") == 20)
+        .withColumn("label", F.lit("year")),
+    ]
+    return M.union_all(*parts)
+
+
+# ---------------------------------------------------------------- store
+
+def L_full(spark, d):
+    return trades_L(spark, d, with_order=True)
+
+
+def q_write_read_roundtrip(spark, d):
+    path = shared_dir(spark, "roundtrip")
+    ST.write_table(L_full(spark, d), path)
+    back = ST.read_table(spark, path)
+    return back.filter(F.col("year").isin(1996, 1997)).filter(
+        F.col("time").between(M.ts_literal("1996-06-01 00:00:00"), M.ts_literal("1997-03-31 00:00:00")))
+
+
+UPSERT_KEYS = ("symbol", "year", "agg_trade_id")
+UPSERT_ORDER = ("time", "_p", "_s")
+
+
+def q_upsert_year(spark, d):
+    path = shared_dir(spark, "upsert")
+    L = L_full(spark, d)
+    ST.upsert(spark, L.filter(F.col("_p") % 2 == 0), path, UPSERT_KEYS, UPSERT_ORDER)
+    return ST.upsert(spark, L.filter(F.col("_p") % 2 == 1), path, UPSERT_KEYS, UPSERT_ORDER)
+
+
+def q_replace_month(spark, d):
+    path = shared_dir(spark, "replace_month")
+    L = L_full(spark, d)
+    ST.write_table(L.filter(F.col("_p") % 2 == 0), path)
+    new = L.filter((F.col("_p") % 2 == 1) & (F.year("time") == 1998) & (F.month("time") == 3))
+    return ST.replace_month_in_store(spark, new, path, 1998, 3)
+
+
+def q_bars_dedup_keep_first(spark, d):
+    root = shared_dir(spark, "bars_first")
+    bars = klines(L_dedup(spark, d), "1d", zero_qty="null", decimals=6).withColumn("interval", F.lit("1d"))
+    parts = ("symbol", "interval", "year")
+    ST.write_table(bars.filter(F.dayofmonth("time") % 3 != 0), root + "/src=a", parts, order=("time",))
+    ST.write_table(bars.withColumn("close", F.col("close") * 2), root + "/src=b", parts, order=("time",))
+    out = ST.load_bars(spark, root, "1996-01-01 00:00:00", "1998-12-31 23:59:59.999")
+    return out.drop("src", "year")
+
+
+# ---------------------------------------------------------------- planning
+
+PLAN_END, PLAN_TODAY = "2024-04-05", "2024-06-01"
+
+
+def plan_starts(spark, d):
+    T = trades_T(spark, d)
+    return COV.start_dates(T.select("symbol").distinct(), T)
+
+
+def present_archives(spark, d):
+    """Landing folder contents derived from T: each symbol's January monthly archive."""
+    T = trades_T(spark, d)
+    return T.select("symbol").distinct().select(
+        N.monthly_archive_name("symbol", F.lit("aggTrades"), F.lit(2024), F.lit(1)).alias("file_name"))
+
+
+def q_archive_plan(spark, d):
+    from candlewright.functions.timecols import cutoff_date
+    return AP.archive_plan(plan_starts(spark, d), ("aggTrades", "metrics", "fundingRate"),
+                           cutoff_date(PLAN_END, PLAN_TODAY), present=present_archives(spark, d))
+
+
+def q_archive_select(spark, d):
+    T = trades_T(spark, d)
+    days = T.select("symbol", F.col("time").cast("date").alias("day")).distinct()
+    daily = days.select(N.daily_archive_name("symbol", F.lit("aggTrades"), "day").alias("file_name"))
+    monthly = (T.filter(F.length("symbol") <= 5).select("symbol").distinct()
+               .select(N.monthly_archive_name("symbol", F.lit("aggTrades"), F.lit(2024), F.lit(1))
+                       .alias("file_name")))
+    early = T.select("symbol").distinct().select(
+        N.monthly_archive_name("symbol", F.lit("aggTrades"), F.lit(2023), F.lit(12)).alias("file_name"))
+    files = daily.unionByName(monthly).unionByName(early)
+    return AP.select_archives(files, "2024-01-05")
+
+
+def altered_L_bars(spark, d):
+    """L bars with two defects: no 4h bars for A in 1999, and N's 2001 bars
+    stop at 2001-10-01."""
+    bars = klines_all_intervals(L_dedup(spark, d), zero_qty="null", decimals=6)
+    drop = ((F.col("symbol") == "A") & (F.year("time") == 1999) & (F.col("interval") == "4h")) | \
+           ((F.col("symbol") == "N") & (F.col("time") >= M.ts_literal("2001-10-01 00:00:00")))
+    return bars.filter(~drop)
+
+
+def q_stale_partitions(spark, d):
+    return RF.stale_partitions(L_dedup(spark, d), altered_L_bars(spark, d))
+
+
+def q_refresh_symbol(spark, d):
+    root = shared_dir(spark, "refresh")
+    opts = dict(intervals=("1h", "1d"), zero_qty="null", decimals=6)
+    RF.refresh(spark, trades_T(spark, d), root, **opts)
+    # second run: nothing is stale, nothing is rewritten
+    bars = RF.refresh(spark, trades_T(spark, d), root, **opts)
+    return bars.filter(F.col("interval") == "1h").drop("interval", "year")
+
+
+QUERIES.update({
+    "epoch_normalize": q_epoch_normalize,
+    "metrics_repair": q_metrics_repair,
+    "metrics_quarantine": q_metrics_quarantine,
+    "schema_repair": q_schema_repair,
+    "funding_normalize": q_funding_normalize,
+    "bvol_normalize": q_bvol_normalize,
+    "time_filters": q_time_filters,
+    "write_read_roundtrip": q_write_read_roundtrip,
+    "upsert_year": q_upsert_year,
+    "replace_month": q_replace_month,
+    "bars_dedup_keep_first": q_bars_dedup_keep_first,
+    "archive_plan": q_archive_plan,
+    "archive_select": q_archive_select,
+    "stale_partitions": q_stale_partitions,
+    "refresh_symbol": q_refresh_symbol,
+})

@@ -86,4 +86,4 @@ L_SQL = """SELECT l_returnflag AS symbol, l_orderkey * 10 + l_linenumber AS agg_
   (l_linestatus = 'F') AS is_buyer_maker, l_partkey AS _p, l_suppkey AS _s FROM lineitem"""
 
 O_SQL = """SELECT o_orderstatus AS symbol, o_orderkey AS agg_trade_id, o_orderdate AS time,
-  o_totalprice AS price, 1.0 AS quantity, (o_orderkey % 2 = 1) AS is_buyer_maker FROM orders"""
+  o_totalprice AS price, CAST(1.0 AS DOUBLE) AS quantity, (o_orderkey % 2 = 1) AS is_buyer_maker FROM orders"""

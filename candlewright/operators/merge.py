@@ -63,18 +63,18 @@ def replace_month(stored: DataFrame, new_month: DataFrame, year: int, month: int
 
 def time_between(df: DataFrame, start, end, time_col: str = "time") -> DataFrame:
     """inclusive range (pushed to the Parquet scan)."""
-    return df.filter(F.col(time_col).between(_lit(start), _lit(end)))
+    return df.filter(F.col(time_col).between(ts_literal(start), ts_literal(end)))
 
 
 def time_at_or_before(df: DataFrame, end, time_col: str = "time") -> DataFrame:
     """F2."""
-    return df.filter(F.col(time_col) <= _lit(end))
+    return df.filter(F.col(time_col) <= ts_literal(end))
 
 
 def time_half_open(df: DataFrame, start, end, time_col: str = "time") -> DataFrame:
     """``start <= time < end``."""
     t = F.col(time_col)
-    return df.filter((t >= _lit(start)) & (t < _lit(end)))
+    return df.filter((t >= ts_literal(start)) & (t < ts_literal(end)))
 
 
 def in_year(df: DataFrame, year: int, time_col: str = "time") -> DataFrame:
@@ -84,7 +84,7 @@ def in_year(df: DataFrame, year: int, time_col: str = "time") -> DataFrame:
     return df.filter(F.year(time_col) == year)
 
 
-def _lit(v) -> Column:
+def ts_literal(v) -> Column:
     if isinstance(v, Column):
         return v
     if isinstance(v, str):
@@ -94,11 +94,13 @@ def _lit(v) -> Column:
 
 def sort_for_store(df: DataFrame, partition_cols: Sequence[str] = ("symbol", "year"),
                    order: Sequence[str] = ("time", "agg_trade_id")) -> DataFrame:
-    """Cluster rows by output partition and sort inside each file.
+    """Cluster rows by output partition and time, sorted inside each file.
 
-    Files then carry tight min/max statistics on ``time`` (row-group
-    pruning for range reads). Ties in ``time`` are ordered by id.
+    Range partitioning on ``(partition columns, time)`` spreads one hot
+    (symbol, year) over many tasks, each writing a file that covers a narrow
+    time range (tight min/max statistics for row-group pruning). Ties in
+    ``time`` are ordered by id.
     """
     present = [c for c in order if c in df.columns]
-    return (df.repartition(*partition_cols)
+    return (df.repartitionByRange(*partition_cols, *present[:1])
             .sortWithinPartitions(*partition_cols, *present))

@@ -28,6 +28,7 @@ PINNED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
@@ -69,7 +70,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, unique per call."""
     root = checkpoint_root(spark)
-    path = os.path.join(root, "candlewright", name, uuid.uuid4().hex)
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return os.path.join(root, "candlewright", name, uuid.uuid4().hex)

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.operators.merge import dedup_keep_first, merge_keep_last, sort_for_store
+from candlewright.operators.merge import (dedup_keep_first, dedup_keep_last, merge_keep_last,
+                                          replace_month, sort_for_store, ts_literal)
 
 PARTITIONS = ("symbol", "year")
 
@@ -47,6 +48,9 @@ def read_table(spark: SparkSession, path: str, with_file: bool = False) -> DataF
     ``with_file`` adds the file name and path (lineage labels, P23).
     """
     df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    if "year" in df.columns:
+        # partition type inference is off (a numeric-looking symbol stays a string)
+        df = df.withColumn("year", F.col("year").cast("int"))
     if with_file:
         df = df.select("*", F.col("_metadata.file_name").alias("file_name"),
                        F.col("_metadata.file_path").alias("file_path"))
@@ -54,10 +58,21 @@ def read_table(spark: SparkSession, path: str, with_file: bool = False) -> DataF
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """A table with data: the folder holds a partition folder or data file.
+
+    (A dynamic-partition overwrite leaves no ``_SUCCESS`` marker at the root,
+    and staging/hidden entries start with ``_`` or ``.``.)
+    """
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    if not fs.exists(hpath):
+        return False
+    for st in fs.listStatus(hpath):
+        name = st.getPath().getName()
+        if not name.startswith(("_", ".")):
+            return True
+    return False
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
@@ -78,7 +93,23 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
         stored = stored.join(touched, list(partition_cols), "left_semi")
         merged = merge_keep_last(stored.select(*new.columns), new, keys, order)
     else:
-        merged = merge_keep_last(new.limit(0), new, keys, order)
+        merged = dedup_keep_last(new, keys, order) if order else dedup_keep_last(new, keys, keys)
+    merged = merged.checkpoint(eager=True)
+    write_table(merged, path, partition_cols)
+    return read_table(spark, path)
+
+
+def replace_month_in_store(spark: SparkSession, new_month: DataFrame, path: str, year: int, month: int,
+                           partition_cols: Sequence[str] = PARTITIONS) -> DataFrame:
+    """A monthly archive replaces that month of the stored year partitions.
+
+    Reads only the (symbol, year) partitions the new month touches, swaps the
+    month, cuts lineage with a checkpoint and overwrites those partitions.
+    """
+    new_month = with_year(new_month) if "year" not in new_month.columns else new_month
+    stored = (read_table(spark, path).filter(F.col("year") == year)
+              .join(new_month.select("symbol").distinct(), "symbol", "left_semi"))
+    merged = replace_month(stored.select(*new_month.columns), new_month, year, month)
     merged = merged.checkpoint(eager=True)
     write_table(merged, path, partition_cols)
     return read_table(spark, path)
@@ -90,10 +121,10 @@ def load_bars(spark: SparkSession, path: str, start=None, end=None,
     the row of the first file by name (F1 + D3)."""
     df = read_table(spark, path, with_file=True)
     if start is not None:
-        df = df.filter(F.col("time") >= F.lit(start))
+        df = df.filter(F.col("time") >= ts_literal(start))
     if end is not None:
-        df = df.filter(F.col("time") <= F.lit(end))
-    return dedup_keep_first(df, [*keys, "time"], ["file_name"]).drop("file_name", "file_path")
+        df = df.filter(F.col("time") <= ts_literal(end))
+    return dedup_keep_first(df, [*keys, "time"], ["file_path"]).drop("file_name", "file_path")
 
 
 def discover_symbols(df: DataFrame) -> DataFrame:
