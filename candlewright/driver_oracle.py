@@ -478,3 +478,23 @@ FROM ({_T_DAILY_BARS}) b WHERE time BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND
     "stale_partitions": _stale_sql(),
     "refresh_symbol": kline_sql(T_SQL, "1h"),
 })
+
+
+# ---------------------------------------------------------------- batch 4
+
+ORACLE.update({
+    "zip_ingest": f"""SELECT symbol, agg_trade_id,
+  CASE WHEN day(time) < 15 THEN make_timestamp((ts // 1000) * 1000) ELSE time END AS time,
+  price, quantity, agg_trade_id AS first_trade_id, agg_trade_id AS last_trade_id, is_buyer_maker,
+  false AS is_best_match, CASE WHEN day(time) < 15 THEN (ts // 1000) * 1000 ELSE ts END AS ts
+FROM ({_T_US}) t""",
+    "zip_quarantine": f"""SELECT symbol || '-aggTrades-2024-02-01.zip' AS archive, CAST(1 AS BIGINT) AS bad_rows,
+  'empty' AS error_kind FROM (SELECT DISTINCT symbol FROM ({T_SQL}) t) s
+UNION ALL SELECT symbol || '-aggTrades-2024-02-02.zip', CAST(1 AS BIGINT), 'unreadable'
+FROM (SELECT DISTINCT symbol FROM ({T_SQL}) t) s""",
+    "payload_bars": f"SELECT symbol, interval, time, open, high, low, close, qty, qty_usd FROM ({tbars(('1h',))}) b",
+    "symbol_list": "SELECT DISTINCT event_type AS symbol FROM events",
+    "stream_bars": kline_sql(T_SQL, "1h"),
+    "stream_dedup": f"SELECT DISTINCT symbol, agg_trade_id FROM ({L_SQL}) l",
+    "stream_upsert": ORACLE["upsert_year"],
+})

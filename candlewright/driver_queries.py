@@ -534,3 +534,122 @@ QUERIES.update({
     "stale_partitions": q_stale_partitions,
     "refresh_symbol": q_refresh_symbol,
 })
+
+
+# ---------------------------------------------------------------- sources and streams
+
+from candlewright.sources import archives as AR  # noqa: E402
+from candlewright.sources import payload as PL  # noqa: E402
+from candlewright.streaming import bars as SB  # noqa: E402
+
+
+def _write_broken_archives(symbols: DataFrame, root: str) -> DataFrame:
+    """Per symbol an empty archive (02-01) and an unreadable one (02-02)."""
+    import zipfile
+
+    def write(batches):
+        import pandas as pd
+        for pdf in batches:
+            out = []
+            for sym in pdf["symbol"]:
+                fs, p = AR._fs_path(f"{root}/{sym}-aggTrades-2024-02-01.zip")
+                with fs.open_output_stream(p) as f:
+                    zipfile.ZipFile(f, "w").close()
+                fs, p = AR._fs_path(f"{root}/{sym}-aggTrades-2024-02-02.zip")
+                with fs.open_output_stream(p) as f:
+                    f.write(b"this is not a zip archive")
+                out.append(sym)
+            yield pd.DataFrame({"symbol": out})
+
+    return symbols.mapInPandas(write, "symbol string")
+
+
+def zip_fixture(spark, d):
+    root = shared_dir(spark, "zips")
+    T = trades_T(spark, d)
+    src = T.select(
+        "symbol", F.col("time").cast("date").alias("day"), "agg_trade_id", "price", "quantity",
+        "first_trade_id", "last_trade_id",
+        F.when(F.dayofmonth("time") < 15, F.expr("ts div 1000")).otherwise(F.col("ts")).alias("transact_time"),
+        "is_buyer_maker", (F.length("symbol") <= 5).alias("_h"))
+    AR.write_archives(src, root, "aggTrades", AR.FUTURES_TRADE_COLUMNS, header_col="_h").count()
+    _write_broken_archives(T.select("symbol").distinct(), root).count()
+    return AR.ingest(spark, root, "aggTrades", "future")
+
+
+def q_zip_ingest(spark, d):
+    good, _ = zip_fixture(spark, d)
+    from candlewright.schemas import AGG_TRADE_COLUMNS
+    return good.select("symbol", *AGG_TRADE_COLUMNS)
+
+
+def q_zip_quarantine(spark, d):
+    _, bad = zip_fixture(spark, d)
+    return bad.select("archive", "bad_rows", F.when(F.col("error").startswith("empty"), F.lit("empty"))
+                      .otherwise(F.lit("unreadable")).alias("error_kind"))
+
+
+def q_payload_bars(spark, d):
+    root = shared_dir(spark, "payload")
+    bars = T_bars(spark, d, ("1h",))
+    PL.bars_to_payload(bars, width_ms=F.lit(3_600_000)).write.json(root + "/src=a")
+    (PL.bars_to_payload(bars.filter(F.dayofmonth("time") <= 10).withColumn("close", F.col("close") * 2),
+                        width_ms=F.lit(3_600_000)).write.json(root + "/src=b"))
+    payloads = (spark.read.schema("symbol string, interval string, payload string").json(root)
+                .withColumn("_file", F.col("_metadata.file_path")))
+    return PL.payload_bars(payloads, order=("_file",))
+
+
+def q_symbol_list(spark, d):
+    path = shared_dir(spark, "symbols")
+    T = trades_T(spark, d)
+    (T.select("symbol").distinct().agg(F.to_json(F.sort_array(F.collect_list("symbol"))).alias("value"))
+     .write.text(path))
+    requested = PL.symbol_list(spark, path, literals=("click", "ZZZNOTLISTED"))
+    return AP.select_symbols(requested, T.select("symbol").distinct())
+
+
+def q_stream_bars(spark, d):
+    src, out, ck = (shared_dir(spark, n) for n in ("stream_src", "stream_out", "stream_ck"))
+    T = trades_T(spark, d)
+    T.repartition(6, "symbol").write.parquet(src)
+    # one far-later row closes every real window (its own bar is never emitted)
+    (T.agg(F.min("symbol").alias("symbol"), (F.max("agg_trade_id") + 1).alias("agg_trade_id"),
+           F.timestamp_add("DAY", F.lit(40), F.max("time")).alias("time"))
+     .select(*[F.col(c) if c in ("symbol", "agg_trade_id", "time") else F.lit(None).cast(t).alias(c)
+               for c, t in T.dtypes])
+     .select(*T.columns).write.mode("append").parquet(src))
+    stream = SB.read_trade_stream(spark, src, T.schema, max_files=2)
+    SB.run_to_parquet(SB.bar_stream(stream, "1h", watermark="31 days", zero_qty="null", decimals=6), out, ck)
+    return spark.read.parquet(out)
+
+
+def q_stream_dedup(spark, d):
+    src, out, ck = (shared_dir(spark, n) for n in ("dedup_src", "dedup_out", "dedup_ck"))
+    L = trades_L(spark, d)
+    L.repartition(4, "symbol").write.parquet(src)
+    stream = SB.read_trade_stream(spark, src, L.schema, max_files=1)
+    SB.run_to_parquet(SB.dedup_stream(stream, watermark="4000 days"), out, ck)
+    return spark.read.parquet(out).select("symbol", "agg_trade_id")
+
+
+def q_stream_upsert(spark, d):
+    store, src, ck = (shared_dir(spark, n) for n in ("sup_store", "sup_src", "sup_ck"))
+    L = L_full(spark, d)
+    ST.upsert(spark, L.filter(F.col("_p") % 2 == 0), store, UPSERT_KEYS, UPSERT_ORDER)
+    # all copies of an id sit in one file, so one micro-batch sees them together
+    L.filter(F.col("_p") % 2 == 1).repartition(4, "symbol", "agg_trade_id").write.parquet(src)
+    stream = SB.read_trade_stream(spark, src, L.schema, max_files=1)
+    SB.upsert_stream(stream, store, UPSERT_KEYS, ck, UPSERT_ORDER)
+    return ST.read_table(spark, store)
+
+
+QUERIES.update({
+    "zip_ingest": q_zip_ingest,
+    "zip_quarantine": q_zip_quarantine,
+    "payload_bars": q_payload_bars,
+    "symbol_list": q_symbol_list,
+    "stream_bars": q_stream_bars,
+    "stream_dedup": q_stream_dedup,
+    "stream_upsert": q_stream_upsert,
+})
