@@ -167,18 +167,15 @@ def cascade(trades: DataFrame, intervals: Sequence[str] = BASE_INTERVALS,
     for i in ivs[1:]:
         if INTERVAL_SECONDS[i] % fs or 86400 % INTERVAL_SECONDS[i]:
             raise ValueError(f"{i} is not a day-dividing multiple of {finest}")
-    secs = fs
     base = (_with_order_key(trades)
-            .groupBy(*keys, F.window("time", f"{secs} seconds").start.alias("time"))
+            .groupBy(*keys, F.window("time", f"{fs} seconds").start.alias("time"))
             .agg(*_tick_aggs()))
-    fine = base.withColumn("interval", F.lit(finest))
-    if len(ivs) == 1:
-        return finish_bars(fine, zero_qty, keys, extra=("interval",), decimals=decimals)
-    coarse = (base.select("*", F.col("time").alias("_t"), F.inline(_interval_table(ivs[1:])))
-              .withColumn("time", floor_time("_t", F.col("_w")))
-              .groupBy(*keys, "interval", "time").agg(*_bar_aggs()))
-    both = fine.unionByName(coarse)
-    return finish_bars(both, zero_qty, keys, extra=("interval",), decimals=decimals)
+    # one branch: every interval (the finest as a pass-through) is regrouped
+    # from the fine bars, so the ticks are scanned and shuffled exactly once
+    out = (base.select("*", F.col("time").alias("_t"), F.inline(_interval_table(ivs)))
+           .withColumn("time", floor_time("_t", F.col("_w")))
+           .groupBy(*keys, "interval", "time").agg(*_bar_aggs()))
+    return finish_bars(out, zero_qty, keys, extra=("interval",), decimals=decimals)
 
 
 def bars_from_bars(bars: DataFrame, interval: str, zero_qty: str = "nan",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewright.functions import names as N
@@ -99,20 +99,20 @@ def select_archives(files: DataFrame, start_date) -> DataFrame:
     that has a monthly archive, and monthly archives whose last day is before
     ``start_date``. Rows of a kept monthly archive before the start stay (the
     filter is per archive). ``files`` has ``file_name`` (and optionally more).
+
+    One pass: "this month has a monthly archive" is a window flag over
+    (symbol, type, month), a group of at most ~32 archives.
     """
     start = F.to_date(F.lit(start_date)) if isinstance(start_date, str) else start_date
     p = N.parse_archive_name(F.col("file_name"))
-    parsed = files.withColumns({
-        "symbol_": p["symbol"], "data_type_": p["data_type"], "daily_": p["daily"],
-        "date_": N.archive_date(F.col("file_name")),
-        "archive_year": p["year"],
-    }).filter(F.col("daily_").isNotNull())
-    monthly = (parsed.filter(~F.col("daily_"))
-               .select("symbol_", "data_type_", F.col("date_").alias("_m")).distinct())
-    daily = (parsed.filter(F.col("daily_") & (F.col("date_") >= start))
-             .withColumn("_m", F.trunc("date_", "MM"))
-             .join(monthly, ["symbol_", "data_type_", "_m"], "left_anti").drop("_m"))
-    months = parsed.filter(~F.col("daily_") & (F.last_day("date_") >= start))
-    out = daily.unionByName(months)
-    return out.select(*files.columns, "archive_year", F.col("daily_").alias("daily"),
-                      F.col("date_").alias("archive_date"))
+    parsed = (files.withColumns({
+        "_sym": p["symbol"], "_type": p["data_type"], "daily": p["daily"],
+        "archive_year": p["year"], "_mon": p["month"], "_day": p["day"],
+    }).filter(F.col("daily").isNotNull())
+      .withColumn("archive_date", F.make_date("archive_year", "_mon", F.coalesce("_day", F.lit(1)))))
+    month = Window.partitionBy("_sym", "_type", "archive_year", "_mon")
+    has_monthly = F.max((~F.col("daily")).cast("int")).over(month) == 1
+    keep = ((F.col("daily") & (F.col("archive_date") >= start) & ~has_monthly)
+            | (~F.col("daily") & (F.last_day("archive_date") >= start)))
+    return (parsed.withColumn("_keep", keep).filter("_keep")
+            .select(*files.columns, "archive_year", "daily", "archive_date"))

@@ -83,3 +83,15 @@ def test_monthly_beats_daily(spark):
 def test_start_after_end_yields_nothing(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 3), dt.date(2024, 1, 1))], "s date, e date")
     assert df.select(F.size(days_between("s", "e"))).first()[0] == 0
+
+
+def test_sma_blocks_equal_single_window(spark):
+    from pyspark.sql import Window
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("X", "1h", t0 + dt.timedelta(hours=7 * i), float((i * 37) % 101)) for i in range(300)]
+    df = spark.createDataFrame(rows, "symbol string, interval string, time timestamp_ntz, close double")
+    w = Window.partitionBy("symbol", "interval").orderBy("time").rowsBetween(-6, 0)
+    ref = df.withColumn("want", F.when(F.count("close").over(w) == 7, F.sum("close").over(w) / 7.0))
+    got = sma(ref, (7,), block_rows=10).orderBy("time").collect()
+    assert all((r.SMA7 is None and r.want is None) or abs(r.SMA7 - r.want) < 1e-9 for r in got)
+    assert len(got) == 300
