@@ -46,11 +46,12 @@ def millis_to_ntz(ms) -> Column:
 
 
 def ntz_to_micros(ts) -> Column:
-    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(ts))
+    # the session zone is pinned to UTC, so the NTZ -> TIMESTAMP cast keeps the wall time
+    return F.unix_micros(_c(ts).cast("timestamp"))
 
 
 def ntz_to_millis(ts) -> Column:
-    return F.timestamp_diff("MILLISECOND", epoch_ntz(), _c(ts))
+    return F.unix_millis(_c(ts).cast("timestamp"))
 
 
 def interval_seconds(interval: str) -> int:
