@@ -498,3 +498,23 @@ FROM (SELECT DISTINCT symbol FROM ({T_SQL}) t) s""",
     "stream_dedup": f"SELECT DISTINCT symbol, agg_trade_id FROM ({L_SQL}) l",
     "stream_upsert": ORACLE["upsert_year"],
 })
+
+
+# ---------------------------------------------------------------- batch 5
+
+ORACLE.update({
+    "bar_file_names": f"""WITH c AS (SELECT symbol, interval, CAST(year(time) AS INTEGER) AS year,
+    CAST(max(time) AS DATE) AS last FROM ({tbars()}) b GROUP BY symbol, interval, year(time)),
+n AS (SELECT *, month(last) = 12 AND day(last) = 31 AS complete FROM c)
+SELECT symbol, interval, year,
+  printf('%s_kline_%s_%s.parquet', symbol, interval,
+         CASE WHEN complete THEN CAST(year AS VARCHAR) ELSE strftime(last, '%Y-%m-%d') END) AS file_name,
+  interval AS parsed_interval, year AS parsed_year,
+  CASE WHEN complete THEN NULL ELSE strftime(last, '%m-%d') END AS parsed_md, year AS stored_year
+FROM n""",
+    "supported_bars": f"""SELECT symbol, market, interval, count(*) AS bars, round(sum(qty), 6) AS qty
+FROM (SELECT *, CASE WHEN length(symbol) <= 5 THEN 'future' ELSE 'spot' END AS market
+      FROM ({tbars(('1s', '1m'))}) b) x
+WHERE NOT (market = 'future' AND interval = '1s')
+GROUP BY symbol, market, interval""",
+})

@@ -653,3 +653,32 @@ QUERIES.update({
     "stream_dedup": q_stream_dedup,
     "stream_upsert": q_stream_upsert,
 })
+
+
+# ---------------------------------------------------------------- file names, interval support
+
+def q_bar_file_names(spark, d):
+    """P19 + P17 + P16: per (symbol, interval, year) the bar file name from its
+    coverage, parsed back."""
+    cov = RF.bar_coverage(T_bars(spark, d))
+    suffix = F.when(F.col("bar_complete"), F.col("year").cast("string")) \
+        .otherwise(F.date_format("bar_last_date", "yyyy-MM-dd"))
+    named = cov.withColumn("file_name", N.kline_file_name("symbol", "interval", suffix))
+    p = N.parse_kline_name(F.col("file_name"))
+    return named.select("symbol", "interval", "year", "file_name",
+                        p["interval"].alias("parsed_interval"), p["year"].alias("parsed_year"),
+                        p["md"].alias("parsed_md"), N.stored_year(F.col("file_name")).alias("stored_year"))
+
+
+def q_supported_bars(spark, d):
+    """F8: 1s bars exist only off futures; market derived from the symbol."""
+    bars = klines_all_intervals(trades_T(spark, d), ("1s", "1m"), decimals=6, zero_qty="null")
+    bars = bars.withColumn("market", F.when(F.length("symbol") <= 5, F.lit("future")).otherwise(F.lit("spot")))
+    return AP.supported_intervals(bars).groupBy("symbol", "market", "interval").agg(
+        F.count(F.lit(1)).alias("bars"), F.round(F.sum("qty"), 6).alias("qty"))
+
+
+QUERIES.update({
+    "bar_file_names": q_bar_file_names,
+    "supported_bars": q_supported_bars,
+})

@@ -44,3 +44,38 @@ def test_metrics_bad_time_quarantines_archive_and_bad_ratio_is_null(spark):
     assert len(g) == 1 and g[0].sum_open_interest == 1.5
     assert g[0].sum_open_interest_value is None and g[0].count_toptrader_long_short_ratio is None
     assert [r.archive for r in bad.collect()] == ["BTCUSDT-metrics-2025-01-02.zip"]
+
+
+def test_spot_funding_and_vol_index_archives(spark):
+    d = tempfile.mkdtemp(prefix="cw-zip-")
+    _zip(d, "ETHUSDT-aggTrades-2024-01.zip", "5,2.5,4,5,6,1704067200123,True,True\n")
+    good, bad = ingest(spark, d, "aggTrades", "spot")
+    r = good.collect()[0]
+    assert (r.agg_trade_id, r.price, r.is_buyer_maker, r.is_best_match, r.ts) == (5, 2.5, True, True, 1704067200123000)
+    assert r.archive_year == 2024 and bad.count() == 0
+
+    f = tempfile.mkdtemp(prefix="cw-zip-")
+    _zip(f, "BTCUSDT-fundingRate-2024-01.zip",
+         "calc_time,funding_interval_hours,last_funding_rate\n1704067200000,8,0.0001\n")
+    good, _ = ingest(spark, f, "fundingRate", "future")
+    r = good.collect()[0]
+    assert (r.symbol, r.funding_interval_hours, r.last_funding_rate) == ("BTCUSDT", 8, 0.0001)
+
+    v = tempfile.mkdtemp(prefix="cw-zip-")
+    _zip(v, "BTCBVOLUSDT-BVOLIndex-2024-01-01.zip",
+         "calc_time,symbol,base_asset,quote_asset,index_value\n1704067200000,BTCBVOLUSDT,BTC,USDT,55.5\n")
+    good, _ = ingest(spark, v, "BVOLIndex", "option")
+    r = good.collect()[0]
+    assert (r.symbol, r.base_asset, r.index_value) == ("BTCBVOLUSDT", "BTC", 55.5)
+
+
+def test_validity_and_plan_rejects_bad_pairs(spark):
+    import pytest
+    from candlewright.plans.archive_plan import InvalidRequest, archive_plan, check_valid
+    req = spark.createDataFrame([("spot", "metrics"), ("future", "metrics"), ("spot", "BVOLIndex"),
+                                 ("option", "BVOLIndex"), ("option", "aggTrades")], "market string, data_type string")
+    bad = sorted(tuple(r) for r in check_valid(req).collect())
+    assert bad == [("option", "aggTrades"), ("spot", "BVOLIndex"), ("spot", "metrics")]
+    starts = spark.createDataFrame([("X", None)], "symbol string, start_date date")
+    with pytest.raises(InvalidRequest):
+        archive_plan(starts, ["fundingRate"], "2024-01-01", market="spot")
