@@ -52,6 +52,36 @@ def apply_conf(spark: SparkSession) -> None:
     for k, v in PINNED_CONF.items():
         spark.conf.set(k, v)
     checkpoint_root(spark)
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``candlewright`` importable in Python workers (archive readers and
+    writers run there): zip the package once per application into the shared
+    folder and add it with ``addPyFile``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark).replace("file://", "").replace("file:", "")
+    out_dir = os.path.join(root, "candlewright", "pyfiles", app)
+    if "://" in out_dir:  # remote shared folder: stage the zip next to the driver instead
+        out_dir = tempfile.mkdtemp(prefix="candlewright-pyfiles-")
+    os.makedirs(out_dir, exist_ok=True)
+    zpath = os.path.join(out_dir, "candlewright.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
