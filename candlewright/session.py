@@ -32,15 +32,32 @@ PINNED_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, ~100 TB of ticks):
+# many initial shuffle partitions that AQE coalesces to ~256 MB each, 256 MB
+# scan splits, skew splitting on. Broadcasts stay size-checked by Spark.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "candlewright", extra: dict | None = None) -> SparkSession:
+                app_name: str = "candlewright", extra: dict | None = None,
+                profile: str = "local") -> SparkSession:
+    """``profile="cluster"`` applies :data:`CLUSTER_CONF` (``shuffle_partitions``
+    is then ignored); ``extra`` overrides both."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
     builder = builder.config("spark.ui.showConsoleProgress", "false")
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in {**PINNED_CONF, **(extra or {})}.items():
+    profile_conf = CLUSTER_CONF if profile == "cluster" else {}
+    for k, v in {**PINNED_CONF, **profile_conf, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_conf(spark)

@@ -95,3 +95,19 @@ def test_sma_blocks_equal_single_window(spark):
     got = sma(ref, (7,), block_rows=10).orderBy("time").collect()
     assert all((r.SMA7 is None and r.want is None) or abs(r.SMA7 - r.want) < 1e-9 for r in got)
     assert len(got) == 300
+
+
+def test_merge_is_idempotent(spark):
+    rows = [("X", 2024, i % 7, float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "symbol string, year int, agg_trade_id long, v double")
+    once = merge_keep_last(df.limit(0), df, ["symbol", "year", "agg_trade_id"], ["v"])
+    twice = merge_keep_last(once, once, ["symbol", "year", "agg_trade_id"], ["v"])
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    assert once.count() == 7
+
+
+def test_missing_ids_equal_span_minus_distinct(spark):
+    ids = [1, 2, 2, 5, 9, 9, 9, 10, 30]
+    df = spark.createDataFrame([("X", 2024, i) for i in ids], "symbol string, year int, agg_trade_id long")
+    missing = id_gaps(df, bucket=4).agg(F.sum("missing")).first()[0]
+    assert missing == (max(ids) - min(ids) + 1) - len(set(ids))
