@@ -15,6 +15,9 @@ import pandas as pd
 
 from candlewright.fixtures import TABLES
 
+# ORACLE_STRICT=1 compares floats exactly (no rounding)
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -32,7 +35,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if isinstance(v, pd.Timestamp):
         v = v.to_pydatetime().replace(tzinfo=None)
     if isinstance(v, datetime.datetime):
