@@ -682,3 +682,24 @@ QUERIES.update({
     "bar_file_names": q_bar_file_names,
     "supported_bars": q_supported_bars,
 })
+
+
+# ---------------------------------------------------------------- archive ingest pipeline
+
+def q_ingest_pipeline(spark, d):
+    """T written as daily futures archives (microsecond times), converted from
+    2024-01-03 on into a store, twice (the second run merges into the first)."""
+    from candlewright.plans.ingest import ingest_archives
+    from candlewright.schemas import AGG_TRADE_COLUMNS
+    landing, store = shared_dir(spark, "landing"), shared_dir(spark, "store")
+    T = trades_T(spark, d)
+    src = T.select("symbol", F.col("time").cast("date").alias("day"), "agg_trade_id", "price", "quantity",
+                   "first_trade_id", "last_trade_id", F.col("ts").alias("transact_time"), "is_buyer_maker",
+                   (F.length("symbol") > 5).alias("_h"))
+    AR.write_archives(src, landing, "aggTrades", AR.FUTURES_TRADE_COLUMNS, header_col="_h").count()
+    ingest_archives(spark, landing, store, "aggTrades", "future", start_date="2024-01-03")
+    table, _ = ingest_archives(spark, landing, store, "aggTrades", "future", start_date="2024-01-03")
+    return table.select("symbol", "year", *AGG_TRADE_COLUMNS)
+
+
+QUERIES["ingest_pipeline"] = q_ingest_pipeline

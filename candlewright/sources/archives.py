@@ -131,8 +131,16 @@ def _archive_rows(path: str, cols, data_type: str, chunk_rows: int) -> Iterator[
         yield err(f"{type(e).__name__}: {e}"[:500])
 
 
+def list_archives(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, file_name)`` of every ``*.zip`` under ``path`` (content not read)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
+            .option("recursiveFileLookup", "true").load(path)
+            .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name")))
+
+
 def read_archives(spark: SparkSession, path: str, data_type: str = "aggTrades",
-                  market: str = "spot", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                  market: str = "spot", chunk_rows: int = CHUNK_ROWS,
+                  selected: DataFrame | None = None) -> DataFrame:
     """Raw string rows of every ``*.zip`` under ``path``.
 
     Columns: the raw CSV columns for (data type, market), ``archive`` (file
@@ -141,8 +149,10 @@ def read_archives(spark: SparkSession, path: str, data_type: str = "aggTrades",
     letter) are positional.
     """
     cols = raw_columns(data_type, market)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-             .option("recursiveFileLookup", "true").load(path).select("path"))
+    files = list_archives(spark, path)
+    if selected is not None:
+        files = files.join(selected.select("file_name"), "file_name", "left_semi")
+    files = files.select("path")
     n = max(1, files.count())
     parallel = max(1, min(n, 4 * spark.sparkContext.defaultParallelism))
     files = files.repartition(parallel, "path")
@@ -156,14 +166,18 @@ def read_archives(spark: SparkSession, path: str, data_type: str = "aggTrades",
 
 
 def ingest(spark: SparkSession, path: str, data_type: str = "aggTrades", market: str = "spot",
-           chunk_rows: int = CHUNK_ROWS):
+           chunk_rows: int = CHUNK_ROWS, selected: DataFrame | None = None, stage: bool = True):
     """S1-S6 + P1-P10 + S16: (canonical rows, quarantine).
 
     Rows carry ``symbol`` and ``archive_year`` parsed from the archive name
     (P15) plus ``archive`` and ``row`` lineage, which orders keep-last merges.
     The quarantine has one ``(archive, bad_rows, error)`` row per dropped archive.
+
+    With ``stage`` (default) the typed rows are written once as Parquet under
+    the shared folder and everything downstream reads that, so the archives
+    are unzipped and parsed exactly once however often the result is used.
     """
-    raw = read_archives(spark, path, data_type, market, chunk_rows)
+    raw = read_archives(spark, path, data_type, market, chunk_rows, selected)
     meta = N.parse_archive_name(F.col("archive"))
     raw = raw.withColumns({"_sym": meta["symbol"], "archive_year": meta["year"]})
     keep = ("archive", "row", "archive_year", "error")
@@ -180,6 +194,11 @@ def ingest(spark: SparkSession, path: str, data_type: str = "aggTrades", market:
         typed = NZ.normalize_bvol(raw, keep=keep)
         bad = F.col("error").isNotNull() | F.col("time").isNull()
     flagged = typed.withColumn("_bad", bad)
+    if stage:
+        from candlewright.session import shared_dir
+        staged = shared_dir(spark, "ingest_stage")
+        flagged.write.parquet(staged)
+        flagged = spark.read.parquet(staged)
     reason = F.first(F.col("error"), ignorenulls=True)
     bad_archives = (flagged.filter("_bad").groupBy("archive")
                     .agg(F.count(F.lit(1)).alias("bad_rows"),
