@@ -159,32 +159,43 @@ def trades_per_minute(trades: DataFrame, keys: Sequence[str] = ("symbol",),
     """A9 + J4: trade count per minute, re-indexed to every minute with 0.
 
     With ``start``/``end`` the range is ``[start, end)`` (F3); otherwise each
-    series spans its own first to last minute.
+    series spans its own first to last minute. Series without trades in the
+    range give no rows.
+
+    One pass over the ticks: per-minute counts, then each count row emits
+    itself and zero rows for the empty minutes up to the next count of its
+    series (``lead``), plus the edges of an explicit range. The window runs
+    over per-minute counts, so its size is bounded by the time span, not by
+    the trade volume of a hot symbol.
     """
     t = trades
-    if start is not None:
-        t = t.filter(F.col("time") >= F.expr(f"TIMESTAMP_NTZ'{start}'"))
-    if end is not None:
-        t = t.filter(F.col("time") < F.expr(f"TIMESTAMP_NTZ'{end}'"))
+    lo = F.expr(f"TIMESTAMP_NTZ'{start}'") if start is not None else None
+    hi = F.expr(f"TIMESTAMP_NTZ'{end}'") if end is not None else None
+    if lo is not None:
+        t = t.filter(F.col("time") >= lo)
+    if hi is not None:
+        t = t.filter(F.col("time") < hi)
     counts = (t.groupBy(*keys, F.window("time", "1 minute").start.alias("time"))
               .agg(F.count(F.lit(1)).alias("n")))
-    if start is not None and end is not None:
-        rng = counts.select(*keys).distinct().select(
-            *keys, F.expr(f"TIMESTAMP_NTZ'{start}'").alias("_lo"),
-            F.timestamp_add("MINUTE", F.lit(-1), F.expr(f"TIMESTAMP_NTZ'{end}'")).alias("_hi"))
-        rng = rng.withColumn("_lo", floor_time("_lo", 60_000_000))
-    else:
-        rng = counts.groupBy(*keys).agg(F.min("time").alias("_lo"), F.max("time").alias("_hi"))
-    # hours first, then minutes inside each hour, so no task builds a whole year
-    hours = rng.select(*keys, "_lo", "_hi", F.explode(F.sequence(
-        floor_time("_lo", 3_600_000_000), F.col("_hi"), F.expr("INTERVAL 1 HOUR"))).alias("_h"))
-    hours = hours.repartition(*keys, "_h")
-    mins = hours.select(*keys, "_lo", "_hi", "_h", F.explode(F.sequence(F.lit(0), F.lit(59))).alias("_m"))
-    grid = (mins.select(*keys, "_lo", "_hi", F.timestamp_add("MINUTE", F.col("_m"), F.col("_h")).alias("time"))
-            .filter((F.col("time") >= F.col("_lo")) & (F.col("time") <= F.col("_hi")))
-            .select(*keys, "time"))
-    return (grid.join(counts, [*keys, "time"], "left")
-            .select(*keys, "time", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    w = Window.partitionBy(*keys).orderBy("time")
+    one = F.expr("INTERVAL 1 MINUTE")
+    nxt = F.lead("time").over(w)
+    prv = F.lag("time").over(w)
+    if hi is not None:
+        nxt = F.coalesce(nxt, floor_time(hi, 60_000_000))   # fill to end - 1 minute
+    gap_after = F.when(nxt.isNotNull() & (nxt > F.timestamp_add("MINUTE", F.lit(1), F.col("time"))),
+                       F.sequence(F.timestamp_add("MINUTE", F.lit(1), F.col("time")),
+                                  F.timestamp_add("MINUTE", F.lit(-1), nxt), one))
+    gaps = F.coalesce(gap_after, F.array().cast("array<timestamp_ntz>"))
+    if lo is not None:
+        first_lo = floor_time(lo, 60_000_000)
+        gap_before = F.when(prv.isNull() & (F.col("time") > first_lo),
+                            F.sequence(first_lo, F.timestamp_add("MINUTE", F.lit(-1), F.col("time")), one))
+        gaps = F.concat(F.coalesce(gap_before, F.array().cast("array<timestamp_ntz>")), gaps)
+    filled = counts.select(*keys, "time", F.col("n").cast("long").alias("n"), gaps.alias("_gaps"))
+    own = F.array(F.struct(F.col("time").alias("time"), F.col("n").alias("n")))
+    empty = F.transform("_gaps", lambda g: F.struct(g.alias("time"), F.lit(0).cast("long").alias("n")))
+    return filled.select(*keys, F.inline(F.concat(own, empty)))
 
 
 # ---------------------------------------------------------------- reports
