@@ -639,7 +639,7 @@ def q_stream_upsert(spark, d):
     ST.upsert(spark, L.filter(F.col("_p") % 2 == 0), store, UPSERT_KEYS, UPSERT_ORDER)
     # all copies of an id sit in one file, so one micro-batch sees them together
     L.filter(F.col("_p") % 2 == 1).repartition(4, "symbol", "agg_trade_id").write.parquet(src)
-    stream = SB.read_trade_stream(spark, src, L.schema, max_files=1)
+    stream = SB.read_trade_stream(spark, src, L.schema, max_files=2)
     SB.upsert_stream(stream, store, UPSERT_KEYS, ck, UPSERT_ORDER)
     return ST.read_table(spark, store)
 

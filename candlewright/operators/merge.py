@@ -98,8 +98,8 @@ def sort_for_store(df: DataFrame, partition_cols: Sequence[str] = ("symbol", "ye
 
     Range partitioning on ``(partition columns, time)`` spreads one hot
     (symbol, year) over many tasks, each writing a file that covers a narrow
-    time range (tight min/max statistics for row-group pruning). Ties in
-    ``time`` are ordered by id.
+    time range (tight min/max statistics for pruning); the price is one
+    sampling pass over the input. Ties in ``time`` are ordered by id.
     """
     present = [c for c in order if c in df.columns]
     return (df.repartitionByRange(*partition_cols, *present[:1])
