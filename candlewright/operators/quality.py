@@ -74,12 +74,22 @@ def id_gaps(trades: DataFrame, keys: Sequence[str] = ("symbol", "year"),
 
 def id_check_with_gaps(trades: DataFrame, keys: Sequence[str] = ("symbol", "year"),
                        bucket: int = DEFAULT_ID_BUCKET) -> DataFrame:
-    """A7 joined with the W2 totals: ``gap_ranges`` and ``missing_ids``."""
+    """A7 with the W2 totals: ``gap_ranges`` and ``missing_ids``.
+
+    The two keyed aggregates are merged by a union and one more group-by on
+    the keys (one row per key on each side), not by a join.
+    """
     spans = id_span_check(trades, keys)
     totals = id_gaps(trades, keys, bucket).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("gap_ranges"), F.sum("missing").alias("missing_ids"))
-    return (spans.join(totals, list(keys), "left")
-            .fillna(0, ["gap_ranges", "missing_ids"]))
+    span_cols = ["count", "start_id", "end_id", "gap_count", "note"]
+    both = (spans.select(*keys, *span_cols, F.lit(None).cast("long").alias("gap_ranges"),
+                         F.lit(None).cast("long").alias("missing_ids"))
+            .unionByName(totals.select(*keys, *[F.lit(None).cast(spans.schema[c].dataType).alias(c)
+                                                for c in span_cols], "gap_ranges", "missing_ids")))
+    return (both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in span_cols],
+                                    F.coalesce(F.max("gap_ranges"), F.lit(0)).cast("long").alias("gap_ranges"),
+                                    F.coalesce(F.max("missing_ids"), F.lit(0)).cast("long").alias("missing_ids")))
 
 
 def cross_year_continuity(spans: DataFrame, keys: Sequence[str] = ("symbol",),
