@@ -57,23 +57,53 @@ def stale_partitions(trades: DataFrame, bars: DataFrame | None,
     return out.withColumn("stale", stale)
 
 
-def refresh(spark: SparkSession, new_trades: DataFrame, root: str,
-            intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
-            keys: Sequence[str] = ("symbol", "year", "agg_trade_id"),
-            order: Sequence = (), zero_qty: str = "nan", decimals: int | None = None) -> DataFrame:
-    """Upsert trades, find stale (symbol, year), rebuild their bars.
-
-    Returns the bar table after the refresh.
-    """
-    trades_path = os.path.join(root, "aggTrades")
-    bars_path = os.path.join(root, "klines")
-    stored = upsert(spark, new_trades, trades_path, keys, order)
+def rebuild_stale_bars(spark: SparkSession, trades: DataFrame, bars_path: str,
+                       intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
+                       zero_qty: str = "nan", decimals: int | None = None) -> DataFrame:
+    """Re-aggregate bars only for stale (symbol, year) pairs of ``trades`` and
+    overwrite those bar partitions; returns the bar table."""
     bars = read_table(spark, bars_path) if table_exists(spark, bars_path) else None
-    stale = stale_partitions(stored, bars, intervals, force).filter("stale").select("symbol", "year")
-    todo = stored.join(stale, ["symbol", "year"], "left_semi")
+    stale = stale_partitions(trades, bars, intervals, force).filter("stale").select("symbol", "year")
+    todo = trades.join(stale, ["symbol", "year"], "left_semi")
     fresh = (klines_all_intervals(todo, intervals, zero_qty=zero_qty, decimals=decimals)
              .withColumn("year", F.year("time")))
     fresh = fresh.checkpoint(eager=True)
     if not fresh.isEmpty():
         write_table(fresh, bars_path, BAR_PARTITIONS, order=("time",))
     return read_table(spark, bars_path)
+
+
+def refresh(spark: SparkSession, new_trades: DataFrame, root: str,
+            intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
+            keys: Sequence[str] = ("symbol", "year", "agg_trade_id"),
+            order: Sequence = (), zero_qty: str = "nan", decimals: int | None = None) -> DataFrame:
+    """G9 for one trade store: upsert trades, then rebuild stale bars.
+
+    Returns the bar table after the refresh.
+    """
+    stored = upsert(spark, new_trades, os.path.join(root, "aggTrades"), keys, order)
+    return rebuild_stale_bars(spark, stored, os.path.join(root, "klines"), intervals, force,
+                              zero_qty, decimals)
+
+
+def full_refresh(spark: SparkSession, landings: dict, store_root: str, start_date: str | None = None,
+                 intervals: Sequence[str] = BASE_INTERVALS) -> dict:
+    """The whole refresh for a set of landing folders.
+
+    ``landings`` maps ``(market, data_type)`` to an archive folder. Each is
+    converted into ``{store_root}/{market}/{data_type}``; every trade store
+    then gets its stale bar partitions rebuilt under
+    ``{store_root}/{market}/klines``. The loop runs over datasets (a handful),
+    never over data. Returns ``{(market, data_type): (table, quarantine)}``
+    plus ``{(market, "klines"): bars}``.
+    """
+    from candlewright.plans.ingest import ingest_archives
+    out = {}
+    for (market, data_type), landing in landings.items():
+        store = os.path.join(store_root, market, data_type)
+        out[(market, data_type)] = ingest_archives(spark, landing, store, data_type, market, start_date)
+    for (market, data_type), (table, _) in list(out.items()):
+        if data_type in ("aggTrades", "trades"):
+            out[(market, "klines")] = rebuild_stale_bars(
+                spark, table, os.path.join(store_root, market, "klines"), intervals)
+    return out

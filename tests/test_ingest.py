@@ -79,3 +79,34 @@ def test_validity_and_plan_rejects_bad_pairs(spark):
     starts = spark.createDataFrame([("X", None)], "symbol string, start_date date")
     with pytest.raises(InvalidRequest):
         archive_plan(starts, ["fundingRate"], "2024-01-01", market="spot")
+
+
+def test_ingest_pipeline_metrics_newest_wins_and_full_refresh(spark):
+    from candlewright.plans.ingest import ingest_archives
+    from candlewright.plans.refresh import full_refresh
+    from candlewright.session import shared_dir
+    hdr = ("create_time,symbol,sum_open_interest,sum_open_interest_value,count_toptrader_long_short_ratio,"
+           "sum_toptrader_long_short_ratio,count_long_short_ratio,sum_taker_long_short_vol_ratio\n")
+    land = tempfile.mkdtemp(prefix="cw-land-")
+    _zip(land, "BTCUSDT-metrics-2025-01-01.zip", hdr + "2025-01-01 00:05:00,BTCUSDT,1,1,1,1,1,1\n")
+    store = shared_dir(spark, "t-metrics")
+    ingest_archives(spark, land, store, "metrics", "future")
+    # a re-published archive for the same day replaces the stored row (key: symbol, year, time)
+    land2 = tempfile.mkdtemp(prefix="cw-land-")
+    _zip(land2, "BTCUSDT-metrics-2025-01-01.zip", hdr + "2025-01-01 00:05:00,BTCUSDT,9,9,9,9,9,9\n")
+    table, bad = ingest_archives(spark, land2, store, "metrics", "future")
+    rows = table.collect()
+    assert len(rows) == 1 and rows[0].sum_open_interest == 9.0 and bad.count() == 0
+
+    trades = tempfile.mkdtemp(prefix="cw-land-")
+    _zip(trades, "BTCUSDT-aggTrades-2024-01-01.zip",
+         "1,10.0,1,1,1,1704067200000,false\n2,12.0,2,2,2,1704067260000,true\n")
+    funding = tempfile.mkdtemp(prefix="cw-land-")
+    _zip(funding, "BTCUSDT-fundingRate-2024-01.zip",
+         "calc_time,funding_interval_hours,last_funding_rate\n1704067200000,8,0.0001\n")
+    out = full_refresh(spark, {("future", "aggTrades"): trades, ("future", "fundingRate"): funding},
+                       shared_dir(spark, "t-full"), intervals=("1m", "1h"))
+    bars = {(r.interval, r.time.minute): r for r in out[("future", "klines")].collect()}
+    assert bars[("1h", 0)].open == 10.0 and bars[("1h", 0)].close == 12.0 and bars[("1h", 0)].qty == 3.0
+    assert len(bars) == 3
+    assert out[("future", "fundingRate")][0].collect()[0].symbol == "BTCUSDT"
