@@ -82,14 +82,15 @@ def id_check_with_gaps(trades: DataFrame, keys: Sequence[str] = ("symbol", "year
     spans = id_span_check(trades, keys)
     totals = id_gaps(trades, keys, bucket).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("gap_ranges"), F.sum("missing").alias("missing_ids"))
-    span_cols = ["count", "start_id", "end_id", "gap_count", "note"]
+    span_cols = ["count", "start_id", "end_id", "gap_count"]
     both = (spans.select(*keys, *span_cols, F.lit(None).cast("long").alias("gap_ranges"),
                          F.lit(None).cast("long").alias("missing_ids"))
             .unionByName(totals.select(*keys, *[F.lit(None).cast(spans.schema[c].dataType).alias(c)
                                                 for c in span_cols], "gap_ranges", "missing_ids")))
     return (both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in span_cols],
                                     F.coalesce(F.max("gap_ranges"), F.lit(0)).cast("long").alias("gap_ranges"),
-                                    F.coalesce(F.max("missing_ids"), F.lit(0)).cast("long").alias("missing_ids")))
+                                    F.coalesce(F.max("missing_ids"), F.lit(0)).cast("long").alias("missing_ids"))
+            .withColumn("note", F.lit("")))
 
 
 def cross_year_continuity(spans: DataFrame, keys: Sequence[str] = ("symbol",),

@@ -52,38 +52,42 @@ def archive_plan(starts: DataFrame, data_types: Sequence[str], cutoff, market: s
     ``present`` lists file names already in the landing folder;
     ``unavailable`` lists monthly names known to be missing upstream, whose
     days then fall back to daily archives.
+
+    One branch: each (symbol, type) row generates its complete months and
+    its uncovered days in one array (a day is covered exactly when its month
+    is complete before the cutoff), so ``starts`` is read once.
     """
     cut = F.to_date(F.lit(cutoff)) if isinstance(cutoff, str) else cutoff
     bad = [t for t in data_types if (market, t) not in VALID_MARKET_TYPES]
     if bad:
         raise InvalidRequest(f"{bad} not available on {market}")
-    plans = []
-    for dt in data_types:
-        has_monthly, has_daily = ARCHIVE_GRANULARITY[dt]
-        base = starts.select("symbol", "start_date", F.lit(dt).alias("data_type"))
-        months = None
-        if has_monthly:
-            months = (base.select("symbol", "data_type", F.explode(month_starts("start_date", cut)).alias("date"))
-                      .filter(month_complete("date", cut))
-                      .withColumn("file_name", N.monthly_archive_name(
-                          "symbol", "data_type", F.year("date"), F.month("date")))
-                      .withColumn("daily", F.lit(False)))
-            if unavailable is not None:
-                months = months.join(unavailable.select("file_name"), "file_name", "left_anti")
-            plans.append(months)
-        if has_daily:
-            days = base.select("symbol", "data_type",
-                               F.explode(days_between("start_date", F.date_sub(cut, 1))).alias("date"))
-            if months is not None:
-                covered = months.select("symbol", F.trunc("date", "MM").alias("_m"))
-                days = (days.withColumn("_m", F.trunc("date", "MM"))
-                        .join(covered, ["symbol", "_m"], "left_anti").drop("_m"))
-            days = (days.withColumn("file_name", N.daily_archive_name("symbol", "data_type", "date"))
-                    .withColumn("daily", F.lit(True)))
-            plans.append(days)
-    plan = plans[0]
-    for p in plans[1:]:
-        plan = plan.unionByName(p)
+    types = F.array(*[F.struct(F.lit(t).alias("data_type"),
+                               F.lit(ARCHIVE_GRANULARITY[t][0]).alias("_has_m"),
+                               F.lit(ARCHIVE_GRANULARITY[t][1]).alias("_has_d")) for t in data_types])
+    base = starts.select("symbol", "start_date", F.inline(types))
+    months = F.filter(month_starts("start_date", cut), lambda m: month_complete(m, cut))
+    days = days_between("start_date", F.date_sub(cut, 1))
+    monthly = F.when(F.col("_has_m"), F.transform(months, lambda m: F.struct(m.alias("date"), F.lit(False).alias("daily"))))
+    daily = F.when(F.col("_has_d"), F.transform(
+        F.filter(days, lambda d: ~(F.col("_has_m") & month_complete(d, cut))),
+        lambda d: F.struct(d.alias("date"), F.lit(True).alias("daily"))))
+    empty = F.array().cast("array<struct<date:date,daily:boolean>>")
+    plan = base.select("symbol", "data_type", "_has_m",
+                       F.inline(F.concat(F.coalesce(monthly, empty), F.coalesce(daily, empty))))
+    plan = plan.withColumn("file_name", F.when(
+        F.col("daily"), N.daily_archive_name("symbol", "data_type", "date"))
+        .otherwise(N.monthly_archive_name("symbol", "data_type", F.year("date"), F.month("date"))))
+    if unavailable is not None:
+        # a missing monthly archive is dropped and its month falls back to daily archives
+        gone = unavailable.select(F.col("file_name").alias("_gone"))
+        plan = plan.join(gone, plan.file_name == gone._gone, "left_anti")
+        fallback = (base.filter(F.col("_has_m") & F.col("_has_d"))
+                    .select("symbol", "data_type", F.explode(days).alias("date"))
+                    .withColumn("_m", N.monthly_archive_name("symbol", "data_type", F.year("date"), F.month("date")))
+                    .join(gone, F.col("_m") == gone._gone, "left_semi")
+                    .select("symbol", "data_type", "date", F.lit(True).alias("daily"),
+                            N.daily_archive_name("symbol", "data_type", "date").alias("file_name")))
+        plan = plan.select("symbol", "data_type", "date", "daily", "file_name").unionByName(fallback)
     if present is not None:
         plan = plan.join(present.select("file_name"), "file_name", "left_anti")
     return plan.select(

@@ -59,13 +59,15 @@ def stale_partitions(trades: DataFrame, bars: DataFrame | None,
 
 def rebuild_stale_bars(spark: SparkSession, trades: DataFrame, bars_path: str,
                        intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
-                       zero_qty: str = "nan", decimals: int | None = None) -> DataFrame:
+                       zero_qty: str = "nan", decimals: int | None = None,
+                       exact: bool = True) -> DataFrame:
     """Re-aggregate bars only for stale (symbol, year) pairs of ``trades`` and
-    overwrite those bar partitions; returns the bar table."""
+    overwrite those bar partitions; returns the bar table. ``exact=False``
+    builds them with the cascade (ticks aggregated once)."""
     bars = read_table(spark, bars_path) if table_exists(spark, bars_path) else None
     stale = stale_partitions(trades, bars, intervals, force).filter("stale").select("symbol", "year")
     todo = trades.join(stale, ["symbol", "year"], "left_semi")
-    fresh = (klines_all_intervals(todo, intervals, zero_qty=zero_qty, decimals=decimals)
+    fresh = (klines_all_intervals(todo, intervals, zero_qty=zero_qty, decimals=decimals, exact=exact)
              .withColumn("year", F.year("time")))
     fresh = fresh.checkpoint(eager=True)
     if not fresh.isEmpty():

@@ -199,10 +199,12 @@ def ingest(spark: SparkSession, path: str, data_type: str = "aggTrades", market:
         staged = shared_dir(spark, "ingest_stage")
         flagged.write.parquet(staged)
         flagged = spark.read.parquet(staged)
-    reason = F.first(F.col("error"), ignorenulls=True)
-    bad_archives = (flagged.filter("_bad").groupBy("archive")
-                    .agg(F.count(F.lit(1)).alias("bad_rows"),
-                         F.coalesce(reason, F.lit("parse error")).alias("error")))
+    # an unreadable archive yields exactly one error row; keep the text out of
+    # the aggregate (string buffers would force a sort-based aggregate)
+    errors = flagged.filter(F.col("error").isNotNull()).select("archive", "error")
+    bad_archives = (flagged.filter("_bad").groupBy("archive").agg(F.count(F.lit(1)).alias("bad_rows"))
+                    .join(errors, "archive", "left")
+                    .withColumn("error", F.coalesce("error", F.lit("parse error"))))
     good = (flagged.join(bad_archives.select("archive"), "archive", "left_anti")
             .drop("_bad", "error"))
     return good, bad_archives

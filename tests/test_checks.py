@@ -111,3 +111,20 @@ def test_missing_ids_equal_span_minus_distinct(spark):
     df = spark.createDataFrame([("X", 2024, i) for i in ids], "symbol string, year int, agg_trade_id long")
     missing = id_gaps(df, bucket=4).agg(F.sum("missing")).first()[0]
     assert missing == (max(ids) - min(ids) + 1) - len(set(ids))
+
+
+def test_archive_plan_months_days_and_unavailable_fallback(spark):
+    from candlewright.plans.archive_plan import archive_plan
+    starts = spark.createDataFrame([("BTCUSDT", dt.date(2024, 1, 30))], "symbol string, start_date date")
+    plan = archive_plan(starts, ["aggTrades", "metrics"], "2024-03-03")
+    names = sorted(r.file_name for r in plan.collect())
+    # monthly Jan, Feb (complete before the cutoff); daily only for March days; metrics daily only
+    assert "BTCUSDT-aggTrades-2024-01.zip" in names and "BTCUSDT-aggTrades-2024-02.zip" in names
+    assert [n for n in names if n.startswith("BTCUSDT-aggTrades-2024-03")] == [
+        "BTCUSDT-aggTrades-2024-03-01.zip", "BTCUSDT-aggTrades-2024-03-02.zip"]
+    assert len([n for n in names if "metrics" in n]) == 33  # Jan 30 .. Mar 2
+    gone = spark.createDataFrame([("BTCUSDT-aggTrades-2024-02.zip",)], "file_name string")
+    plan2 = archive_plan(starts, ["aggTrades"], "2024-03-03", unavailable=gone)
+    names2 = sorted(r.file_name for r in plan2.collect())
+    assert "BTCUSDT-aggTrades-2024-02.zip" not in names2
+    assert len([n for n in names2 if n.startswith("BTCUSDT-aggTrades-2024-02-")]) == 29
