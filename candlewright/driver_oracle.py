@@ -310,9 +310,11 @@ FROM ({tbars(('1h',))}) b {_SMA_WINDOWS}""",
     FROM ({tbars(('1h',))}) b WHERE time <= TIMESTAMP '2024-01-15 12:00:00') x WHERE rn <= 158),
 s AS (SELECT symbol, interval, time, open, high, low, close, rn, {_sma_cols()} FROM w {_SMA_WINDOWS})
 SELECT symbol, interval, time, open, high, low, close, SMA7, SMA25, SMA99 FROM s WHERE rn <= 60""",
-    "symbol_split": f"""WITH s AS ({_NATION_SYMBOLS}),
-s2 AS (SELECT symbol FROM s UNION ALL
-       SELECT (['BTC', 'ETHFDUSD', 'USDT'])[n_nationkey + 1] FROM nation WHERE n_nationkey < 3),
+    "symbol_split": f"""WITH s2 AS (
+  SELECT CASE WHEN c_custkey < 3 THEN (['BTC', 'ETHFDUSD', 'USDT'])[c_custkey + 1]
+              ELSE upper(regexp_replace(c_name, '[^A-Za-z0-9]', '', 'g'))
+                   || (['USDT', 'FDUSD', 'BTC', 'XYZ', ''])[c_custkey % 5 + 1] END AS symbol
+  FROM customer),
 q AS (SELECT symbol, regexp_extract(symbol, '{_QUOTE_RE}', 2) AS quote FROM s2)
 SELECT symbol, CASE WHEN quote = '' THEN symbol ELSE regexp_extract(symbol, '{_QUOTE_RE}', 1) END AS base, quote
 FROM q""",

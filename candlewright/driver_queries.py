@@ -242,13 +242,21 @@ def nation_symbols(spark, d):
                     .alias("symbol"), "n_nationkey")
 
 
+def customer_symbols(spark, d):
+    """One symbol per customer: its name without punctuation plus a quote asset
+    (or none, or an unknown one) chosen by key; keys 0-2 give bare edge cases."""
+    quotes = F.array(*[F.lit(q) for q in ("USDT", "FDUSD", "BTC", "XYZ", "")])
+    edge = F.array(F.lit("BTC"), F.lit("ETHFDUSD"), F.lit("USDT"))
+    c = table(spark, d, "customer")
+    name = F.concat(F.upper(F.regexp_replace("c_name", "[^A-Za-z0-9]", "")),
+                    F.element_at(quotes, (F.col("c_custkey") % 5 + 1).cast("int")))
+    return c.select(F.when(F.col("c_custkey") < 3, F.element_at(edge, (F.col("c_custkey") + 1).cast("int")))
+                    .otherwise(name).alias("symbol"))
+
+
 def q_symbol_split(spark, d):
-    s = nation_symbols(spark, d)
-    s = s.unionByName(s.filter(F.col("n_nationkey") < 3).select(
-        F.element_at(F.array(F.lit("BTC"), F.lit("ETHFDUSD"), F.lit("USDT")),
-                     (F.col("n_nationkey") + 1).cast("int")).alias("symbol"), "n_nationkey"))
     base, quote = N.split_symbol("symbol")
-    return s.select("symbol", base.alias("base"), quote.alias("quote"))
+    return customer_symbols(spark, d).select("symbol", base.alias("base"), quote.alias("quote"))
 
 
 def nation_months(spark, d):
