@@ -92,9 +92,10 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
         touched = new.select(*partition_cols).distinct()
         stored = stored.join(touched, list(partition_cols), "left_semi")
         merged = merge_keep_last(stored.select(*new.columns), new, keys, order)
+        # the write replaces files the merge reads: make the merge durable first
+        merged = merged.checkpoint(eager=True)
     else:
         merged = dedup_keep_last(new, keys, order) if order else dedup_keep_last(new, keys, keys)
-    merged = merged.checkpoint(eager=True)
     write_table(merged, path, partition_cols)
     return read_table(spark, path)
 
