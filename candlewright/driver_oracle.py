@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from candlewright.fixtures import L_SQL, T_SQL
+from candlewright.fixtures import L_SQL, O_SQL, T_SQL
 from candlewright.schemas import BASE_INTERVALS, INTERVAL_SECONDS
 
 EPOCH = "TIMESTAMP '1970-01-01 00:00:00'"
@@ -78,9 +78,8 @@ ORACLE = {
 }
 
 
-# ---------------------------------------------------------------- batch 2
+# ---------------------------------------------------------------- coverage, checks, compare, analytics, names
 
-from candlewright.fixtures import O_SQL  # noqa: E402
 
 _SECS_CASE = "CASE interval " + " ".join(
     f"WHEN '{k}' THEN {v}" for k, v in INTERVAL_SECONDS.items()) + " END"
@@ -340,9 +339,8 @@ WHERE NOT starts_with(symbol, '_')""",
 })
 
 
-# ---------------------------------------------------------------- batch 3
+# ---------------------------------------------------------------- normalisation, store, planning
 
-from candlewright.fixtures import L_SQL as _L  # noqa: E402,F401
 
 _T_US = f"SELECT *, epoch_us(time) AS ts FROM ({T_SQL}) t0"
 
@@ -482,7 +480,7 @@ FROM ({_T_DAILY_BARS}) b WHERE time BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND
 })
 
 
-# ---------------------------------------------------------------- batch 4
+# ---------------------------------------------------------------- sources and streams
 
 ORACLE.update({
     "zip_ingest": f"""SELECT symbol, agg_trade_id,
@@ -502,7 +500,7 @@ FROM (SELECT DISTINCT symbol FROM ({T_SQL}) t) s""",
 })
 
 
-# ---------------------------------------------------------------- batch 5
+# ---------------------------------------------------------------- file names, interval support
 
 ORACLE.update({
     "bar_file_names": f"""WITH c AS (SELECT symbol, interval, CAST(year(time) AS INTEGER) AS year,

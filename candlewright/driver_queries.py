@@ -11,9 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewright.fixtures import trades_L, trades_T
+from candlewright.fixtures import table, trades_L, trades_O, trades_T
+from candlewright.functions import names as N
+from candlewright.functions.timecols import day_bounds, ntz_to_micros, ntz_to_millis, parse_datetime
 from candlewright.operators.bars import cascade, klines, klines_all_intervals
 from candlewright.operators.merge import dedup_keep_last
+from candlewright.operators import analytics as AN
+from candlewright.operators import compare as CMP
+from candlewright.operators import coverage as COV
+from candlewright.operators import merge as M
+from candlewright.operators import normalize as NZ
+from candlewright.operators import quality as QC
+from candlewright.plans import archive_plan as AP
+from candlewright.plans import refresh as RF
+from candlewright.session import shared_dir
+from candlewright.sources import archives as AR
+from candlewright.sources import payload as PL
+from candlewright.sources import store as ST
+from candlewright.streaming import bars as SB
 
 
 def r6(df: DataFrame) -> DataFrame:
@@ -69,13 +84,6 @@ QUERIES = {
 
 # ---------------------------------------------------------------- coverage
 
-from candlewright.fixtures import table, trades_O  # noqa: E402
-from candlewright.functions import names as N  # noqa: E402
-from candlewright.functions.timecols import ntz_to_micros  # noqa: E402
-from candlewright.operators import analytics as AN  # noqa: E402
-from candlewright.operators import compare as CMP  # noqa: E402
-from candlewright.operators import coverage as COV  # noqa: E402
-from candlewright.operators import quality as QC  # noqa: E402
 
 TAIL_END = "2024-01-15 12:00:00"
 NO_DATA_SYMBOL = "NODATA"
@@ -325,13 +333,6 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- normalisation
 
-from candlewright.functions.timecols import ntz_to_millis, parse_datetime, day_bounds  # noqa: E402
-from candlewright.operators import merge as M  # noqa: E402
-from candlewright.operators import normalize as NZ  # noqa: E402
-from candlewright.plans import archive_plan as AP  # noqa: E402
-from candlewright.plans import refresh as RF  # noqa: E402
-from candlewright.session import shared_dir  # noqa: E402
-from candlewright.sources import store as ST  # noqa: E402
 
 
 def q_epoch_normalize(spark, d):
@@ -546,9 +547,6 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- sources and streams
 
-from candlewright.sources import archives as AR  # noqa: E402
-from candlewright.sources import payload as PL  # noqa: E402
-from candlewright.streaming import bars as SB  # noqa: E402
 
 
 def _write_broken_archives(symbols: DataFrame, root: str) -> DataFrame:
