@@ -6,8 +6,9 @@ Scale notes:
   first made distinct (a hash aggregate: a hot id's copies collapse map-side),
   then cut into fixed-width id buckets; ``lead`` runs inside each bucket and
   the bucket seams are checked on a per-bucket min/max table that is tiny.
-* Expected-bar grids are generated in two levels (days, then bars inside a
-  day) so no task materialises a year of one-second slots.
+* Missing bars are found as gaps in the slot-number sequence (like id gaps),
+  so only missing slots are generated; the full expected grid (G7) is only
+  built by :func:`expected_bar_grid`, in two levels (days, then slots).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewright.functions.timecols import floor_time
+from candlewright.functions.timecols import floor_time, micros_to_ntz, ntz_to_micros
 from candlewright.schemas import INTERVAL_SECONDS
 
 DEFAULT_ID_BUCKET = 1 << 22
@@ -159,10 +160,62 @@ def expected_bar_grid(bars: DataFrame, keys: Sequence[str] = ("symbol",)) -> Dat
         "SECOND", F.col("_k") * F.col("_s"), F.col("_day").cast("timestamp_ntz")).alias("time"))
 
 
-def missing_bars(bars: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Expected slots with no bar (empty windows produce no bar)."""
-    grid = expected_bar_grid(bars, keys)
-    return grid.join(bars.select(*keys, "interval", "time"), [*keys, "interval", "time"], "left_anti")
+def missing_bars(bars: DataFrame, keys: Sequence[str] = ("symbol",),
+                 slot_bucket: int = 1 << 17, expand_chunk: int = 1 << 16) -> DataFrame:
+    """Expected bar slots with no bar (empty windows produce no bar).
+
+    The expected range of a (keys, interval, year) series runs from Jan 1 to
+    the end of the last bar's day (as in :func:`bar_expected_counts`). Missing
+    bars are the gaps in the sequence of slot numbers ``time / width``:
+
+    * gaps inside a slot bucket come from ``lead`` per (series, bucket);
+    * gaps across buckets and the two edges come from one small window over
+      per-bucket bounds (one row per bucket);
+    * only the missing slots are generated, in chunks spread over tasks.
+
+    Work is proportional to bars + missing bars, not to the full grid (a year
+    of 1s slots is 31.5M per series), and no task holds a whole series.
+    """
+    series = [*keys, "interval", "year"]
+    width = interval_seconds_col(F.col("interval")).cast("long") * F.lit(1_000_000)
+    b = (bars.select(*keys, "interval", "time", F.year("time").alias("year"))
+         .withColumn("_w", width)
+         .withColumn("_s", F.floor(ntz_to_micros("time") / F.col("_w")).cast("long"))
+         .withColumn("_b", F.floor(F.col("_s") / F.lit(slot_bucket))))
+    inside = (b.withColumn("_n", F.lead("_s").over(Window.partitionBy(*series, "_b").orderBy("_s")))
+              .filter(F.col("_n") - F.col("_s") > 1)
+              .select(*series, "_w", (F.col("_s") + 1).alias("_lo"), (F.col("_n") - 1).alias("_hi")))
+    bb = b.groupBy(*series, "_b").agg(F.first("_w").alias("_w"), F.min("_s").alias("_min"),
+                                      F.max("_s").alias("_max"), F.max("time").alias("_t"))
+    w_all = Window.partitionBy(*series)
+    w_ord = w_all.orderBy("_b")
+    year_start = ntz_to_micros(F.make_date("year", F.lit(1), F.lit(1)).cast("timestamp_ntz"))
+    day_end = ntz_to_micros(F.date_add(F.max("_t").over(w_all).cast("date"), 1).cast("timestamp_ntz"))
+    edges = bb.select(
+        *series, "_w", "_min", "_max",
+        F.lead("_min").over(w_ord).alias("_next"),
+        (F.col("_min") == F.min("_min").over(w_all)).alias("_first"),
+        (F.col("_max") == F.max("_max").over(w_all)).alias("_last"),
+        F.floor(year_start / F.col("_w")).cast("long").alias("_y0"),
+        (F.floor(day_end / F.col("_w")).cast("long") - 1).alias("_y1"))
+    ranges = F.array(
+        F.when(F.col("_next") - F.col("_max") > 1,
+               F.struct((F.col("_max") + 1).alias("_lo"), (F.col("_next") - 1).alias("_hi"))),
+        F.when(F.col("_first") & (F.col("_min") > F.col("_y0")),
+               F.struct(F.col("_y0").alias("_lo"), (F.col("_min") - 1).alias("_hi"))),
+        F.when(F.col("_last") & (F.col("_max") < F.col("_y1")),
+               F.struct((F.col("_max") + 1).alias("_lo"), F.col("_y1").alias("_hi"))))
+    outer = (edges.select(*series, "_w", F.explode(F.filter(ranges, lambda r: r.isNotNull())).alias("_r"))
+             .select(*series, "_w", "_r._lo", "_r._hi"))
+    gaps = inside.unionByName(outer)
+    # expand ranges chunk by chunk so a long gap is generated by many tasks
+    c = F.lit(expand_chunk)
+    chunks = (gaps.select(*series, "_w", "_lo", "_hi", F.explode(F.sequence(
+                  F.floor(F.col("_lo") / c), F.floor(F.col("_hi") / c))).alias("_c"))
+              .repartition(*series, "_c"))
+    slots = chunks.select(*series, "_w", F.explode(F.sequence(
+        F.greatest(F.col("_lo"), F.col("_c") * c), F.least(F.col("_hi"), F.col("_c") * c + c - 1))).alias("_s"))
+    return slots.select(*keys, "interval", micros_to_ntz(F.col("_s") * F.col("_w")).alias("time"))
 
 
 def trades_per_minute(trades: DataFrame, keys: Sequence[str] = ("symbol",),

@@ -91,3 +91,15 @@ def test_leap_year_expected_counts(spark):
     bars = klines_all_intervals(df, ("1d",))
     r = bar_expected_counts(bars).collect()[0]
     assert (r.expected, r.suffix, r["count"]) == (366, "2024", 2)
+
+
+def test_missing_bars_equals_grid_minus_bars_with_tiny_buckets(spark):
+    from candlewright.operators.quality import expected_bar_grid
+    rows = [(i, f"2024-03-0{1 + (i * 7) % 3} {(i * 5) % 24:02d}:{(i * 13) % 60:02d}:00", 1.0, 1.0, False)
+            for i in range(200)]
+    bars = klines_all_intervals(trades(spark, rows), ("1m", "15m", "1h"))
+    want = expected_bar_grid(bars).join(bars.select("symbol", "interval", "time"),
+                                        ["symbol", "interval", "time"], "left_anti")
+    got = missing_bars(bars, slot_bucket=7, expand_chunk=5)
+    key = lambda r: (r.interval, r.time)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
