@@ -49,8 +49,11 @@ def bars_to_payload(bars: DataFrame, keys: Sequence[str] = ("symbol", "interval"
 
 
 def symbol_list(spark: SparkSession, json_path: str | None = None,
-                literals: Sequence[str] = ()) -> DataFrame:
-    """Symbols from a JSON array file and/or literals, de-duplicated."""
+                literals: Sequence[str] = (), require_nonempty: bool = False) -> DataFrame:
+    """Symbols from a JSON array file and/or literals, de-duplicated.
+
+    ``require_nonempty`` raises when the union is empty (one tiny action).
+    """
     frames = []
     if json_path:
         text = spark.read.text(json_path, wholetext=True)
@@ -62,4 +65,7 @@ def symbol_list(spark: SparkSession, json_path: str | None = None,
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out.select(F.trim("symbol").alias("symbol")).filter(F.col("symbol") != "").distinct()
+    out = out.select(F.trim("symbol").alias("symbol")).filter(F.col("symbol") != "").distinct()
+    if require_nonempty and out.isEmpty():
+        raise ValueError("the symbol list is empty")
+    return out

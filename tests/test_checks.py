@@ -128,3 +128,20 @@ def test_archive_plan_months_days_and_unavailable_fallback(spark):
     names2 = sorted(r.file_name for r in plan2.collect())
     assert "BTCUSDT-aggTrades-2024-02.zip" not in names2
     assert len([n for n in names2 if n.startswith("BTCUSDT-aggTrades-2024-02-")]) == 29
+
+
+def test_symbol_list_and_missing_id_column(spark):
+    import pytest
+    from candlewright.sources.payload import symbol_list
+    d = __import__("tempfile").mkdtemp(prefix="cw-sym-")
+    with open(d + "/s.json", "w") as f:
+        f.write('["BTCUSDT", " ETHUSDT", "BTCUSDT"]')
+    got = sorted(r.symbol for r in symbol_list(spark, d + "/s.json", ["SOLUSDT"]).collect())
+    assert got == ["BTCUSDT", "ETHUSDT", "SOLUSDT"]
+    with open(d + "/e.json", "w") as f:
+        f.write("[]")
+    with pytest.raises(ValueError):
+        symbol_list(spark, d + "/e.json", require_nonempty=True)
+    no_ids = spark.createDataFrame([("X", 2024)], "symbol string, year int")
+    r = id_span_check(no_ids).collect()[0]
+    assert r.note == "no agg_trade_id column" and r.start_id is None
