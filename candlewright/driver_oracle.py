@@ -522,3 +522,5 @@ GROUP BY symbol, market, interval""",
 ORACLE["ingest_pipeline"] = f"""SELECT symbol, CAST(year(time) AS INTEGER) AS year, agg_trade_id, time, price, quantity,
   agg_trade_id AS first_trade_id, agg_trade_id AS last_trade_id, is_buyer_maker, false AS is_best_match, ts
 FROM ({_T_US}) t WHERE time >= TIMESTAMP '2024-01-03 00:00:00'"""
+
+ORACLE["id_span_footers"] = _spans(T_SQL)

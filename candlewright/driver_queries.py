@@ -709,3 +709,13 @@ def q_ingest_pipeline(spark, d):
 
 
 QUERIES["ingest_pipeline"] = q_ingest_pipeline
+
+
+def q_id_span_footers(spark, d):
+    """A7 from Parquet footers: T stored by (symbol, year), spans without reading ids."""
+    path = shared_dir(spark, "footers")
+    ST.write_table(trades_T(spark, d), path)
+    return QC.id_span_check_stored(spark, path)
+
+
+QUERIES["id_span_footers"] = q_id_span_footers
