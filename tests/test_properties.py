@@ -51,3 +51,29 @@ def test_bars_match_brute_force(spark, trades, width):
         assert math.isclose(r.qty, q) and math.isclose(r.buyer_qty, b) and math.isclose(r.seller_qty, s)
         if q == 0:
             assert math.isnan(r.avg_price)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(min_value=0, max_value=300), min_size=1, max_size=60),
+       st.integers(min_value=1, max_value=50))
+def test_id_gaps_match_brute_force(spark, ids, bucket):
+    from candlewright.operators.quality import id_gaps
+    df = spark.createDataFrame([("X", 2024, i) for i in ids], "symbol string, year int, agg_trade_id long")
+    u = sorted(set(ids))
+    want = sorted((a, b, b - a - 1) for a, b in zip(u, u[1:]) if b - a > 1)
+    got = sorted(tuple(r) for r in id_gaps(df, bucket=bucket).select("prev_id", "next_id", "missing").collect())
+    assert got == want
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(trade, min_size=1, max_size=40))
+def test_cascade_from_1s_equals_exact(spark, trades):
+    from candlewright.operators.bars import cascade, klines_all_intervals
+    rows = [(i, T0 + dt.timedelta(seconds=s, microseconds=us), p / 100.0, float(q), mk)
+            for i, (s, us, p, q, mk) in enumerate(trades)]
+    df = spark.createDataFrame(rows, "agg_trade_id long, time timestamp_ntz, price double, quantity double, "
+                                     "is_buyer_maker boolean").selectExpr("'X' AS symbol", "*")
+    ivs = ("1s", "1m", "5m", "1h")
+    a = sorted(klines_all_intervals(df, ivs, decimals=6, zero_qty="null").collect())
+    b = sorted(cascade(df, ivs, decimals=6, zero_qty="null").collect())
+    assert a == b
