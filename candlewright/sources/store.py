@@ -24,6 +24,15 @@ def with_year(df: DataFrame, time_col: str = "time") -> DataFrame:
     return df.withColumn("year", F.year(time_col))
 
 
+def with_time_parts(df: DataFrame, partition_cols: Sequence[str], time_col: str = "time") -> DataFrame:
+    """Add the ``year`` / ``month`` partition columns a layout asks for."""
+    if "year" in partition_cols and "year" not in df.columns:
+        df = df.withColumn("year", F.year(time_col))
+    if "month" in partition_cols and "month" not in df.columns:
+        df = df.withColumn("month", F.month(time_col))
+    return df
+
+
 def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = PARTITIONS,
                 mode: str = "overwrite", order: Sequence[str] = ("time", "agg_trade_id"),
                 compression: str = "zstd") -> None:
@@ -32,8 +41,7 @@ def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = PARTIT
     With ``partitionOverwriteMode=dynamic`` an overwrite replaces only the
     partitions present in ``df``.
     """
-    if "year" in partition_cols and "year" not in df.columns:
-        df = with_year(df)
+    df = with_time_parts(df, partition_cols)
     (sort_for_store(df, partition_cols, order)
      .write.mode(mode)
      .option("compression", compression)
@@ -48,9 +56,10 @@ def read_table(spark: SparkSession, path: str, with_file: bool = False) -> DataF
     ``with_file`` adds the file name and path (lineage labels, P23).
     """
     df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
-    if "year" in df.columns:
-        # partition type inference is off (a numeric-looking symbol stays a string)
-        df = df.withColumn("year", F.col("year").cast("int"))
+    # partition type inference is off (a numeric-looking symbol stays a string)
+    for part in ("year", "month"):
+        if part in df.columns:
+            df = df.withColumn(part, F.col(part).cast("int"))
     if with_file:
         df = df.select("*", F.col("_metadata.file_name").alias("file_name"),
                        F.col("_metadata.file_path").alias("file_path"))
@@ -84,9 +93,12 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
     :func:`merge_keep_last`, then checkpointed to the shared folder so the
     write does not read the files it replaces, and written back with dynamic
     partition overwrite. Untouched partitions are never rewritten.
+
+    With ``partition_cols=("symbol", "year", "month")`` a daily increment
+    rewrites one month instead of the whole year (keys should then include
+    ``month`` too: re-published archives repeat ids within the same month).
     """
-    if "year" in partition_cols and "year" not in new.columns:
-        new = with_year(new)
+    new = with_time_parts(new, partition_cols)
     if table_exists(spark, path):
         stored = read_table(spark, path)
         touched = new.select(*partition_cols).distinct()

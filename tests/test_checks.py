@@ -145,3 +145,30 @@ def test_symbol_list_and_missing_id_column(spark):
     no_ids = spark.createDataFrame([("X", 2024)], "symbol string, year int")
     r = id_span_check(no_ids).collect()[0]
     assert r.note == "no agg_trade_id column" and r.start_id is None
+
+
+def test_month_partitioned_upsert_rewrites_only_the_touched_month(spark):
+    import os
+    from candlewright.session import shared_dir
+    from candlewright.sources.store import read_table, upsert
+    parts = ("symbol", "year", "month")
+    keys = ("symbol", "year", "month", "agg_trade_id")
+    t0 = dt.datetime(2024, 1, 15)
+    old = spark.createDataFrame([("X", i, t0 + dt.timedelta(days=20 * i), 1.0) for i in range(4)],
+                                "symbol string, agg_trade_id long, time timestamp_ntz, price double")
+    path = shared_dir(spark, "t-month")
+    upsert(spark, old, path, keys, ["price"], partition_cols=parts)
+    local = path.replace("file:", "")
+
+    def files(m):
+        d = os.path.join(local, "symbol=X", "year=2024", f"month={m}")
+        return sorted(f for f in os.listdir(d) if f.endswith(".parquet"))
+
+    jan, mar = files(1), files(3)
+    new = spark.createDataFrame([("X", 2, t0 + dt.timedelta(days=40), 9.0)],
+                                "symbol string, agg_trade_id long, time timestamp_ntz, price double")
+    out = upsert(spark, new, path, keys, ["price"], partition_cols=parts)
+    assert files(1) == jan                      # January untouched
+    assert files(2) != [] and files(3) == mar   # only February was rewritten
+    got = {r.agg_trade_id: r.price for r in out.collect()}
+    assert got == {0: 1.0, 1: 1.0, 2: 9.0, 3: 1.0}
