@@ -17,12 +17,16 @@ from candlewright.sources.store import upsert
 
 
 def ingest_archives(spark: SparkSession, landing: str, store: str, data_type: str = "aggTrades",
-                    market: str = "future", start_date: str | None = None):
+                    market: str = "future", start_date: str | None = None,
+                    partition_cols: tuple[str, ...] = ("symbol", "year")):
     """Convert the archives in ``landing`` into the table at ``store``.
 
     Within one run the later archive by name wins (daily files sort after the
     monthly file of the same month), then the later line; stored rows lose to
     any new row with the same key. Returns ``(table, quarantine)``.
+
+    ``partition_cols`` is the store layout; the dedup key is the partition
+    columns plus the data type's key (``agg_trade_id`` or ``time``).
     """
     if (market, data_type) not in VALID_MARKET_TYPES:
         raise InvalidRequest(f"{data_type} is not available on {market}")
@@ -33,5 +37,6 @@ def ingest_archives(spark: SparkSession, landing: str, store: str, data_type: st
         rows = rows.withColumn("symbol", F.lit(None).cast("string"))
     rows = rows.drop("archive_year")
     key = DEDUP_KEY[data_type]
-    table = upsert(spark, rows, store, ("symbol", "year", key), order=("archive", "row"))
+    table = upsert(spark, rows, store, (*partition_cols, key), order=("archive", "row"),
+                   partition_cols=partition_cols)
     return table, quarantine
