@@ -10,11 +10,16 @@ from candlewright.schemas import QUOTE_ASSETS
 # the archive host is a deployment setting; pass the real one to archive_url
 ARCHIVE_BASE_URL = "https://archives.invalid"
 
-_QUOTE_RE = "^(.+)(" + "|".join(QUOTE_ASSETS) + ")$"
+# File-name layouts that must equal the reference's
+#   archives      SYMBOL-type-YYYY-MM.zip and SYMBOL-type-YYYY-MM-DD.zip
+#   stored years  SYMBOL_type_YYYY.parquet and SYMBOL_type_YYYY-MM-DD.parquet
+#   bar files     SYMBOL_kline_INTERVAL_YYYY.parquet and SYMBOL_kline_INTERVAL_YYYY-MM-DD.parquet
 ARCHIVE_RE = r"^(.+)-([A-Za-z]+)-(\d{4})-(\d{2})(?:-(\d{2}))?\.zip$"
 STORED_RE = r"_(\d{4})(?:-(\d{2})-(\d{2}))?\.parquet$"
 KLINE_RE = r"_kline_([0-9]+[smhd])_(\d{4})(?:-(\d{2}-\d{2}))?\.parquet$"
 
+_QUOTE_RE = "^(.+)(" + "|".join(QUOTE_ASSETS) + ")$"
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from candlewright.schemas import EPOCH_US_THRESHOLD, INTERVAL_SECONDS
 
-# formats tried in order by parse_datetime (first match wins)
+# The accepted datetime formats, tried in this order (first match wins)
 DATETIME_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm",
