@@ -172,3 +172,16 @@ def test_month_partitioned_upsert_rewrites_only_the_touched_month(spark):
     assert files(2) != [] and files(3) == mar   # only February was rewritten
     got = {r.agg_trade_id: r.price for r in out.collect()}
     assert got == {0: 1.0, 1: 1.0, 2: 9.0, 3: 1.0}
+
+
+def test_compare_skip_and_phantom_only_fail(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "symbol string, interval string, time timestamp_ntz, close double, qty double"
+    local = spark.createDataFrame([("A", "1h", t0, 1.0, 1.0)], schema)
+    ref = spark.createDataFrame([("A", "1h", t0, 1.0, 1.0), ("Q", "1h", t0, 5.0, 0.0)], schema)
+    pairs = spark.createDataFrame([("A", "1h"), ("Q", "1h"), ("Z", "1h")], "symbol string, interval string")
+    st = {r.symbol: (r.status, r.local_bars, r.api_bars, r.missing_local)
+          for r in compare_summary(local, ref, pairs=pairs).collect()}
+    assert st["A"] == ("PASS", 1, 1, 0)
+    assert st["Q"] == ("FAIL", 0, 1, 0)      # only a zero-volume reference bar, nothing local
+    assert st["Z"] == ("SKIP", 0, 0, 0)      # requested, empty on both sides
