@@ -524,3 +524,5 @@ ORACLE["ingest_pipeline"] = f"""SELECT symbol, CAST(year(time) AS INTEGER) AS ye
 FROM ({_T_US}) t WHERE time >= TIMESTAMP '2024-01-03 00:00:00'"""
 
 ORACLE["id_span_footers"] = _spans(T_SQL)
+
+ORACLE["coverage_footers"] = ORACLE["coverage_by_year"]

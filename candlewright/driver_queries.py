@@ -719,3 +719,13 @@ def q_id_span_footers(spark, d):
 
 
 QUERIES["id_span_footers"] = q_id_span_footers
+
+
+def q_coverage_footers(spark, d):
+    """A6 from Parquet footers: L stored by (symbol, year), coverage from min/max of ts."""
+    path = shared_dir(spark, "coverage_footers")
+    ST.write_table(trades_L(spark, d), path)
+    return COV.coverage_stored(spark, path)
+
+
+QUERIES["coverage_footers"] = q_coverage_footers

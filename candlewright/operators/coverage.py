@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewright.functions.timecols import coverage_suffix
+from candlewright.functions.timecols import coverage_suffix, micros_to_ntz
 from candlewright.schemas import DEFAULT_START_DATE
+from candlewright.sources.store import footer_aggregate
 
 
 def last_dates(df: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -66,3 +67,21 @@ def distinct_years(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def time_range(df: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """First and last bar time per output."""
     return df.groupBy(*keys).agg(F.min("time").alias("min_time"), F.max("time").alias("max_time"))
+
+
+def coverage_stored(spark, path: str, keys: Sequence[str] = ("symbol", "year")) -> DataFrame:
+    """A6 for a stored trade table from Parquet footers: ``min``/``max`` of the
+    epoch column ``ts`` (a long, unlike ``time``) per partition, so no trade
+    row is read. Same columns as :func:`coverage_by_year`."""
+    g = footer_aggregate(spark, path, keys, [F.count(F.lit(1)).alias("rows"), F.min("ts").alias("_lo"),
+                                             F.max("ts").alias("_hi")])
+    g = g.withColumns({"_min": micros_to_ntz("_lo"), "_max": micros_to_ntz("_hi")})
+    return g.select(
+        *keys,
+        F.col("_min").cast("date").alias("first_date"),
+        F.col("_max").cast("date").alias("last_date"),
+        "rows",
+        ((F.month("_max") == 12) & (F.dayofmonth("_max") == 31) & (F.year("_max") == F.col("year")))
+        .alias("complete"),
+        coverage_suffix("_max", "year").alias("suffix"),
+    )

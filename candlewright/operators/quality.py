@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from candlewright.functions.timecols import floor_time, micros_to_ntz, ntz_to_micros
 from candlewright.schemas import INTERVAL_SECONDS
+from candlewright.sources.store import footer_aggregate
 
 DEFAULT_ID_BUCKET = 1 << 22
 
@@ -57,34 +58,11 @@ def id_span_check(trades: DataFrame, keys: Sequence[str] = ("symbol", "year")) -
 
 
 def id_span_check_stored(spark, path: str, keys: Sequence[str] = ("symbol", "year")) -> DataFrame:
-    """A7 on a stored table from Parquet footers only (count/min/max per file).
-
-    Grouping by the partition columns lets the DataSource V2 Parquet reader
-    answer ``count``, ``min`` and ``max`` from row-group statistics
-    (``PushedAggregation``) without reading any id. The V2 reader and the
-    pushdown are switched on only while the small result (one row per
-    dataset) is materialised; the session settings are then restored.
-    """
-    conf = {"spark.sql.sources.useV1SourceList": None, "spark.sql.parquet.aggregatePushdown": "true"}
-    v1 = spark.conf.get("spark.sql.sources.useV1SourceList", "")
-    conf["spark.sql.sources.useV1SourceList"] = ",".join(
-        x for x in v1.split(",") if x.strip().lower() != "parquet")
-    saved = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        spans = (spark.read.parquet(path).groupBy(*keys)
-                 .agg(F.count(F.lit(1)).alias("count"), F.min("agg_trade_id").alias("start_id"),
-                      F.max("agg_trade_id").alias("end_id"))
-                 .checkpoint(eager=True))
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    if "year" in keys:
-        spans = spans.withColumn("year", F.col("year").cast("int"))
+    """A7 on a stored table from Parquet footers only: no id is read
+    (:func:`candlewright.sources.store.footer_aggregate`)."""
+    spans = footer_aggregate(spark, path, keys, [
+        F.count(F.lit(1)).alias("count"), F.min("agg_trade_id").alias("start_id"),
+        F.max("agg_trade_id").alias("end_id")])
     return spans.withColumns({
         "gap_count": F.col("end_id") - F.col("start_id") + 1 - F.col("count"),
         "note": F.lit(""),

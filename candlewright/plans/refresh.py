@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.operators.bars import klines_all_intervals
-from candlewright.operators.coverage import coverage_by_year
+from candlewright.operators.coverage import coverage_by_year, coverage_stored
 from candlewright.schemas import BASE_INTERVALS
 from candlewright.sources.store import read_table, table_exists, upsert, write_table
 
@@ -30,15 +30,20 @@ def bar_coverage(bars: DataFrame) -> DataFrame:
                         & (F.dayofmonth("bar_last_date") == 31))
 
 
-def stale_partitions(trades: DataFrame, bars: DataFrame | None,
-                     intervals: Sequence[str] = BASE_INTERVALS, force: bool = False) -> DataFrame:
+def stale_partitions(trades: DataFrame | None, bars: DataFrame | None,
+                     intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
+                     source_coverage: DataFrame | None = None) -> DataFrame:
     """Per (symbol, year) of the source, whether its bars must be rebuilt.
 
     An interval never triggers when its output covers the whole year; it
     triggers when missing, or when its output ends before the source's last
     date. One trigger rebuilds all intervals of that (symbol, year).
+
+    ``source_coverage`` (e.g. :func:`coverage_stored`, from Parquet footers)
+    replaces the scan of ``trades`` for the source's last dates.
     """
-    src = coverage_by_year(trades).select("symbol", "year", F.col("last_date").alias("source_last_date"))
+    cov_src = source_coverage if source_coverage is not None else coverage_by_year(trades)
+    src = cov_src.select("symbol", "year", F.col("last_date").alias("source_last_date"))
     want = src.select("*", F.explode(F.array(*[F.lit(i) for i in intervals])).alias("interval"))
     if bars is None:
         cov = want.withColumns({"bar_last_date": F.lit(None).cast("date"),
@@ -60,12 +65,17 @@ def stale_partitions(trades: DataFrame, bars: DataFrame | None,
 def rebuild_stale_bars(spark: SparkSession, trades: DataFrame, bars_path: str,
                        intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
                        zero_qty: str = "nan", decimals: int | None = None,
-                       exact: bool = True) -> DataFrame:
+                       exact: bool = True, trades_path: str | None = None) -> DataFrame:
     """Re-aggregate bars only for stale (symbol, year) pairs of ``trades`` and
     overwrite those bar partitions; returns the bar table. ``exact=False``
-    builds them with the cascade (ticks aggregated once)."""
+    builds them with the cascade (ticks aggregated once). With ``trades_path``
+    (the stored trade table) the source coverage comes from Parquet footers,
+    so deciding what is stale reads no trade rows; only the stale partitions
+    are then read (dynamic partition pruning on the semi join)."""
     bars = read_table(spark, bars_path) if table_exists(spark, bars_path) else None
-    stale = stale_partitions(trades, bars, intervals, force).filter("stale").select("symbol", "year")
+    src_cov = coverage_stored(spark, trades_path) if trades_path else None
+    stale = (stale_partitions(trades, bars, intervals, force, source_coverage=src_cov)
+             .filter("stale").select("symbol", "year"))
     todo = trades.join(stale, ["symbol", "year"], "left_semi")
     fresh = (klines_all_intervals(todo, intervals, zero_qty=zero_qty, decimals=decimals, exact=exact)
              .withColumn("year", F.year("time")))
@@ -83,9 +93,10 @@ def refresh(spark: SparkSession, new_trades: DataFrame, root: str,
 
     Returns the bar table after the refresh.
     """
-    stored = upsert(spark, new_trades, os.path.join(root, "aggTrades"), keys, order)
+    trades_path = os.path.join(root, "aggTrades")
+    stored = upsert(spark, new_trades, trades_path, keys, order)
     return rebuild_stale_bars(spark, stored, os.path.join(root, "klines"), intervals, force,
-                              zero_qty, decimals)
+                              zero_qty, decimals, trades_path=trades_path)
 
 
 def full_refresh(spark: SparkSession, landings: dict, store_root: str, start_date: str | None = None,
@@ -107,5 +118,6 @@ def full_refresh(spark: SparkSession, landings: dict, store_root: str, start_dat
     for (market, data_type), (table, _) in list(out.items()):
         if data_type in ("aggTrades", "trades"):
             out[(market, "klines")] = rebuild_stale_bars(
-                spark, table, os.path.join(store_root, market, "klines"), intervals)
+                spark, table, os.path.join(store_root, market, "klines"), intervals,
+                trades_path=os.path.join(store_root, market, data_type))
     return out

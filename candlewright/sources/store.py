@@ -140,6 +140,37 @@ def load_bars(spark: SparkSession, path: str, start=None, end=None,
     return dedup_keep_first(df, [*keys, "time"], ["file_path"]).drop("file_name", "file_path")
 
 
+def footer_aggregate(spark: SparkSession, path: str, keys: Sequence[str], aggs) -> DataFrame:
+    """Grouped ``count``/``min``/``max`` of a stored table from Parquet footers.
+
+    Grouping by partition columns lets the DataSource V2 Parquet reader answer
+    the aggregates from row-group statistics (``PushedAggregation``) without
+    reading column data. The V2 reader and the pushdown are switched on only
+    while the small result (one row per group) is materialised with a
+    checkpoint; the session settings are then restored. Only numeric, date
+    and boolean columns qualify (not timestamps).
+    """
+    v1 = spark.conf.get("spark.sql.sources.useV1SourceList", "")
+    conf = {"spark.sql.sources.useV1SourceList": ",".join(
+                x for x in v1.split(",") if x.strip().lower() != "parquet"),
+            "spark.sql.parquet.aggregatePushdown": "true"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = spark.read.parquet(path).groupBy(*keys).agg(*aggs).checkpoint(eager=True)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    for part in ("year", "month"):
+        if part in keys:
+            out = out.withColumn(part, F.col(part).cast("int"))
+    return out
+
+
 def discover_symbols(df: DataFrame) -> DataFrame:
     """Symbols present in a stored table, skipping names starting with '_'."""
     return df.select("symbol").distinct().filter(~F.col("symbol").startswith("_"))
