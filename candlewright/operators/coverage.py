@@ -21,14 +21,18 @@ def last_dates(df: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     return df.groupBy(*keys).agg(F.max("time").cast("date").alias("last_date"))
 
 
-def start_dates(symbols: DataFrame, stored: DataFrame, start: str | None = None,
-                keys: Sequence[str] = ("symbol",)) -> DataFrame:
+def start_dates(symbols: DataFrame, stored: DataFrame | None, start: str | None = None,
+                keys: Sequence[str] = ("symbol",), coverage: DataFrame | None = None) -> DataFrame:
     """Explicit start > last stored date + 1 > 2020-01-01, per symbol.
 
     ``symbols`` holds the requested symbols (one row each); the join side is
-    one row per symbol after A5.
+    one row per symbol after A5. ``coverage`` (e.g. :func:`coverage_stored`,
+    from Parquet footers) replaces the scan of ``stored``.
     """
-    last = last_dates(stored, keys)
+    if coverage is not None:
+        last = coverage.groupBy(*keys).agg(F.max("last_date").alias("last_date"))
+    else:
+        last = last_dates(stored, keys)
     explicit = F.to_date(F.lit(start)) if start else F.lit(None).cast("date")
     return (symbols.join(last, list(keys), "left")
             .select(*keys, "last_date",

@@ -185,3 +185,20 @@ def test_compare_skip_and_phantom_only_fail(spark):
     assert st["A"] == ("PASS", 1, 1, 0)
     assert st["Q"] == ("FAIL", 0, 1, 0)      # only a zero-volume reference bar, nothing local
     assert st["Z"] == ("SKIP", 0, 0, 0)      # requested, empty on both sides
+
+
+def test_start_dates_from_footer_coverage(spark):
+    from candlewright.operators.coverage import coverage_stored, start_dates
+    from candlewright.session import shared_dir
+    from candlewright.sources.store import write_table
+    from candlewright.functions.timecols import ntz_to_micros
+    t = spark.createDataFrame([("X", 1, dt.datetime(2023, 12, 31, 23, 0)), ("X", 2, dt.datetime(2024, 3, 5, 1, 2))],
+                              "symbol string, agg_trade_id long, time timestamp_ntz")
+    t = t.withColumn("ts", ntz_to_micros("time"))
+    path = shared_dir(spark, "t-cov")
+    write_table(t, path)
+    cov = coverage_stored(spark, path)
+    assert {(r.year, r.complete, r.suffix) for r in cov.collect()} == {(2023, True, "2023"), (2024, False, "2024-03-05")}
+    syms = spark.createDataFrame([("X",), ("Y",)], "symbol string")
+    got = {r.symbol: r.start_date for r in start_dates(syms, None, coverage=cov).collect()}
+    assert got == {"X": dt.date(2024, 3, 6), "Y": dt.date(2020, 1, 1)}
