@@ -148,23 +148,30 @@ def footer_aggregate(spark: SparkSession, path: str, keys: Sequence[str], aggs)
     reading column data. The V2 reader and the pushdown are switched on only
     while the small result (one row per group) is materialised with a
     checkpoint; the session settings are then restored. Only numeric, date
-    and boolean columns qualify (not timestamps).
+    and boolean columns qualify (not timestamps). If the footers cannot
+    answer (files without statistics), an ordinary aggregate over the scan
+    gives the same result.
     """
     v1 = spark.conf.get("spark.sql.sources.useV1SourceList", "")
     conf = {"spark.sql.sources.useV1SourceList": ",".join(
                 x for x in v1.split(",") if x.strip().lower() != "parquet"),
             "spark.sql.parquet.aggregatePushdown": "true"}
     saved = {k: spark.conf.get(k, None) for k in conf}
+    out = None
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
         out = spark.read.parquet(path).groupBy(*keys).agg(*aggs).checkpoint(eager=True)
+    except Exception:  # e.g. files written without statistics: fall back to a scan below
+        out = None
     finally:
         for k, v in saved.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+    if out is None:
+        out = spark.read.parquet(path).groupBy(*keys).agg(*aggs)
     for part in ("year", "month"):
         if part in keys:
             out = out.withColumn(part, F.col(part).cast("int"))
