@@ -176,13 +176,3 @@ def cascade(trades: DataFrame, intervals: Sequence[str] = BASE_INTERVALS,
            .withColumn("time", floor_time("_t", F.col("_w")))
            .groupBy(*keys, "interval", "time").agg(*_bar_aggs()))
     return finish_bars(out, zero_qty, keys, extra=("interval",), decimals=decimals)
-
-
-def bars_from_bars(bars: DataFrame, interval: str, zero_qty: str = "nan",
-                   keys: Sequence[str] = ("symbol",), decimals: int | None = None) -> DataFrame:
-    """Roll bars that still carry the side usd sums up to a coarser width."""
-    secs = interval_seconds(interval)
-    g = (bars.withColumn("_t", F.col("time"))
-         .withColumn("time", floor_time("_t", secs * 1_000_000))
-         .groupBy(*keys, "time").agg(*_bar_aggs()))
-    return finish_bars(g, zero_qty, keys, decimals=decimals)

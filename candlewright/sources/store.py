@@ -182,6 +182,3 @@ def discover_symbols(df: DataFrame) -> DataFrame:
     """Symbols present in a stored table, skipping names starting with '_'."""
     return df.select("symbol").distinct().filter(~F.col("symbol").startswith("_"))
 
-
-def staging_path(base: str, name: str) -> str:
-    return os.path.join(base, name)
