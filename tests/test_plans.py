@@ -81,3 +81,10 @@ def test_footer_aggregate_is_pushed_to_parquet(spark):
     want = sorted(map(tuple, ST.read_table(spark, path).groupBy("symbol", "year")
                       .agg(F.max("ts").alias("m")).collect()))
     assert got == want
+
+
+def test_exact_all_intervals_is_one_scan_one_exchange(spark):
+    p = _plan(se.queries()["kline_all_intervals"](spark, SF))
+    assert p.count("FileScan") == 1
+    assert p.count("Exchange hashpartitioning") == 1
+    assert "SortAggregate" not in p
