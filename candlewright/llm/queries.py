@@ -5,14 +5,79 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from candlewright.llm import mixing as MX
+from candlewright.llm import packing as PK
+from candlewright.llm import quality_rules as QR
+from candlewright.llm import records as RC
 from candlewright.llm import substring_dedup as SD
 from candlewright.llm.textops import read
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_vector_best_fit(spark, d):
+    return PK.pack_documents(read(spark, d, "documents", ["doc_id", "text"]), vocabulary())
+
+
+def op4_binary_records(spark, d):
+    return RC.read_records(RC.write_records(read(spark, d, "documents", ["doc_id", "text"]), vocabulary()))
+
+
 def op6_substring_dedup(spark, d):
     docs = read(spark, d, "documents", ["doc_id", "text"])
     return SD.dedup_substrings(docs, 20, digest=True)
 
 
-QUERIES = {"op6_substring_dedup": op6_substring_dedup}
+def op7_hash_threshold_mix(spark, d):
+    docs = read(spark, d, "documents", ["doc_id", "text", "source"])
+    return MX.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_adaptive_quality_rules(spark, d):
+    docs = read(spark, d, "documents", ["doc_id", "text", "lang", "source"])
+    return QR.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                 "base_failed", "kept")
+
+
+QUERIES = {
+    "op1_vector_best_fit": op1_vector_best_fit,
+    "op4_binary_records": op4_binary_records,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_hash_threshold_mix": op7_hash_threshold_mix,
+    "op8_adaptive_quality_rules": op8_adaptive_quality_rules,
+}
+
 ORACLE = {}
+
+#: The mix in SQL: thresholds by a running sum in hash order, which the histograms avoid.
+ORACLE["op7_hash_threshold_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce('0' || source, '1') AS s,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         CAST('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 15)
+              AS BIGINT) AS h
+  FROM documents),
+p AS (SELECT s, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY s) - 1 AS i FROM d GROUP BY s),
+q AS (SELECT *, CASE i % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w, source_size * 2 AS cap,
+             sum(source_size) OVER () * 1.5::DOUBLE AS budget FROM p),
+r AS (SELECT *, cap::DOUBLE / w <= (budget - coalesce(sum(cap) OVER (ORDER BY cap::DOUBLE / w, s
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+             / (sum(w) OVER (ORDER BY cap::DOUBLE / w, s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE
+             AS capped FROM q),
+t AS (SELECT s, source_size, CASE WHEN capped THEN cap::DOUBLE ELSE w * (
+               (budget - coalesce(sum(cap) FILTER (capped) OVER (), 0)::DOUBLE)
+               / (sum(w) FILTER (NOT capped) OVER ())::DOUBLE) END AS target FROM r),
+u AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS passes FROM t),
+v AS (SELECT d.*, source_size, target, passes, target - passes * source_size AS rest,
+             sum(size) OVER (PARTITION BY d.s ORDER BY h RANGE UNBOUNDED PRECEDING) AS upto,
+             sum(size) OVER (PARTITION BY d.s, h) AS same
+      FROM d JOIN u USING (s))
+SELECT doc_id, size, source_size, target,
+       (size * (passes + CASE WHEN rest > 0 AND (upto < rest
+          OR (upto - same < rest AND (rest - (upto - same)::DOUBLE) * 2 >= same)) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM v
+"""

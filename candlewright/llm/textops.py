@@ -59,6 +59,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _pows["p"], _pows["i"]
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One 64-bit hash per byte span."""
+    p, inv = _powers(len(data) + 1)
+    s = np.empty(len(data) + 1, np.uint64)
+    s[0] = 0
+    np.cumsum(_BYTE[data] * p[: len(data)], out=s[1:])
+    return mix64((s[end] - s[start]) * inv[start] + (end - start).astype(np.uint64))
+
+
 class Words:
     """The words of a chunk: byte spans ``start``/``end`` into ``data``; the words of
     document ``i`` are ``off[i]:off[i + 1]``."""
@@ -85,12 +94,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """One 64-bit hash per word."""
-        p, inv = _powers(len(self.data) + 1)
-        s = np.empty(len(self.data) + 1, np.uint64)
-        s[0] = 0
-        np.cumsum(_BYTE[self.data] * p[: len(self.data)], out=s[1:])
-        h = (s[self.end] - s[self.start]) * inv[self.start]
-        return mix64(h + (self.end - self.start).astype(np.uint64))
+        return span_hashes(self.data, self.start, self.end)
 
     def text(self, i: int) -> bytes:
         return self.data[self.offsets[i]:self.offsets[i + 1]].tobytes()
