@@ -130,27 +130,22 @@ def limits(measured: DataFrame, lang: str, source: str, *, spread: float, min_do
         F.explode(F.array(*[F.struct(F.lit(m).alias("m"), _bucket(_value(m)).alias("bucket")) for m in LIMITS]))
         .alias("x"))
     sketch = rows.groupBy("g_lang", "g_source", "x.m", "x.bucket").agg(F.count("*").alias("n"))
-    sketch = sketch.groupBy("g_lang", "g_source", "m", "bucket").agg(F.sum("n").alias("n"))
-
-    def quantiles(keys: list[str]) -> DataFrame:
-        merged = sketch.groupBy(*keys, "m", "bucket").agg(F.sum("n").alias("n"))
-        run = Window.partitionBy(*keys, "m").orderBy("bucket")
-        whole = Window.partitionBy(*keys, "m")
-        merged = merged.withColumns({"upto": F.sum("n").over(run), "all": F.sum("n").over(whole)})
-        q = lambda p: F.min(F.when(F.col("upto") >= p * F.col("all"), _middle(F.col("bucket"))))
-        return merged.groupBy(*keys, "m").agg(F.struct(q(0.5).alias("mid"), q(0.1).alias("low"),
-                                                       F.max("all").alias("docs")).alias("q"))
-
-    def wide(keys: list[str], name: str) -> DataFrame:
-        return quantiles(keys).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("m", "q"))).alias(name))
-
-    groups = wide(["g_lang", "g_source"], "own").join(wide(["g_lang"], "by_lang"), "g_lang")
-    every = wide([], "every").withColumn("one", F.lit(1))
-    groups = groups.withColumn("one", F.lit(1)).join(every, "one").drop("one")
-    out = groups.select("g_lang", "g_source", *[
-        F.when(F.col("own")[m]["docs"] >= min_docs, F.col("own")[m])
-        .when(F.col("by_lang")[m]["docs"] >= min_docs, F.col("by_lang")[m]).otherwise(F.col("every")[m]).alias(m)
-        for m in LIMITS])
+
+    # one key per level: its group, its language, everything
+    key = F.explode(F.array(F.concat_ws("\x00", F.lit("2"), "g_lang", "g_source"),
+                            F.concat_ws("\x00", F.lit("1"), "g_lang"), F.lit("0"))).alias("key")
+    merged = sketch.select(key, "m", "bucket", "n").groupBy("key", "m", "bucket").agg(F.sum("n").alias("n"))
+    run = Window.partitionBy("key", "m").orderBy("bucket")
+    merged = merged.withColumns({"upto": F.sum("n").over(run), "docs": F.sum("n").over(
+        Window.partitionBy("key", "m"))})
+    q = lambda p: F.min(F.when(F.col("upto") >= p * F.col("docs"), _middle(F.col("bucket"))))
+    levels = merged.groupBy("key", "m").agg(q(0.5).alias("mid"), q(0.1).alias("low"), F.max("docs").alias("docs"))
+    # the most detailed level with enough documents, else everything
+    level = F.when(F.col("docs") >= min_docs, F.substring("key", 1, 1).cast("int")).otherwise(
+        -F.substring("key", 1, 1).cast("int"))
+    groups = sketch.select("g_lang", "g_source").distinct().select("g_lang", "g_source", key)
+    out = groups.join(levels, "key").groupBy("g_lang", "g_source").pivot("m", list(LIMITS)).agg(
+        F.max_by(F.struct("mid", "low"), level))
     cols = []
     for m, (least, below) in LIMITS.items():
         mid, wide_by = F.col(m)["mid"], spread * (F.col(m)["mid"] - F.col(m)["low"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewright.llm import mixing as MX
 from candlewright.llm import packing as PK
+from candlewright.llm import probminhash as PM
 from candlewright.llm import quality_rules as QR
 from candlewright.llm import records as RC
 from candlewright.llm import substring_dedup as SD
@@ -43,12 +44,18 @@ def op8_adaptive_quality_rules(spark, d):
                                  "base_failed", "kept")
 
 
+def op9_probminhash_near_duplicates(spark, d):
+    docs = read(spark, d, "documents", ["doc_id", "text"])
+    return PM.near_duplicate_classes(docs).select("doc_id", "class_id", "n_links", "n_shingles")
+
+
 QUERIES = {
     "op1_vector_best_fit": op1_vector_best_fit,
     "op4_binary_records": op4_binary_records,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_hash_threshold_mix": op7_hash_threshold_mix,
     "op8_adaptive_quality_rules": op8_adaptive_quality_rules,
+    "op9_probminhash_near_duplicates": op9_probminhash_near_duplicates,
 }
 
 ORACLE = {}

@@ -90,7 +90,7 @@ def _ids(vocab: str, end_id: int, bounds: list[int]):
         enc = encoder(vocab)
         kind = "<u4" if enc.wide else "<u2"
         edges = np.array(bounds, np.int64)
-        for b, data, off in chunks(batches, "text", 4 << 20):
+        for b, data, off in chunks(batches, "text"):
             ids, at = enc.encode(data, off)
             end = np.array([end_id], kind)
             raw = [np.concatenate([ids[at[i]:at[i + 1]].astype(kind), end]).tobytes() for i in range(b.num_rows)]

@@ -14,12 +14,12 @@ full hash (96 bits) and are compared by exact grouping. No pairs are formed.
 
 Skew. Before both shuffles a task settles copies within itself: it sends one row
 per distinct hash and task, so a passage held by a third of all rows contributes
-at most one row per task to any key. The text is exchanged once by document; both
-joins reuse that exchange.
+at most one row per task to any key. Rows travel in packed blocks (``blocks.py``).
+The text is exchanged once by document; both joins reuse that exchange.
 
 Defined results. Null or empty text: no words, nothing removed, kept text ''.
 Ids in ascending order, null first; rows with the same id are ordered by a hash of
-their text. Rows equal in id and text are one document: each gets the same result
+their text (31 bits, carried only when ids repeat). Rows equal in id and text are one document: each gets the same result
 and none counts as earlier than the other. Extra columns pass through. An empty
 table gives an empty result.
 """
@@ -28,15 +28,18 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewright.llm.textops import Words, chunks, free_name, long_key, roll
+from candlewright.llm.blocks import SCHEMA as BLOCKS
+from candlewright.llm.blocks import bucket_count, by_bucket, send, spread
+from candlewright.llm.textops import Words, chunks, free_name, mix64, roll
 
 #: A perfect difference set modulo 13: its pairwise differences give every residue.
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -59,42 +62,76 @@ def ref_columns(doc_id: Column, text: Column) -> tuple[Column, Column]:
             F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)))
 
 
-def _settle(hashes: np.ndarray, extra: np.ndarray | None, k: np.ndarray, pos: np.ndarray,
-            smallest: bool) -> pa.RecordBatch:
-    """One row per distinct hash (the smallest reference, ``copy`` false) and ``copy`` rows
-    for its other references in this task; equal references count once. ``known`` says that
-    a row needs no comparison with other tasks: true for copies, and unless ``smallest``
-    for a first row that has a copy."""
-    keys = [pos, k, hashes] if extra is None else [pos, k, extra, hashes]
-    order = np.lexsort(keys)
-    hashes, k, pos = hashes[order], k[order], pos[order]
-    same = hashes[1:] == hashes[:-1]
-    if extra is not None:
-        extra = extra[order]
-        same &= extra[1:] == extra[:-1]
-    again = np.zeros(len(hashes), bool)
-    again[1:] = same & (k[1:] == k[:-1]) & (pos[1:] == pos[:-1])
-    copy = np.zeros(len(hashes), bool)
-    copy[1:] = same
-    known = copy & ~again
-    other = known.copy()
-    if not smallest and len(hashes):
-        # the first of a group is known when any later row of its group is another reference
-        group = np.cumsum(~copy) - 1
-        known |= ~copy & (np.bincount(group, weights=known)[group] > 0)
-    keep = ~again
-    send = hashes.view(np.int64)[keep]
-    cols = [pa.array(send), pa.array(k[keep]), pa.array(pos[keep]), pa.array(known[keep]),
-            pa.array(other[keep])]
-    names = ["key", "k", "pos", "known", "copy"]
-    if extra is not None:
-        cols.append(pa.array(extra[keep].view(np.int32)))
-        names.append("key2")
-    return pa.RecordBatch.from_arrays(cols, names)
-
-
-def _flat(parts: list[np.ndarray]) -> np.ndarray:
-    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+def _flat(held: list[tuple]) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*held)]
+
+
+def _groups(keys: list[np.ndarray], k: np.ndarray, pos: np.ndarray):
+    """Order by (keys, k, pos) without equal rows; with it, whether a row's keys equal the
+    row's before it."""
+    order = np.lexsort([pos, k, *keys[::-1]])
+    same = np.ones(max(0, len(order) - 1), bool)
+    for c in keys:
+        same &= c[order][1:] == c[order][:-1]
+    equal = same & (k[order][1:] == k[order][:-1]) & (pos[order][1:] == pos[order][:-1])
+    keep = np.concatenate(([True], ~equal))[: len(order)]
+    return order[keep], np.concatenate(([False], same))[: len(order)][keep]
+
+
+def _settle(keys: list[np.ndarray], k: np.ndarray, pos: np.ndarray, buckets: int,
+            smallest: bool) -> Iterator[pa.RecordBatch]:
+    """What a task knows by itself. One row per distinct key (its smallest reference) goes
+    to the key's bucket: kind 0, or kind 1 when a copy here already makes it an anchor.
+    The other references are settled and go anywhere: kind 2."""
+    order, copy = _groups(keys, k, pos)
+    keys, k, pos = [c[order] for c in keys], k[order], pos[order]
+    first = ~copy
+    has_copy = np.zeros(len(k), bool)
+    has_copy[:-1] = copy[1:]
+    for kind, rows in ((0, first & (smallest | ~has_copy)), (1, first & has_copy & (not smallest)), (2, copy)):
+        if rows.any():
+            key = spread(k[rows], pos[rows]) if kind == 2 else keys[0][rows]
+            yield send(key, [c[rows] for c in keys[1:]] + [k[rows], pos[rows]], buckets, kind)
+
+
+def _to_docs(k: np.ndarray, pos: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Blocks of references, by document."""
+    order = np.lexsort([pos, k])
+    return send(mix64(k[order].view(np.uint64)), [k[order], pos[order]], buckets, 0)
+
+
+def _by_doc(rows: dict[int, list[np.ndarray]]) -> pa.RecordBatch:
+    """One row per document: its positions as a list."""
+    _, k, pos = rows[0]
+    order, _ = _groups([], k, pos)
+    k, pos = k[order], pos[order]
+    h, p = pos >> 32, (pos & 0xFFFFFFFF).astype(np.int32)
+    edge = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (h[1:] != h[:-1])))[: len(k)])
+    lists = pa.ListArray.from_arrays(pa.array(np.append(edge, len(k)).astype(np.int32)), pa.array(p))
+    return pa.RecordBatch.from_arrays([pa.array(k[edge]), pa.array(h[edge]), lists], ["_k", "_h", "_at"])
+
+
+def _repeated(rows: dict[int, list[np.ndarray]], buckets: int) -> pa.RecordBatch:
+    """References whose key another reference has too."""
+    out = [c[1:] for kind, c in rows.items() if kind]
+    if 0 in rows or 1 in rows:
+        key, k, pos = _flat([rows[i] for i in (0, 1) if i in rows])
+        order, copy = _groups([key], k, pos)
+        many = copy.copy()
+        many[:-1] |= copy[1:]
+        out.append([k[order][many], pos[order][many]])
+    k, pos = _flat(out)
+    return _to_docs(k, pos, buckets)
+
+
+def _not_first(rows: dict[int, list[np.ndarray]], buckets: int) -> pa.RecordBatch:
+    """References that are not the smallest of their keys."""
+    out = [rows[2][2:]] if 2 in rows else []
+    if 0 in rows:
+        key, key2, k, pos = rows[0]
+        order, copy = _groups([key, key2], k, pos)
+        out.append([k[order][copy], pos[order][copy]])
+    return _to_docs(*_flat(out), buckets)
 
 
 def _refs(b: pa.RecordBatch, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +140,11 @@ def _refs(b: pa.RecordBatch, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarr
     return k[doc], (h[doc] << 32) | pos
 
 
-def _anchors(run: int, text: str):
+def _anchors(run: int, buckets: int, text: str):
+    def flush(held, smallest):
+        *keys, k, pos = _flat(held)
+        yield from _settle(keys, k, pos, buckets, smallest)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for b, data, off in chunks(batches, text):
@@ -116,25 +157,24 @@ def _anchors(run: int, text: str):
             held.append((roll(w.hashes(), run, 0xA2C, at), *_refs(b, doc[at], pos[at])))
             n += len(at)
             if n >= FLUSH:
-                yield _settle(*_join(held), smallest=False)
+                yield from flush(held, False)
                 held, n = [], 0
         if n:
-            yield _settle(*_join(held), smallest=False)
+            yield from flush(held, False)
     return task
 
 
-def _join(held: list[tuple]) -> tuple:
-    cols = [_flat(list(c)) for c in zip(*held)]
-    return (cols[0], None, cols[1], cols[2]) if len(cols) == 3 else tuple(cols)
-
-
 def _lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Flat values and row lengths of a list column (null: empty)."""
     n = pa.compute.fill_null(pa.compute.list_value_length(col), 0).to_numpy(zero_copy_only=False)
     return col.flatten().to_numpy(zero_copy_only=False), n.astype(np.int64)
 
 
-def _windows(window: int, run: int, text: str):
+def _windows(window: int, run: int, buckets: int, text: str):
+    def flush(held, smallest):
+        *keys, k, pos = _flat(held)
+        yield from _settle(keys, k, pos, buckets, smallest)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for b, data, off in chunks(batches, text):
@@ -155,10 +195,10 @@ def _windows(window: int, run: int, text: str):
             held.append((roll(h, window, 0x5EED1, at), second, *_refs(b, wdoc[at], at - w.off[wdoc[at]])))
             n += len(at)
             if n >= FLUSH:
-                yield _settle(*_join(held), smallest=True)
+                yield from flush(held, True)
                 held, n = [], 0
         if n:
-            yield _settle(*_join(held), smallest=True)
+            yield from flush(held, True)
     return task
 
 
@@ -195,29 +235,19 @@ def repeated_windows(docs: DataFrame, window: int, doc_id: str, text: str) -> tu
     """``docs`` with its reference columns ``_k``, ``_h``, and per document (``_k``, ``_h``)
     the starts ``_at`` of its windows that also start earlier."""
     run = run_length(window)
+    buckets = bucket_count(docs, text)
+    unique = docs.groupBy(doc_id).count().where("count > 1").isEmpty()
     k, h = ref_columns(F.col(doc_id), F.col(text))
-    refs = docs.withColumns({"_k": k, "_h": h})
-    schema = "key long, k long, pos long, known boolean, copy boolean"
-    # copies need no company: they are spread by document instead of by hash
-    spread = F.when(F.col("copy"), F.xxhash64("k", "pos")).otherwise(F.col("key"))
-
-    def by_doc(rows: DataFrame) -> DataFrame:
-        return (rows.select(F.col("k").alias("_k"), F.shiftright("pos", 32).alias("_h"),
-                            F.col("pos").bitwiseAND(F.lit(0xFFFFFFFF)).alias("p"))
-                .groupBy("_k", "_h").agg(F.collect_list("p").alias("_at")))
-
-    runs = refs.select("_k", "_h", text).mapInArrow(_anchors(run, text), schema)
-    same = Window.partitionBy("part", "copy")
-    runs = (runs.withColumn("part", spread).drop("key").withColumn("n", F.count("*").over(same))
-            .where(F.col("known") | (F.col("n") > 1)))
-    near = refs.join(by_doc(runs), ["_k", "_h"])
-
-    full = near.mapInArrow(_windows(window, run, text), schema + ", key2 int")
-    group = Window.partitionBy("part", "key2", "copy")
-    full = (full.withColumn("part", spread).drop("key")
-            .withColumn("first", F.min(F.struct("k", "pos")).over(group))
-            .where(F.col("known") | (F.struct("k", "pos") != F.col("first"))))
-    return refs, by_doc(full)
+    refs = docs.withColumns({"_k": k, "_h": F.lit(0).cast("long") if unique else h})
+
+    def lists(rows: DataFrame, settle, kinds: list[str]) -> DataFrame:
+        hits = by_bucket(rows, buckets, partial(settle, buckets=buckets), kinds, BLOCKS)
+        return by_bucket(hits, buckets, _by_doc, ["u8", "i8", "i8"], "_k long, _h long, _at array<int>")
+
+    runs = refs.select("_k", "_h", text).mapInArrow(_anchors(run, buckets, text), BLOCKS)
+    near = refs.join(lists(runs, _repeated, ["u8", "i8", "i8"]), ["_k", "_h"])
+    full = near.mapInArrow(_windows(window, run, buckets, text), BLOCKS)
+    return refs, lists(full, _not_first, ["u8", "u4", "i8", "i8"])
 
 
 def dedup_substrings(docs: DataFrame, window: int = 20, *, doc_id: str = "doc_id", text: str = "text",

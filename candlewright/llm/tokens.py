@@ -22,7 +22,7 @@ import numpy as np
 
 from candlewright.llm.textops import Words
 
-CACHE = 2_000_000
+CACHE = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
