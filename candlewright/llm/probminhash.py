@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def probminhash(doc: np.ndarray, item: np.ndarray, weight: np.ndarray, n_docs: i
     step = 0
     while len(live):
         step += 1
-        r = mix64(item[live] + np.uint64(step) * np.uint64(0x9E3779B97F4A7C15))
+        r = mix64(item[live] + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
         u = ((r >> np.uint64(11)).astype(np.float64) + 1.0) / (1 << 53)
         time[live] -= np.log(u) / weight[live]
         slot = doc[live] * m + (mix64(r) % np.uint64(m)).astype(np.int64)
@@ -152,9 +153,9 @@ def _rest(limit: float):
                     if ids[i] != ids2[j]:
                         yield min(ids[i], ids2[j]), max(ids[i], ids2[j])
 
-    def task(key, table: pa.Table) -> pa.Table:
+    def task(key, table):
         def side(name):
-            t = table.filter(pa.compute.equal(table.column("side"), name))
+            t = table.filter(pc.equal(table.column("side"), name))
             reg = np.frombuffer(b"".join(t.column("registers").to_pylist()), np.uint8)
             return (t.column("id").to_numpy(), t.column("comp").to_numpy(),
                     reg.reshape(t.num_rows, -1) if t.num_rows else reg.reshape(0, 0))

@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ def _ids(vocab: str, end_id: int, bounds: list[int]):
             ids, at = enc.encode(data, off)
             end = np.array([end_id], kind)
             raw = [np.concatenate([ids[at[i]:at[i + 1]].astype(kind), end]).tobytes() for i in range(b.num_rows)]
-            key = pa.compute.fill_null(b.column("doc_id"), -(1 << 63)).to_numpy(zero_copy_only=False)
+            key = pc.fill_null(b.column("doc_id"), -(1 << 63)).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.searchsorted(edges, key, "left").astype(np.int32)), b.column("doc_id"), b.column("h"),
                  pa.array([enc.wide] * b.num_rows), pa.array(raw, pa.binary())],

@@ -33,6 +33,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,7 +167,7 @@ def _anchors(run: int, buckets: int, text: str):
 
 def _lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Flat values and row lengths of a list column (null: empty)."""
-    n = pa.compute.fill_null(pa.compute.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+    n = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
     return col.flatten().to_numpy(zero_copy_only=False), n.astype(np.int64)
 
 
