@@ -10,7 +10,9 @@ from candlewright.llm import packing as PK
 from candlewright.llm import probminhash as PM
 from candlewright.llm import quality_rules as QR
 from candlewright.llm import records as RC
+from candlewright.llm import scaled_sketch as SK
 from candlewright.llm import substring_dedup as SD
+from candlewright.llm import toxicity as TX
 from candlewright.llm.textops import read
 
 
@@ -49,13 +51,25 @@ def op9_probminhash_near_duplicates(spark, d):
     return PM.near_duplicate_classes(docs).select("doc_id", "class_id", "n_links", "n_shingles")
 
 
+def op5_scaled_sketch(spark, d):
+    return SK.fingerprints(read(spark, d, "documents", ["doc_id", "text"]))
+
+
+def op10_toxic_segments(spark, d):
+    docs = read(spark, d, "documents", ["doc_id", "text"])
+    labels = read(spark, d, "labels", ["doc_id", "toxic"]).withColumnRenamed("toxic", "label")
+    return TX.score_documents(docs, TX.train(docs, labels))
+
+
 QUERIES = {
     "op1_vector_best_fit": op1_vector_best_fit,
     "op4_binary_records": op4_binary_records,
+    "op5_scaled_sketch": op5_scaled_sketch,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_hash_threshold_mix": op7_hash_threshold_mix,
     "op8_adaptive_quality_rules": op8_adaptive_quality_rules,
     "op9_probminhash_near_duplicates": op9_probminhash_near_duplicates,
+    "op10_toxic_segments": op10_toxic_segments,
 }
 
 ORACLE = {}
