@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from candlewright.llm import html_crf as HC
 from candlewright.llm import mixing as MX
 from candlewright.llm import packing as PK
 from candlewright.llm import probminhash as PM
+from candlewright.llm import pu_quality as PU
 from candlewright.llm import quality_rules as QR
 from candlewright.llm import records as RC
 from candlewright.llm import scaled_sketch as SK
@@ -61,8 +63,21 @@ def op10_toxic_segments(spark, d):
     return TX.score_documents(docs, TX.train(docs, labels))
 
 
+def op2_pu_quality(spark, d):
+    docs = read(spark, d, "documents", ["doc_id", "text"])
+    labels = read(spark, d, "labels", ["doc_id", "quality"]).withColumnRenamed("quality", "label")
+    return PU.score_documents(docs, PU.train(docs, labels))
+
+
+def op3_html_crf(spark, d):
+    pages = read(spark, d, "pages", ["page_id", "url", "html"])
+    return HC.extract(pages, HC.train(pages, read(spark, d, "documents", ["doc_id", "text"])))
+
+
 QUERIES = {
     "op1_vector_best_fit": op1_vector_best_fit,
+    "op2_pu_quality": op2_pu_quality,
+    "op3_html_crf": op3_html_crf,
     "op4_binary_records": op4_binary_records,
     "op5_scaled_sketch": op5_scaled_sketch,
     "op6_substring_dedup": op6_substring_dedup,
