@@ -19,8 +19,9 @@ So a group of thousands of copies costs one pair per member, while no link betwe
 different components of a bucket is lost.
 
 Defined results. Rows without words are linked to nothing and are a class each. Texts
-of fewer than ``shingle`` words have one shingle, the whole text. Rows equal in id and
-text, and rows with equal shingle sets, are one class. The class id is the smallest
+of fewer than ``shingle`` words have one shingle, the whole text. Rows that
+share a doc_id are versions of one document and one class, as are rows with equal
+shingle sets. The class id is the smallest
 doc_id in the class (rows with a null id use a hash of their text as id in the class
 computation and can be a class's id only among themselves). Extra columns do not
 matter. An empty table gives no rows.

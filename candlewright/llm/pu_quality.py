@@ -38,7 +38,7 @@ from candlewright.llm.textops import Words, chunks
 
 FEATURES = ["log_words", "word_length", "symbol_share", "repeat_share", "dup_line_share", "upper_share",
             "digit_share", "punct_share", "wide_share", "distinct_share", "line_length"]
-BINS = 16
+BINS = 8
 
 
 def _mask(chars: bytes) -> np.ndarray:
@@ -106,7 +106,7 @@ def one_hot(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
 
 
 def _fit(p: np.ndarray, u: np.ndarray, prior: float | None, steps: int = 400, rate: float = 0.05,
-         ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+         ridge: float = 1e-2) -> tuple[np.ndarray, float]:
     """Weights and bias: logistic P against U without a prior, else non-negative PU risk."""
     w, b = np.zeros(p.shape[1]), 0.0
     state = [np.zeros(len(w) + 1), np.zeros(len(w) + 1)]
