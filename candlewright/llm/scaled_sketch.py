@@ -92,8 +92,10 @@ def fingerprints(docs: DataFrame, *, scale: int = SCALE, doc_id: str = "doc_id",
     the start of the next document."""
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
-    d = docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"),
-                    F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("k"), F.xxhash64(body).alias("h"))
+    # the id is read back from its key, so that both joins below share one exchange of the texts
+    d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("k"), F.xxhash64(body).alias("h"),
+                    body.alias("text"))
+    name = F.when(F.col("k") != NULL_ID, F.col("k")).cast(docs.schema[doc_id].dataType).alias("doc_id")
     lengths = stage(d.select("k", "h", F.length("text").alias("n")), "lengths")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     after = successors(lengths.select("k", "h"), tasks)
@@ -107,7 +109,7 @@ def fingerprints(docs: DataFrame, *, scale: int = SCALE, doc_id: str = "doc_id",
     given = given.groupBy("k", "h").agg(F.first("prefix").alias("prefix"), F.first("next_sketch").alias("next_sketch"))
     n = F.length("text")
     both = d.join(given, ["k", "h"]).select(
-        "doc_id", "text", n.cast("long").alias("n_chars"), "next_sketch",
+        name, "text", n.cast("long").alias("n_chars"), "next_sketch",
         F.concat(F.substring("text", F.lit(1), n - F.floor(n / 4).cast("int")), F.col("prefix")).alias("edited"))
     both = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                        sketch(F.col("text"), scale).alias("s"), sketch(F.col("edited"), scale).alias("e"),
