@@ -10,11 +10,14 @@ run together in numpy rounds.
 
 Texts with the same shingle set are one class from the start (a digest; no pairs). Of
 each set one representative is banded: ``bands`` keys of ``rows`` registers. In every
-bucket each member is paired with the bucket's smallest member only, pairs are verified
+bucket each member is paired with one leader only, the member that meets most others
+over all its buckets (an original rather than one of its copies); pairs are verified
 by the exact Jaccard of their shingle sets (``>= similarity``), and verified pairs give
 components. Buckets that still hold several components are finished in blocks:
-registers are compared across components inside a task, only pairs that the registers
-estimate within five standard errors of the limit leave it, and they are verified too.
+registers are compared across components inside a task, only pairs whose sizes allow
+the similarity, that the registers
+estimate within three standard errors of the limit and that their shingle hashes confirm
+leave it, and they are verified like the others.
 So a group of thousands of copies costs one pair per member, while no link between
 different components of a bucket is lost.
 
@@ -119,39 +122,45 @@ def _sets(k: int):
             doc, item, _ = shingle_sets(data, off, k)
             at = np.searchsorted(doc, np.arange(b.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array([item[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary())],
-                ["id", "items"])
+                [b.column("id"), pa.array([item[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary()),
+                 pa.array([np.sort((item[s:e] >> np.uint64(32)).astype(np.uint32)).tobytes()
+                           for s, e in zip(at[:-1], at[1:])], pa.binary())], ["id", "items", "items32"])
     return task
 
 
+def similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether two sets (sorted arrays) have at least this Jaccard."""
+    small, big = (x, y) if len(x) <= len(y) else (y, x)
+    if len(small) < similarity * len(big):
+        return False
+    at = np.minimum(np.searchsorted(big, small), len(big) - 1)
+    both = int((big[at] == small).sum())
+    return both >= similarity * (len(x) + len(y) - both)
+
+
 def _verify(similarity: float):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
             for x, y in zip(b.column("x"), b.column("y")):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
-                small, big = (x, y) if len(x) <= len(y) else (y, x)
-                if len(small) < similarity * len(big):
-                    keep.append(False)
-                    continue
-                at = np.minimum(np.searchsorted(big, small), len(big) - 1)
-                both = int((big[at] == small).sum())
-                keep.append(both >= similarity * (len(x) + len(y) - both))
+                keep.append(similar(np.frombuffer(x.as_buffer(), np.uint64),
+                                    np.frombuffer(y.as_buffer(), np.uint64), similarity))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return task
 
 
-def _rest(limit: float):
-    """Pairs across components whose registers agree often enough, in one block pair."""
+def _rest(limit: float, similarity: float):
+    """Similar pairs across components in one block pair: sizes allow the similarity,
+    registers agree often enough, and 32-bit shingle hashes confirm it."""
     def pairs(left, right):
-        (ids, comp, reg), (ids2, comp2, reg2) = left, right
+        (ids, comp, reg, size, items), (ids2, comp2, reg2, size2, items2) = left, right
         for i in range(len(ids)):
-            other = np.flatnonzero(comp2 != comp[i])
+            other = np.flatnonzero((comp2 != comp[i]) & (size2 >= similarity * size[i])
+                                   & (size[i] >= similarity * size2))
             if len(other):
                 near = other[(reg2[other] == reg[i]).mean(axis=1) >= limit]
                 for j in near:
-                    if ids[i] != ids2[j]:
+                    if ids[i] != ids2[j] and similar(items[i], items2[j], similarity):
                         yield min(ids[i], ids2[j]), max(ids[i], ids2[j])
 
     def task(key, table):
@@ -159,7 +168,9 @@ def _rest(limit: float):
             t = table.filter(pc.equal(table.column("side"), name))
             reg = np.frombuffer(b"".join(t.column("registers").to_pylist()), np.uint8)
             return (t.column("id").to_numpy(), t.column("comp").to_numpy(),
-                    reg.reshape(t.num_rows, -1) if t.num_rows else reg.reshape(0, 0))
+                    reg.reshape(t.num_rows, -1) if t.num_rows else reg.reshape(0, 0),
+                    t.column("n_shingles").to_numpy(),
+                    [np.frombuffer(x.as_buffer(), np.uint32) for x in t.column("low")])
         left, right = side(0), side(1)
         if not len(right[0]):
             right = left
@@ -183,19 +194,25 @@ def near_duplicate_classes(docs: DataFrame, *, shingle: int = 5, similarity: flo
     sets = some.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
     of = some.join(sets, ["d1", "d2"]).where("id = rep")
     reps = stage(of.groupBy("d1", "d2", "rep").agg(F.first("keys").alias("keys"),
-                                                    F.first("registers").alias("registers")), "reps")
+                                                    F.first("registers").alias("registers"),
+                                                    F.first("n_shingles").alias("n_shingles")), "reps")
     band = reps.select("rep", F.explode("keys").alias("key"))
-    lead = band.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    member = stage(band.join(lead, "key"), "members")
+    size = band.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    member = stage(band.join(size, "key"), "members")
+    # the member that meets most others over all its buckets leads: an original before its copies
+    hub = member.groupBy("rep").agg(F.sum("n").alias("met"))
+    member = member.join(hub, "rep")
+    lead = member.groupBy("key").agg(F.max(F.struct("met", (-F.col("rep")).alias("first"))).alias("top"))
+    member = stage(member.join(lead.select("key", (-F.col("top.first")).alias("lead")), "key").drop("met"), "buckets")
     wanted = member.select(F.col("rep").alias("id")).distinct()
-    items = stage(d.select("id", "text").join(wanted, "id").mapInArrow(_sets(shingle), "id long, items binary")
-                  .groupBy("id", "items").agg(F.lit(1).alias("one")).drop("one"), "shingle-sets")
+    # one plan at every size: texts are exchanged, not the ids broadcast
+    items = stage(d.select("id", "text").join(wanted.hint("merge"), "id").mapInArrow(_sets(shingle), "id long, items binary, items32 binary"), "shingle-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         x = items.select(F.col("id").alias("a"), F.col("items").alias("x"))
         y = items.select(F.col("id").alias("b"), F.col("items").alias("y"))
         return stage(pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y")
-                     .mapInArrow(_verify(similarity), "a long, b long"), "links")
+                     .mapInArrow(_verify(similarity), "a long, b long").distinct(), "links")
 
     links = verified(member.where("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct())
     comps = stage(connected_components(links), "components")
@@ -205,7 +222,7 @@ def near_duplicate_classes(docs: DataFrame, *, shingle: int = 5, similarity: flo
     left = stage(placed.join(open_.select("key"), "key").select("key", "rep", "comp", "n"), "open-buckets")
     if not left.isEmpty():
         m = bands * rows
-        limit = similarity - 5 * math.sqrt(similarity * (1 - similarity) / m)
+        limit = similarity - 3 * math.sqrt(similarity * (1 - similarity) / m)
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         mine = F.pmod(F.xxhash64("rep"), blocks).cast("int")
         # a member goes to every block pair it is in: (own, other), left unless own is the larger
@@ -213,8 +230,10 @@ def near_duplicate_classes(docs: DataFrame, *, shingle: int = 5, similarity: flo
         spread = spread.select("key", F.col("rep").alias("id"), "comp", F.least("blk", "other").alias("b1"),
                                F.greatest("blk", "other").alias("b2"),
                                F.when(F.col("blk") > F.col("other"), 1).otherwise(0).alias("side"))
-        spread = spread.join(reps.select(F.col("rep").alias("id"), "registers"), "id")
-        more = spread.groupBy("key", "b1", "b2").applyInArrow(_rest(limit), "a long, b long").distinct()
+        spread = spread.join(reps.select(F.col("rep").alias("id"), "registers", "n_shingles"), "id")
+        low = items.withColumnRenamed("items32", "low").select("id", "low")
+        spread = spread.join(low.dropDuplicates(["id"]), "id")
+        more = stage(spread.groupBy("key", "b1", "b2").applyInArrow(_rest(limit, similarity), "a long, b long").distinct(), "pairs")
         links = stage(links.union(verified(more)).distinct(), "links")
         comps = stage(connected_components(links), "components")
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(
