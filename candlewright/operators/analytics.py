@@ -96,6 +96,13 @@ def recent_bars(bars: DataFrame, end: str, n: int = SMA_WINDOW,
     """
     need = n + max(periods) - 1
     window = last_n_bars(bars, end, need, keys)
-    with_sma = sma(window, periods, keys, decimals=decimals)
+    # need rows per series: a plain rolling window, no block index
+    order = Window.partitionBy(*keys).orderBy("time")
+    with_sma = window
+    for p in periods:
+        frame = order.rowsBetween(-(p - 1), 0)
+        total = F.sum("close").over(frame)
+        total = F.round(total, decimals) if decimals is not None else total
+        with_sma = with_sma.withColumn(f"SMA{p}", F.when(F.count("close").over(frame) == p, total / p))
     return last_n_bars(with_sma, None, n, keys).select(
         *keys, "time", "open", "high", "low", "close", *[f"SMA{p}" for p in periods])

@@ -96,18 +96,18 @@ def archive_plan(starts: DataFrame, data_types: Sequence[str], cutoff, market: s
                       base_url).alias("url"))
 
 
-def select_archives(files: DataFrame, start_date) -> DataFrame:
+def select_archives(files: DataFrame, start_date=None) -> DataFrame:
     """F4 + J5: which landed archives to convert.
 
     Drops daily archives before ``start_date``, daily archives of a month
     that has a monthly archive, and monthly archives whose last day is before
-    ``start_date``. Rows of a kept monthly archive before the start stay (the
+    ``start_date``. Without a start only the monthly rule applies. Rows of a kept monthly archive before the start stay (the
     filter is per archive). ``files`` has ``file_name`` (and optionally more).
 
     One pass: "this month has a monthly archive" is a window flag over
     (symbol, type, month), a group of at most ~32 archives.
     """
-    start = F.to_date(F.lit(start_date)) if isinstance(start_date, str) else start_date
+    start = F.to_date(F.lit(start_date or "0001-01-01")) if start_date is None or isinstance(start_date, str) else start_date
     p = N.parse_archive_name(F.col("file_name"))
     parsed = (files.withColumns({
         "_sym": p["symbol"], "_type": p["data_type"], "daily": p["daily"],

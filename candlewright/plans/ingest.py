@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from candlewright.plans.archive_plan import InvalidRequest, select_archives
 from candlewright.schemas import DEDUP_KEY, VALID_MARKET_TYPES
+from candlewright.functions import names as N
 from candlewright.sources.archives import ingest, list_archives
 from candlewright.sources.store import upsert
 
@@ -31,8 +32,12 @@ def ingest_archives(spark: SparkSession, landing: str, store: str, data_type: st
     if (market, data_type) not in VALID_MARKET_TYPES:
         raise InvalidRequest(f"{data_type} is not available on {market}")
     files = list_archives(spark, landing)
-    selected = select_archives(files.select("file_name"), start_date) if start_date else None
+    selected = select_archives(files.select("file_name"), start_date)
     rows, quarantine = ingest(spark, landing, data_type, market, selected=selected)
+    unnamed = files.filter(N.parse_archive_name(F.col("file_name"))["daily"].isNull())
+    quarantine = quarantine.unionByName(unnamed.select(
+        F.col("file_name").alias("archive"), F.lit(0).cast("long").alias("bad_rows"),
+        F.lit("unrecognised archive name").alias("error")))
     if "symbol" not in rows.columns:
         rows = rows.withColumn("symbol", F.lit(None).cast("string"))
     rows = rows.drop("archive_year")

@@ -106,9 +106,10 @@ def full_refresh(spark: SparkSession, landings: dict, store_root: str, start_dat
     ``landings`` maps ``(market, data_type)`` to an archive folder. Each is
     converted into ``{store_root}/{market}/{data_type}``; every trade store
     then gets its stale bar partitions rebuilt under
-    ``{store_root}/{market}/klines``. The loop runs over datasets (a handful),
+    ``{store_root}/{market}/klines/{data_type}``. The loop runs over datasets (a handful),
     never over data. Returns ``{(market, data_type): (table, quarantine)}``
-    plus ``{(market, "klines"): bars}``.
+    plus ``{(market, "klines/<data_type>"): bars}`` and, where a market has one
+    trade type, the same table as ``(market, "klines")``.
     """
     from candlewright.plans.ingest import ingest_archives
     out = {}
@@ -117,7 +118,10 @@ def full_refresh(spark: SparkSession, landings: dict, store_root: str, start_dat
         out[(market, data_type)] = ingest_archives(spark, landing, store, data_type, market, start_date)
     for (market, data_type), (table, _) in list(out.items()):
         if data_type in ("aggTrades", "trades"):
-            out[(market, "klines")] = rebuild_stale_bars(
-                spark, table, os.path.join(store_root, market, "klines"), intervals,
+            bars = rebuild_stale_bars(
+                spark, table, os.path.join(store_root, market, "klines", data_type), intervals,
                 trades_path=os.path.join(store_root, market, data_type))
+            out[(market, f"klines/{data_type}")] = bars
+            if sum(m == market and t in ("aggTrades", "trades") for m, t in landings) == 1:
+                out[(market, "klines")] = bars
     return out

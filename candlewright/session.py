@@ -16,6 +16,7 @@ must point at shared storage; a local default is only set when it is absent
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -87,7 +88,7 @@ def ship_package(spark: SparkSession) -> None:
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = checkpoint_root(spark).replace("file://", "").replace("file:", "")
     out_dir = os.path.join(root, "candlewright", "pyfiles", app)
-    if "://" in out_dir:  # remote shared folder: stage the zip next to the driver instead
+    if re.match(r"[a-z][a-z0-9+.-]*:", out_dir):  # remote shared folder: stage the zip next to the driver instead
         out_dir = tempfile.mkdtemp(prefix="candlewright-pyfiles-")
     os.makedirs(out_dir, exist_ok=True)
     zpath = os.path.join(out_dir, "candlewright.zip")
@@ -107,6 +108,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="candlewright-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

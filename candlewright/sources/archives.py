@@ -18,7 +18,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.functions import names as N
@@ -32,6 +32,27 @@ SPOT_TRADE_COLUMNS = tuple(f.name for f in RAW_SPOT_TRADES.fields)
 FUTURES_TRADE_COLUMNS = tuple(f.name for f in RAW_FUTURES_TRADES.fields)
 
 
+#: Compressed archive bytes per reading task.
+TASK_BYTES = 32 << 20
+#: Raw trade fields and their types; a non-empty field that does not parse, or a price or
+#: quantity that is not finite, makes its archive bad.
+STRICT_TRADE_FIELDS = {"price": "double", "quantity": "double", "first_trade_id": "long",
+                       "last_trade_id": "long", "is_buyer_maker": "boolean", "is_best_match": "boolean"}
+
+
+def _malformed(cols) -> Column:
+    """A trade field that is not empty but does not parse, or is NaN or infinite."""
+    bad = F.lit(False)
+    for c, t in STRICT_TRADE_FIELDS.items():
+        if c in cols:
+            v = F.col(c).try_cast(t)
+            wrong = (F.length(F.trim(F.col(c))) > 0) & v.isNull()
+            if t == "double":
+                wrong = wrong | F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
+            bad = bad | F.coalesce(wrong, F.lit(False))
+    return bad
+
+
 def raw_columns(data_type: str, market: str) -> tuple[str, ...]:
     if data_type in ("aggTrades", "trades"):
         return FUTURES_TRADE_COLUMNS if market == "future" else SPOT_TRADE_COLUMNS
@@ -116,6 +137,10 @@ def _archive_rows(path: str, cols, data_type: str, chunk_rows: int) -> Iterator[
                 for chunk in reader:
                     if has_header:
                         chunk.columns = [str(c).strip() for c in chunk.columns]
+                        if "transact_time" in cols and "transact_time" not in chunk.columns:
+                            # the first header with "time" in it is the trade time
+                            time = next((c for c in chunk.columns if "time" in c), None)
+                            chunk = chunk.rename(columns={time: "transact_time"})
                         out = pd.DataFrame({c: chunk[c] if c in chunk.columns else None for c in cols})
                     else:
                         width = min(len(cols), chunk.shape[1])
@@ -128,14 +153,14 @@ def _archive_rows(path: str, cols, data_type: str, chunk_rows: int) -> Iterator[
                     start += n
                     yield out
     except Exception as e:  # a bad archive is reported, the job goes on
-        yield err(f"{type(e).__name__}: {e}"[:500])
+        yield err(f"{type(e).__name__}: {e}")
 
 
 def list_archives(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, file_name)`` of every ``*.zip`` under ``path`` (content not read)."""
+    """``(path, file_name, length)`` of every ``*.zip`` under ``path`` (content not read)."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
             .option("recursiveFileLookup", "true").load(path)
-            .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name")))
+            .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length"))
 
 
 def read_archives(spark: SparkSession, path: str, data_type: str = "aggTrades",
@@ -152,10 +177,10 @@ def read_archives(spark: SparkSession, path: str, data_type: str = "aggTrades",
     files = list_archives(spark, path)
     if selected is not None:
         files = files.join(selected.select("file_name"), "file_name", "left_semi")
-    files = files.select("path")
-    n = max(1, files.count())
-    parallel = max(1, min(n, 4 * spark.sparkContext.defaultParallelism))
-    files = files.repartition(parallel, "path")
+    # tasks follow the archives' bytes (round robin, so no hash group decides the run time)
+    size = files.agg(F.sum("length")).first()[0] or 0
+    files = files.select("path").repartition(max(spark.sparkContext.defaultParallelism,
+                                                 -(-size // TASK_BYTES)))
 
     def parse(batches):
         for pdf in batches:
@@ -182,8 +207,10 @@ def ingest(spark: SparkSession, path: str, data_type: str = "aggTrades", market:
     raw = raw.withColumns({"_sym": meta["symbol"], "archive_year": meta["year"]})
     keep = ("archive", "row", "archive_year", "error")
     if data_type in ("aggTrades", "trades"):
-        typed = NZ.normalize_trades(raw.withColumnRenamed("_sym", "symbol"), keep=("symbol", *keep))
-        bad = F.col("error").isNotNull() | F.col("agg_trade_id").isNull() | F.col("ts").isNull()
+        strict = raw.withColumnRenamed("_sym", "symbol").withColumn("_malformed", _malformed(raw.columns))
+        typed = NZ.normalize_trades(strict, keep=("symbol", "_malformed", *keep))
+        bad = (F.col("error").isNotNull() | F.col("agg_trade_id").isNull() | F.col("ts").isNull()
+               | F.col("_malformed"))
     elif data_type == "metrics":
         typed = NZ.normalize_metrics(raw, keep=keep)
         bad = F.col("error").isNotNull() | F.col("_bad")
@@ -206,7 +233,7 @@ def ingest(spark: SparkSession, path: str, data_type: str = "aggTrades", market:
                     .join(errors, "archive", "left")
                     .withColumn("error", F.coalesce("error", F.lit("parse error"))))
     good = (flagged.join(bad_archives.select("archive"), "archive", "left_anti")
-            .drop("_bad", "error"))
+            .drop("_bad", "_malformed", "error"))
     return good, bad_archives
 
 

@@ -8,11 +8,13 @@ Layout: one table per data type, partitioned by ``symbol`` and ``year``
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewright.session import shared_dir
 from candlewright.operators.merge import (dedup_keep_first, dedup_keep_last, merge_keep_last,
                                           replace_month, sort_for_store, ts_literal)
 
@@ -84,30 +86,55 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def stage_parquet(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def touched_partitions(stored: DataFrame, new: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """The rows of ``stored`` in the partitions of ``new`` (staged): literal bounds of every
+    partition column prune the scan, a semi join does the rest."""
+    bounds = new.agg(*[f(c).alias(f"{n}_{c}") for c in partition_cols
+                       for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    for c in partition_cols:
+        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
+        stored = stored.filter(F.col(c).between(F.lit(lo), F.lit(hi)))
+    return stored.join(new.select(*partition_cols).distinct(), list(partition_cols), "left_semi")
+
+
 def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
            order: Sequence = (), partition_cols: Sequence[str] = PARTITIONS) -> DataFrame:
     """Merge ``new`` into the stored table at ``path``, newest wins.
 
-    Only the partitions ``new`` touches are read (semi-join on the partition
-    columns, pruned at planning time by dynamic partition pruning), merged with
-    :func:`merge_keep_last`, then checkpointed to the shared folder so the
-    write does not read the files it replaces, and written back with dynamic
-    partition overwrite. Untouched partitions are never rewritten.
+    ``new`` is staged once as Parquet in the shared folder. The bounds of its
+    partition columns (one row) become literal partition filters of the store
+    scan, so an unfiltered increment or a micro-batch reads no other partitions;
+    a semi join drops untouched partitions inside the bounds. The merge is
+    staged as Parquet too, so the write does not read the files it replaces,
+    and written back with dynamic partition overwrite. Untouched partitions are
+    never rewritten.
+
+    Among copies in ``new`` the last by ``order`` wins; without an order that is
+    (``archive``, ``row``) when ``new`` has them, else all its other columns, so
+    the winner never depends on the run.
 
     With ``partition_cols=("symbol", "year", "month")`` a daily increment
     rewrites one month instead of the whole year (keys should then include
     ``month`` too: re-published archives repeat ids within the same month).
     """
     new = with_time_parts(new, partition_cols)
+    lineage = tuple(c for c in ("archive", "row") if c in new.columns)
+    order = tuple(order) or lineage or tuple(c for c in new.columns if c not in keys)
     if table_exists(spark, path):
-        stored = read_table(spark, path)
-        touched = new.select(*partition_cols).distinct()
-        stored = stored.join(touched, list(partition_cols), "left_semi")
+        new = stage_parquet(new, "upsert_new")
+        stored = touched_partitions(read_table(spark, path), new, partition_cols)
         merged = merge_keep_last(stored.select(*new.columns), new, keys, order)
         # the write replaces files the merge reads: make the merge durable first
-        merged = merged.checkpoint(eager=True)
+        merged = stage_parquet(merged, "upsert_merged")
     else:
-        merged = dedup_keep_last(new, keys, order) if order else dedup_keep_last(new, keys, keys)
+        merged = dedup_keep_last(new, keys, order)
     write_table(merged, path, partition_cols)
     return read_table(spark, path)
 
@@ -117,13 +144,13 @@ def replace_month_in_store(spark: SparkSession, new_month: DataFrame, path: str,
     """A monthly archive replaces that month of the stored year partitions.
 
     Reads only the (symbol, year) partitions the new month touches, swaps the
-    month, cuts lineage with a checkpoint and overwrites those partitions.
+    month, stages the result as Parquet and overwrites those partitions.
     """
     new_month = with_year(new_month) if "year" not in new_month.columns else new_month
     stored = (read_table(spark, path).filter(F.col("year") == year)
               .join(new_month.select("symbol").distinct(), "symbol", "left_semi"))
-    merged = replace_month(stored.select(*new_month.columns), new_month, year, month)
-    merged = merged.checkpoint(eager=True)
+    merged = stage_parquet(replace_month(stored.select(*new_month.columns), new_month, year, month),
+                           "month_merged")
     write_table(merged, path, partition_cols)
     return read_table(spark, path)
 
@@ -162,7 +189,10 @@ def footer_aggregate(spark: SparkSession, path: str, keys: Sequence[str], aggs)
         for k, v in conf.items():
             spark.conf.set(k, v)
         out = spark.read.parquet(path).groupBy(*keys).agg(*aggs).checkpoint(eager=True)
-    except Exception:  # e.g. files written without statistics: fall back to a scan below
+    except Exception as e:
+        # only files written without statistics are answered by a scan; anything else is a failure
+        if not re.search(r"statistics|No min/max|num nulls", str(e), re.I):
+            raise
         out = None
     finally:
         for k, v in saved.items():

@@ -9,7 +9,7 @@ import __spark_entry__ as se
 from tests.oracle_util import compare, duck
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-NAMES = sorted(se.queries())
+NAMES = sorted(se.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(se.queries()) - set(se.oracle_sql())
+    missing = set(se.QUERIES) - set(se.oracle_sql())
     assert not missing, missing
 
 

@@ -40,14 +40,17 @@ def test_upsert_reads_only_touched_partitions(spark):
     path = shared_dir(spark, "plan-upsert")
     L = L_full(spark, SF)
     ST.upsert(spark, L, path, UPSERT_KEYS, UPSERT_ORDER)
-    new = ST.with_year(L.filter(F.year("time") == 1998))
-    stored = ST.read_table(spark, path).join(new.select("symbol", "year").distinct(), ["symbol", "year"], "left_semi")
-    assert "dynamicpruning" in _plan(stored)
+    # an increment without any filter in its plan: its bounds must prune the scan
+    new = ST.stage_parquet(ST.with_year(L.filter(F.year("time") == 1998)), "plan-increment")
+    df = ST.touched_partitions(ST.read_table(spark, path), new, ("symbol", "year"))
+    assert any("year" in x.split("]")[0] for x in _plan(df).split("PartitionFilters: [")[1:])
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    assert ">= 1998" in optimized and "<= 1998" in optimized
 
 
 def test_no_cartesian_products_in_registered_queries(spark):
     bad = []
-    for name, fn in se.queries().items():
+    for name, fn in se.QUERIES.items():
         if name.startswith(("stream_", "zip_", "ingest_", "upsert", "replace_", "refresh", "write_",
                             "bars_dedup", "payload", "symbol_list")):
             continue  # these write files first; their read-back plans are trivial
