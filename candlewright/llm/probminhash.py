@@ -74,11 +74,12 @@ def probminhash(doc: np.ndarray, item: np.ndarray, weight: np.ndarray, n_docs: i
     least = np.full(n_docs * m, np.inf)
     owner = np.zeros(n_docs * m, np.uint64)
     time = np.zeros(len(item))
+    base = mix64(item ^ np.uint64(0x5EED))
     live = np.arange(len(item))
     step = 0
     while len(live):
         step += 1
-        r = mix64(item[live] + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+        r = mix64(base[live] + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
         u = ((r >> np.uint64(11)).astype(np.float64) + 1.0) / (1 << 53)
         time[live] -= np.log(u) / weight[live]
         slot = doc[live] * m + (mix64(r) % np.uint64(m)).astype(np.int64)
