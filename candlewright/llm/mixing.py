@@ -81,7 +81,12 @@ def thresholds(sizes: DataFrame, plan: DataFrame) -> DataFrame:
         shift = BITS * (LEVELS - level)
         bucket = F.shiftright("h", shift)
         inside = sizes.where("size > 0").join(at, "s").where(F.shiftright(bucket, BITS) == F.col("prefix"))
-        hist = inside.groupBy("s", "rest", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
+        # one key of bucket and source: a hot source's partial sums meet bucket by bucket, and
+        # only finished buckets are gathered by source
+        key = F.concat(F.lpad(bucket.cast("string"), 19, "0"), F.col("s")).alias("key")
+        hist = inside.groupBy(key).agg(F.max("rest").alias("rest"), F.sum("size").alias("words"))
+        hist = hist.select(F.expr("substring(key, 20)").alias("s"), "rest", "words",
+                           F.substring("key", 1, 19).cast("long").alias("bucket"))
         run = Window.partitionBy("s").orderBy("bucket")
         hist = hist.withColumn("upto", F.sum("words").over(run))
         # the one bucket in which the budget runs out
