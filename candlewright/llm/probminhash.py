@@ -155,14 +155,18 @@ def _rest(limit: float, similarity: float):
     registers agree often enough, and 32-bit shingle hashes confirm it."""
     def pairs(left, right):
         (ids, comp, reg, size, items), (ids2, comp2, reg2, size2, items2) = left, right
-        for i in range(len(ids)):
-            other = np.flatnonzero((comp2 != comp[i]) & (size2 >= similarity * size[i])
-                                   & (size[i] >= similarity * size2))
-            if len(other):
-                near = other[(reg2[other] == reg[i]).mean(axis=1) >= limit]
-                for j in near:
-                    if ids[i] != ids2[j] and similar(items[i], items2[j], similarity):
-                        yield min(ids[i], ids2[j]), max(ids[i], ids2[j])
+        columns = np.ascontiguousarray(reg2.T)
+        for lo in range(0, len(ids), 256):
+            rows = slice(lo, lo + 256)
+            agree = np.zeros((len(ids[rows]), len(ids2)), np.uint16)
+            for mine, other in zip(reg[rows].T, columns):
+                agree += mine[:, None] == other
+            s = size[rows][:, None]
+            near = ((agree >= limit * len(columns)) & (comp[rows][:, None] != comp2) & (ids[rows][:, None] != ids2)
+                    & (size2 >= similarity * s) & (s >= similarity * size2))
+            for i, j in zip(*np.nonzero(near)):
+                if similar(items[lo + i], items2[j], similarity):
+                    yield min(ids[lo + i], ids2[j]), max(ids[lo + i], ids2[j])
 
     def task(key, table):
         def side(name):
@@ -235,8 +239,16 @@ def near_duplicate_classes(docs: DataFrame, *, shingle: int = 5, similarity: flo
         low = items.withColumnRenamed("items32", "low").select("id", "low")
         spread = spread.join(low.dropDuplicates(["id"]), "id")
         more = stage(spread.groupBy("key", "b1", "b2").applyInArrow(_rest(limit, similarity), "a long, b long").distinct(), "pairs")
-        links = stage(links.union(verified(more)).distinct(), "links")
-        comps = stage(connected_components(links), "components")
+        found = verified(more)
+        if not found.isEmpty():
+            links = stage(links.union(found).distinct(), "links")
+            # only the components that the new links join are contracted again
+            of = comps.withColumnRenamed("comp", "c")
+            ends = found.join(of.withColumnRenamed("id", "a"), "a", "left").select(F.coalesce("c", "a").alias("a"), "b")
+            ends = ends.join(of.withColumnRenamed("id", "b"), "b", "left").select("a", F.coalesce("c", "b").alias("b"))
+            top = stage(connected_components(ends), "components")
+            joined = comps.join(top.select(F.col("id").alias("comp"), F.col("comp").alias("c")), "comp", "left")
+            comps = stage(joined.select("id", F.coalesce("c", "comp").alias("comp")).union(top).distinct(), "components")
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(
         F.count("*").alias("n_links"))
     named = sets.join(comps.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left").select(
