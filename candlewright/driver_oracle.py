@@ -121,7 +121,7 @@ WHERE prev_end_id IS NOT NULL AND start_id <> prev_end_id + 1"""
 
 def _expected(bars: str) -> str:
     return f"""SELECT symbol, interval, year, suffix, expected, count, count - expected AS diff,
-  CASE WHEN interval = '1s' AND count - expected < 0 THEN 'sparse (no-trade seconds)' ELSE '' END AS note
+  CASE WHEN interval = '1s' AND count - expected < 0 THEN 'sparse: seconds without trades' ELSE '' END AS note
 FROM (SELECT symbol, interval, year, count,
         CASE WHEN month(last) = 12 AND day(last) = 31 THEN CAST(year AS VARCHAR)
              ELSE strftime(last, '%Y-%m-%d') END AS suffix,
@@ -147,7 +147,7 @@ FROM ({_expected(bars)}) e
 UNION ALL
 SELECT symbol, 'continuity', printf('%s_%s_%d.parquet', symbol, 'aggTrades', year), NULL, NULL, year,
   NULL, NULL, NULL, prev_end_id, start_id, NULL, missing,
-  printf('agg_id gap: end=%d start=%d missing=%d', prev_end_id, start_id, missing)
+  printf('%d ids missing between %d and %d', missing, prev_end_id, start_id)
 FROM ({_continuity(src)}) c"""
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from candlewright.schemas import QUOTE_ASSETS
+from candlewright.schemas import INTERVAL_SECONDS, QUOTE_ASSETS
 
 # the archive host is a deployment setting; pass the real one to archive_url
 ARCHIVE_BASE_URL = "https://archives.invalid"
@@ -16,7 +16,7 @@ ARCHIVE_BASE_URL = "https://archives.invalid"
 #   bar files     SYMBOL_kline_INTERVAL_YYYY.parquet and SYMBOL_kline_INTERVAL_YYYY-MM-DD.parquet
 ARCHIVE_RE = r"^(.+)-([A-Za-z]+)-(\d{4})-(\d{2})(?:-(\d{2}))?\.zip$"
 STORED_RE = r"_(\d{4})(?:-(\d{2})-(\d{2}))?\.parquet$"
-KLINE_RE = r"_kline_([0-9]+[smhd])_(\d{4})(?:-(\d{2}-\d{2}))?\.parquet$"
+KLINE_RE = "_kline_(" + "|".join(INTERVAL_SECONDS) + r")_(\d{4})(?:-(\d\d-\d\d))?[.]parquet$"
 
 _QUOTE_RE = "^(.+)(" + "|".join(QUOTE_ASSETS) + ")$"
 

@@ -2,10 +2,10 @@
 
 Scale notes:
 
-* The id-gap list never sorts a whole (symbol, year) in one task. Ids are
-  first made distinct (a hash aggregate: a hot id's copies collapse map-side),
-  then cut into fixed-width id buckets; ``lead`` runs inside each bucket and
-  the bucket seams are checked on a per-bucket min/max table that is tiny.
+* The id-gap list never sorts a whole (symbol, year) in one task. Ids are cut
+  into fixed-width id buckets and exchanged once by bucket; ``lead`` runs inside
+  each bucket and the bucket seams are checked on a per-bucket min/max table
+  that is tiny and comes from the same exchange.
 * Missing bars are found as gaps in the slot-number sequence (like id gaps),
   so only missing slots are generated; the full expected grid (G7) is only
   built by :func:`expected_bar_grid`, in two levels (days, then slots).
@@ -46,7 +46,7 @@ def id_span_check(trades: DataFrame, keys: Sequence[str] = ("symbol", "year")) -
         null = F.lit(None).cast("long")
         return df.select(*keys).distinct().select(
             *keys, F.lit(0).cast("long").alias("count"), null.alias("start_id"), null.alias("end_id"),
-            F.lit(0).cast("long").alias("gap_count"), F.lit("no agg_trade_id column").alias("note"))
+            F.lit(0).cast("long").alias("gap_count"), F.lit("dataset has no trade ids").alias("note"))
     g = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("count"),
         F.min("agg_trade_id").alias("start_id"),
@@ -75,15 +75,31 @@ def id_gaps(trades: DataFrame, keys: Sequence[str] = ("symbol", "year"),
 
     Exact for any span (no 2^31 limit) and any duplication.
     """
+    ids = _bucketed_ids(trades, keys, bucket)
+    return _gaps(ids, _bucket_bounds(ids, keys), keys)
+
+
+def _bucketed_ids(trades: DataFrame, keys: Sequence[str], bucket: int) -> DataFrame:
+    """Ids dealt by (keys, id bucket): the one full exchange of ids, which the window and
+    the bounds below share."""
     df = trades if "year" in trades.columns or "year" not in keys else \
         trades.withColumn("year", F.year("time"))
-    ids = (df.select(*keys, F.col("agg_trade_id").alias("id")).distinct()
-           .withColumn("_b", F.floor(F.col("id") / F.lit(bucket))))
+    return (df.select(*keys, F.col("agg_trade_id").alias("id"))
+            .withColumn("_b", F.floor(F.col("id") / F.lit(bucket)))
+            .repartition(*keys, "_b"))
+
+
+def _bucket_bounds(ids: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return ids.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("id").alias("_lo"),
+                                        F.max("id").alias("_hi"))
+
+
+def _gaps(ids: DataFrame, bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # copies of an id are a step of 0 and need no distinct
     inside = (ids.withColumn("next_id", F.lead("id").over(
                   Window.partitionBy(*keys, "_b").orderBy("id")))
               .filter(F.col("next_id") - F.col("id") > 1)
               .select(*keys, F.col("id").alias("prev_id"), "next_id"))
-    bounds = ids.groupBy(*keys, "_b").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi"))
     seams = (bounds.withColumn("next_id", F.lead("_lo").over(
                  Window.partitionBy(*keys).orderBy("_b")))
              .filter(F.col("next_id") - F.col("_hi") > 1)
@@ -96,11 +112,21 @@ def id_check_with_gaps(trades: DataFrame, keys: Sequence[str] = ("symbol", "year
                        bucket: int = DEFAULT_ID_BUCKET) -> DataFrame:
     """A7 with the W2 totals: ``gap_ranges`` and ``missing_ids``.
 
-    The two keyed aggregates are merged by a union and one more group-by on
-    the keys (one row per key on each side), not by a join.
+    Spans come from the per-bucket bounds of the gap search, so the ids are
+    exchanged once. The two keyed aggregates are merged by a union and one more
+    group-by on the keys (one row per key on each side), not by a join. A
+    dataset without ids gets the note of :func:`id_span_check`.
     """
-    spans = id_span_check(trades, keys)
-    totals = id_gaps(trades, keys, bucket).groupBy(*keys).agg(
+    if "agg_trade_id" not in trades.columns:
+        zero = F.lit(0).cast("long")
+        return id_span_check(trades, keys).withColumns({"gap_ranges": zero, "missing_ids": zero}).select(
+            *keys, "count", "start_id", "end_id", "gap_count", "gap_ranges", "missing_ids", "note")
+    ids = _bucketed_ids(trades, keys, bucket)
+    bounds = _bucket_bounds(ids, keys)
+    spans = (bounds.groupBy(*keys).agg(F.sum("_n").alias("count"), F.min("_lo").alias("start_id"),
+                                       F.max("_hi").alias("end_id"))
+             .withColumn("gap_count", F.col("end_id") - F.col("start_id") + 1 - F.col("count")))
+    totals = _gaps(ids, bounds, keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("gap_ranges"), F.sum("missing").alias("missing_ids"))
     span_cols = ["count", "start_id", "end_id", "gap_count"]
     both = (spans.select(*keys, *span_cols, F.lit(None).cast("long").alias("gap_ranges"),
@@ -160,7 +186,7 @@ def bar_expected_counts(bars: DataFrame, keys: Sequence[str] = ("symbol",)) -> D
         exp.alias("expected"), "count", (F.col("count") - exp).alias("diff"))
     return out.withColumn(
         "note", F.when((F.col("interval") == "1s") & (F.col("diff") < 0),
-                       F.lit("sparse (no-trade seconds)")).otherwise(F.lit("")))
+                       F.lit("sparse: seconds without trades")).otherwise(F.lit("")))
 
 
 def expected_bar_grid(bars: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -313,8 +339,8 @@ def check_report(id_checks: DataFrame, bar_checks: DataFrame, continuity: DataFr
         null_l.alias("expected"), null_l.alias("count"), null_l.alias("diff"),
         F.col("prev_end_id").alias("start_id"), F.col("start_id").alias("end_id"),
         null_l.alias("gap_count"), "missing",
-        F.format_string("agg_id gap: end=%d start=%d missing=%d", F.col("prev_end_id"),
-                        F.col("start_id"), F.col("missing")).alias("note"))
+        F.format_string("%d ids missing between %d and %d", F.col("missing"), F.col("prev_end_id"),
+                        F.col("start_id")).alias("note"))
     out = trades.unionByName(bars).unionByName(errs)
     return out.orderBy("symbol", F.coalesce("interval_seconds", F.lit(1 << 31)), "name", "kind")
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from candlewright.operators.bars import klines_all_intervals
 from candlewright.operators.coverage import coverage_by_year, coverage_stored
 from candlewright.schemas import BASE_INTERVALS
-from candlewright.sources.store import read_table, table_exists, upsert, write_table
+from candlewright.sources.store import read_table, stage_parquet, table_exists, upsert, write_table
 
 BAR_PARTITIONS = ("symbol", "interval", "year")
 
@@ -65,10 +65,11 @@ def stale_partitions(trades: DataFrame | None, bars: DataFrame | None,
 def rebuild_stale_bars(spark: SparkSession, trades: DataFrame, bars_path: str,
                        intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
                        zero_qty: str = "nan", decimals: int | None = None,
-                       exact: bool = True, trades_path: str | None = None) -> DataFrame:
+                       exact: bool = False, trades_path: str | None = None) -> DataFrame:
     """Re-aggregate bars only for stale (symbol, year) pairs of ``trades`` and
-    overwrite those bar partitions; returns the bar table. ``exact=False``
-    builds them with the cascade (ticks aggregated once). With ``trades_path``
+    overwrite those bar partitions; returns the bar table. They are built with
+    the cascade (ticks aggregated once); ``exact=True`` takes every interval
+    straight from the ticks. With ``trades_path``
     (the stored trade table) the source coverage comes from Parquet footers,
     so deciding what is stale reads no trade rows; only the stale partitions
     are then read (dynamic partition pruning on the semi join)."""
@@ -79,7 +80,7 @@ def rebuild_stale_bars(spark: SparkSession, trades: DataFrame, bars_path: str,
     todo = trades.join(stale, ["symbol", "year"], "left_semi")
     fresh = (klines_all_intervals(todo, intervals, zero_qty=zero_qty, decimals=decimals, exact=exact)
              .withColumn("year", F.year("time")))
-    fresh = fresh.checkpoint(eager=True)
+    fresh = stage_parquet(fresh, "fresh_bars")
     if not fresh.isEmpty():
         write_table(fresh, bars_path, BAR_PARTITIONS, order=("time",))
     return read_table(spark, bars_path)

@@ -144,7 +144,10 @@ def test_symbol_list_and_missing_id_column(spark):
         symbol_list(spark, d + "/e.json", require_nonempty=True)
     no_ids = spark.createDataFrame([("X", 2024)], "symbol string, year int")
     r = id_span_check(no_ids).collect()[0]
-    assert r.note == "no agg_trade_id column" and r.start_id is None
+    assert r.note == "dataset has no trade ids" and r.start_id is None
+    from candlewright.operators.quality import id_check_with_gaps
+    r = id_check_with_gaps(no_ids).collect()[0]
+    assert (r.note, r["count"], r.gap_ranges, r.missing_ids) == ("dataset has no trade ids", 0, 0, 0)
 
 
 def test_month_partitioned_upsert_rewrites_only_the_touched_month(spark):

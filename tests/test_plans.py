@@ -33,6 +33,15 @@ def test_trades_per_minute_scans_ticks_once(spark):
     assert p.count("FileScan") == 1
 
 
+def test_id_check_exchanges_ids_once(spark):
+    df = se.queries()["id_check_with_gaps"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # both gap branches read the exchange of the spans' branch
+    assert final.count("FileScan") == 1
+    assert final.count("ReusedExchange") == final.count("REPARTITION_BY_COL") - 1 == 2
+
+
 def test_upsert_reads_only_touched_partitions(spark):
     from candlewright.driver_queries import L_full, UPSERT_KEYS, UPSERT_ORDER
     from candlewright.session import shared_dir
