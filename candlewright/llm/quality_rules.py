@@ -3,15 +3,18 @@
 Base measures of a text: words, code points in words, symbols, lines equal to an
 earlier line, and words in repeated 3-word windows. Two base rules are fixed (too few
 words, too much repetition). All other limits adapt: per language and source a sketch
-of each measure's distribution gives its median m and 10 % quantile l, and a document
-fails beyond ``m + spread * (m - l)`` (for word length also below ``m - spread * (m -
-l)``), or beyond the measure's least limit where that is looser. Median and lower
-quantile stay put while less than half of a group is junk.
+of each measure's values above 0, over documents that pass the base rules, gives their
+median m and 10 % quantile l, and a document fails beyond ``m + spread * (m - l)`` (for
+word length also below ``m - spread * (m - l)``), or beyond the measure's least limit
+where that is looser. Median and lower quantile stay put while less than half of the
+values are junk. A share that fewer than ``COMMON`` of the documents have at all tells
+nothing about good documents (its values may all be junk): there the least limit holds.
 
 The sketch is a histogram over logarithmic buckets (2 % relative error, at most about
 900 buckets): counts add up, so it merges over tasks, and the sketch of a language or
-of everything is the sum of its groups' sketches. A group with fewer than ``min_docs``
-documents takes its language's limits, a small language the limits of all documents.
+of everything is the sum of its groups' sketches. An estimate from n values counts for
+``min(1, n / min_docs)`` and that of its language for the rest; a language leans on all
+documents in the same way.
 
 Scale. One pass measures texts where they are read (numpy on whole batches); only
 counts by group, measure and bucket are shuffled, with map-side combine, so a hot
@@ -39,9 +42,11 @@ from candlewright.llm.textops import Words, chunks, free_name, roll, span_hashes
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 GAMMA = 1.02
-#: measure -> (least upper limit, least distance below the median or None: no lower limit)
+#: Share of documents with a value above 0 from which the values set the limit.
+COMMON = 0.2
+#: measure -> (least upper limit or distance above the median, least distance below or None: no lower limit)
 LIMITS = {"symbol_share": (0.1, None), "repeat_share": (0.5, None), "dup_line_share": (0.5, None),
-          "word_length": (3.0, 2.0)}
+          "word_length": (1.0, 1.0)}
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -122,35 +127,51 @@ def _middle(bucket: Column) -> Column:
     return F.when(bucket == 0, 0.0).otherwise(F.lit(1e-4) * F.pow(F.lit(GAMMA), bucket - 1.5))
 
 
-def limits(measured: DataFrame, lang: str, source: str, *, spread: float, min_docs: int) -> DataFrame:
-    """Per group (``g_lang``, ``g_source``, never null): ``<measure>_max`` and ``_min``."""
+def limits(measured: DataFrame, lang: str, source: str, *, base: Column, spread: float, min_docs: int) -> DataFrame:
+    """Per group (``g_lang``, ``g_source``, never null): ``<measure>_max`` and ``_min``, from
+    the rows that do not fail ``base``."""
     rows = measured.select(
         F.coalesce(F.concat(F.lit("0"), lang), F.lit("1")).alias("g_lang"),
-        F.coalesce(F.concat(F.lit("0"), source), F.lit("1")).alias("g_source"),
+        F.coalesce(F.concat(F.lit("0"), source), F.lit("1")).alias("g_source"), (~base).cast("long").alias("ok"),
         F.explode(F.array(*[F.struct(F.lit(m).alias("m"), _bucket(_value(m)).alias("bucket")) for m in LIMITS]))
         .alias("x"))
-    sketch = rows.groupBy("g_lang", "g_source", "x.m", "x.bucket").agg(F.count("*").alias("n"))
+    # a group of failed rows only has counts of 0 and its parents' limits
+    sketch = rows.groupBy("g_lang", "g_source", "x.m", "x.bucket").agg(F.sum("ok").alias("n"))
 
     # one key per level: its group, its language, everything
     key = F.explode(F.array(F.concat_ws("\x00", F.lit("2"), "g_lang", "g_source"),
                             F.concat_ws("\x00", F.lit("1"), "g_lang"), F.lit("0"))).alias("key")
     merged = sketch.select(key, "m", "bucket", "n").groupBy("key", "m", "bucket").agg(F.sum("n").alias("n"))
-    run = Window.partitionBy("key", "m").orderBy("bucket")
-    merged = merged.withColumns({"upto": F.sum("n").over(run), "docs": F.sum("n").over(
-        Window.partitionBy("key", "m"))})
-    q = lambda p: F.min(F.when(F.col("upto") >= p * F.col("docs"), _middle(F.col("bucket"))))
-    levels = merged.groupBy("key", "m").agg(q(0.5).alias("mid"), q(0.1).alias("low"), F.max("docs").alias("docs"))
-    # the most detailed level with enough documents, else everything
-    level = F.when(F.col("docs") >= min_docs, F.substring("key", 1, 1).cast("int")).otherwise(
-        -F.substring("key", 1, 1).cast("int"))
+    above = F.when(F.col("bucket") > 0, F.col("n")).otherwise(0)
+    run, whole = Window.partitionBy("key", "m").orderBy("bucket"), Window.partitionBy("key", "m")
+    merged = merged.withColumns({"upto": F.sum(above).over(run), "above": F.sum(above).over(whole),
+                                 "docs": F.sum("n").over(whole)})
+    q = lambda p: F.min(F.when((above > 0) & (F.col("upto") >= p * F.col("above")),
+                               _middle(F.col("bucket"))))
+    levels = merged.groupBy("key", "m").agg(q(0.5).alias("mid"), q(0.1).alias("low"), F.max("above").alias("above"),
+                                            F.max("docs").alias("docs"))
     groups = sketch.select("g_lang", "g_source").distinct().select("g_lang", "g_source", key)
-    out = groups.join(levels, "key").groupBy("g_lang", "g_source").pivot("m", list(LIMITS)).agg(
-        F.max_by(F.struct("mid", "low"), level))
+    at = lambda k: F.max(F.when(F.substring("key", 1, 1) == k, F.struct("mid", "low", "above", "docs")))
+    out = groups.join(levels, "key").groupBy("g_lang", "g_source", "m").agg(*[at(k).alias(f"l{k}") for k in "012"])
+
+    def drawn(value, weight) -> Column:
+        est = F.coalesce(value(F.col("l0")), F.lit(0.0))
+        for k in ("l1", "l2"):
+            w = F.least(F.lit(1.0), weight(F.col(k)) / max(min_docs, 1))
+            est = F.when(w > 0, w * value(F.col(k)) + (1 - w) * est).otherwise(est)
+        return est
+
+    out = out.select(
+        "g_lang", "g_source", "m", drawn(lambda x: x["mid"], lambda x: x["above"]).alias("mid"),
+        drawn(lambda x: x["low"], lambda x: x["above"]).alias("low"),
+        drawn(lambda x: x["above"] / F.when(x["docs"] > 0, x["docs"]), lambda x: x["docs"]).alias("common"))
+    out = out.groupBy("g_lang", "g_source").pivot("m", list(LIMITS)).agg(F.first(F.struct("mid", "low", "common")))
     cols = []
     for m, (least, below) in LIMITS.items():
         mid, wide_by = F.col(m)["mid"], spread * (F.col(m)["mid"] - F.col(m)["low"])
         if below is None:
-            cols.append(F.greatest(mid + wide_by, F.lit(least)).alias(f"{m}_max"))
+            cols.append(F.when(F.col(m)["common"] >= COMMON, F.greatest(mid + wide_by, F.lit(least)))
+                        .otherwise(least).alias(f"{m}_max"))
         else:
             cols += [(mid + F.greatest(wide_by, F.lit(least))).alias(f"{m}_max"),
                      (mid - F.greatest(wide_by, F.lit(below))).alias(f"{m}_min")]
@@ -167,11 +188,11 @@ def judge(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     keep = [c for c in inner.columns if carry_text or c != at[text]]
     short = stage(measures(inner, at[text], [at[lang], at[source]] if carry_text else keep), "measures")
-    table = stage(limits(short, at[lang], at[source], spread=spread, min_docs=min_docs), "quality-limits")
+    base = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * repeat_percent)
+    table = stage(limits(short, at[lang], at[source], base=base, spread=spread, min_docs=min_docs), "quality-limits")
     rows = measures(inner, at[text], keep) if carry_text else short
     rows = rows.withColumns({"g_lang": F.coalesce(F.concat(F.lit("0"), at[lang]), F.lit("1")),
                              "g_source": F.coalesce(F.concat(F.lit("0"), at[source]), F.lit("1"))})
-    base = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * repeat_percent)
     good = ~base
     for m, (_, below) in LIMITS.items():
         good = good & (_value(m) <= F.col(f"{m}_max"))

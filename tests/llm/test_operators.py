@@ -238,6 +238,28 @@ def test_quality_rules_split_good_from_junk(spark):
         assert x.kept == (r.quality == 1 and not x.base_failed)
 
 
+def test_quality_limits_follow_their_group(spark):
+    """Symbols are usual in one source, and words long in one language; a small group leans on its language."""
+    rng = np.random.default_rng(2)
+
+    def text(letters, symbols, n=100):
+        # no three words come back, so nothing repeats
+        w = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), letters + int(rng.integers(-1, 2)))) for _ in range(n)]
+        return " ".join(w[:n - symbols] + ["%"] * min(symbols, 2) + ["%" + x for x in w[n - symbols + 2:]])
+
+    rows = [(i, text(5, 10 + 3 * (i % 9) if i % 10 < 3 else 0), "en", "code") for i in range(300)]
+    rows += [(1000 + i, text(5, 0), "en", "prose") for i in range(300)]
+    rows += [(2000 + i, text(11, 0), "fi", "prose") for i in range(300)]
+    rows += [(3000, text(5, 30), "en", "code"), (3001, text(5, 30), "en", "prose"), (3002, text(11, 0), "en", "prose"),
+             (3003, text(5, 0), "fi", "prose"), (3004, text(11, 0), "fi", "few"), (3005, text(7, 0), "en", "prose"),
+             (3006, "short", "en", "failed")]
+    got = {r.doc_id: r.kept for r in quality_rules.judge(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] for i in [*range(300), *range(1000, 1300), *range(2000, 2300)])
+    assert [got[3000 + i] for i in range(7)] == [True, False, False, False, True, False, False]
+
+
 def test_quality_odd_rows(odd, nothing):
     rows = quality_rules.judge(odd).collect()
     assert len(rows) == odd.count() and all(r.base_failed for r in rows if not words(getattr(r, "text", None) or "x"))
