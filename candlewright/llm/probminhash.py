@@ -1,10 +1,12 @@
 """Near-duplicates by ProbMinHash, banding and exact verification.
 
-Shingles are ``shingle`` consecutive words, weighted by ``1 + log2(count)`` in their
-text. Every shingle is a Poisson process: its hash drives exponential waiting times at
-the rate of its weight, and each arrival falls on one of ``bands * rows`` registers; a
-register keeps the shingle with the earliest arrival. Two texts agree in a register
-with their probability Jaccard. A process stops as soon as its time passes the latest
+Shingles are ``shingle`` consecutive words. Every shingle is a Poisson process: its hash
+drives exponential waiting times at the rate of its weight, and each arrival falls on one
+of ``bands * rows`` registers; a register keeps the shingle with the earliest arrival. Two
+texts agree in a register with their probability Jaccard. The search uses registers of
+weight 1, where this is the Jaccard of the shingle sets that links are verified by, so
+repeats inside a text hide no link. Registers of weight ``1 + log2(count)`` give each
+link the estimate ``weighted``, which counts repeats and decides nothing. A process stops as soon as its time passes the latest
 register (early termination), so most shingles cost one arrival. All texts of a chunk
 run together in numpy rounds.
 
@@ -98,8 +100,8 @@ def _sketch(k: int, bands: int, rows: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, data, off in chunks(batches, "text"):
             n = b.num_rows
-            doc, item, count = shingle_sets(data, off, k)
-            reg = probminhash(doc, item, 1 + np.log2(count), n, bands * rows)
+            doc, item, _ = shingle_sets(data, off, k)
+            reg = probminhash(doc, item, np.ones(len(item)), n, bands * rows)
             d1, d2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
             np.add.at(d1, doc, mix64(item))
             np.add.at(d2, doc, mix64(item ^ np.uint64(0xD16E57)))
@@ -117,15 +119,17 @@ def _sketch(k: int, bands: int, rows: int):
     return task
 
 
-def _sets(k: int):
+def _sets(k: int, m: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, data, off in chunks(batches, "text"):
-            doc, item, _ = shingle_sets(data, off, k)
+            doc, item, count = shingle_sets(data, off, k)
+            low = mix64(probminhash(doc, item, 1 + np.log2(count), b.num_rows, m)).astype(np.uint16)
             at = np.searchsorted(doc, np.arange(b.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([item[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary()),
                  pa.array([np.sort((item[s:e] >> np.uint64(32)).astype(np.uint32)).tobytes()
-                           for s, e in zip(at[:-1], at[1:])], pa.binary())], ["id", "items", "items32"])
+                           for s, e in zip(at[:-1], at[1:])], pa.binary()),
+                 pa.array([r.tobytes() for r in low], pa.binary())], ["id", "items", "items32", "weights"])
     return task
 
 
@@ -142,11 +146,17 @@ def similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
 def _verify(similarity: float):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            if not b.num_rows:
+                continue
             keep = []
             for x, y in zip(b.column("x"), b.column("y")):
                 keep.append(similar(np.frombuffer(x.as_buffer(), np.uint64),
                                     np.frombuffer(y.as_buffer(), np.uint64), similarity))
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            v, w = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(b.num_rows, -1)
+                    for c in ("v", "w"))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a"), b.column("b"), pa.array((v == w).sum(axis=1) / max(v.shape[1], 1), pa.float64())],
+                ["a", "b", "weighted"]).filter(pa.array(keep, pa.bool_()))
     return task
 
 
@@ -188,8 +198,9 @@ def _rest(limit: float, similarity: float):
 def near_duplicate_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, bands: int = 20,
                            rows: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``, ``class_id``, ``n_links`` (verified links between
-    its shingle set and other sets found in the search), ``n_shingles`` and ``id`` (the row's
-    key: its doc_id, or a hash of its text where that is null)."""
+    its shingle set and other sets found in the search), ``weighted`` (the largest estimate of
+    the weighted similarity over these links; null without links), ``n_shingles`` and ``id``
+    (the row's key: its doc_id, or a hash of its text where that is null)."""
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.lit("null id"), text)).alias("id"),
                     F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketch = stage(d.mapInArrow(_sketch(shingle, bands, rows), "id long, doc_id long, d1 long, d2 long, "
@@ -211,13 +222,16 @@ def near_duplicate_classes(docs: DataFrame, *, shingle: int = 5, similarity: flo
     member = stage(member.join(lead.select("key", (-F.col("top.first")).alias("lead")), "key").drop("met"), "buckets")
     wanted = member.select(F.col("rep").alias("id")).distinct()
     # one plan at every size: texts are exchanged, not the ids broadcast
-    items = stage(d.select("id", "text").join(wanted.hint("merge"), "id").mapInArrow(_sets(shingle), "id long, items binary, items32 binary"), "shingle-sets")
+    items = stage(d.select("id", "text").join(wanted.hint("merge"), "id").mapInArrow(
+        _sets(shingle, bands * rows), "id long, items binary, items32 binary, weights binary"), "shingle-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        x = items.select(F.col("id").alias("a"), F.col("items").alias("x"))
-        y = items.select(F.col("id").alias("b"), F.col("items").alias("y"))
-        return stage(pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y")
-                     .mapInArrow(_verify(similarity), "a long, b long").distinct(), "links")
+        x = items.select(F.col("id").alias("a"), F.col("items").alias("x"), F.col("weights").alias("v"))
+        y = items.select(F.col("id").alias("b"), F.col("items").alias("y"), F.col("weights").alias("w"))
+        checked = pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y", "v", "w").mapInArrow(
+            _verify(similarity), "a long, b long, weighted double")
+        # rows that share an id give a pair more than once
+        return stage(checked.groupBy("a", "b").agg(F.max("weighted").alias("weighted")), "links")
 
     links = verified(member.where("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct())
     comps = stage(connected_components(links), "components")
@@ -241,7 +255,7 @@ def near_duplicate_classes(docs: DataFrame, *, shingle: int = 5, similarity: flo
         more = stage(spread.groupBy("key", "b1", "b2").applyInArrow(_rest(limit, similarity), "a long, b long").distinct(), "pairs")
         found = verified(more)
         if not found.isEmpty():
-            links = stage(links.union(found).distinct(), "links")
+            links = stage(links.union(found).groupBy("a", "b").agg(F.max("weighted").alias("weighted")), "links")
             # only the components that the new links join are contracted again
             of = comps.withColumnRenamed("comp", "c")
             ends = found.join(of.withColumnRenamed("id", "a"), "a", "left").select(F.coalesce("c", "a").alias("a"), "b")
@@ -249,14 +263,16 @@ def near_duplicate_classes(docs: DataFrame, *, shingle: int = 5, similarity: flo
             top = stage(connected_components(ends), "components")
             joined = comps.join(top.select(F.col("id").alias("comp"), F.col("comp").alias("c")), "comp", "left")
             comps = stage(joined.select("id", F.coalesce("c", "comp").alias("comp")).union(top).distinct(), "components")
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(
-        F.count("*").alias("n_links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("rep"), "weighted").groupBy("rep").agg(
+        F.count("*").alias("n_links"), F.max("weighted").alias("weighted"))
     named = sets.join(comps.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left").select(
-        "d1", "d2", F.coalesce("comp", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "d1", "d2", F.coalesce("comp", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "weighted")
     linked = some.select("id", "doc_id", "d1", "d2", "n_shingles").join(named, ["d1", "d2"]).select(
-        "doc_id", "class_id", "n_links", "n_shingles", "id")
+        "doc_id", "class_id", "n_links", "weighted", "n_shingles", "id")
     alone = sketch.where("n_shingles = 0").select(
-        "doc_id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "n_shingles", "id")
+        "doc_id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+        F.lit(None).cast("double").alias("weighted"), "n_shingles", "id")
     return linked.union(alone)
 
 

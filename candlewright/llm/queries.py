@@ -50,7 +50,8 @@ def op8_adaptive_quality_rules(spark, d):
 
 def op9_probminhash_near_duplicates(spark, d):
     docs = read(spark, d, "documents", ["doc_id", "text"])
-    return PM.near_duplicate_classes(docs).select("doc_id", "class_id", "n_links", "n_shingles")
+    return PM.near_duplicate_classes(docs).select("doc_id", "class_id", "n_links", "n_shingles",
+                                                       "weighted")
 
 
 def op5_scaled_sketch(spark, d):

@@ -169,6 +169,18 @@ def test_near_duplicates_match_brute_force(docs, texts):
     assert {r.doc_id: r.class_id for r in rows} == brute_classes(texts)
 
 
+def test_near_duplicates_with_repeated_blocks(spark):
+    """One text of each pair has its second block 60 times: set Jaccard 0.96, weighted about 0.5."""
+    rows = []
+    for i in range(30):
+        head = " ".join(f"h{i}x{j}" for j in range(60))
+        block = " ".join(f"b{i}x{j}" for j in range(30))
+        rows += [(2 * i, f"{head} {block}"), (2 * i + 1, " ".join([head] + [block] * 60))]
+    got = {r.doc_id: r for r in probminhash.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: r.class_id for k, r in got.items()} == brute_classes(rows) == {k: k // 2 * 2 for k, _ in rows}
+    assert all(r.n_links == 1 and 0.3 < r.weighted < 0.75 for r in got.values())
+
+
 def test_registers_estimate_probability_jaccard():
     a, b = np.arange(0, 90, dtype=np.uint64), np.arange(10, 100, dtype=np.uint64)
     item = np.concatenate([a, b]) * np.uint64(0x9E3779B97F4A7C15)
