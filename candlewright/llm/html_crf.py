@@ -3,7 +3,8 @@
 A page is cut into leaf blocks: runs of text between block-level tags, with character
 references decoded and white space runs as one space. Scripts, styles, comments and
 other raw text never form blocks. Each block has features of its ancestor tags, their
-class and id words, its length, links and punctuation; a two-label chain (content,
+class and id words (of inline and custom elements around it too, whatever their length),
+its length, links and punctuation; a two-label chain (content,
 other) scores features and label transitions; Viterbi decoding picks the labels, and
 the content blocks, in page order and joined by a newline, are the main text.
 
@@ -16,7 +17,9 @@ Scale. Pages are parsed and decoded where they are read, without a shuffle; the
 is a few thousand numbers.
 
 Defined results. Null or empty html gives '' and 0. Unclosed, misnested and truncated
-markup is parsed leniently; a page without content blocks gives ''. Without labelled
+markup is parsed leniently: an inline element that is never closed ends with the block
+around it, and its end tag does not reach over an open block other than those whose end
+tag may be left out; a page without content blocks gives ''. Without labelled
 pages the model falls back to its starting weights, where only the ancestors named in
 ``OTHER`` speak against a block. Repeated rows get equal results; extra columns do not
 matter; an empty table gives no rows.
@@ -43,6 +46,8 @@ BLOCK = frozenset("""address article aside blockquote body button caption center
  nav noscript ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead title
  tr ul""".split())
 RAW = ("script", "style", "template", "iframe", "noembed", "noframes", "svg", "math", "textarea", "title", "select")
+#: Blocks whose end tag may be left out.
+OPEN_END = frozenset("p li dt dd option optgroup tr td th thead tbody tfoot".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Ancestor names (tags, and words of class, id and role) that speak against content.
 OTHER = frozenset("""nav menu navigation header masthead banner footer aside sidebar side ad ads advert advertisement
@@ -65,8 +70,8 @@ def blocks(page: str) -> list[tuple[str, list[str], list[str], int]]:
     def flush():
         nonlocal links
         text = _SPACE.sub(" ", html.unescape("".join(run))).strip()
-        if text:
-            out.append((text, [t for t, _ in stack], [w for _, ws in stack for w in ws], min(links, len(text))))
+        if text:  # an inline element matters by its class only
+            out.append((text, [t for t, ws in stack if ws or t in BLOCK], [w for _, ws in stack for w in ws], min(links, len(text))))
         run.clear()
         links = 0
 
@@ -76,6 +81,23 @@ def blocks(page: str) -> list[tuple[str, list[str], list[str], int]]:
                 del stack[i:]
                 return
 
+    def close_inline(name):
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] == name:
+                if any(t in BLOCK for t, _ in stack[i:]):
+                    flush()
+                del stack[i:]
+                return
+            if stack[i][0] in BLOCK and stack[i][0] not in OPEN_END:
+                return
+
+    def around():
+        """Index of the innermost open block (-1: none); inline elements may be open in it."""
+        i = len(stack) - 1
+        while i >= 0 and stack[i][0] not in BLOCK:
+            i -= 1
+        return i
+
     at = 0
     while at < len(page):
         m = _TAG.search(page, at)
@@ -102,7 +124,9 @@ def blocks(page: str) -> list[tuple[str, list[str], list[str], int]]:
         elif m[1]:
             if tag in BLOCK:
                 flush()
-            close((tag,))
+                close((tag,))
+            else:
+                close_inline(tag)
         elif tag in VOID:
             if tag in BLOCK:
                 flush()
@@ -111,15 +135,17 @@ def blocks(page: str) -> list[tuple[str, list[str], list[str], int]]:
             if tag in BLOCK:
                 flush()
                 in_link = 0
-                if stack and stack[-1][0] == "p":
-                    stack.pop()
-                if tag in ("li", "option", "tr", "td", "th", "dt", "dd") and stack and (
-                        stack[-1][0] == tag or tag in ("dt", "dd") and stack[-1][0] in ("dt", "dd")
-                        or tag in ("td", "th") and stack[-1][0] in ("td", "th")):
-                    stack.pop()
+                i = around()
+                if i >= 0 and stack[i][0] == "p":
+                    del stack[i:]
+                    i = around()
+                if tag in ("li", "option", "tr", "td", "th", "dt", "dd") and i >= 0 and (
+                        stack[i][0] == tag or tag in ("dt", "dd") and stack[i][0] in ("dt", "dd")
+                        or tag in ("td", "th") and stack[i][0] in ("td", "th")):
+                    del stack[i:]
+                stack.append((tag, words))
+            elif not m[0].endswith("/>"):
                 stack.append((tag, words))
-            elif words:  # an inline element matters by its class only, and only when it closes
-                stack.append((tag, words)) if f"</{tag}" in page[at:at + 20000] else None
     flush()
     return out
 

@@ -385,3 +385,24 @@ def test_pages_odd_rows(spark):
     by = {r.page_id: r.text for r in got}
     assert by[1] == "" and by[None] == "" and by[2] == "a & b c" and by[3] == "text" and by[4] == "One."
     assert html_crf.extract(pages.limit(0), html_crf.Model()).count() == 0
+
+
+def test_inline_wrappers_of_any_length_keep_their_words():
+    inner = "".join(f"<p>Reader {i} wrote {'word ' * 20}</p>" for i in range(300))
+    for start, end in (("<span class='comments'>", "</span>"), ("<SPAN CLASS='comments'>", "</SPAN>"),
+                       ("<app-comments id=comments>", "</App-Comments>"), ("<span class='comments'><span>", "</span></span>")):
+        got = html_crf.blocks(f"<div><p>before</p>{start}{inner}{end}<p>after</p></div>")
+        assert [w for _, _, w, _ in got] == [[]] + [["comments"]] * 300 + [[]]
+
+
+def test_inline_elements_end_where_they_should():
+    words = lambda page: [(t, w) for t, _, w, _ in html_crf.blocks(page)]
+    # the inner end tag is not the outer's
+    assert words("<span class=ad><p><span>a</span></p><p>b</p></span><p>c</p>") == [("a", ["ad"]), ("b", ["ad"]), ("c", [])]
+    # never closed: ends with the block around it, also when that has no end tag itself
+    assert words("<div><font class=ad><p>a</p></div><p>b</p>") == [("a", ["ad"]), ("b", [])]
+    assert words("<ul><li><b class=ad><div>a</div><li>b</ul>") == [("a", ["ad"]), ("b", [])]
+    # an end tag inside a block does not close what is around the block; empty elements hold nothing
+    assert words("<span class=ad><div>a</span></div><p>b</p></span><p>c</p>") == [("a", ["ad"]), ("b", ["ad"]), ("c", [])]
+    assert words("<div><i class='share'/><p>a</p></div>") == [("a", [])]
+    assert words("<app-c class=ad><p>a</app-c><p>b") == [("a", ["ad"]), ("b", [])]
