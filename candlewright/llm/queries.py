@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from candlewright.llm import fill_middle as FM
 from candlewright.llm import html_crf as HC
 from candlewright.llm import mixing as MX
 from candlewright.llm import packing as PK
@@ -75,6 +76,14 @@ def op3_html_crf(spark, d):
     return HC.extract(pages, HC.train(pages, read(spark, d, "documents", ["doc_id", "text"])))
 
 
+def op11_rank_index_fim(spark, d):
+    docs = read(spark, d, "documents", ["doc_id", "text"])
+    got = FM.fill_in_middle(FM.rank_index(docs)).select("doc_id", "fim.*")
+    return got.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(FM.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_vector_best_fit": op1_vector_best_fit,
     "op2_pu_quality": op2_pu_quality,
@@ -86,6 +95,7 @@ QUERIES = {
     "op8_adaptive_quality_rules": op8_adaptive_quality_rules,
     "op9_probminhash_near_duplicates": op9_probminhash_near_duplicates,
     "op10_toxic_segments": op10_toxic_segments,
+    "op11_rank_index_fim": op11_rank_index_fim,
 }
 
 ORACLE = {}
@@ -118,3 +128,25 @@ SELECT doc_id, size, source_size, target,
           OR (upto - same < rest AND (rest - (upto - same)::DOUBLE) * 2 >= same)) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM v
 """
+
+#: Cuts by the list of tokens itself, without an index.
+ORACLE["op11_rank_index_fim"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w FROM documents),
+n AS (SELECT *, len(w)::BIGINT AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(w) + 1) AS a,
+             CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(w) + 1) AS b,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS h3,
+             CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4 FROM d),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+                     WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+             array_to_string(list_slice(w, 1, least(a, b)), '') AS p,
+             array_to_string(list_slice(w, least(a, b) + 1, greatest(a, b)), '') AS m,
+             array_to_string(list_slice(w, greatest(a, b) + 1, n), '') AS s FROM n)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
