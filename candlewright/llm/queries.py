@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from candlewright.llm import alignment as AL
 from candlewright.llm import fill_middle as FM
 from candlewright.llm import html_crf as HC
 from candlewright.llm import mixing as MX
@@ -84,6 +85,11 @@ def op11_rank_index_fim(spark, d):
                       F.sha2(FM.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op12_token_alignment(spark, d):
+    docs = read(spark, d, "documents", ["doc_id", "text"])
+    return AL.alignment_digests(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_vector_best_fit": op1_vector_best_fit,
     "op2_pu_quality": op2_pu_quality,
@@ -96,6 +102,7 @@ QUERIES = {
     "op9_probminhash_near_duplicates": op9_probminhash_near_duplicates,
     "op10_toxic_segments": op10_toxic_segments,
     "op11_rank_index_fim": op11_rank_index_fim,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLE = {}
