@@ -17,6 +17,7 @@ from candlewright.llm import records as RC
 from candlewright.llm import scaled_sketch as SK
 from candlewright.llm import substring_dedup as SD
 from candlewright.llm import toxicity as TX
+from candlewright.llm import tree_bpe as TB
 from candlewright.llm.textops import read
 
 
@@ -90,6 +91,12 @@ def op12_token_alignment(spark, d):
     return AL.alignment_digests(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
 
+def op13_tree_bpe(spark, d):
+    docs = read(spark, d, "documents", ["doc_id", "text"])
+    out = TB.decode(TB.encode(docs, vocabulary()), vocabulary())
+    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_vector_best_fit": op1_vector_best_fit,
     "op2_pu_quality": op2_pu_quality,
@@ -103,6 +110,7 @@ QUERIES = {
     "op10_toxic_segments": op10_toxic_segments,
     "op11_rank_index_fim": op11_rank_index_fim,
     "op12_token_alignment": op12_token_alignment,
+    "op13_tree_bpe": op13_tree_bpe,
 }
 
 ORACLE = {}
