@@ -36,6 +36,7 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -120,8 +121,9 @@ class Alignment(NamedTuple):
 def alignment(len_a: np.ndarray, len_b: np.ndarray) -> Alignment:
     """Both incidences and the token-group incidences ``A·G`` and ``B·G``."""
     a, b = incidence(len_a), incidence(len_b)
-    ends = np.intersect1d(a.ptr[1:], b.ptr[1:])
-    ends = ends[ends > 0]
+    ends = a.ptr[1:][np.diff(a.ptr) > 0]
+    other = np.append(b.ptr[1:], -1)
+    ends = ends[other[np.searchsorted(b.ptr[1:], ends)] == ends]
     n = len(ends)
     group = Rows(np.arange(a.width + 1), np.repeat(np.arange(n), np.diff(ends, prepend=0)),
                  np.ones(a.width, np.int64), n)
@@ -179,6 +181,10 @@ class Pair:
                         for i, p in ((i, self.tok_b.id_to_piece(i)) for i in range(self.tok_b.get_piece_size()))]
         self.len_a = np.array([len(x) for x in self.bytes_a])
         self.len_b = np.array([len(x) for x in self.bytes_b])
+        self.n_a, self.n_b = len(self.len_a), len(self.len_b)
+        self.written = [f"{i}{sign}" for n, signs in ((self.n_a, ",|"), (self.n_b, ",;")) for sign in signs
+                        for i in range(n)]
+        self.written_len = np.array([len(w) for w in self.written])
         #: no piece holds a space after another character, so none crosses a cut
         self.cuts = not any(b" " in x.lstrip(b" ") for x in self.bytes_b)
         self.clear()
@@ -186,10 +192,12 @@ class Pair:
     def clear(self) -> None:
         self.hash = np.zeros(0, np.uint64)
         self.slot = np.zeros(0, np.int64)
-        self.codes: list[np.ndarray] = []
         self.text: list[str] = []
-        self.size: list[tuple[int, int, int]] = []
-        self.good: list[bool] = []
+        #: by slot: tokens, groups, whether the tokens spell the unit, and its codes in the pool
+        self.size = np.zeros((0, 3), np.int64)
+        self.good = np.zeros(0, bool)
+        self.code_at = np.zeros(1, np.int64)
+        self.pool = np.zeros(0, np.int64)
 
     def encode(self, texts: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of texts that begin with the space which the second tokenizer adds."""
@@ -204,33 +212,41 @@ class Pair:
     def learn(self, texts: list[bytes]) -> range:
         """Align new texts, together in one product; their slots."""
         ids_a, ids_b = self.encode(texts)
-        good = [self.spells(t, a, b) for t, a, b in zip(texts, ids_a, ids_b)]
-        ids_a = [x if g else [] for x, g in zip(ids_a, good)]
-        ids_b = [x if g else [] for x, g in zip(ids_b, good)]
-        n_a, n_b = np.array([len(x) for x in ids_a]), np.array([len(x) for x in ids_b])
-        a = np.fromiter((i for x in ids_a for i in x), np.int64, int(n_a.sum()))
-        b = np.fromiter((i for x in ids_b for i in x), np.int64, int(n_b.sum()))
+        good = np.ones(len(texts), bool)
+        if not self.spells(b"".join(texts), [i for x in ids_a for i in x], [i for x in ids_b for i in x]):
+            good[:] = [self.spells(*x) for x in zip(texts, ids_a, ids_b)]
+            ids_a = [x if g else [] for x, g in zip(ids_a, good)]
+            ids_b = [x if g else [] for x, g in zip(ids_b, good)]
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ids_a, ids_b))
+        a, b = (np.fromiter((i for y in x for i in y), np.int64, int(n.sum())) for x, n in ((ids_a, n_a), (ids_b, n_b)))
         x = alignment(self.len_a[a], self.len_b[b])
         own = np.repeat(np.arange(len(texts)), n_a)            # the text of each token of A
         parts = [(own[i], a[i] << 32 | b[j]) for i, j, _ in end_links(x)] or [(own[:0], a[:0])]
         at, code = (np.concatenate(p) for p in zip(*parts))
-        cut = np.searchsorted(at, np.arange(len(texts) + 1))
-        members_a, members_b = transpose(x.group_a), transpose(x.group_b)
-        first = members_a.col[members_a.ptr[:-1]]
-        group_at = np.searchsorted(own[first], np.arange(len(texts) + 1))
-        words_a, words_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        # tokens stand in order, so the members of a group are neighbours
-        pa_, pb_ = members_a.ptr.tolist(), members_b.ptr.tolist()
-        groups = [",".join(words_a[pa_[g]:pa_[g + 1]]) + "|" + ",".join(words_b[pb_[g]:pb_[g + 1]])
-                  for g in range(members_a.height)]
+        edge = np.arange(len(texts) + 1)
+        members = transpose(x.group_a)
+        group_at = np.searchsorted(own[members.col[members.ptr[:-1]]], edge)
         lo = len(self.text)
-        for k in range(len(texts)):
-            self.codes.append(code[cut[k]:cut[k + 1]])
-            self.text.append(";".join(groups[group_at[k]:group_at[k + 1]]))
-            self.size.append((int(n_a[k]), int(n_b[k]), int(group_at[k + 1] - group_at[k])))
-        self.good += good
+        self.text += self._groups(a, b, x, group_at)
+        self.size = np.concatenate([self.size, np.stack([n_a, n_b, np.diff(group_at)], 1)])
+        self.good = np.concatenate([self.good, good])
+        self.code_at = np.concatenate([self.code_at, len(self.pool) + np.searchsorted(at, edge[1:])])
+        self.pool = np.concatenate([self.pool, code])
         return range(lo, len(self.text))
 
+    def _groups(self, a: np.ndarray, b: np.ndarray, x: Alignment, group_at: np.ndarray) -> list[str]:
+        """``a1,a2|b1;a3|b2`` of every text: all tokens written in one pass, in the order of
+        groups and, inside a group, of A before B, each with the sign that follows it."""
+        ptr_a, ptr_b = transpose(x.group_a).ptr, transpose(x.group_b).ptr
+        item = np.empty(len(a) + len(b), np.int64)
+        end_a, end_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        end_a[ptr_a[1:] - 1] = end_b[ptr_b[1:] - 1] = True     # every group has tokens of both
+        item[np.arange(len(a)) + ptr_b[x.group_a.col]] = a + self.n_a * end_a
+        item[np.arange(len(b)) + ptr_a[x.group_b.col + 1]] = 2 * self.n_a + b + self.n_b * end_b
+        whole = "".join(map(self.written.__getitem__, item.tolist()))
+        cut = np.concatenate(([0], np.cumsum(self.written_len[item])))[(ptr_a + ptr_b)[group_at]].tolist()
+        return [whole[i:max(i, j - 1)] for i, j in zip(cut[:-1], cut[1:])]
+
     def look_up(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The slot of every unit; unseen ones are learnt."""
         uniq, first, code = np.unique(hashes, return_index=True, return_inverse=True)
@@ -289,12 +305,13 @@ def unit_starts(data: np.ndarray, off: np.ndarray, cuts: bool) -> np.ndarray:
     after = shown | _LEAD[data]                          # or begins here
     at = np.flatnonzero(data[1:-1] == 32) + 1
     at = at[before[at - 1] & after[at + 1]]
-    return np.union1d(begin, at)
+    first = np.zeros(len(data), bool)
+    first[begin] = first[at] = True
+    return np.flatnonzero(first)
 
 
 def _align(path_a: str, path_b: str, text: str, doc_id: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
         p = pair(path_a, path_b)
         number = TaskContext.get().partitionId() << 32
         for b, data, off in chunks(batches, text):
@@ -303,36 +320,34 @@ def _align(path_a: str, path_b: str, text: str, doc_id: str):
             end = np.append(start[1:], off[-1])
             unit = p.look_up(span_hashes(data, start, end), data, start, end) if len(start) else start
             at = np.searchsorted(start, off)
-            good = np.array(p.good, bool)[unit]
-            rows, codes, empty = [], [], np.zeros(0, np.int64)
-            for i in range(b.num_rows):
-                slots = unit[at[i]:at[i + 1]].tolist()
-                if slots and not good[at[i]:at[i + 1]].all():
-                    slots = [p.learn([data[off[i]:off[i + 1]].tobytes()])[0]]  # the whole text as one unit
-                    slots = slots if p.good[slots[0]] else []
-                sizes = [p.size[s] for s in slots]
-                groups = ";".join([p.text[s] for s in slots])
-                code = np.concatenate([p.codes[s] for s in slots]) if slots else empty
-                codes.append(code)
-                rows.append((*(sum(c) for c in zip(*sizes)),) if slots else (0, 0, 0))
-                rows[-1] += (len(code), hashlib.sha256(groups.encode()).hexdigest() if slots else "", groups)
+            bad = np.flatnonzero(~p.good[unit])
+            for i in np.unique(np.searchsorted(at, bad, "right") - 1)[::-1].tolist():
+                # the whole text as one unit; without tokens if that does not spell it either
+                k = p.learn([data[off[i]:off[i + 1]].tobytes()])[0]
+                own = np.array([k] if p.good[k] else [], np.int64)
+                unit = np.concatenate([unit[:at[i]], own, unit[at[i + 1]:]])
+                at = at + (np.arange(len(at)) > i) * (len(own) - (at[i + 1] - at[i]))
+            n_codes = np.diff(p.code_at)[unit]
+            place = np.cumsum(n_codes) - n_codes
+            code = p.pool[np.repeat(p.code_at[unit] - place, n_codes) + np.arange(int(n_codes.sum()))]
+            total = np.concatenate(([0], np.cumsum(n_codes)))[at]
+            sums = np.concatenate((np.zeros((1, 3), np.int64), np.cumsum(p.size[unit], 0)))[at]
+            words = list(map(p.text.__getitem__, unit.tolist()))
+            groups = [";".join(words[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+            shas = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
             if len(p.text) > 2 * CACHE:
                 p.clear()
-            n = np.array([len(c) for c in codes])
-            uniq, slot, count = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
+            uniq, slot, count = np.unique(code, return_inverse=True, return_counts=True)
             rank = np.argsort(np.argsort(-count, kind="stable"), kind="stable")  # small numbers for common pairs
             back = np.argsort(rank, kind="stable")
             pairs = pa.StructArray.from_arrays(
                 [pa.array((uniq >> 32)[back].astype(np.int32)), pa.array((uniq & 0xFFFFFFFF)[back].astype(np.int32)),
                  pa.array(count[back])], ["a", "b", "n"])
-            ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
             held = np.concatenate(([0], np.full(b.num_rows, len(uniq)))).astype(np.int32)  # all in the first row
-            cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(b.num_rows, number)), b.column(doc_id).cast(pa.int64()),
-                 *[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.string()),
-                 pa.array(cols[5], pa.string()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(rank[slot].astype(np.int32))),
+                 *map(pa.array, np.diff(sums, axis=0).T), pa.array(np.diff(total)), pa.array(shas), pa.array(groups),
+                 pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), pa.array(rank[slot].astype(np.int32))),
                  pa.ListArray.from_arrays(pa.array(held), pairs)],
                 ["chunk", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups", "links", "pairs"])
             number += 1

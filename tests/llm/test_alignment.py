@@ -1,5 +1,6 @@
 """Incidence products against dense matrices and interval arithmetic, and whole texts against the libraries."""
 
+import bisect
 import collections
 import hashlib
 
@@ -65,10 +66,11 @@ def brute(tools, texts):
             rows.append((0, 0, 0, 0, 0, 0, ""))
             continue
         ends = sorted({e for *_, e in x[0]} & {e for *_, e in x[1]})
-        groups, lo = [], 0
-        for hi in ends:
-            groups.append("|".join(",".join(str(i) for i, s, e in side if lo <= s and e <= hi) for side in x))
-            lo = hi
+        sides = [collections.defaultdict(list), collections.defaultdict(list)]
+        for members, side in zip(sides, x):
+            for i, _, e in side:
+                members[bisect.bisect_left(ends, e)].append(str(i))
+        groups = ["|".join(",".join(members[g]) for members in sides) for g in range(len(ends))]
         rows.append((len(x[0]), len(x[1]), len(ends), len(link), sum(counts[p] == top[p[1]] for p in link),
                      sum(counts[p] for p in link), hashlib.sha256(";".join(groups).encode()).hexdigest()))
     return rows
