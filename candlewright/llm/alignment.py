@@ -50,9 +50,9 @@ from pyspark.sql import functions as F
 from candlewright.llm.textops import chunks, span_hashes, stage
 
 #: Entries of a product that are expanded at once.
-BLOCK = 1 << 20
-#: Distinct units kept by a worker.
-CACHE = 200_000
+BLOCK = 1 << 18
+#: Distinct units kept by a worker, and units aligned together.
+CACHE, BATCH = 500_000, 1 << 14
 
 
 # --- sparse rows ---------------------------------------------------------------
@@ -262,7 +262,8 @@ class Pair:
             new = unseen()
         if new.any():
             at = first[new]
-            slots = self.learn([data[a:b].tobytes() for a, b in zip(start[at], end[at])])
+            slots = [s for k in range(0, len(at), BATCH) for s in self.learn(
+                [data[a:b].tobytes() for a, b in zip(start[at[k:k + BATCH]], end[at[k:k + BATCH]])])]
             h = np.concatenate([self.hash, uniq[new]])
             order = np.argsort(h, kind="stable")
             self.slot = np.concatenate([self.slot, np.array(slots, np.int64)])[order]
