@@ -46,6 +46,8 @@ from candlewright.llm.tokens import Encoder
 LEAF = 16
 #: Symbols of a run from which its pieces become rows.
 SPLIT = 1 << 16
+#: Units encoded, and documents decoded, at once.
+BATCH, ROWS = 1 << 14, 128
 
 NEVER = np.iinfo(np.int64).max
 
@@ -230,8 +232,6 @@ class TreeEncoder(Encoder):
         super().__init__(path)
         self.merges = Merges(path)
         self.special = re.compile("|".join(map(re.escape, self.merges.specials)) or r"(?!)")
-        self.names = [self.merges.tokens.get(i, "") for i in range(1 + max(self.merges.tokens))]
-        self.digits = list(map(str, range(len(self.names))))
 
     def normal(self, text: str) -> str:
         n = self.tok.normalizer
@@ -287,8 +287,9 @@ class TreeEncoder(Encoder):
         return out, out_off[ends]
 
     def _learn(self, h: np.ndarray, texts: list[str]) -> None:
-        ids, off = self.encode_texts(texts)
-        self._keep(h, ids.astype(np.uint32), off)
+        parts = [self.encode_texts(texts[k:k + BATCH]) for k in range(0, len(texts), BATCH)]
+        n = np.concatenate([np.diff(off) for _, off in parts])
+        self._keep(h, np.concatenate([ids for ids, _ in parts]).astype(np.uint32), np.concatenate(([0], np.cumsum(n))))
 
     def _keep(self, h: np.ndarray, ids: np.ndarray, off: np.ndarray) -> None:
         order = np.argsort(np.concatenate([self.h, h]), kind="stable")
@@ -297,10 +298,6 @@ class TreeEncoder(Encoder):
         self.h = np.concatenate([self.h, h])[order]
         self.pool = np.concatenate([self.pool, ids])
 
-    def decode(self, ids: list[int]) -> str:
-        """As the library decodes for a file without a decoder, special tokens included."""
-        return " ".join(map(self.names.__getitem__, ids))
-
 
 _encoders: dict[str, TreeEncoder] = {}
 
@@ -311,6 +308,21 @@ def tree_encoder(path: str) -> TreeEncoder:
     return _encoders[path]
 
 
+_names: dict[str, list[str]] = {}
+
+
+def names(path: str) -> list[str]:
+    """The strings of a file's tokens by id; kept between tasks."""
+    if path not in _names:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if spec.get("decoder") is not None:
+            raise ValueError("needs a file without decoder")
+        tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        _names[path] = [tokens.get(i, "") for i in range(1 + max(tokens))]
+    return _names[path]
+
+
 # --- documents -----------------------------------------------------------------
 
 DONE, IDS, RUN, MORE = 0, 1, 2, 3   # a finished document; its ids so far; a run to encode; its continuation
@@ -417,15 +429,17 @@ def encode(docs: DataFrame, vocab: str, *, doc_id: str = "doc_id", text: str = "
 def decode(encoded: DataFrame, vocab: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256`` and the text ``decoded``."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = tree_encoder(vocab)
-        for b in batches:
-            rows = []
-            for x in b.column("ids"):
-                x = x.values.to_numpy().tolist()
-                rows.append((len(x), hashlib.sha256(" ".join(map(enc.digits.__getitem__, x)).encode()).hexdigest(),
-                             enc.decode(x)))
-            n, ids, out = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
-                                              pa.array(out, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded"])
+        token = names(vocab)
+        digits = list(map(str, range(len(token))))
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                b = batch.slice(at, ROWS)
+                ids = [x.values.to_numpy().tolist() for x in b.column("ids")]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), pa.array(map(len, ids), pa.int64()),
+                     pa.array([hashlib.sha256(" ".join(map(digits.__getitem__, x)).encode()).hexdigest() for x in ids],
+                              pa.string()),
+                     pa.array([" ".join(map(token.__getitem__, x)) for x in ids], pa.string())],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded"])
     name = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.mapInArrow(task, f"doc_id {name}, n_tokens long, ids_sha256 string, decoded string")
