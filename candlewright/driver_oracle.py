@@ -464,6 +464,13 @@ UNION ALL SELECT *, 'year' FROM t WHERE year(time) = 2024 AND month(time) = 1 AN
   SELECT *, row_number() OVER (PARTITION BY symbol, year, agg_trade_id
                                ORDER BY seq DESC, time DESC, _p DESC, _s DESC) AS rn
   FROM (SELECT *, CASE WHEN _p % 2 = 1 THEN 1 ELSE 0 END AS seq FROM ({_L_YEAR}) l) u) v WHERE rn = 1""",
+    "upsert_increment": f"""WITH l AS (SELECT * REPLACE (nullif(symbol, 'R') AS symbol) FROM ({_L_YEAR}) x),
+u AS (SELECT *, 0 AS seq FROM l WHERE _p % 2 = 0
+      UNION ALL SELECT * REPLACE (price * 2 AS price), 1 FROM l
+      WHERE _p % 3 = 0 AND ((symbol IS NULL AND year = 1993) OR (symbol = 'N' AND year = 1998)))
+SELECT * EXCLUDE (seq, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, year, agg_trade_id
+                               ORDER BY seq DESC, time DESC, _p DESC, _s DESC) AS rn FROM u) v WHERE rn = 1""",
     "replace_month": f"""WITH l AS ({_L_YEAR}),
 nw AS (SELECT * FROM l WHERE _p % 2 = 1 AND year(time) = 1998 AND month(time) = 3)
 SELECT * FROM l WHERE _p % 2 = 0
@@ -523,6 +530,8 @@ ORACLE["ingest_pipeline"] = f"""SELECT symbol, CAST(year(time) AS INTEGER) AS ye
   agg_trade_id AS first_trade_id, agg_trade_id AS last_trade_id, is_buyer_maker, false AS is_best_match, ts
 FROM ({_T_US}) t WHERE time >= TIMESTAMP '2024-01-03 00:00:00'"""
 
+ORACLE["replace_month_folders"] = ORACLE["replace_month"]
+
 ORACLE["id_span_footers"] = _spans(T_SQL)
 
 ORACLE["coverage_footers"] = ORACLE["coverage_by_year"]

@@ -450,6 +450,25 @@ def q_upsert_year(spark, d):
     return ST.upsert(spark, L.filter(F.col("_p") % 2 == 1), path, UPSERT_KEYS, UPSERT_ORDER)
 
 
+def q_upsert_increment(spark, d):
+    """An increment of two far-apart partitions, one of them without a symbol, that holds
+    new and newer rows; written first, so nothing in its plan names its partitions."""
+    path, inc = shared_dir(spark, "increment"), shared_dir(spark, "increment_rows")
+    L = L_full(spark, d).withColumn("symbol", F.nullif("symbol", F.lit("R")))
+    ST.upsert(spark, L.filter(F.col("_p") % 2 == 0), path, UPSERT_KEYS, UPSERT_ORDER)
+    early, late = (F.col("symbol").isNull() & (F.year("time") == 1993)), ((F.col("symbol") == "N") & (F.year("time") == 1998))
+    (L.filter((early | late) & (F.col("_p") % 3 == 0)).withColumn("price", F.col("price") * 2).write.parquet(inc))
+    return ST.upsert(spark, spark.read.parquet(inc), path, UPSERT_KEYS, UPSERT_ORDER)
+
+
+def q_replace_month_folders(spark, d):
+    """D5 in a store with a month column: the month's folders are swapped."""
+    path, cols = shared_dir(spark, "month_folders"), ("symbol", "year", "month")
+    L = L_full(spark, d)
+    ST.write_table(L.filter(F.col("_p") % 2 == 0), path, cols)
+    return ST.replace_month_in_store(spark, L.filter((F.col("_p") % 2 == 1)), path, 1998, 3, cols).drop("month")
+
+
 def q_replace_month(spark, d):
     path = shared_dir(spark, "replace_month")
     L = L_full(spark, d)
@@ -536,7 +555,9 @@ QUERIES.update({
     "time_filters": q_time_filters,
     "write_read_roundtrip": q_write_read_roundtrip,
     "upsert_year": q_upsert_year,
+    "upsert_increment": q_upsert_increment,
     "replace_month": q_replace_month,
+    "replace_month_folders": q_replace_month_folders,
     "bars_dedup_keep_first": q_bars_dedup_keep_first,
     "archive_plan": q_archive_plan,
     "archive_select": q_archive_select,

@@ -1,4 +1,4 @@
-"""Dedup, merge and row filters (D1-D3, D5, D6 rules, W4, F1-F3, F5, F6, T1).
+"""Dedup, merge and row filters (D1-D3, D5, D6 rules, W4, F1-F3, F5, F6).
 
 Keep-last / keep-first use ``row_number() == 1`` over the key. Spark plans
 this with a partial ``WindowGroupLimit`` before the shuffle, so each task
@@ -90,17 +90,3 @@ def ts_literal(v) -> Column:
     if isinstance(v, str):
         return F.expr(f"TIMESTAMP_NTZ'{v}'")
     return F.lit(v)
-
-
-def sort_for_store(df: DataFrame, partition_cols: Sequence[str] = ("symbol", "year"),
-                   order: Sequence[str] = ("time", "agg_trade_id")) -> DataFrame:
-    """Cluster rows by output partition and time, sorted inside each file.
-
-    Range partitioning on ``(partition columns, time)`` spreads one hot
-    (symbol, year) over many tasks, each writing a file that covers a narrow
-    time range (tight min/max statistics for pruning); the price is one
-    sampling pass over the input. Ties in ``time`` are ordered by id.
-    """
-    present = [c for c in order if c in df.columns]
-    return (df.repartitionByRange(*partition_cols, *present[:1])
-            .sortWithinPartitions(*partition_cols, *present))

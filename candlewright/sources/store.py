@@ -7,18 +7,23 @@ Layout: one table per data type, partitioned by ``symbol`` and ``year``
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.session import shared_dir
+from candlewright.functions.timecols import ntz_to_micros
 from candlewright.operators.merge import (dedup_keep_first, dedup_keep_last, merge_keep_last,
-                                          replace_month, sort_for_store, ts_literal)
+                                          replace_month, ts_literal)
+from candlewright.sources.swap import Folder, Swap, recover
 
 PARTITIONS = ("symbol", "year")
+#: Rows of a stored file, and the time buckets (hours) a partition may be cut into.
+ROWS_PER_FILE = 4_000_000
+BUCKET_HOURS = (1, 4, 24, 24 * 7, 24 * 31, 24 * 366)
 
 
 def with_year(df: DataFrame, time_col: str = "time") -> DataFrame:
@@ -35,21 +40,88 @@ def with_time_parts(df: DataFrame, partition_cols: Sequence[str], time_col: str
     return df
 
 
-def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = PARTITIONS,
-                mode: str = "overwrite", order: Sequence[str] = ("time", "agg_trade_id"),
-                compression: str = "zstd") -> None:
-    """S8 + T1: partitioned, sorted, ZSTD Parquet.
+def time_layout(rows: DataFrame, partition_cols: Sequence[str], rows_per_file: int,
+                time_col: str = "time") -> DataFrame:
+    """Per partition the widest time bucket (``_hours``) of at most ``rows_per_file`` rows,
+    and into how many parts (``_parts``) an hour that alone holds more is salted.
 
-    With ``partitionOverwriteMode=dynamic`` an overwrite replaces only the
-    partitions present in ``df``.
+    ``rows`` needs the partition columns and the time only. Counts shrink map-side to one row
+    per partition and hour.
+    """
+    hour = F.floor(ntz_to_micros(time_col) / F.lit(3_600_000_000))
+    counts = (rows.groupBy(*partition_cols, hour.alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+              .repartition(*partition_cols))          # every step below keeps this partitioning
+    size = (counts.select(*partition_cols, "_h", "_n", F.explode(F.array(*map(F.lit, BUCKET_HOURS))).alias("_w"))
+            .groupBy(*partition_cols, "_w", F.floor(F.col("_h") / F.col("_w")).alias("_b")).agg(F.sum("_n").alias("_n"))
+            .groupBy(*partition_cols, "_w").agg(F.max("_n").alias("_n")))
+    return size.groupBy(*partition_cols).agg(
+        F.coalesce(F.max(F.when(F.col("_n") <= rows_per_file, F.col("_w"))), F.lit(1)).alias("_hours"),
+        F.ceil(F.min("_n") / F.lit(rows_per_file)).alias("_parts"))
+
+
+def lay_out(df: DataFrame, layout: DataFrame | None, partition_cols: Sequence[str],
+            order: Sequence[str]) -> DataFrame:
+    """One exchange by (partition, time bucket, salt), sorted inside each task. ``layout``
+    (one row per touched partition, a written table) is broadcast only if Spark finds it small;
+    without one every partition is one bucket."""
+    order = [c for c in order if c in df.columns]
+    if layout is None:
+        return df.repartition(*partition_cols).sortWithinPartitions(*partition_cols, *order)
+    named = layout.select(*[F.col(c).alias(f"_of_{c}") for c in partition_cols], "_hours", "_parts")
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(named[f"_of_{c}"]) for c in partition_cols])
+    hour = F.floor(ntz_to_micros(order[0]) / F.lit(3_600_000_000))
+    keyed = df.join(named, same).select(
+        *df.columns, F.floor(hour / F.col("_hours")).alias("_bucket"),
+        F.pmod(F.xxhash64(*order), F.col("_parts")).alias("_salt"))
+    return (keyed.repartition(*partition_cols, "_bucket", "_salt")
+            .sortWithinPartitions(*partition_cols, *order).drop("_bucket", "_salt"))
+
+
+def _write_swap(swap: Swap, df: DataFrame, counted: DataFrame, order: Sequence[str], compression: str,
+                rows_per_file: int) -> None:
+    """Write the partitions of ``df`` into the run and swap them in. ``counted`` has the partition
+    columns and times of (at least) the rows of ``df``."""
+    layout = None
+    largest = counted.groupBy(*swap.cols).count().agg(F.max("count")).first()[0] or 0
+    if largest > rows_per_file:
+        time_layout(counted, swap.cols, rows_per_file, order[0]).write.parquet(swap.folder("layout"))
+        layout = swap.spark.read.parquet(swap.folder("layout"))
+    (lay_out(df, layout, swap.cols, order).write
+     .option("compression", compression).option("maxRecordsPerFile", rows_per_file)
+     .partitionBy(*swap.cols).parquet(swap.folder("data")))
+    swap.commit()
+
+
+def replace_partitions(spark: SparkSession, new: DataFrame, path: str, merge, *,
+                       partition_cols: Sequence[str] = PARTITIONS, order: Sequence[str] = ("time", "agg_trade_id"),
+                       compression: str = "zstd", read_stored: bool = True, staged: bool = False,
+                       rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Replace the partitions that ``new`` touches by ``merge(stored rows of them or None, new)``.
+
+    ``new`` is evaluated once (``staged``: it is a written table already); only folders of
+    touched partitions are listed and read, null values included; nothing else of the table
+    is looked at. The merge is evaluated once, straight into the swap.
     """
-    df = with_time_parts(df, partition_cols)
-    (sort_for_store(df, partition_cols, order)
-     .write.mode(mode)
-     .option("compression", compression)
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols)
-     .parquet(path))
+    recover(spark, path, partition_cols)
+    swap = Swap(spark, path, partition_cols)
+    new = with_time_parts(new, partition_cols)
+    if not staged:
+        new = swap.stage(new)
+    stored = None
+    if read_stored and table_exists(spark, path):
+        stored = read_partitions(spark, path, swap.touched(new))
+    counted = new.select(*partition_cols, order[0])
+    if stored is not None:
+        counted = counted.unionByName(stored.select(*partition_cols, order[0]))
+    _write_swap(swap, merge(stored, new), counted, order, compression, rows_per_file)
+
+
+def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = PARTITIONS,
+                order: Sequence[str] = ("time", "agg_trade_id"), compression: str = "zstd",
+                staged: bool = False, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """S8 + T1: partitioned, sorted, ZSTD Parquet; replaces the partitions present in ``df``."""
+    replace_partitions(df.sparkSession, df, path, lambda _, new: new, partition_cols=partition_cols, order=order,
+                       compression=compression, read_stored=False, staged=staged, rows_per_file=rows_per_file)
 
 
 def read_table(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
@@ -69,21 +141,9 @@ def read_table(spark: SparkSession, path: str, with_file: bool = False) -> DataF
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A table with data: the folder holds a partition folder or data file.
-
-    (A dynamic-partition overwrite leaves no ``_SUCCESS`` marker at the root,
-    and staging/hidden entries start with ``_`` or ``.``.)
-    """
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False
-    for st in fs.listStatus(hpath):
-        name = st.getPath().getName()
-        if not name.startswith(("_", ".")):
-            return True
-    return False
+    """A table with data: the folder holds a partition folder or data file (entries that are
+    not data begin with ``_`` or ``.``)."""
+    return bool(Folder(spark, path).names())
 
 
 def stage_parquet(df: DataFrame, name: str) -> DataFrame:
@@ -93,28 +153,23 @@ def stage_parquet(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def touched_partitions(stored: DataFrame, new: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
-    """The rows of ``stored`` in the partitions of ``new`` (staged): literal bounds of every
-    partition column prune the scan, a semi join does the rest."""
-    bounds = new.agg(*[f(c).alias(f"{n}_{c}") for c in partition_cols
-                       for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    for c in partition_cols:
-        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
-        stored = stored.filter(F.col(c).between(F.lit(lo), F.lit(hi)))
-    return stored.join(new.select(*partition_cols).distinct(), list(partition_cols), "left_semi")
+def read_partitions(spark: SparkSession, path: str, dirs: Sequence[str]) -> DataFrame | None:
+    """The stored rows of the given partition folders (those that exist), and of no others."""
+    table = Folder(spark, path)
+    found = [table.at(d) for d in dirs if table.exists(d)]
+    if not found:
+        return None
+    df = spark.read.option("basePath", path).option("pathGlobFilter", "*.parquet").parquet(*found)
+    return df.withColumns({c: F.col(c).cast("int") for c in ("year", "month") if c in df.columns})
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
-           order: Sequence = (), partition_cols: Sequence[str] = PARTITIONS) -> DataFrame:
+           order: Sequence = (), partition_cols: Sequence[str] = PARTITIONS, staged: bool = False) -> DataFrame:
     """Merge ``new`` into the stored table at ``path``, newest wins.
 
-    ``new`` is staged once as Parquet in the shared folder. The bounds of its
-    partition columns (one row) become literal partition filters of the store
-    scan, so an unfiltered increment or a micro-batch reads no other partitions;
-    a semi join drops untouched partitions inside the bounds. The merge is
-    staged as Parquet too, so the write does not read the files it replaces,
-    and written back with dynamic partition overwrite. Untouched partitions are
-    never rewritten.
+    Reads and rewrites the touched partitions only (:func:`replace_partitions`), named one by
+    one, so far-apart or null partitions bring in nothing between them, and swaps them in by
+    renames, so a killed write leaves the old or the new rows (:mod:`candlewright.sources.swap`).
 
     Among copies in ``new`` the last by ``order`` wins; without an order that is
     (``archive``, ``row``) when ``new`` has them, else all its other columns, so
@@ -124,34 +179,33 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
     rewrites one month instead of the whole year (keys should then include
     ``month`` too: re-published archives repeat ids within the same month).
     """
-    new = with_time_parts(new, partition_cols)
     lineage = tuple(c for c in ("archive", "row") if c in new.columns)
-    order = tuple(order) or lineage or tuple(c for c in new.columns if c not in keys)
-    if table_exists(spark, path):
-        new = stage_parquet(new, "upsert_new")
-        stored = touched_partitions(read_table(spark, path), new, partition_cols)
-        merged = merge_keep_last(stored.select(*new.columns), new, keys, order)
-        # the write replaces files the merge reads: make the merge durable first
-        merged = stage_parquet(merged, "upsert_merged")
-    else:
-        merged = dedup_keep_last(new, keys, order)
-    write_table(merged, path, partition_cols)
-    return read_table(spark, path)
+
+    def merge(stored: DataFrame | None, new: DataFrame) -> DataFrame:
+        by = tuple(order) or lineage or tuple(c for c in new.columns if c not in keys)
+        if stored is None:
+            return dedup_keep_last(new, keys, by)
+        return merge_keep_last(stored.select(*new.columns), new, keys, by)
+
+    replace_partitions(spark, new, path, merge, partition_cols=partition_cols, staged=staged)
+    return read_table(spark, path) if table_exists(spark, path) else new.limit(0)
 
 
 def replace_month_in_store(spark: SparkSession, new_month: DataFrame, path: str, year: int, month: int,
                            partition_cols: Sequence[str] = PARTITIONS) -> DataFrame:
-    """A monthly archive replaces that month of the stored year partitions.
+    """A monthly archive replaces that month of the stored partitions of its symbols.
 
-    Reads only the (symbol, year) partitions the new month touches, swaps the
-    month, stages the result as Parquet and overwrites those partitions.
+    A store with a ``month`` partition column swaps the month folders and reads no stored row;
+    a store by year keeps the other months of the touched (symbol, year) partitions.
     """
-    new_month = with_year(new_month) if "year" not in new_month.columns else new_month
-    stored = (read_table(spark, path).filter(F.col("year") == year)
-              .join(new_month.select("symbol").distinct(), "symbol", "left_semi"))
-    merged = stage_parquet(replace_month(stored.select(*new_month.columns), new_month, year, month),
-                           "month_merged")
-    write_table(merged, path, partition_cols)
+    t = F.col("time")
+    fresh = new_month.filter((F.year(t) == year) & (F.month(t) == month))
+    by_month = "month" in partition_cols
+
+    def merge(stored: DataFrame | None, new: DataFrame) -> DataFrame:
+        return new if stored is None else replace_month(stored.select(*new.columns), new, year, month)
+
+    replace_partitions(spark, fresh, path, merge, partition_cols=partition_cols, read_stored=not by_month)
     return read_table(spark, path)
 
 

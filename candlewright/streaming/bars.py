@@ -70,8 +70,7 @@ def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint:
                   order: Sequence = ()) -> StreamingQuery:
     """Merge every micro-batch into the stored table (touched partitions only)."""
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            upsert(batch.sparkSession, batch, path, keys, order)
+        upsert(batch.sparkSession, batch, path, keys, order)   # stages the batch once; an empty one ends there
 
     q = (stream.writeStream.foreachBatch(merge)
          .option("checkpointLocation", checkpoint)

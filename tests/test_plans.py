@@ -42,21 +42,6 @@ def test_id_check_exchanges_ids_once(spark):
     assert final.count("ReusedExchange") == final.count("REPARTITION_BY_COL") - 1 == 2
 
 
-def test_upsert_reads_only_touched_partitions(spark):
-    from candlewright.driver_queries import L_full, UPSERT_KEYS, UPSERT_ORDER
-    from candlewright.session import shared_dir
-    from candlewright.sources import store as ST
-    path = shared_dir(spark, "plan-upsert")
-    L = L_full(spark, SF)
-    ST.upsert(spark, L, path, UPSERT_KEYS, UPSERT_ORDER)
-    # an increment without any filter in its plan: its bounds must prune the scan
-    new = ST.stage_parquet(ST.with_year(L.filter(F.year("time") == 1998)), "plan-increment")
-    df = ST.touched_partitions(ST.read_table(spark, path), new, ("symbol", "year"))
-    assert any("year" in x.split("]")[0] for x in _plan(df).split("PartitionFilters: [")[1:])
-    optimized = df._jdf.queryExecution().optimizedPlan().toString()
-    assert ">= 1998" in optimized and "<= 1998" in optimized
-
-
 def test_no_cartesian_products_in_registered_queries(spark):
     bad = []
     for name, fn in se.QUERIES.items():
