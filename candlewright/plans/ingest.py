@@ -37,7 +37,8 @@ def ingest_archives(spark: SparkSession, landing: str, store: str, data_type: st
     unnamed = files.filter(N.parse_archive_name(F.col("file_name"))["daily"].isNull())
     quarantine = quarantine.unionByName(unnamed.select(
         F.col("file_name").alias("archive"), F.lit(0).cast("long").alias("bad_rows"),
-        F.lit("unrecognised archive name").alias("error")))
+        F.lit("unrecognised archive name").alias("error"), F.lit(None).cast("long").alias("line"),
+        F.lit(None).cast("string").alias("column")))
     if "symbol" not in rows.columns:
         rows = rows.withColumn("symbol", F.lit(None).cast("string"))
     rows = rows.drop("archive_year")

@@ -105,6 +105,21 @@ METRIC_MEASURES = RAW_METRICS_COLUMNS[2:]
 RAW_FUNDING_COLUMNS = ("calc_time", "funding_interval_hours", "last_funding_rate")
 RAW_BVOL_COLUMNS = ("calc_time", "symbol", "base_asset", "quote_asset", "index_value")
 
+# Per data type the raw fields a row must have, in column order, with their types; the other
+# fields may be empty. "time" is a metrics timestamp. Doubles must be finite.
+_REQUIRED_TRADE = (("agg_trade_id", "long"), ("price", "double"), ("quantity", "double"), ("first_trade_id", "long"),
+                   ("last_trade_id", "long"), ("transact_time", "long"), ("is_buyer_maker", "boolean"))
+REQUIRED_FIELDS = {
+    "aggTrades": _REQUIRED_TRADE,
+    "trades": _REQUIRED_TRADE,
+    "metrics": (("create_time", "time"), ("symbol", "string")),
+    "fundingRate": (("calc_time", "long"), ("funding_interval_hours", "int"), ("last_funding_rate", "double")),
+    "BVOLIndex": (("calc_time", "long"), ("symbol", "string"), ("base_asset", "string"), ("quote_asset", "string"),
+                  ("index_value", "double")),
+}
+# Fields that may be empty but must parse where they are not.
+OPTIONAL_FIELDS = {"aggTrades": (("is_best_match", "boolean"),), "trades": (("is_best_match", "boolean"),)}
+
 EXTERNAL_BAR_FIELDS = (
     "open_time", "open", "high", "low", "close", "volume", "close_time",
     "quote_volume", "trades", "taker_buy_base", "taker_buy_quote", "ignore",

@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from candlewright.functions import names as N
 from candlewright.operators import normalize as NZ
-from candlewright.schemas import (RAW_BVOL_COLUMNS, RAW_FUNDING_COLUMNS, RAW_FUTURES_TRADES,
-                                  RAW_METRICS_COLUMNS, RAW_SPOT_TRADES)
+from candlewright.session import shared_dir
+from candlewright.schemas import (OPTIONAL_FIELDS, RAW_BVOL_COLUMNS, RAW_FUNDING_COLUMNS, RAW_FUTURES_TRADES,
+                                  RAW_METRICS_COLUMNS, RAW_SPOT_TRADES,
+                                  REQUIRED_FIELDS)
 
 CHUNK_ROWS = 200_000
 
@@ -34,23 +36,46 @@ FUTURES_TRADE_COLUMNS = tuple(f.name for f in RAW_FUTURES_TRADES.fields)
 
 #: Compressed archive bytes per reading task.
 TASK_BYTES = 32 << 20
-#: Raw trade fields and their types; a non-empty field that does not parse, or a price or
-#: quantity that is not finite, makes its archive bad.
-STRICT_TRADE_FIELDS = {"price": "double", "quantity": "double", "first_trade_id": "long",
-                       "last_trade_id": "long", "is_buyer_maker": "boolean", "is_best_match": "boolean"}
+def _wrong(c: str, kind: str, required: bool) -> Column:
+    """A field that does not parse as its type, is not finite, or is empty where it must not be."""
+    text = F.trim(F.coalesce(F.col(c), F.lit("")))
+    if kind == "time":
+        parsed = F.try_to_timestamp(F.col(c), F.lit(NZ.METRICS_TIME_FORMAT)).isNotNull()
+    elif kind == "string":
+        parsed = F.lit(True)
+    else:
+        v = F.col(c).try_cast(kind)
+        parsed = v.isNotNull()
+        if kind == "double":
+            parsed = parsed & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
+    return F.when(text == "", F.lit(required)).otherwise(~parsed)
+
+
+def field_rules(data_type: str, columns) -> list[tuple[str, Column]]:
+    """The declared rules of a data type: ``(column, it is wrong)`` in column order."""
+    rules = [(c, _wrong(c, kind, True)) for c, kind in REQUIRED_FIELDS[data_type]]
+    return rules + [(c, _wrong(c, kind, False)) for c, kind in OPTIONAL_FIELDS.get(data_type, ()) if c in columns]
+
+
+def first_wrong(rules: list[tuple[str, Column]]) -> Column:
+    """Number of the first broken rule of a row, null if it breaks none."""
+    return F.coalesce(*[F.when(bad, F.lit(i)) for i, (_, bad) in enumerate(rules)])
 
 
-def _malformed(cols) -> Column:
-    """A trade field that is not empty but does not parse, or is NaN or infinite."""
-    bad = F.lit(False)
-    for c, t in STRICT_TRADE_FIELDS.items():
-        if c in cols:
-            v = F.col(c).try_cast(t)
-            wrong = (F.length(F.trim(F.col(c))) > 0) & v.isNull()
-            if t == "double":
-                wrong = wrong | F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
-            bad = bad | F.coalesce(wrong, F.lit(False))
-    return bad
+def judge_archives(flagged: DataFrame, rules: list[tuple[str, Column]], keys=("archive",)) -> DataFrame:
+    """One row per bad archive: ``bad_rows``, the first bad ``line`` (from 0) and its ``column``,
+    and ``error``. ``flagged`` has ``row``, ``error`` and ``_rule``. One aggregate of fixed-width
+    buffers over bad rows only; an unreadable archive's single error row joins its text."""
+    place = F.col("row") * F.lit(len(rules)) + F.col("_rule")
+    bad = (flagged.filter(F.col("error").isNotNull() | F.col("_rule").isNotNull())
+           .groupBy(*keys).agg(F.count(F.lit(1)).alias("bad_rows"), F.min(place).alias("_at")))
+    errors = flagged.filter(F.col("error").isNotNull()).select(*keys, "error")
+    names = F.array(*[F.lit(c) for c, _ in rules])
+    line = F.floor(F.col("_at") / F.lit(len(rules)))
+    column = F.element_at(names, (F.col("_at") - line * F.lit(len(rules)) + 1).cast("int"))
+    return (bad.join(errors, list(keys), "left")
+            .select(*keys, "bad_rows", F.coalesce("error", F.lit("parse error")).alias("error"),
+                    line.alias("line"), F.when(F.col("_at").isNotNull(), column).alias("column")))
 
 
 def raw_columns(data_type: str, market: str) -> tuple[str, ...]:
@@ -116,6 +141,7 @@ def _always_header(data_type: str) -> bool:
 
 def _archive_rows(path: str, cols, data_type: str, chunk_rows: int) -> Iterator[pd.DataFrame]:
     name = path.rsplit("/", 1)[-1]
+    needed = [c for c, _ in REQUIRED_FIELDS[data_type]]
 
     def err(msg):
         return pd.DataFrame({**{c: [None] for c in cols}, "archive": [name], "row": [None], "error": [msg]})
@@ -141,9 +167,17 @@ def _archive_rows(path: str, cols, data_type: str, chunk_rows: int) -> Iterator[
                             # the first header with "time" in it is the trade time
                             time = next((c for c in chunk.columns if "time" in c), None)
                             chunk = chunk.rename(columns={time: "transact_time"})
+                        missing = [c for c in needed if c not in chunk.columns]
+                        if missing:
+                            yield err(f"missing column: {', '.join(missing)}")
+                            return
                         out = pd.DataFrame({c: chunk[c] if c in chunk.columns else None for c in cols})
                     else:
                         width = min(len(cols), chunk.shape[1])
+                        missing = [c for c in needed if c in cols[width:]]
+                        if missing:
+                            yield err(f"missing column: {', '.join(missing)}")
+                            return
                         out = pd.DataFrame({c: chunk.iloc[:, i] if i < width else None
                                             for i, c in enumerate(cols)})
                     n = len(out)
@@ -196,7 +230,9 @@ def ingest(spark: SparkSession, path: str, data_type: str = "aggTrades", market:
 
     Rows carry ``symbol`` and ``archive_year`` parsed from the archive name
     (P15) plus ``archive`` and ``row`` lineage, which orders keep-last merges.
-    The quarantine has one ``(archive, bad_rows, error)`` row per dropped archive.
+    An archive is dropped whole when it cannot be read, lacks a required column, or has a row
+    that breaks a declared rule (:data:`candlewright.schemas.REQUIRED_FIELDS`); the quarantine
+    has one ``(archive, bad_rows, error, line, column)`` row for it.
 
     With ``stage`` (default) the typed rows are written once as Parquet under
     the shared folder and everything downstream reads that, so the archives
@@ -204,56 +240,47 @@ def ingest(spark: SparkSession, path: str, data_type: str = "aggTrades", market:
     """
     raw = read_archives(spark, path, data_type, market, chunk_rows, selected)
     meta = N.parse_archive_name(F.col("archive"))
-    raw = raw.withColumns({"_sym": meta["symbol"], "archive_year": meta["year"]})
-    keep = ("archive", "row", "archive_year", "error")
+    rules = field_rules(data_type, raw.columns)
+    raw = raw.withColumns({"_sym": meta["symbol"], "archive_year": meta["year"],
+                           "_rule": F.when(F.col("error").isNull(), first_wrong(rules))})
+    keep = ("archive", "row", "archive_year", "error", "_rule")
     if data_type in ("aggTrades", "trades"):
-        strict = raw.withColumnRenamed("_sym", "symbol").withColumn("_malformed", _malformed(raw.columns))
-        typed = NZ.normalize_trades(strict, keep=("symbol", "_malformed", *keep))
-        bad = (F.col("error").isNotNull() | F.col("agg_trade_id").isNull() | F.col("ts").isNull()
-               | F.col("_malformed"))
+        typed = NZ.normalize_trades(raw.withColumnRenamed("_sym", "symbol"), keep=("symbol", *keep))
     elif data_type == "metrics":
-        typed = NZ.normalize_metrics(raw, keep=keep)
-        bad = F.col("error").isNotNull() | F.col("_bad")
+        typed = NZ.normalize_metrics(raw, keep=keep).drop("_bad")
     elif data_type == "fundingRate":
         typed = NZ.normalize_funding(raw, keep=keep).withColumn("symbol", meta["symbol"])
-        bad = F.col("error").isNotNull() | F.col("time").isNull()
     else:
         typed = NZ.normalize_bvol(raw, keep=keep)
-        bad = F.col("error").isNotNull() | F.col("time").isNull()
-    flagged = typed.withColumn("_bad", bad)
     if stage:
-        from candlewright.session import shared_dir
         staged = shared_dir(spark, "ingest_stage")
-        flagged.write.parquet(staged)
-        flagged = spark.read.parquet(staged)
-    # an unreadable archive yields exactly one error row; keep the text out of
-    # the aggregate (string buffers would force a sort-based aggregate)
-    errors = flagged.filter(F.col("error").isNotNull()).select("archive", "error")
-    bad_archives = (flagged.filter("_bad").groupBy("archive").agg(F.count(F.lit(1)).alias("bad_rows"))
-                    .join(errors, "archive", "left")
-                    .withColumn("error", F.coalesce("error", F.lit("parse error"))))
-    good = (flagged.join(bad_archives.select("archive"), "archive", "left_anti")
-            .drop("_bad", "_malformed", "error"))
+        typed.write.parquet(staged)
+        typed = spark.read.parquet(staged)
+    bad_archives = judge_archives(typed, rules)
+    good = typed.join(bad_archives.select("archive"), "archive", "left_anti").drop("_rule", "error")
     return good, bad_archives
 
 
 # ---------------------------------------------------------------- writer
 
 def write_archives(df: DataFrame, out_dir: str, data_type: str = "aggTrades",
-                   columns: tuple[str, ...] = FUTURES_TRADE_COLUMNS, header_col: str | None = None) -> DataFrame:
+                   columns: tuple[str, ...] = FUTURES_TRADE_COLUMNS, header_col: str | None = None,
+                   order: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as daily ``SYMBOL-type-YYYY-MM-DD.zip`` archives (one CSV each).
 
     ``df`` needs ``symbol``, ``day`` (date) and the CSV ``columns`` (cast to
     string as written). Rows are clustered by (symbol, day) and streamed into
     the zip by the task that owns the group, so no group is materialised.
-    ``header_col`` (boolean column) asks for a header line per archive.
+    ``header_col`` (boolean column) asks for a header line per archive; lines follow ``order``.
     Returns ``(archive, rows)`` per written file.
     """
     hdr = F.col(header_col) if header_col else F.lit(False)
+    cols = [f"f{i}" for i in range(len(columns))]      # a CSV field may be called symbol too
+    by = [f"o{i}" for i in range(len(order))]
     rows = (df.select("symbol", F.col("day").cast("date").alias("day"), hdr.alias("_hdr"),
-                      *[F.col(c).cast("string").alias(c) for c in columns])
-            .repartition("symbol", "day").sortWithinPartitions("symbol", "day"))
-    cols = list(columns)
+                      *[F.col(c).cast("string").alias(f) for f, c in zip(cols, columns)],
+                      *[F.col(c).alias(o) for o, c in zip(by, order)])
+            .repartition("symbol", "day").sortWithinPartitions("symbol", "day", *by).drop(*by))
 
     def write(batches):
         state = {"key": None, "zf": None, "entry": None, "stream": None, "n": 0, "name": None}
@@ -281,7 +308,7 @@ def write_archives(df: DataFrame, out_dir: str, data_type: str = "aggTrades",
                     zf = zipfile.ZipFile(stream, "w", compression=zipfile.ZIP_DEFLATED)
                     entry = zf.open(name[:-4] + ".csv", "w", force_zip64=True)
                     if bool(g["_hdr"].iloc[0]):
-                        entry.write((",".join(cols) + "\n").encode())
+                        entry.write((",".join(columns) + "\n").encode())
                     state.update(key=(sym, day), zf=zf, entry=entry, stream=stream, name=name)
                 state["entry"].write(g[cols].to_csv(header=False, index=False).encode())
                 state["n"] += len(g)

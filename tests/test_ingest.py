@@ -110,3 +110,42 @@ def test_ingest_pipeline_metrics_newest_wins_and_full_refresh(spark):
     assert bars[("1h", 0)].open == 10.0 and bars[("1h", 0)].close == 12.0 and bars[("1h", 0)].qty == 3.0
     assert len(bars) == 3
     assert out[("future", "fundingRate")][0].collect()[0].symbol == "BTCUSDT"
+
+
+def test_every_declared_rule_refuses_its_archive(spark):
+    """Empty and worded fields, short rows and missing columns, per type, with their place."""
+    def bad(data_type, market, files):
+        d = tempfile.mkdtemp(prefix="cw-zip-")
+        for day, text in files.items():
+            _zip(d, f"X-{data_type}-2024-01-{day:02d}.zip", text)
+        good, q = ingest(spark, d, data_type, market)
+        return ({r.archive[-6:-4]: (r.bad_rows, r.error, r.line, r.column) for r in q.collect()},
+                {r.archive[-6:-4] for r in good.select("archive").distinct().collect()})
+
+    ok = "1,2.0,3,1,1,1704067200000,true\n"
+    got, kept = bad("aggTrades", "future", {
+        1: ok, 2: ok + "2,,,2,2,1704067200001,true\n", 3: ok + "2,2.0,1,2,2,1704067200001\n", 4: "1,2.0,3,1,1,1704067200000\n",
+        5: ok + ok.replace("2.0", "inf"), 6: ok * 3 + ok.replace("true", "maybe") + ok.replace("1704067200000", "noon"),
+        7: "agg_trade_id,price,quantity,first_trade_id,last_trade_id,trade_time,is_buyer_maker\n" + ok,
+        8: "agg_trade_id,price,first_trade_id,last_trade_id,transact_time,is_buyer_maker\n1,2.0,1,1,1704067200000,true\n"})
+    assert kept == {"01", "07"} and got == {
+        "02": (1, "parse error", 1, "price"), "03": (1, "parse error", 1, "is_buyer_maker"),
+        "04": (1, "missing column: is_buyer_maker", None, None), "05": (1, "parse error", 1, "price"),
+        "06": (2, "parse error", 3, "is_buyer_maker"), "08": (1, "missing column: quantity", None, None)}
+
+    head = "calc_time,funding_interval_hours,last_funding_rate\n"
+    got, kept = bad("fundingRate", "future", {
+        1: head + "1704067200000,8,0.0001\n", 2: head + "1704067200000,8,0.0001\n1704067200001,8,oops\n",
+        3: "calc_time,funding_interval_hours\n1704067200000,8\n", 4: head + ",8,0.1\n", 5: head + "1704067200000,8,nan\n"})
+    assert kept == {"01"} and got == {
+        "02": (1, "parse error", 1, "last_funding_rate"), "03": (1, "missing column: last_funding_rate", None, None),
+        "04": (1, "parse error", 0, "calc_time"), "05": (1, "parse error", 0, "last_funding_rate")}
+
+    head = "calc_time,symbol,base_asset,quote_asset,index_value\n"
+    got, kept = bad("BVOLIndex", "option", {
+        1: head + "1704067200000,BVOL,B,USDT,55.5\n", 2: head + "1704067200000,BVOL,B,USDT,\n", 3: head + "1704067200000,,B,USDT,5\n"})
+    assert kept == {"01"} and {k: v[3] for k, v in got.items()} == {"02": "index_value", "03": "symbol"}
+
+    spot = "5,2.5,4,5,6,1704067200123,True,True\n"
+    got, kept = bad("aggTrades", "spot", {1: spot, 2: spot.replace("True,True", "True,"), 3: spot.replace("True,True", "True,eh")})
+    assert kept == {"01", "02"} and got == {"03": (1, "parse error", 0, "is_best_match")}
