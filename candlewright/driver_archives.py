@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewright.driver_oracle import _METRICS_PARSED, _T_US, T_SQL, tbars
+from candlewright.driver_oracle import _METRICS_PARSED, _T_US, ORACLE as CORE_ORACLE, T_SQL, kline_all_sql, tbars
 from candlewright.driver_queries import T_bars, raw_metrics
 from candlewright.fixtures import table, trades_T
 from candlewright.functions.timecols import ntz_to_millis
 from candlewright.operators import quality as QC
 from candlewright.plans import archive_plan as AP
+from candlewright.plans import refresh as RF
 from candlewright.schemas import (AGG_TRADE_COLUMNS, DATA_TYPES, MARKETS, RAW_BVOL_COLUMNS, RAW_FUNDING_COLUMNS,
                                   RAW_METRICS_COLUMNS, VALID_MARKET_TYPES)
 from candlewright.session import shared_dir
@@ -111,7 +112,49 @@ def q_bar_grid(spark, d):
     return QC.expected_bar_grid(T_bars(spark, d, ("1h", "1d")))
 
 
+# ---------------------------------------------------------------- refreshes
+
+BAR_OPTIONS = dict(intervals=("1h", "1d"), zero_qty="null", decimals=6)
+
+
+def q_refresh_incremental(spark, d):
+    """Twenty days, then the rest with newer copies of some trades of the tenth; bars of the
+    changed days are rebuilt from those days' ticks."""
+    root = shared_dir(spark, "incremental")
+    T = trades_T(spark, d)
+    day = F.dayofmonth("time")
+    RF.refresh(spark, T.filter(day <= 20), root, **BAR_OPTIONS)
+    newer = T.filter((day == 10) & (F.col("agg_trade_id") % 3 == 0)).withColumn("price", F.col("price") + 1)
+    return RF.refresh(spark, T.filter(day > 20).unionByName(newer), root, **BAR_OPTIONS).drop("year")
+
+
+def q_full_refresh_two_markets(spark, d):
+    """Daily archives of two futures sub-markets, refreshed after the first half month, after
+    the second, and once more with nothing new; the bars of both."""
+    T = trades_T(spark, d).withColumns({"day": F.col("time").cast("date"), "transact_time": F.col("ts"),
+                                        "_h": F.length("symbol") > 5})
+    store = shared_dir(spark, "markets")
+    subs = {"um": T.filter("is_buyer_maker"), "cm": T.filter("not is_buyer_maker")}
+    landings = {("future", sub, "aggTrades"): shared_dir(spark, f"landing-{sub}") for sub in subs}
+    for part in (F.dayofmonth("time") <= 15, F.dayofmonth("time") > 15, None):
+        if part is not None:
+            for (_, sub, _), root in landings.items():
+                AR.write_archives(subs[sub].filter(part), root, "aggTrades", AR.FUTURES_TRADE_COLUMNS, "_h").count()
+        out = RF.full_refresh(spark, landings, store, **BAR_OPTIONS)
+    um, cm = (out["future", sub, "klines"] for sub in subs)
+    return um.unionByName(cm).drop("year")
+
+
+def q_report_labels(spark, d):
+    """The check report of T as it stands in the store of a sub-market."""
+    from candlewright.driver_queries import q_check_report
+    return QC.label_report(q_check_report(spark, d), "future", "um")
+
+
 QUERIES = {
+    "refresh_incremental": q_refresh_incremental,
+    "full_refresh_two_markets": q_full_refresh_two_markets,
+    "report_labels": q_report_labels,
     "zip_spot": q_zip_spot,
     "zip_metrics": q_zip_metrics,
     "zip_funding": q_zip_funding,
@@ -128,7 +171,23 @@ def _pick(names, c):
     return f"list_extract([{', '.join(repr(n) for n in names)}], CAST({c} % {len(names)} + 1 AS BIGINT))"
 
 
+_REPORT = CORE_ORACLE["check_report"]
+
+_NEWER = f"""SELECT * REPLACE (CASE WHEN day(time) = 10 AND agg_trade_id % 3 = 0 THEN price + 1 ELSE price END AS price)
+FROM ({T_SQL}) t0"""
+
+
+def _market_bars(sub: str, maker: str) -> str:
+    bars = kline_all_sql(f"SELECT * FROM ({T_SQL}) t0 WHERE {maker} is_buyer_maker", ("1h", "1d"))
+    return f"SELECT *, 'future' AS market, '{sub}' AS market_sub FROM ({bars}) {sub}"
+
+
 ORACLE = {
+    "refresh_incremental": kline_all_sql(_NEWER, ("1h", "1d")),
+    "full_refresh_two_markets": f"{_market_bars('um', '')} UNION ALL {_market_bars('cm', 'NOT')}",
+    "report_labels": f"""SELECT *, 'future' AS market, 'um' AS market_sub,
+  'future/um/aggTrades' || CASE WHEN kind = 'bars' THEN '_kline' ELSE '' END || '/' || symbol || '/' AS folder
+FROM ({_REPORT}) r""",
     "zip_spot": f"""SELECT symbol, agg_trade_id, time, price, quantity, agg_trade_id AS first_trade_id,
   agg_trade_id AS last_trade_id, is_buyer_maker, agg_trade_id % 3 = 0 AS is_best_match, ts FROM ({_T_US}) t""",
     "zip_metrics": f"""WITH p AS ({_METRICS_PARSED})

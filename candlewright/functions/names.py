@@ -94,6 +94,12 @@ def market_path(market, market_sub) -> Column:
             .otherwise(m))
 
 
+def store_folder(market: str, market_sub: str | None, data_type: str) -> str:
+    """Folder of a stored data type below the store root. Fixed layout: ``spot/TYPE``,
+    ``future/SUB/TYPE`` and, for options, ``future/option/TYPE``."""
+    return {"spot": "spot", "option": "future/option"}.get(market, f"future/{market_sub or 'um'}") + "/" + data_type
+
+
 def archive_url(symbol, data_type, market, market_sub, file_name, daily,
                 base_url: str = ARCHIVE_BASE_URL) -> Column:
     """``{base}/data/{market path}/{daily|monthly}/{type}/{SYMBOL}/{file}``."""

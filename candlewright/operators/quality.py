@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewright.functions.names import store_folder
 from candlewright.functions.timecols import floor_time, micros_to_ntz, ntz_to_micros
 from candlewright.schemas import INTERVAL_SECONDS
 from candlewright.sources.store import footer_aggregate
@@ -345,6 +346,17 @@ def check_report(id_checks: DataFrame, bar_checks: DataFrame, continuity: DataFr
     return out.orderBy("symbol", F.coalesce("interval_seconds", F.lit(1 << 31)), "name", "kind")
 
 
+def label_report(report: DataFrame, market: str, market_sub: str | None = None,
+                 dataset: str = "aggTrades") -> DataFrame:
+    """A check report with ``market``, ``market_sub`` and the ``folder`` of each row's file
+    (trades below the data type, bars below the data type's ``_kline`` folder)."""
+    base = store_folder(market, market_sub, dataset)
+    kind = F.when(F.col("kind") == "bars", F.lit(f"{base}_kline")).otherwise(F.lit(base))
+    return report.withColumns({
+        "market": F.lit(market), "market_sub": F.lit(market_sub).cast("string"),
+        "folder": F.format_string("%s/%s/", kind, F.col("symbol"))})
+
+
 def run_counters(report: DataFrame) -> DataFrame:
     """Counters over a check run.
 

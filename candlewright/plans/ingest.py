@@ -10,11 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewright.functions import names as N
+from candlewright.plans import ledger as LG
 from candlewright.plans.archive_plan import InvalidRequest, select_archives
 from candlewright.schemas import DEDUP_KEY, VALID_MARKET_TYPES
-from candlewright.functions import names as N
 from candlewright.sources.archives import ingest, list_archives
-from candlewright.sources.store import upsert
+from candlewright.sources.store import read_table, staged, table_exists, upsert
+from candlewright.sources.swap import recover
+
+QUARANTINE = "archive string, bad_rows long, error string, line long, column string"
 
 
 def ingest_archives(spark: SparkSession, landing: str, store: str, data_type: str = "aggTrades",
@@ -29,20 +33,53 @@ def ingest_archives(spark: SparkSession, landing: str, store: str, data_type: st
     ``partition_cols`` is the store layout; the dedup key is the partition
     columns plus the data type's key (``agg_trade_id`` or ``time``).
     """
+    table, quarantine, _ = convert(spark, landing, store, data_type, market, start_date, partition_cols, resume=False)
+    return table, quarantine
+
+
+def convert(spark: SparkSession, landing: str, store: str, data_type: str = "aggTrades", market: str = "future",
+            start_date: str | None = None, partition_cols: tuple[str, ...] = ("symbol", "year"),
+            resume: bool = True) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
+    """``(table, quarantine, days)``: as :func:`ingest_archives`, and the (symbol, day) pairs that
+    got rows (None if nothing was converted).
+
+    With ``resume`` only archives that the store's ledger does not list as they are now are
+    opened (:mod:`candlewright.plans.ledger`); a run with nothing to do opens none and writes
+    nothing. The table is None while the store has no rows.
+    """
     if (market, data_type) not in VALID_MARKET_TYPES:
         raise InvalidRequest(f"{data_type} is not available on {market}")
+    recover(spark, store, partition_cols)      # what a killed run stored counts before anything is selected
     files = list_archives(spark, landing)
-    selected = select_archives(files.select("file_name"), start_date)
-    rows, quarantine = ingest(spark, landing, data_type, market, selected=selected)
-    unnamed = files.filter(N.parse_archive_name(F.col("file_name"))["daily"].isNull())
-    quarantine = quarantine.unionByName(unnamed.select(
+    name = N.parse_archive_name(F.col("file_name"))
+    unnamed = files.filter(name["daily"].isNull()).select(
         F.col("file_name").alias("archive"), F.lit(0).cast("long").alias("bad_rows"),
         F.lit("unrecognised archive name").alias("error"), F.lit(None).cast("long").alias("line"),
-        F.lit(None).cast("string").alias("column")))
+        F.lit(None).cast("string").alias("column"))
+
+    def stored() -> DataFrame | None:
+        return read_table(spark, store) if table_exists(spark, store) else None
+
+    selected = select_archives(files.select("file_name", "length", "modified"), start_date)
+    if resume:
+        last = F.when(F.col("daily"), F.col("archive_date")).otherwise(F.last_day("archive_date"))
+        selected = selected.select("file_name", "length", "modified", name["symbol"].alias("symbol"),
+                                   last.alias("last_day"))
+        with staged(LG.pending(spark, selected, store, start_date is not None), "pending") as selected:
+            if selected.isEmpty():
+                return stored(), unnamed, None
+            quarantine, days = _convert(spark, landing, store, data_type, market, partition_cols, selected)
+            LG.record(selected, quarantine, store)
+    else:
+        quarantine, days = _convert(spark, landing, store, data_type, market, partition_cols, selected)
+    return stored(), quarantine.unionByName(unnamed), days
+
+
+def _convert(spark, landing, store, data_type, market, partition_cols, selected):
+    rows, quarantine = ingest(spark, landing, data_type, market, selected=selected)
     if "symbol" not in rows.columns:
         rows = rows.withColumn("symbol", F.lit(None).cast("string"))
     rows = rows.drop("archive_year")
-    key = DEDUP_KEY[data_type]
-    table = upsert(spark, rows, store, (*partition_cols, key), order=("archive", "row"),
-                   partition_cols=partition_cols)
-    return table, quarantine
+    upsert(spark, rows, store, (*partition_cols, DEDUP_KEY[data_type]), order=("archive", "row"),
+           partition_cols=partition_cols)
+    return quarantine, rows.select("symbol", F.to_date("time").alias("day")).distinct()

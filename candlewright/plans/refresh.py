@@ -1,23 +1,30 @@
-"""Incremental refresh (G8, G9): rebuild only stale bar partitions.
+"""Incremental refresh (G8, G9): rebuild only what new trades changed.
 
-Stores under ``root``: ``aggTrades`` partitioned by (symbol, year) and
-``klines`` partitioned by (symbol, interval, year). Only the partitions the
-new trades touch are rewritten, and only (symbol, year) pairs whose bars are
-stale are re-aggregated.
+Stores: trades partitioned by (symbol, year), bars partitioned by (symbol, interval, year).
+Every bar width divides a day, so the bars of a day depend on the ticks of that day alone:
+a refresh re-aggregates the days that got rows, plus the days a stale or missing bar series
+lacks, and replaces just those days in the bar store. Ticks of a day are read again rather
+than added to stored sums, because a newer copy of a trade replaces the older one.
 """
 
 from __future__ import annotations
 
+import datetime
 import os
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewright.functions import names as N
 from candlewright.operators.bars import klines_all_intervals
 from candlewright.operators.coverage import coverage_by_year, coverage_stored
+from candlewright.operators.merge import ts_literal
 from candlewright.schemas import BASE_INTERVALS
-from candlewright.sources.store import read_table, stage_parquet, table_exists, upsert, write_table
+from candlewright.sources.store import (PARTITIONS, read_partitions, read_table, replace_partitions, staged,
+                                        table_exists, upsert, write_table)
+from candlewright.sources.swap import Swap, recover
 
 BAR_PARTITIONS = ("symbol", "interval", "year")
 
@@ -30,6 +37,20 @@ def bar_coverage(bars: DataFrame) -> DataFrame:
                         & (F.dayofmonth("bar_last_date") == 31))
 
 
+def _interval_coverage(src: DataFrame, bars: DataFrame | None, intervals: Sequence[str]) -> DataFrame:
+    """Source coverage per wanted interval, with the interval's last bar date and two verdicts."""
+    want = src.select("*", F.explode(F.array(*[F.lit(i) for i in intervals])).alias("interval"))
+    if bars is None:
+        cov = want.withColumns({"bar_last_date": F.lit(None).cast("date"),
+                                "bar_complete": F.lit(None).cast("boolean")})
+    else:
+        have = bar_coverage(bars).withColumnsRenamed({c: f"_{c}" for c in ("symbol", "interval", "year")})
+        cov = want.join(have, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("interval") == F.col("_interval"))
+                        & (F.col("year") == F.col("_year")), "left").drop("_symbol", "_interval", "_year")
+    older = ~F.coalesce(F.col("bar_complete"), F.lit(False)) & (F.col("bar_last_date") < F.col("source_last_date"))
+    return cov.withColumns({"_missing": F.col("bar_last_date").isNull(), "_older": older})
+
+
 def stale_partitions(trades: DataFrame | None, bars: DataFrame | None,
                      intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
                      source_coverage: DataFrame | None = None) -> DataFrame:
@@ -44,24 +65,79 @@ def stale_partitions(trades: DataFrame | None, bars: DataFrame | None,
     """
     cov_src = source_coverage if source_coverage is not None else coverage_by_year(trades)
     src = cov_src.select("symbol", "year", F.col("last_date").alias("source_last_date"))
-    want = src.select("*", F.explode(F.array(*[F.lit(i) for i in intervals])).alias("interval"))
-    if bars is None:
-        cov = want.withColumns({"bar_last_date": F.lit(None).cast("date"),
-                                "bar_complete": F.lit(None).cast("boolean")})
-    else:
-        cov = want.join(bar_coverage(bars), ["symbol", "interval", "year"], "left")
-    missing = F.col("bar_last_date").isNull()
-    older = ~F.coalesce(F.col("bar_complete"), F.lit(False)) & (F.col("bar_last_date") < F.col("source_last_date"))
-    out = cov.groupBy("symbol", "year").agg(
+    out = _interval_coverage(src, bars, intervals).groupBy("symbol", "year").agg(
         F.first("source_last_date").alias("source_last_date"),
-        F.count_if(missing).alias("missing_intervals"),
-        F.count_if(older).alias("older_intervals"))
+        F.count_if("_missing").alias("missing_intervals"),
+        F.count_if("_older").alias("older_intervals"))
     stale = (F.col("missing_intervals") > 0) | (F.col("older_intervals") > 0)
     if force:
         stale = F.lit(True)
     return out.withColumn("stale", stale)
 
 
+def stale_days(source_coverage: DataFrame, bars: DataFrame | None, intervals: Sequence[str] = BASE_INTERVALS,
+               force: bool = False) -> DataFrame:
+    """The (symbol, day) pairs that a stale (symbol, year) lacks: from the last day of its
+    shortest series on, or the whole covered year where a series is missing (or ``force``)."""
+    src = source_coverage.select("symbol", "year", "first_date", F.col("last_date").alias("source_last_date"))
+    lacks = _interval_coverage(src, bars, intervals).groupBy("symbol", "year").agg(
+        F.min("first_date").alias("_first"), F.max("source_last_date").alias("_to"),
+        F.max("_missing").alias("_missing"), F.min(F.when(F.col("_older"), F.col("bar_last_date"))).alias("_from"))
+    start = F.when(F.lit(force) | F.col("_missing"), F.col("_first")).otherwise(F.col("_from"))
+    return (lacks.select("symbol", "_to", start.alias("_start")).filter(F.col("_start") <= F.col("_to"))
+            .select("symbol", F.explode(F.sequence("_start", "_to")).alias("day")))
+
+
+def dirty_days(trades: DataFrame) -> DataFrame:
+    """The (symbol, day) pairs of an increment."""
+    return trades.select("symbol", F.to_date("time").alias("day")).distinct()
+
+
+def _of_days(df: DataFrame, days: DataFrame, how: str) -> DataFrame:
+    """Rows of ``df`` of the given (symbol, day) pairs (``left_semi``) or of others (``left_anti``)."""
+    d = days.select(F.col("symbol").alias("_s"), F.col("day").alias("_d"))
+    return df.join(d, df["symbol"].eqNullSafe(d["_s"]) & (F.to_date(df["time"]) == d["_d"]), how)
+
+
+def day_ranges(days: Sequence, most: int = 32) -> list[tuple]:
+    """At most ``most`` ranges ``[first, last]`` that cover the days: the smallest gaps are closed."""
+    days = sorted(set(days))
+    gaps = sorted(((b - a).days, b) for a, b in zip(days, days[1:]) if (b - a).days > 1)
+    cuts = sorted(b for _, b in gaps[max(0, len(gaps) - most + 1):])
+    starts = days[:1] + cuts
+    return [(a, max(x for x in days if b is None or x < b)) for a, b in zip(starts, [*cuts, None])]
+
+
+def rebuild_days(spark: SparkSession, trades_path: str, bars_path: str, days: DataFrame,
+                 intervals: Sequence[str] = BASE_INTERVALS, zero_qty: str = "nan", decimals: int | None = None,
+                 exact: bool = False) -> DataFrame | None:
+    """Bars of the given (symbol, day) pairs from their ticks, replacing those days in the bar
+    store; returns the bar table (None while there is none).
+
+    Only the trade folders of those pairs are opened, and in them the row groups whose times
+    meet the days (literal ranges reach the scan; the list of days is bounded by the calendar).
+    """
+    with staged(days.select("symbol", "day").distinct().withColumn("year", F.year("day")), "dirty_days") as days:
+        swap = Swap(spark, trades_path, PARTITIONS)
+        folders = swap.touched(days)
+        swap.drop()
+        ticks = read_partitions(spark, trades_path, folders) if folders else None
+        if ticks is not None:
+            calendar = [r.day for r in days.select("day").distinct().collect()]
+            one = datetime.timedelta(days=1)
+            meets = reduce(lambda a, b: a | b, [
+                (F.col("time") >= ts_literal(str(a))) & (F.col("time") < ts_literal(str(b + one)))
+                for a, b in day_ranges(calendar)])
+            todo = _of_days(ticks.filter(meets), days, "left_semi")
+            fresh = klines_all_intervals(todo, intervals, zero_qty=zero_qty, decimals=decimals, exact=exact)
+
+            def merge(stored: DataFrame | None, new: DataFrame) -> DataFrame:
+                return new if stored is None else _of_days(stored.select(*new.columns), days, "left_anti").unionByName(new)
+
+            replace_partitions(spark, fresh, bars_path, merge, partition_cols=BAR_PARTITIONS, order=("time",))
+    return read_table(spark, bars_path) if table_exists(spark, bars_path) else None
+
+
 def rebuild_stale_bars(spark: SparkSession, trades: DataFrame, bars_path: str,
                        intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
                        zero_qty: str = "nan", decimals: int | None = None,
@@ -80,9 +156,7 @@ def rebuild_stale_bars(spark: SparkSession, trades: DataFrame, bars_path: str,
     todo = trades.join(stale, ["symbol", "year"], "left_semi")
     fresh = (klines_all_intervals(todo, intervals, zero_qty=zero_qty, decimals=decimals, exact=exact)
              .withColumn("year", F.year("time")))
-    fresh = stage_parquet(fresh, "fresh_bars")
-    if not fresh.isEmpty():
-        write_table(fresh, bars_path, BAR_PARTITIONS, order=("time",))
+    write_table(fresh, bars_path, BAR_PARTITIONS, order=("time",))
     return read_table(spark, bars_path)
 
 
@@ -90,39 +164,63 @@ def refresh(spark: SparkSession, new_trades: DataFrame, root: str,
             intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
             keys: Sequence[str] = ("symbol", "year", "agg_trade_id"),
             order: Sequence = (), zero_qty: str = "nan", decimals: int | None = None) -> DataFrame:
-    """G9 for one trade store: upsert trades, then rebuild stale bars.
-
-    Returns the bar table after the refresh.
+    """G9 for one trade store: upsert trades, then rebuild the days they touched and those that
+    stale bars lack. The increment is evaluated once. Returns the bar table.
     """
-    trades_path = os.path.join(root, "aggTrades")
-    stored = upsert(spark, new_trades, trades_path, keys, order)
-    return rebuild_stale_bars(spark, stored, os.path.join(root, "klines"), intervals, force,
-                              zero_qty, decimals, trades_path=trades_path)
+    trades_path, bars_path = os.path.join(root, "aggTrades"), os.path.join(root, "klines")
+    with staged(new_trades, "refresh_new") as new:
+        upsert(spark, new, trades_path, keys, order, staged=True)
+        return refresh_bars(spark, trades_path, bars_path, dirty_days(new), intervals, force, zero_qty, decimals)
+
+
+def refresh_bars(spark: SparkSession, trades_path: str, bars_path: str, days: DataFrame | None = None,
+                 intervals: Sequence[str] = BASE_INTERVALS, force: bool = False, zero_qty: str = "nan",
+                 decimals: int | None = None) -> DataFrame | None:
+    """Bars of one trade store brought up to date: ``days`` that got rows, and what is stale by
+    coverage (Parquet footers)."""
+    if not table_exists(spark, trades_path):
+        return None
+    recover(spark, bars_path, BAR_PARTITIONS)
+    bars = read_table(spark, bars_path) if table_exists(spark, bars_path) else None
+    todo = stale_days(coverage_stored(spark, trades_path), bars, intervals, force)
+    if days is not None:
+        todo = todo.unionByName(days.select("symbol", "day"))
+    return rebuild_days(spark, trades_path, bars_path, todo, intervals, zero_qty, decimals)
 
 
 def full_refresh(spark: SparkSession, landings: dict, store_root: str, start_date: str | None = None,
-                 intervals: Sequence[str] = BASE_INTERVALS) -> dict:
+                 intervals: Sequence[str] = BASE_INTERVALS, zero_qty: str = "nan",
+                 decimals: int | None = None) -> dict:
     """The whole refresh for a set of landing folders.
 
-    ``landings`` maps ``(market, data_type)`` to an archive folder. Each is
-    converted into ``{store_root}/{market}/{data_type}``; every trade store
-    then gets its stale bar partitions rebuilt under
-    ``{store_root}/{market}/klines/{data_type}``. The loop runs over datasets (a handful),
-    never over data. Returns ``{(market, data_type): (table, quarantine)}``
-    plus ``{(market, "klines/<data_type>"): bars}`` and, where a market has one
-    trade type, the same table as ``(market, "klines")``.
+    ``landings`` maps ``(market, data_type)`` or ``(market, market_sub, data_type)`` to an archive
+    folder (futures without a sub-market are ``um``). Each is converted into its folder below
+    ``store_root`` (:func:`candlewright.functions.names.store_folder`), opening only archives that
+    its ledger does not know; every trade store then gets the bars of changed days rebuilt, in
+    the folder of the same name with ``_kline``. The loop runs over datasets (a handful), never
+    over data. Returns ``{key: (table, quarantine)}`` plus the bars as ``(market, [sub,] "klines/<data_type>")``
+    and, where a (market, sub) has one trade type, as ``(market, [sub,] "klines")``. All tables have
+    the columns ``market`` and ``market_sub``.
     """
-    from candlewright.plans.ingest import ingest_archives
+    from candlewright.plans.ingest import convert
     out = {}
-    for (market, data_type), landing in landings.items():
-        store = os.path.join(store_root, market, data_type)
-        out[(market, data_type)] = ingest_archives(spark, landing, store, data_type, market, start_date)
-    for (market, data_type), (table, _) in list(out.items()):
+    for key, landing in landings.items():
+        market, sub, data_type = key if len(key) == 3 else (key[0], None, key[1])
+        sub = (sub or "um") if market == "future" else None
+        store = os.path.join(store_root, N.store_folder(market, sub, data_type))
+        table, quarantine, days = convert(spark, landing, store, data_type, market, start_date)
+        out[key] = (with_market(table, market, sub), quarantine)
         if data_type in ("aggTrades", "trades"):
-            bars = rebuild_stale_bars(
-                spark, table, os.path.join(store_root, market, "klines", data_type), intervals,
-                trades_path=os.path.join(store_root, market, data_type))
-            out[(market, f"klines/{data_type}")] = bars
-            if sum(m == market and t in ("aggTrades", "trades") for m, t in landings) == 1:
-                out[(market, "klines")] = bars
+            bars = with_market(refresh_bars(spark, store, f"{store}_kline", days, intervals, zero_qty=zero_qty,
+                                            decimals=decimals), market, sub)
+            out[(*key[:-1], f"klines/{data_type}")] = bars
+            if sum(k[:-1] == key[:-1] and k[-1] in ("aggTrades", "trades") for k in landings) == 1:
+                out[(*key[:-1], "klines")] = bars
     return out
+
+
+def with_market(df: DataFrame | None, market: str, market_sub: str | None) -> DataFrame | None:
+    """A stored table with the market it belongs to."""
+    if df is None:
+        return None
+    return df.withColumns({"market": F.lit(market), "market_sub": F.lit(market_sub).cast("string")})

@@ -191,10 +191,11 @@ def _archive_rows(path: str, cols, data_type: str, chunk_rows: int) -> Iterator[
 
 
 def list_archives(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, file_name, length)`` of every ``*.zip`` under ``path`` (content not read)."""
+    """``(path, file_name, length, modified)`` of every ``*.zip`` under ``path`` (content not read)."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
             .option("recursiveFileLookup", "true").load(path)
-            .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length"))
+            .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length",
+                    F.col("modificationTime").alias("modified")))
 
 
 def read_archives(spark: SparkSession, path: str, data_type: str = "aggTrades",

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,11 +147,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(Folder(spark, path).names())
 
 
-def stage_parquet(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back."""
-    path = shared_dir(df.sparkSession, name)
+@contextmanager
+def staged(df: DataFrame, name: str):
+    """``df`` written once to the shared folder and read back; the folder goes when the block ends well."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    parent, _, leaf = path.rpartition("/")
+    Folder(spark, parent).remove(leaf)
 
 
 def read_partitions(spark: SparkSession, path: str, dirs: Sequence[str]) -> DataFrame | None:
