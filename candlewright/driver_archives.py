@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewright.driver_oracle import _METRICS_PARSED, _T_US, ORACLE as CORE_ORACLE, T_SQL, kline_all_sql, tbars
+from candlewright.driver_oracle import _METRICS_PARSED, _T_US, ORACLE as CORE_ORACLE, T_SQL, kline_all_sql, kline_sql, tbars
 from candlewright.driver_queries import T_bars, raw_metrics
 from candlewright.fixtures import table, trades_T
 from candlewright.functions.timecols import ntz_to_millis
@@ -16,6 +16,7 @@ from candlewright.schemas import (AGG_TRADE_COLUMNS, DATA_TYPES, MARKETS, RAW_BV
                                   RAW_METRICS_COLUMNS, VALID_MARKET_TYPES)
 from candlewright.session import shared_dir
 from candlewright.sources import archives as AR
+from candlewright.streaming import bars as SB
 
 
 def _written(df, data_type, columns, order, header=True):
@@ -151,7 +152,46 @@ def q_report_labels(spark, d):
     return QC.label_report(q_check_report(spark, d), "future", "um")
 
 
+# ---------------------------------------------------------------- streams
+
+def _in_slices(df, path, n=6):
+    """``df`` written in ``n`` slices of time, one after the other, so files arrive in order."""
+    lo, hi = df.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) // n + 1
+    for i in range(n):
+        part = df.filter((F.col("ts") >= lo + i * step) & (F.col("ts") < lo + (i + 1) * step))
+        part.coalesce(2).write.mode("append").parquet(path)
+
+
+def q_stream_dedup_last(spark, d):
+    """R2: corrected copies ten minutes after every fifth trade replace it; state bound one hour."""
+    src, out, ck = (shared_dir(spark, f"last-{n}") for n in ("src", "out", "ck"))
+    T = trades_T(spark, d)
+    newer = T.filter(F.col("agg_trade_id") % 5 == 0).withColumns({
+        "price": F.col("price") + 1, "time": F.timestamp_add("MINUTE", F.lit(10), F.col("time")),
+        "ts": F.col("ts") + 600_000_000})
+    _in_slices(T.unionByName(newer), src)
+    stream = SB.read_trade_stream(spark, src, T.schema, max_files=2)
+    SB.run_to_parquet(SB.dedup_last_stream(stream, 3600), out, ck)
+    return SB.latest(spark.read.parquet(out))
+
+
+def q_stream_late_repair(spark, d):
+    """Trades in shuffled files under a one-hour watermark: most rows come after their window
+    is out; the stream's bars and the repair of marked days equal batch bars."""
+    src, ticks, bars, ck1, ck2 = (shared_dir(spark, f"late-{n}") for n in ("src", "ticks", "bars", "ck1", "ck2"))
+    T = trades_T(spark, d)
+    T.repartition(4, F.xxhash64("agg_trade_id")).write.parquet(src)
+    stream = SB.read_trade_stream(spark, src, T.schema, max_files=2)
+    SB.bars_to_store(stream, bars, ck1, "1h", "1 hour", zero_qty="null", decimals=6)
+    SB.tick_stream(stream, ticks, bars, ("symbol", "year", "agg_trade_id"), ck2, 3600)
+    out = SB.repair(spark, ticks, bars, ("1h",), zero_qty="null", decimals=6)
+    return out.drop("interval", "year")
+
+
 QUERIES = {
+    "stream_dedup_last": q_stream_dedup_last,
+    "stream_late_repair": q_stream_late_repair,
     "refresh_incremental": q_refresh_incremental,
     "full_refresh_two_markets": q_full_refresh_two_markets,
     "report_labels": q_report_labels,
@@ -183,6 +223,11 @@ def _market_bars(sub: str, maker: str) -> str:
 
 
 ORACLE = {
+    "stream_dedup_last": f"""SELECT * REPLACE (CASE WHEN agg_trade_id % 5 = 0 THEN price + 1 ELSE price END AS price,
+  CASE WHEN agg_trade_id % 5 = 0 THEN time + INTERVAL 10 MINUTE ELSE time END AS time,
+  CASE WHEN agg_trade_id % 5 = 0 THEN ts + 600000000 ELSE ts END AS ts),
+  agg_trade_id AS first_trade_id, agg_trade_id AS last_trade_id, false AS is_best_match FROM ({_T_US}) t""",
+    "stream_late_repair": kline_sql(T_SQL, "1h"),
     "refresh_incremental": kline_all_sql(_NEWER, ("1h", "1d")),
     "full_refresh_two_markets": f"{_market_bars('um', '')} UNION ALL {_market_bars('cm', 'NOT')}",
     "report_labels": f"""SELECT *, 'future' AS market, 'um' AS market_sub,

@@ -265,18 +265,17 @@ def missing_bars(bars: DataFrame, keys: Sequence[str] = ("symbol",),
 
 
 def trades_per_minute(trades: DataFrame, keys: Sequence[str] = ("symbol",),
-                      start=None, end=None) -> DataFrame:
+                      start=None, end=None, chunk: int = 1 << 14) -> DataFrame:
     """A9 + J4: trade count per minute, re-indexed to every minute with 0.
 
     With ``start``/``end`` the range is ``[start, end)`` (F3); otherwise each
     series spans its own first to last minute. Series without trades in the
     range give no rows.
 
-    One pass over the ticks: per-minute counts, then each count row emits
-    itself and zero rows for the empty minutes up to the next count of its
-    series (``lead``), plus the edges of an explicit range. The window runs
-    over per-minute counts, so its size is bounded by the time span, not by
-    the trade volume of a hot symbol.
+    One pass over the ticks: per-minute counts, exchanged once by (series, day). A window per
+    day finds the gaps between the counts of that day; the seams between days come from one row
+    per (series, day). Gaps are generated chunk by chunk (``chunk`` minutes), so neither a hot
+    series nor a gap of years lands in one task or one row.
     """
     t = trades
     lo = F.expr(f"TIMESTAMP_NTZ'{start}'") if start is not None else None
@@ -285,27 +284,32 @@ def trades_per_minute(trades: DataFrame, keys: Sequence[str] = ("symbol",),
         t = t.filter(F.col("time") >= lo)
     if hi is not None:
         t = t.filter(F.col("time") < hi)
-    counts = (t.groupBy(*keys, F.window("time", "1 minute").start.alias("time"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy(*keys).orderBy("time")
-    one = F.expr("INTERVAL 1 MINUTE")
-    nxt = F.lead("time").over(w)
-    prv = F.lag("time").over(w)
+    minute, day = F.lit(60_000_000), F.lit(1440)
+    counts = (t.groupBy(*keys, F.floor(ntz_to_micros("time") / minute).alias("_m"))
+              .agg(F.count(F.lit(1)).alias("n")).withColumn("_d", F.floor(F.col("_m") / day))
+              .repartition(*keys, "_d"))
+    after = F.lead("_m").over(Window.partitionBy(*keys, "_d").orderBy("_m"))
+    inside = counts.select(*keys, (F.col("_m") + 1).alias("_lo"), (after - 1).alias("_hi"))
+    days = counts.groupBy(*keys, "_d").agg(F.min("_m").alias("_first"), F.max("_m").alias("_last"))
+    w = Window.partitionBy(*keys).orderBy("_d")             # one row per day of a series
+    to = F.lead("_first").over(w) - 1
     if hi is not None:
-        nxt = F.coalesce(nxt, floor_time(hi, 60_000_000))   # fill to end - 1 minute
-    gap_after = F.when(nxt.isNotNull() & (nxt > F.timestamp_add("MINUTE", F.lit(1), F.col("time"))),
-                       F.sequence(F.timestamp_add("MINUTE", F.lit(1), F.col("time")),
-                                  F.timestamp_add("MINUTE", F.lit(-1), nxt), one))
-    gaps = F.coalesce(gap_after, F.array().cast("array<timestamp_ntz>"))
+        to = F.coalesce(to, F.floor((ntz_to_micros(hi) - 1) / minute))
+    seams = days.select(*keys, (F.col("_last") + 1).alias("_lo"), to.alias("_hi"))
+    gaps = inside.unionByName(seams)
     if lo is not None:
-        first_lo = floor_time(lo, 60_000_000)
-        gap_before = F.when(prv.isNull() & (F.col("time") > first_lo),
-                            F.sequence(first_lo, F.timestamp_add("MINUTE", F.lit(-1), F.col("time")), one))
-        gaps = F.concat(F.coalesce(gap_before, F.array().cast("array<timestamp_ntz>")), gaps)
-    filled = counts.select(*keys, "time", F.col("n").cast("long").alias("n"), gaps.alias("_gaps"))
-    own = F.array(F.struct(F.col("time").alias("time"), F.col("n").alias("n")))
-    empty = F.transform("_gaps", lambda g: F.struct(g.alias("time"), F.lit(0).cast("long").alias("n")))
-    return filled.select(*keys, F.inline(F.concat(own, empty)))
+        edges = days.groupBy(*keys).agg(F.min("_first").alias("_hi"))
+        gaps = gaps.unionByName(edges.select(*keys, F.floor(ntz_to_micros(lo) / minute).alias("_lo"),
+                                             (F.col("_hi") - 1).alias("_hi")))
+    c = F.lit(chunk)
+    chunks = (gaps.filter(F.col("_lo") <= F.col("_hi"))
+              .select("*", F.explode(F.sequence(F.floor(F.col("_lo") / c), F.floor(F.col("_hi") / c))).alias("_c"))
+              .repartition(*keys, "_c"))
+    empty = chunks.select(*keys, F.explode(F.sequence(
+        F.greatest(F.col("_lo"), F.col("_c") * c), F.least(F.col("_hi"), F.col("_c") * c + c - 1))).alias("_m"),
+        F.lit(0).cast("long").alias("n"))
+    return counts.select(*keys, "_m", "n").unionByName(empty).select(
+        *keys, micros_to_ntz(F.col("_m") * minute).alias("time"), "n")
 
 
 # ---------------------------------------------------------------- reports

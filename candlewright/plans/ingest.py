@@ -7,6 +7,8 @@ partitions (D2, D4, S8). One shuffle for the merge, on the full dedup key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,13 +41,13 @@ def ingest_archives(spark: SparkSession, landing: str, store: str, data_type: st
 
 def convert(spark: SparkSession, landing: str, store: str, data_type: str = "aggTrades", market: str = "future",
             start_date: str | None = None, partition_cols: tuple[str, ...] = ("symbol", "year"),
-            resume: bool = True) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
+            resume: bool = True, before_upsert: Callable[[DataFrame], None] | None = None) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
     """``(table, quarantine, days)``: as :func:`ingest_archives`, and the (symbol, day) pairs that
     got rows (None if nothing was converted).
 
     With ``resume`` only archives that the store's ledger does not list as they are now are
     opened (:mod:`candlewright.plans.ledger`); a run with nothing to do opens none and writes
-    nothing. The table is None while the store has no rows.
+    nothing. ``before_upsert`` gets the days first. The table is None while the store has no rows.
     """
     if (market, data_type) not in VALID_MARKET_TYPES:
         raise InvalidRequest(f"{data_type} is not available on {market}")
@@ -68,18 +70,21 @@ def convert(spark: SparkSession, landing: str, store: str, data_type: str = "agg
         with staged(LG.pending(spark, selected, store, start_date is not None), "pending") as selected:
             if selected.isEmpty():
                 return stored(), unnamed, None
-            quarantine, days = _convert(spark, landing, store, data_type, market, partition_cols, selected)
+            quarantine, days = _convert(spark, landing, store, data_type, market, partition_cols, selected, before_upsert)
             LG.record(selected, quarantine, store)
     else:
-        quarantine, days = _convert(spark, landing, store, data_type, market, partition_cols, selected)
+        quarantine, days = _convert(spark, landing, store, data_type, market, partition_cols, selected, before_upsert)
     return stored(), quarantine.unionByName(unnamed), days
 
 
-def _convert(spark, landing, store, data_type, market, partition_cols, selected):
+def _convert(spark, landing, store, data_type, market, partition_cols, selected, before_upsert):
     rows, quarantine = ingest(spark, landing, data_type, market, selected=selected)
     if "symbol" not in rows.columns:
         rows = rows.withColumn("symbol", F.lit(None).cast("string"))
     rows = rows.drop("archive_year")
+    days = rows.select("symbol", F.to_date("time").alias("day")).distinct()
+    if before_upsert is not None:
+        before_upsert(days)
     upsert(spark, rows, store, (*partition_cols, DEDUP_KEY[data_type]), order=("archive", "row"),
            partition_cols=partition_cols)
-    return quarantine, rows.select("symbol", F.to_date("time").alias("day")).distinct()
+    return quarantine, days

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime
 import os
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -24,7 +25,7 @@ from candlewright.operators.merge import ts_literal
 from candlewright.schemas import BASE_INTERVALS
 from candlewright.sources.store import (PARTITIONS, read_partitions, read_table, replace_partitions, staged,
                                         table_exists, upsert, write_table)
-from candlewright.sources.swap import Swap, recover
+from candlewright.sources.swap import Folder, Swap, recover
 
 BAR_PARTITIONS = ("symbol", "interval", "year")
 
@@ -160,6 +161,35 @@ def rebuild_stale_bars(spark: SparkSession, trades: DataFrame, bars_path: str,
     return read_table(spark, bars_path)
 
 
+MARKS = "_dirty"
+
+
+def mark_days(days: DataFrame, bars_path: str) -> None:
+    """Note (symbol, day) pairs whose bars are to be rebuilt, beside the bar store. Written before
+    trades change, so that a run killed in between is caught up by the next one."""
+    folder = Folder(days.sparkSession, bars_path).at(MARKS, uuid.uuid4().hex)
+    days.select("symbol", "day").coalesce(1).write.parquet(folder)
+
+
+def rebuild_marked(spark: SparkSession, trades_path: str, bars_path: str, days: DataFrame | None = None,
+                   intervals: Sequence[str] = BASE_INTERVALS, zero_qty: str = "nan", decimals: int | None = None,
+                   exact: bool = False) -> DataFrame | None:
+    """:func:`rebuild_days` of all marked days and ``days``; the marks it read go when the bars are in."""
+    bars = Folder(spark, bars_path)
+    runs = bars.names(MARKS)
+    parts = [spark.read.schema("symbol string, day date").parquet(bars.at(MARKS, r)) for r in runs]
+    parts += [days.select("symbol", "day")] if days is not None else []
+    out = None
+    if parts:
+        out = rebuild_days(spark, trades_path, bars_path, reduce(DataFrame.unionByName, parts), intervals, zero_qty,
+                           decimals, exact)
+    elif table_exists(spark, bars_path):
+        out = read_table(spark, bars_path)
+    for r in runs:
+        bars.remove(MARKS, r)
+    return out
+
+
 def refresh(spark: SparkSession, new_trades: DataFrame, root: str,
             intervals: Sequence[str] = BASE_INTERVALS, force: bool = False,
             keys: Sequence[str] = ("symbol", "year", "agg_trade_id"),
@@ -168,24 +198,30 @@ def refresh(spark: SparkSession, new_trades: DataFrame, root: str,
     stale bars lack. The increment is evaluated once. Returns the bar table.
     """
     trades_path, bars_path = os.path.join(root, "aggTrades"), os.path.join(root, "klines")
-    with staged(new_trades, "refresh_new") as new:
+    lacking = lacking_days(spark, trades_path, bars_path, intervals, force)
+    with staged(new_trades, "refresh_new") as new, staged(lacking, "lacking_days") as lacking:
+        mark_days(dirty_days(new), bars_path)
         upsert(spark, new, trades_path, keys, order, staged=True)
-        return refresh_bars(spark, trades_path, bars_path, dirty_days(new), intervals, force, zero_qty, decimals)
+        return rebuild_marked(spark, trades_path, bars_path, lacking, intervals, zero_qty, decimals)
 
 
-def refresh_bars(spark: SparkSession, trades_path: str, bars_path: str, days: DataFrame | None = None,
-                 intervals: Sequence[str] = BASE_INTERVALS, force: bool = False, zero_qty: str = "nan",
-                 decimals: int | None = None) -> DataFrame | None:
-    """Bars of one trade store brought up to date: ``days`` that got rows, and what is stale by
-    coverage (Parquet footers)."""
-    if not table_exists(spark, trades_path):
-        return None
+def lacking_days(spark: SparkSession, trades_path: str, bars_path: str, intervals: Sequence[str] = BASE_INTERVALS,
+                 force: bool = False) -> DataFrame:
+    """:func:`stale_days` of stored tables (coverage from Parquet footers). Taken before an upsert
+    it names what an earlier run left undone, and nothing of the increment."""
+    recover(spark, trades_path, PARTITIONS)
     recover(spark, bars_path, BAR_PARTITIONS)
+    if not table_exists(spark, trades_path):
+        return spark.createDataFrame([], "symbol string, day date")
     bars = read_table(spark, bars_path) if table_exists(spark, bars_path) else None
-    todo = stale_days(coverage_stored(spark, trades_path), bars, intervals, force)
-    if days is not None:
-        todo = todo.unionByName(days.select("symbol", "day"))
-    return rebuild_days(spark, trades_path, bars_path, todo, intervals, zero_qty, decimals)
+    return stale_days(coverage_stored(spark, trades_path), bars, intervals, force)
+
+
+def refresh_bars(spark: SparkSession, trades_path: str, bars_path: str, intervals: Sequence[str] = BASE_INTERVALS,
+                 force: bool = False, zero_qty: str = "nan", decimals: int | None = None) -> DataFrame | None:
+    """Bars of one trade store brought up to date with its coverage and with all marked days."""
+    return rebuild_marked(spark, trades_path, bars_path, lacking_days(spark, trades_path, bars_path, intervals, force),
+                          intervals, zero_qty, decimals)
 
 
 def full_refresh(spark: SparkSession, landings: dict, store_root: str, start_date: str | None = None,
@@ -208,11 +244,16 @@ def full_refresh(spark: SparkSession, landings: dict, store_root: str, start_dat
         market, sub, data_type = key if len(key) == 3 else (key[0], None, key[1])
         sub = (sub or "um") if market == "future" else None
         store = os.path.join(store_root, N.store_folder(market, sub, data_type))
-        table, quarantine, days = convert(spark, landing, store, data_type, market, start_date)
-        out[key] = (with_market(table, market, sub), quarantine)
-        if data_type in ("aggTrades", "trades"):
-            bars = with_market(refresh_bars(spark, store, f"{store}_kline", days, intervals, zero_qty=zero_qty,
-                                            decimals=decimals), market, sub)
+        if data_type not in ("aggTrades", "trades"):
+            table, quarantine, _ = convert(spark, landing, store, data_type, market, start_date)
+            out[key] = (with_market(table, market, sub), quarantine)
+            continue
+        with staged(lacking_days(spark, store, f"{store}_kline", intervals), "lacking_days") as days:
+            table, quarantine, _ = convert(spark, landing, store, data_type, market, start_date,
+                                           before_upsert=lambda new, path=f"{store}_kline": mark_days(new, path))
+            bars = with_market(rebuild_marked(spark, store, f"{store}_kline", days, intervals, zero_qty, decimals),
+                               market, sub)
+            out[key] = (with_market(table, market, sub), quarantine)
             out[(*key[:-1], f"klines/{data_type}")] = bars
             if sum(k[:-1] == key[:-1] and k[-1] in ("aggTrades", "trades") for k in landings) == 1:
                 out[(*key[:-1], "klines")] = bars

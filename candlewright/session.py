@@ -6,6 +6,7 @@ Settings pinned for every job:
 * AQE on (runtime coalescing, skew-join splitting).
 * ``partitionOverwriteMode=dynamic`` - upserts replace only touched partitions.
 * ZSTD Parquet.
+* RocksDB streaming state (kept off the heap; needed by ``transformWithState``).
 
 Scratch output (lineage cuts, staged writes, files a query lays down) goes to
 the shared folder named by ``spark.checkpoint.dir``. On a cluster that setting
@@ -30,6 +31,8 @@ PINNED_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

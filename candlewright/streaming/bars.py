@@ -2,11 +2,12 @@
 
 * R1 :func:`bar_stream` - continuous OHLCV bars; every emitted bar equals the
   batch bar of :func:`candlewright.operators.bars.klines`. Append mode emits a
-  window once the watermark passes its end; rows older than the watermark
-  are dropped by Spark and repaired by the batch refresh (G8).
-* R2 :func:`dedup_stream` - ``dropDuplicatesWithinWatermark`` on
-  ``(symbol, agg_trade_id)``; it keeps the *first* copy seen, where the batch
-  merge keeps the last.
+  window once the watermark passes its end; Spark drops rows of windows that are
+  already out. :func:`tick_stream` stores all ticks and marks the days of such rows, and
+  :func:`repair` rebuilds them (G8), so stream plus repair equals batch.
+* R2 :func:`dedup_stream` - ``dropDuplicatesWithinWatermark``, keeps the *first* copy seen;
+  :func:`dedup_last_stream` keeps the *last* by an order column, as the batch merge does,
+  and emits a correction whenever a newer copy arrives within the bound.
 * R3 :func:`upsert_stream` - each micro-batch is merged into the stored
   table with the batch upsert (D4), so touched partitions only.
 
@@ -16,15 +17,20 @@ casts in with the session zone pinned to UTC and casts window starts back.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from candlewright.functions.timecols import interval_seconds
+from candlewright.functions.timecols import interval_seconds, ntz_to_micros
 from candlewright.operators.bars import _tick_aggs, _with_order_key, finish_bars
-from candlewright.sources.store import upsert
+from candlewright.operators.merge import dedup_keep_last, merge_keep_last
+from candlewright.plans.refresh import dirty_days, mark_days, refresh_bars
+from candlewright.sources.store import replace_partitions, staged, upsert
+from candlewright.sources.swap import Folder
 
 
 def bar_stream(trades: DataFrame, interval: str = "1h", watermark: str = "1 hour",
@@ -49,6 +55,81 @@ def dedup_stream(trades: DataFrame, watermark: str = "1 hour",
             .drop("_et"))
 
 
+class _KeepLast(StatefulProcessor):
+    """Per (symbol, block of ids): the order value of the newest copy of every id seen, and until
+    when it is kept. One read and one write of state per block and batch."""
+
+    def __init__(self, columns: list[str], id_col: str, bound_ms: int):
+        self.columns, self.id_col, self.bound = columns, id_col, bound_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "ids array<bigint>, orders array<bigint>, until array<bigint>")
+
+    def _load(self) -> tuple[list[int], list[int], list[int]]:
+        return tuple(map(list, self.seen.get())) if self.seen.exists() else ([], [], [])
+
+    def _store(self, entries: dict[int, tuple[int, int]]) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if not entries:
+            self.seen.clear()
+            return
+        ids = list(entries)
+        self.seen.update((ids, [entries[i][0] for i in ids], [entries[i][1] for i in ids]))
+        self.handle.registerTimer(min(u for _, u in entries.values()))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        import pandas as pd
+        new = pd.concat(list(rows), ignore_index=True)
+        new.columns = self.columns              # Spark gives names with a leading _ by position
+        new = new.sort_values("_order", kind="stable")
+        new = new.drop_duplicates(self.id_col, keep="last")
+        entries = {i: (o, u) for i, o, u in zip(*self._load())}
+        known = [entries.get(i) for i in new[self.id_col]]
+        keep = [k is None or o >= k[0] for k, o in zip(known, new["_order"])]
+        new["is_correction"] = [k is not None for k in known]
+        new = new[keep]
+        until = new["_et"].astype("datetime64[ms, UTC]" if new["_et"].dt.tz else "datetime64[ms]").astype("int64") + self.bound
+        for i, o, u in zip(new[self.id_col].tolist(), new["_order"].tolist(), until.tolist()):
+            entries[i] = (o, max(u, entries[i][1]) if i in entries else u)
+        self._store(entries)
+        yield new.drop(columns=["_order", "_et", "_block"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        self._store({i: (o, u) for i, o, u in zip(*self._load()) if u > now})
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def dedup_last_stream(trades: DataFrame, bound_seconds: int = 3600, order: Column | None = None,
+                      id_col: str = "agg_trade_id", block: int = 4096) -> DataFrame:
+    """R2, newest wins: every first copy of a (symbol, id), and every later copy that ranks at least
+    as high by ``order`` (a long; by default the trade's time), the latter with
+    ``is_correction``. The last copy emitted of a key is the one the batch merge keeps.
+
+    Copies are compared within ``bound_seconds`` of event time: rows behind the watermark are dropped, and an id
+    leaves the state that long after its newest copy. State is kept per block of ids, so a hot
+    symbol spreads over its blocks; a block holds at most ``block`` ids.
+    """
+    rank = order if order is not None else ntz_to_micros("time")
+    t = trades.withColumns({"_et": F.col("time").cast("timestamp"), "_order": rank,
+                            "_block": F.floor(F.col(id_col) / F.lit(block))})
+    schema = StructType([*trades.schema.fields, StructField("is_correction", BooleanType())])
+    return (t.withWatermark("_et", f"{bound_seconds} seconds").groupBy("symbol", "_block")
+            .transformWithStateInPandas(_KeepLast(t.columns, id_col, bound_seconds * 1000), schema, "Append", "EventTime"))
+
+
+def latest(corrections: DataFrame, keys: Sequence[str] = ("symbol", "agg_trade_id"),
+           order: Column | None = None) -> DataFrame:
+    """The rows that stand after all corrections of a stored :func:`dedup_last_stream`."""
+    rank = order if order is not None else F.col("time")
+    return dedup_keep_last(corrections, keys, [rank, "is_correction"]).drop("is_correction")
+
+
 def read_trade_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema).format("parquet")
     if max_files:
@@ -66,6 +147,59 @@ def run_to_parquet(stream: DataFrame, out_path: str, checkpoint: str,
     return q
 
 
+def drain(stream: DataFrame, each, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Run ``each(batch, number)`` over everything available."""
+    q = (stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def bars_to_store(trades: DataFrame, bars_path: str, checkpoint: str, interval: str = "1h",
+                  watermark: str = "1 hour", **options) -> StreamingQuery:
+    """R1 into the bar store: emitted windows are merged into (symbol, interval, year)."""
+    bars = bar_stream(trades, interval, watermark, **options).withColumn("interval", F.lit(interval))
+
+    def each(batch: DataFrame, _: int) -> None:
+        replace_partitions(
+            batch.sparkSession, batch, bars_path, partition_cols=("symbol", "interval", "year"), order=("time",),
+            merge=lambda stored, new: new if stored is None else merge_keep_last(
+                stored.select(*new.columns), new, ("symbol", "interval", "time")))
+
+    return drain(bars, each, checkpoint)
+
+
+def tick_stream(trades: DataFrame, trades_path: str, bars_path: str, keys: Sequence[str], checkpoint: str,
+                delay_seconds: int = 3600, order: Sequence = ()) -> StreamingQuery:
+    """Ticks into the store by micro-batches; days with rows that a bar stream of the same files
+    and a watermark of ``delay_seconds`` may have dropped are marked for :func:`repair`.
+
+    A bar stream's watermark at a row is at most the newest time among the files up to that
+    row's batch, less the delay. The newest time seen is kept beside the bar store (one value
+    per batch), so the marks also hold after a restart and are never too few.
+    """
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        seen = Folder(spark, bars_path)
+        with staged(batch, "ticks") as ticks:
+            (ticks.agg(F.max("time").alias("newest")).coalesce(1)
+             .write.mode("overwrite").parquet(seen.at("_newest", f"{number:012d}")))
+            newest = spark.read.schema("newest timestamp_ntz").parquet(
+                *[seen.at("_newest", n) for n in seen.names("_newest")]).agg(F.max("newest")).first()[0]
+            if newest is None:
+                return
+            late = F.col("time") < F.lit(newest - datetime.timedelta(seconds=delay_seconds))
+            mark_days(dirty_days(ticks.filter(late)), bars_path)
+            upsert(spark, ticks, trades_path, keys, order, staged=True)
+
+    return drain(trades, each, checkpoint)
+
+
+def repair(spark: SparkSession, trades_path: str, bars_path: str, intervals: Sequence[str], **options) -> DataFrame | None:
+    """Bars of all marked days, and of days that the stream has not closed yet, from the stored ticks."""
+    return refresh_bars(spark, trades_path, bars_path, intervals, **options)
+
+
 def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str,
                   order: Sequence = ()) -> StreamingQuery:
     """Merge every micro-batch into the stored table (touched partitions only)."""

@@ -29,8 +29,23 @@ def test_cascade_scans_ticks_once(spark):
 
 
 def test_trades_per_minute_scans_ticks_once(spark):
-    p = _plan(se.queries()["trades_per_minute"](spark, SF))
-    assert p.count("FileScan") == 1
+    df = se.queries()["trades_per_minute"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the gaps inside days and the seams read the exchange of the counts' branch; no window per symbol over minutes
+    assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 2
+
+
+def test_a_gap_of_years_is_filled_by_chunks(spark):
+    import datetime as dt
+    from candlewright.operators.quality import trades_per_minute
+    t = spark.createDataFrame([("X", dt.datetime(2020, 1, 1, 0, 0, 30)), ("X", dt.datetime(2023, 1, 1)),
+                               ("X", dt.datetime(2023, 1, 1, 0, 3)), (None, dt.datetime(2023, 1, 1))],
+                              "symbol string, time timestamp_ntz")
+    got = trades_per_minute(t, chunk=1000).groupBy("symbol").agg(
+        F.count("*").alias("rows"), F.sum("n").alias("n"), F.countDistinct("time").alias("times")).collect()
+    span = (dt.date(2023, 1, 1) - dt.date(2020, 1, 1)).days * 1440 + 4
+    assert {r.symbol: (r.rows, r.n, r.times) for r in got} == {"X": (span, 3, span), None: (1, 1, 1)}
 
 
 def test_id_check_exchanges_ids_once(spark):

@@ -33,3 +33,56 @@ def test_late_rows_are_dropped_by_the_stream_and_kept_by_batch(spark):
     assert streamed[1] == 60.0 and batch[1] == 61.0          # late row: dropped vs kept
     assert all(streamed[h] == batch[h] for h in streamed if h != 1)
     assert max(streamed) < max(batch)                        # the last windows are still open
+
+
+def _trade(spark, *rows):
+    """(symbol, id, minute, price)"""
+    t0 = dt.datetime(2024, 1, 1)
+    return spark.createDataFrame([(s, i, t0 + dt.timedelta(minutes=m), p, 1.0, i % 2 == 0) for s, i, m, p in rows],
+                                 "symbol string, agg_trade_id long, time timestamp_ntz, price double, quantity double, "
+                                 "is_buyer_maker boolean")
+
+
+def test_newest_copies_win_within_the_bound_and_state_is_released(spark):
+    from candlewright.streaming.bars import dedup_last_stream, latest
+    src, out, ck = (shared_dir(spark, n) for n in ("t-last-src", "t-last-out", "t-last-ck"))
+    batches = [[("X", 1, 0, 1.0), ("X", 1, 5, 2.0), ("X", 2, 1, 1.0), ("Y", 1, 2, 1.0), (None, 1, 2, 8.0)],
+               [("X", 1, 3, 9.0), ("X", 2, 30, 3.0), ("Y", 1, 2, 4.0), (None, 1, 4, 9.0)],    # X 1: an older copy, Y 1: a tie
+               [("X", 10_000, 300, 1.0)], [("X", 10_001, 301, 1.0)]]
+    states, emitted = [], []
+    for k, rows in enumerate(batches):
+        _trade(spark, *rows).coalesce(1).write.mode("append").parquet(src)
+        stream = read_trade_stream(spark, src, _trade(spark).schema, max_files=1)
+        q = run_to_parquet(dedup_last_stream(stream, 3600), out, ck)
+        states.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+        emitted.append(spark.read.parquet(out).count())
+    got = {(r.symbol, r.agg_trade_id): (r.time.minute, r.price) for r in latest(spark.read.parquet(out)).collect()}
+    assert got == {("X", 1): (5, 2.0), ("X", 2): (30, 3.0), ("Y", 1): (2, 4.0), (None, 1): (4, 9.0),
+                   ("X", 10_000): (0, 1.0), ("X", 10_001): (1, 1.0)}
+    rows = spark.read.parquet(out)
+    assert emitted == [4, 7, 8, 9] and rows.where("is_correction").count() == 3
+    assert set(rows.columns) == {"symbol", "agg_trade_id", "time", "price", "quantity", "is_buyer_maker", "is_correction"}
+    assert max(states[:2]) > states[-1]          # blocks without a live id leave the state
+
+
+def test_stream_and_repair_equal_batch_on_shuffled_files(spark):
+    from candlewright.streaming.bars import bars_to_store, repair, tick_stream
+    src, ticks, bars, ck1, ck2 = (shared_dir(spark, f"t-rep-{i}") for i in range(5))
+    minutes = [*range(600, 900), *range(0, 300), *range(300, 600), 70, 71]
+    parts = [[(s, 1000 * k + i, m, float(m % 13)) for i, m in enumerate(minutes[k::3]) for s in ("X", "Y")] for k in range(3)]
+    for p in parts:
+        _trade(spark, *p).withColumn("ts", F.unix_micros(F.col("time").cast("timestamp"))).coalesce(1).write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+
+    def run():
+        stream = read_trade_stream(spark, src, schema, max_files=1)
+        bars_to_store(stream, bars, ck1, "1h", "1 hour")
+        tick_stream(stream, ticks, bars, ("symbol", "year", "agg_trade_id"), ck2, 3600)
+        out = repair(spark, ticks, bars, ("1h",))
+        cols = ["symbol", "time", "open", "high", "low", "close", "qty", "buyer_qty"]
+        want = klines(spark.read.schema(schema).parquet(src), "1h").select(cols)
+        assert sorted(map(tuple, out.select(cols).collect())) == sorted(map(tuple, want.collect()))
+    run()
+    # late rows of a closed window, in a later run
+    _trade(spark, ("X", 9_999, 5, 99.0)).withColumn("ts", F.lit(1704067500000000)).coalesce(1).write.mode("append").parquet(src)
+    run()
