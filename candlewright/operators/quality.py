@@ -289,26 +289,32 @@ def trades_per_minute(trades: DataFrame, keys: Sequence[str] = ("symbol",),
               .agg(F.count(F.lit(1)).alias("n")).withColumn("_d", F.floor(F.col("_m") / day))
               .repartition(*keys, "_d"))
     after = F.lead("_m").over(Window.partitionBy(*keys, "_d").orderBy("_m"))
-    inside = counts.select(*keys, (F.col("_m") + 1).alias("_lo"), (after - 1).alias("_hi"))
-    days = counts.groupBy(*keys, "_d").agg(F.min("_m").alias("_first"), F.max("_m").alias("_last"))
+    own = F.array(F.struct("_m", "n"))
+    # a gap inside a day has at most 1438 minutes and is written where it is found
+    gap = F.when(after > F.col("_m") + 1, F.transform(F.sequence(F.col("_m") + 1, after - 1), lambda m: F.struct(
+        m.alias("_m"), F.lit(0).cast("long").alias("n"))))
+    filled = counts.withColumn("_rows", F.concat(own, F.coalesce(gap, F.array().cast("array<struct<_m:bigint,n:bigint>>"))))
+    # the counts of days are only asked for so that both branches read the same exchange
+    days = (counts.groupBy(*keys, "_d").agg(F.min("_m").alias("_first"), F.max("_m").alias("_last"),
+                                            F.sum("n").alias("_n")).filter("_n > 0"))
     w = Window.partitionBy(*keys).orderBy("_d")             # one row per day of a series
     to = F.lead("_first").over(w) - 1
     if hi is not None:
         to = F.coalesce(to, F.floor((ntz_to_micros(hi) - 1) / minute))
-    seams = days.select(*keys, (F.col("_last") + 1).alias("_lo"), to.alias("_hi"))
-    gaps = inside.unionByName(seams)
-    if lo is not None:
-        edges = days.groupBy(*keys).agg(F.min("_first").alias("_hi"))
-        gaps = gaps.unionByName(edges.select(*keys, F.floor(ntz_to_micros(lo) / minute).alias("_lo"),
-                                             (F.col("_hi") - 1).alias("_hi")))
+    since = F.when(F.lag("_last").over(w).isNull(), F.floor(ntz_to_micros(lo) / minute)) if lo is not None \
+        else F.lit(None).cast("long")
+    span = "array<struct<_lo:bigint,_hi:bigint>>"
+    seams = days.withColumns({"_since": since, "_to": to}).select(*keys, F.inline(F.array(
+        F.struct(F.col("_since").alias("_lo"), (F.col("_first") - 1).alias("_hi")),
+        F.struct((F.col("_last") + 1).alias("_lo"), F.col("_to").alias("_hi"))).cast(span)))
     c = F.lit(chunk)
-    chunks = (gaps.filter(F.col("_lo") <= F.col("_hi"))
+    chunks = (seams.filter(F.col("_lo") <= F.col("_hi"))
               .select("*", F.explode(F.sequence(F.floor(F.col("_lo") / c), F.floor(F.col("_hi") / c))).alias("_c"))
               .repartition(*keys, "_c"))
     empty = chunks.select(*keys, F.explode(F.sequence(
         F.greatest(F.col("_lo"), F.col("_c") * c), F.least(F.col("_hi"), F.col("_c") * c + c - 1))).alias("_m"),
         F.lit(0).cast("long").alias("n"))
-    return counts.select(*keys, "_m", "n").unionByName(empty).select(
+    return filled.select(*keys, F.inline("_rows")).unionByName(empty).select(
         *keys, micros_to_ntz(F.col("_m") * minute).alias("time"), "n")
 
 
