@@ -24,12 +24,10 @@ So a group of thousands of copies costs one pair per member, while no link betwe
 different components of a bucket is lost.
 
 Defined results. Rows without words are linked to nothing and are a class each. Texts
-of fewer than ``shingle`` words have one shingle, the whole text. Rows that
-share a doc_id are versions of one document and one class, as are rows with equal
-shingle sets. The class id is the smallest
-doc_id in the class (rows with a null id use a hash of their text as id in the class
-computation and can be a class's id only among themselves). Extra columns do not
-matter. An empty table gives no rows.
+of fewer than ``shingle`` words have one shingle, the whole text. Rows with equal
+shingle sets are one class; a shared doc_id alone joins nothing. The class id is the smallest
+key in the class: the doc_id, or a hash where that is null or shared by different texts.
+Extra columns do not matter. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -195,14 +193,35 @@ def _rest(limit: float, similarity: float):
     return task
 
 
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with its columns as ``c0``, ``c1``, ... and the key ``id``: the doc_id, a hash of the
+    text where that is null, and a hash of both where rows of one key have different texts."""
+    at = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    h = F.xxhash64(F.lit("null id"), at[text])
+    inner = inner.withColumns({"id": F.coalesce(at[doc_id].cast("long"), h), "h": h})
+    several = inner.groupBy("id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo != hi")
+    several = stage(several.select(F.col("id").alias("shared")), "shared-ids")
+    if several.isEmpty():
+        return inner.drop("h")
+    version = F.xxhash64(F.lit("version"), "id", "h")
+    return (inner.join(several, F.col("id") == F.col("shared"), "left")
+            .withColumn("id", F.when(F.col("shared").isNull(), F.col("id")).otherwise(version)).drop("h", "shared"))
+
+
 def near_duplicate_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, bands: int = 20,
                            rows: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``, ``class_id``, ``n_links`` (verified links between
     its shingle set and other sets found in the search), ``weighted`` (the largest estimate of
     the weighted similarity over these links; null without links), ``n_shingles`` and ``id``
-    (the row's key: its doc_id, or a hash of its text where that is null)."""
-    d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.lit("null id"), text)).alias("id"),
-                    F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    (the row's key: its doc_id, or a hash where that is null or shared by different texts)."""
+    at = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
+    d = _keyed(docs, doc_id, text).select("id", at[doc_id].cast("long").alias("doc_id"), at[text].alias("text"))
+    return _classes(d, shingle, similarity, bands, rows)
+
+
+def _classes(d: DataFrame, shingle: int, similarity: float, bands: int, rows: int) -> DataFrame:
+    """The classes of ``d``: ``id`` (rows that share one have the same text), ``doc_id``, ``text``."""
     sketch = stage(d.mapInArrow(_sketch(shingle, bands, rows), "id long, doc_id long, d1 long, d2 long, "
                                 "n_shingles long, keys array<long>, registers binary"), "sketch")
     some = sketch.where("n_shingles > 0")
@@ -276,13 +295,15 @@ def near_duplicate_classes(docs: DataFrame, *, shingle: int = 5, similarity: flo
     return linked.union(alone)
 
 
-def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **method) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5,
+                         similarity: float = 0.8, bands: int = 20, rows: int = 4) -> DataFrame:
     """``docs`` with one row of every class: the one with the smallest key (of rows that
-    share it, one by the order of their text's hash and content)."""
-    cls = near_duplicate_classes(docs, doc_id=doc_id, text=text, **method)
-    keep = cls.where("id = class_id").select(F.col("id").alias("_key")).distinct()
-    key = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.lit("null id"), F.col(f"`{text}`")))
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(*cols, key.alias("_key")).join(keep, "_key", "left_semi")
-    order = Window.partitionBy("_key").orderBy(F.xxhash64(text), *[c.cast("string") for c in cols])
-    return rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n", "_key")
+    share it, which have the same text, one by the order of their content)."""
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    keyed = _keyed(docs, doc_id, text)
+    d = keyed.select("id", F.col(at[doc_id]).cast("long").alias("doc_id"), F.col(at[text]).alias("text"))
+    cls = _classes(d, shingle, similarity, bands, rows)
+    kept = keyed.join(cls.where("id = class_id").select("id").distinct(), "id", "left_semi")
+    order = Window.partitionBy("id").orderBy(*[F.col(c).cast("string") for n, c in at.items() if n != text])
+    return (kept.withColumn("n", F.row_number().over(order)).where("n = 1")
+            .select(*[F.col(c).alias(n) for n, c in at.items()]))

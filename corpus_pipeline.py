@@ -1,7 +1,8 @@
 """The corpus pipeline: quality rules, near-duplicates, repeated passages, source mix,
 packing. Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet
 and read back as the next stage's ``docs``. All but the last return the columns of
-``documents``.
+``documents``. A result column whose name the input already has gets a leading underscore,
+so extra columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from candlewright.llm.probminhash import drop_near_duplicates
 from candlewright.llm.quality_rules import judge
 from candlewright.llm.queries import vocabulary
 from candlewright.llm.substring_dedup import dedup_substrings
-from candlewright.llm.textops import stage
+from candlewright.llm.textops import free_name, stage
 from candlewright.session import apply_conf
 
 
@@ -26,7 +27,7 @@ def _columns(docs: DataFrame) -> list:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
     apply_conf(spark)
-    return judge(docs, carry_text=True).where("kept").select(*_columns(docs))
+    return judge(docs, carry_text=True).where(F.col(free_name(docs, "kept"))).select(*_columns(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,17 +41,18 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept words are joined by one space), other texts stay as they are."""
     apply_conf(spark)
     cut = dedup_substrings(docs)
-    changed = F.col("n_removed") > 0
-    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("text")),
-           "n_chars": F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))}
+    changed, kept = F.col(free_name(docs, "n_removed")) > 0, F.col(free_name(docs, "kept_text"))
+    new = {"text": F.when(changed, kept).otherwise(F.col("text")),
+           "n_chars": F.when(changed, F.length(kept).cast("long")).otherwise(F.col("n_chars"))}
     return cut.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them (0, 1 or 2 times)."""
     apply_conf(spark)
-    taken = mix_sources(docs).where("times > 0")
-    return taken.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select(
+    times = free_name(docs, "times")
+    taken = mix_sources(docs).where(F.col(times) > 0)
+    return taken.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(
         *_columns(docs))
 
 

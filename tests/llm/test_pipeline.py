@@ -71,3 +71,34 @@ def test_stages_on_odd_rows_and_on_nothing(spark, odd, nothing):
         assert {r.doc_id for r in got["source_mix"].collect()} <= {r.doc_id for r in df.collect()}
         assert got["packing"].where("piece = 0").count() == df.count()
     assert all(len(words(r.text)) >= 50 for r in STAGES["quality_rules"](spark, odd, SF).collect())
+
+
+#: Every result column of a stage's operator, and names used inside.
+NAMES = ["kept", "base_failed", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed", "kept_text",
+         "size", "source_size", "target", "taken", "TIMES", "_key", "_n", "n", "id", "h", "class_id", "s", "piece", "start", "c0",
+         "rank_index", "fim"]
+
+
+@pytest.mark.parametrize("names", [NAMES[:13], NAMES[13:], ["_" + n for n in NAMES[:13]] + ["kept", "times", "n_removed"]])
+def test_stages_keep_columns_of_any_name(spark, docs, names):
+    some = docs.where("doc_id < 120")
+    wide = some.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    for name, step in STAGES.items():
+        got, want = step(spark, wide, SF), step(spark, some, SF)
+        if name == "packing":
+            assert got.where("piece = 0").count() == want.where("piece = 0").count()
+            continue
+        assert got.columns == wide.columns
+        assert rows(got.select(some.columns)) == rows(want)
+        assert all(r[n] == f"{n}{r.doc_id}" for r in got.collect() for n in names)
+
+
+def test_unlike_texts_under_one_id_both_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    near = a.replace("a40", "zz")
+    rows_ = [(1, a), (1, b), (1, near), (2, a), (None, c), (None, b), (3, ""), (3, None), (1, b)]
+    df = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows_],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    kept = STAGES["near_dedup"](spark, df, SF).collect()
+    words_ = sorted((r.text or "")[:1] for r in kept)
+    assert words_ == ["", "", "a", "b", "c"]
