@@ -16,6 +16,7 @@ from candlewright.schemas import (AGG_TRADE_COLUMNS, DATA_TYPES, MARKETS, RAW_BV
                                   RAW_METRICS_COLUMNS, VALID_MARKET_TYPES)
 from candlewright.session import shared_dir
 from candlewright.sources import archives as AR
+from candlewright.sources import store as ST
 from candlewright.streaming import bars as SB
 
 
@@ -152,6 +153,13 @@ def q_report_labels(spark, d):
     return QC.label_report(q_check_report(spark, d), "future", "um")
 
 
+def q_id_span_files(spark, d):
+    """A7 per file: T stored by (symbol, year), spans and notes from every file's footer."""
+    path = shared_dir(spark, "span_files")
+    ST.write_table(trades_T(spark, d), path)
+    return QC.id_span_files(spark, path).drop("file_name")
+
+
 # ---------------------------------------------------------------- streams
 
 def _in_slices(df, path, n=6):
@@ -195,6 +203,7 @@ QUERIES = {
     "refresh_incremental": q_refresh_incremental,
     "full_refresh_two_markets": q_full_refresh_two_markets,
     "report_labels": q_report_labels,
+    "id_span_files": q_id_span_files,
     "zip_spot": q_zip_spot,
     "zip_metrics": q_zip_metrics,
     "zip_funding": q_zip_funding,
@@ -223,6 +232,7 @@ def _market_bars(sub: str, maker: str) -> str:
 
 
 ORACLE = {
+    "id_span_files": CORE_ORACLE["id_span_footers"],
     "stream_dedup_last": f"""SELECT * REPLACE (CASE WHEN agg_trade_id % 5 = 0 THEN price + 1 ELSE price END AS price,
   CASE WHEN agg_trade_id % 5 = 0 THEN time + INTERVAL 10 MINUTE ELSE time END AS time,
   CASE WHEN agg_trade_id % 5 = 0 THEN ts + 600000000 ELSE ts END AS ts),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from candlewright.functions.names import store_folder
 from candlewright.functions.timecols import floor_time, micros_to_ntz, ntz_to_micros
 from candlewright.schemas import INTERVAL_SECONDS
-from candlewright.sources.store import footer_aggregate
+from candlewright.sources.store import file_footers, footer_aggregate
 
 DEFAULT_ID_BUCKET = 1 << 22
 
@@ -70,6 +70,24 @@ def id_span_check_stored(spark, path: str, keys: Sequence[str] = ("symbol", "yea
     })
 
 
+def id_span_files(spark, path: str, keys: Sequence[str] = ("symbol", "year")) -> DataFrame:
+    """A7 per stored file, from footers: file, row count, first and last id, ``gap_count``, and a
+    note for a file that cannot be read, is empty, has no ids or no statistics (its numbers are
+    then 0, as the reference reports them). ``keys`` come from the folder names."""
+    f = file_footers(spark, path, "agg_trade_id")
+    ok = F.col("state") == "ok"
+    folder = {k: F.regexp_extract("path", f"/{k}=([^/]*)/", 1) for k in keys}
+    parts = [F.when(v != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(v, F.lit("+"), F.lit("%2B"))))
+             .cast("int" if k in ("year", "month") else "string").alias(k) for k, v in folder.items()]
+    span = F.col("high") - F.col("low") + 1 - F.col("rows")
+    zero = F.lit(0).cast("long")
+    return f.select(*parts, F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                    F.when(ok, F.col("rows")).otherwise(zero).alias("count"),
+                    F.coalesce("low", zero).alias("start_id"), F.coalesce("high", zero).alias("end_id"),
+                    F.when(ok, span).otherwise(zero).alias("gap_count"),
+                    F.when(ok, F.lit("")).otherwise(F.col("state")).alias("note"))
+
+
 def id_gaps(trades: DataFrame, keys: Sequence[str] = ("symbol", "year"),
             bucket: int = DEFAULT_ID_BUCKET) -> DataFrame:
     """One row per run of missing ids: ``prev_id``, ``next_id``, ``missing``.

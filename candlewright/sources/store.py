@@ -266,6 +266,50 @@ def footer_aggregate(spark: SparkSession, path: str, keys: Sequence[str], aggs)
     return out
 
 
+FOOTERS = "path string, rows long, low long, high long, state string"
+
+
+def file_footers(spark: SparkSession, path: str, column: str, files_per_task: int = 64) -> DataFrame:
+    """Per Parquet file of a table: ``rows``, the smallest and largest value of a whole-number
+    column by row-group statistics, and a ``state``: ``ok``, ``empty``, ``no column``, ``no statistics``
+    or ``unreadable: <error>``. One distributed pass that opens footers only; a broken
+    file is a row, not a failure. Only paths are listed (file contents stay unread)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+             .load(path).select("path"))
+
+    def footer(name: str) -> tuple:
+        from urllib.parse import quote
+
+        import pyarrow.parquet as pq
+
+        from candlewright.sources.archives import _fs_path
+        try:
+            fs, p = _fs_path(quote(name, safe=":/"))     # Spark's paths are plain, pyarrow takes URIs
+            with fs.open_input_file(p) as f:
+                meta = pq.ParquetFile(f).metadata
+        except Exception as e:
+            return name, 0, None, None, f"unreadable: {type(e).__name__}"
+        names = [meta.schema.column(i).path for i in range(meta.num_columns)]
+        if column not in names:
+            return name, meta.num_rows, None, None, "no column"
+        if not meta.num_rows:
+            return name, 0, None, None, "empty"
+        at = names.index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups) if meta.row_group(g).num_rows]
+        if any(x is None or not x.has_min_max for x in stats):
+            return name, meta.num_rows, None, None, "no statistics"
+        return name, meta.num_rows, min(x.min for x in stats), max(x.max for x in stats), "ok"
+
+    def task(batches):
+        import pandas as pd
+        for b in batches:
+            yield pd.DataFrame([footer(p) for p in b["path"]], columns=["path", "rows", "low", "high", "state"]).astype(
+                {"rows": "int64", "low": "Int64", "high": "Int64"})
+
+    n = max(1, -(-files.count() // files_per_task))
+    return files.repartition(n).mapInPandas(task, FOOTERS)
+
+
 def discover_symbols(df: DataFrame) -> DataFrame:
     """Symbols present in a stored table, skipping names starting with '_'."""
     return df.select("symbol").distinct().filter(~F.col("symbol").startswith("_"))

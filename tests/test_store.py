@@ -169,3 +169,24 @@ def test_odd_partition_values_and_empty_increments(spark):
     ST.upsert(spark, rows(spark, ("A", 1, 2020, 1.0)).limit(0), path, KEYS)
     assert content(spark, path) == before
     assert ST.upsert(spark, rows(spark, ("A", 1, 2020, 1.0)).limit(0), shared_dir(spark, "t-none"), KEYS).count() == 0
+
+
+def test_footers_note_every_broken_file(spark):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from candlewright.operators.quality import id_span_files
+    path = shared_dir(spark, "t-foot")
+    ST.write_table(rows(spark, ("A", 5, 2024, 1.0), ("A", 9, 2024, 1.0), ("x=y/50%+", 7, 2024, 1.0), (None, 1, 2024, 1.0)), path)
+    ids = pa.table({"agg_trade_id": pa.array([1, 2, 4], pa.int64())})
+    broken = {"B": lambda f: open(f, "wb").write(b"not parquet"), "C": lambda f: pq.write_table(ids.slice(0, 0), f),
+              "D": lambda f: pq.write_table(ids, f, write_statistics=False),
+              "E": lambda f: pq.write_table(ids.rename_columns(["other"]), f), "F": lambda f: pq.write_table(ids, f, row_group_size=1)}
+    for s, write in broken.items():
+        os.makedirs(f"{path}/symbol={s}/year=2024")
+        write(f"{path}/symbol={s}/year=2024/part-0.parquet")
+    got = {r.symbol: (r.year, r["count"], r.start_id, r.end_id, r.gap_count, r.note) for r in id_span_files(spark, path).collect()}
+    assert got.pop("B")[-1].startswith("unreadable: ")
+    assert got == {"A": (2024, 2, 5, 9, 3, ""), "x=y/50%+": (2024, 1, 7, 7, 0, ""), None: (2024, 1, 1, 1, 0, ""),
+                   "C": (2024, 0, 0, 0, 0, "empty"), "D": (2024, 0, 0, 0, 0, "no statistics"),
+                   "E": (2024, 0, 0, 0, 0, "no column"), "F": (2024, 3, 1, 4, 1, "")}
