@@ -2,16 +2,19 @@
 
 Base measures of a text: words, code points in words, symbols, lines equal to an
 earlier line, and words in repeated 3-word windows. Two base rules are fixed (too few
-words, too much repetition). All other limits adapt: per language and source a sketch
-of each measure's values above 0, over documents that pass the base rules, gives their
-median m and 10 % quantile l, and a document fails beyond ``m + spread * (m - l)`` (for
-word length also below ``m - spread * (m - l)``), or beyond the measure's least limit
-where that is looser. Median and lower quantile stay put while less than half of the
-values are junk. A share that fewer than ``COMMON`` of the documents have at all tells
-nothing about good documents (its values may all be junk): there the least limit holds.
-
-The sketch is a histogram over logarithmic buckets (2 % relative error, at most about
-900 buckets): counts add up, so it merges over tasks, and the sketch of a language or
+words, too much repetition). All other limits come from the data: per language and
+source a sketch of each rate, over documents that pass the base rules, gives its median
+and its 20 % and 80 % quantiles. Rates are compared as square roots, which makes the
+scatter of a count independent of its mean; a rate is (count + quantum) / units, the
+quantum being what one occurrence adds, so that a rate is never 0 and a count of 0 in a
+short text says less than in a long one. A document fails where it lies further above
+the median than ``spread`` times the distance of the 80 % quantile, and further than
+``errors`` standard errors of a count over its own units (word length fails below the
+median by the same rule). No limit is a fixed number; less than 20 % of junk in a group
+does not move them, and what 20 % of a group's documents have is usual there.
+
+The sketch is a histogram over logarithmic buckets (0.5 % wide, at most about
+5,600 buckets): counts add up, so it merges over tasks, and the sketch of a language or
 of everything is the sum of its groups' sketches. An estimate from n values counts for
 ``min(1, n / min_docs)`` and that of its language for the rest; a language leans on all
 documents in the same way.
@@ -41,12 +44,14 @@ from candlewright.llm.textops import Words, chunks, free_name, roll, span_hashes
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-GAMMA = 1.02
-#: Share of documents with a value above 0 from which the values set the limit.
-COMMON = 0.2
-#: measure -> (least upper limit or distance above the median, least distance below or None: no lower limit)
-LIMITS = {"symbol_share": (0.1, None), "repeat_share": (0.5, None), "dup_line_share": (0.5, None),
-          "word_length": (1.0, 1.0)}
+GAMMA = 1.005
+#: rate -> (count, units, quantum added to the count, what one occurrence adds, limited below too)
+RATES = {"symbol_share": ("n_symbols", "n_words", 1, 1, False),
+         "repeat_share": ("n_repeat_words", "n_words", 6, 6, False),     # two windows of three words
+         "dup_line_share": ("n_dup_lines", "n_lines", 1, 1, False),
+         "word_length": ("word_chars", "n_words", 0, 1, True)}
+#: Smallest value told apart by the sketch.
+LEAST = 1e-8
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -112,28 +117,32 @@ def measures(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
 
 def _value(name: str) -> Column:
-    per = {"symbol_share": ("n_symbols", "n_words"), "repeat_share": ("n_repeat_words", "n_words"),
-           "dup_line_share": ("n_dup_lines", "n_lines"), "word_length": ("word_chars", "n_words")}[name]
-    return F.col(per[0]) / F.greatest(F.col(per[1]), F.lit(1))
+    count, units, added, _, _ = RATES[name]
+    return (F.col(count) + added) / F.greatest(F.col(units), F.lit(1))
+
+
+def _error(name: str) -> Column:
+    """Standard error of the square root of a rate, from the document's own units."""
+    _, units, _, quantum, _ = RATES[name]
+    return 0.5 * F.sqrt(quantum / F.greatest(F.col(units), F.lit(1)))
 
 
 def _bucket(v: Column) -> Column:
-    """0 for 0, else the logarithmic bucket; values below 1e-4 share bucket 1."""
-    return F.when(v <= 0, 0).otherwise(
-        F.greatest(F.lit(1), F.ceil(F.log(v / 1e-4) / math.log(GAMMA)).cast("int") + 1))
+    return F.greatest(F.lit(1), F.ceil(F.log(F.greatest(v, F.lit(LEAST)) / LEAST) / math.log(GAMMA)).cast("int"))
 
 
 def _middle(bucket: Column) -> Column:
-    return F.when(bucket == 0, 0.0).otherwise(F.lit(1e-4) * F.pow(F.lit(GAMMA), bucket - 1.5))
+    return F.lit(LEAST) * F.pow(F.lit(GAMMA), bucket - 0.5)
 
 
-def limits(measured: DataFrame, lang: str, source: str, *, base: Column, spread: float, min_docs: int) -> DataFrame:
-    """Per group (``g_lang``, ``g_source``, never null): ``<measure>_max`` and ``_min``, from
-    the rows that do not fail ``base``."""
+def limits(measured: DataFrame, lang: str, source: str, *, base: Column, min_docs: int) -> DataFrame:
+    """Per group (``g_lang``, ``g_source``, never null) and rate: ``<rate>_mid``, ``_low`` and
+    ``_high``, square roots of the median and the 20 % and 80 % quantiles of the rows that do
+    not fail ``base`` (null where no row of the table passes)."""
     rows = measured.select(
         F.coalesce(F.concat(F.lit("0"), lang), F.lit("1")).alias("g_lang"),
         F.coalesce(F.concat(F.lit("0"), source), F.lit("1")).alias("g_source"), (~base).cast("long").alias("ok"),
-        F.explode(F.array(*[F.struct(F.lit(m).alias("m"), _bucket(_value(m)).alias("bucket")) for m in LIMITS]))
+        F.explode(F.array(*[F.struct(F.lit(m).alias("m"), _bucket(_value(m)).alias("bucket")) for m in RATES]))
         .alias("x"))
     # a group of failed rows only has counts of 0 and its parents' limits
     sketch = rows.groupBy("g_lang", "g_source", "x.m", "x.bucket").agg(F.sum("ok").alias("n"))
@@ -142,45 +151,40 @@ def limits(measured: DataFrame, lang: str, source: str, *, base: Column, spread:
     key = F.explode(F.array(F.concat_ws("\x00", F.lit("2"), "g_lang", "g_source"),
                             F.concat_ws("\x00", F.lit("1"), "g_lang"), F.lit("0"))).alias("key")
     merged = sketch.select(key, "m", "bucket", "n").groupBy("key", "m", "bucket").agg(F.sum("n").alias("n"))
-    above = F.when(F.col("bucket") > 0, F.col("n")).otherwise(0)
     run, whole = Window.partitionBy("key", "m").orderBy("bucket"), Window.partitionBy("key", "m")
-    merged = merged.withColumns({"upto": F.sum(above).over(run), "above": F.sum(above).over(whole),
-                                 "docs": F.sum("n").over(whole)})
-    q = lambda p: F.min(F.when((above > 0) & (F.col("upto") >= p * F.col("above")),
-                               _middle(F.col("bucket"))))
-    levels = merged.groupBy("key", "m").agg(q(0.5).alias("mid"), q(0.1).alias("low"), F.max("above").alias("above"),
+    merged = merged.withColumns({"upto": F.sum("n").over(run), "docs": F.sum("n").over(whole)})
+    q = lambda p: F.sqrt(F.min(F.when((F.col("n") > 0) & (F.col("upto") >= p * F.col("docs")),
+                                      _middle(F.col("bucket")))))
+    levels = merged.groupBy("key", "m").agg(q(0.5).alias("mid"), q(0.2).alias("low"), q(0.8).alias("high"),
                                             F.max("docs").alias("docs"))
     groups = sketch.select("g_lang", "g_source").distinct().select("g_lang", "g_source", key)
-    at = lambda k: F.max(F.when(F.substring("key", 1, 1) == k, F.struct("mid", "low", "above", "docs")))
+    at = lambda k: F.max(F.when(F.substring("key", 1, 1) == k, F.struct("mid", "low", "high", "docs")))
     out = groups.join(levels, "key").groupBy("g_lang", "g_source", "m").agg(*[at(k).alias(f"l{k}") for k in "012"])
 
-    def drawn(value, weight) -> Column:
-        est = F.coalesce(value(F.col("l0")), F.lit(0.0))
+    def drawn(field: str) -> Column:
+        est = F.col("l0")[field]
         for k in ("l1", "l2"):
-            w = F.least(F.lit(1.0), weight(F.col(k)) / max(min_docs, 1))
-            est = F.when(w > 0, w * value(F.col(k)) + (1 - w) * est).otherwise(est)
+            w = F.least(F.lit(1.0), F.col(k)["docs"] / max(min_docs, 1))
+            est = F.when(w > 0, w * F.col(k)[field] + (1 - w) * est).otherwise(est)
         return est
 
-    out = out.select(
-        "g_lang", "g_source", "m", drawn(lambda x: x["mid"], lambda x: x["above"]).alias("mid"),
-        drawn(lambda x: x["low"], lambda x: x["above"]).alias("low"),
-        drawn(lambda x: x["above"] / F.when(x["docs"] > 0, x["docs"]), lambda x: x["docs"]).alias("common"))
-    out = out.groupBy("g_lang", "g_source").pivot("m", list(LIMITS)).agg(F.first(F.struct("mid", "low", "common")))
-    cols = []
-    for m, (least, below) in LIMITS.items():
-        mid, wide_by = F.col(m)["mid"], spread * (F.col(m)["mid"] - F.col(m)["low"])
-        if below is None:
-            cols.append(F.when(F.col(m)["common"] >= COMMON, F.greatest(mid + wide_by, F.lit(least)))
-                        .otherwise(least).alias(f"{m}_max"))
-        else:
-            cols += [(mid + F.greatest(wide_by, F.lit(least))).alias(f"{m}_max"),
-                     (mid - F.greatest(wide_by, F.lit(below))).alias(f"{m}_min")]
-    return out.select("g_lang", "g_source", *cols)
+    out = out.select("g_lang", "g_source", "m", *[drawn(f).alias(f) for f in ("mid", "low", "high")])
+    out = out.groupBy("g_lang", "g_source").pivot("m", list(RATES)).agg(F.first(F.struct("mid", "low", "high")))
+    return out.select("g_lang", "g_source", *[F.col(m)[f].alias(f"{m}_{f}") for m in RATES for f in ("mid", "low", "high")])
+
+
+def within(name: str, spread: float, errors: float) -> Column:
+    """Whether a row's rate lies inside the limits of its group."""
+    value, mid, noise = F.sqrt(_value(name)), F.col(f"{name}_mid"), errors * _error(name)
+    ok = value <= mid + F.greatest(spread * (F.col(f"{name}_high") - mid), noise)
+    if RATES[name][4]:
+        ok = ok & (value >= mid - F.greatest(spread * (mid - F.col(f"{name}_low")), noise))
+    return F.coalesce(ok, F.lit(True))
 
 
 def judge(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-          source: str = "source", min_words: int = 50, repeat_percent: int = 50, spread: float = 6.0,
-          min_docs: int = 200, carry_text: bool = False) -> DataFrame:
+          source: str = "source", min_words: int = 50, repeat_percent: int = 50, spread: float = 8.0,
+          errors: float = 3.0, min_docs: int = 200, carry_text: bool = False) -> DataFrame:
     """``docs`` (without the text unless ``carry_text``) with the measures, ``base_failed``
     and ``kept``. Clashing names get a leading underscore."""
     names = {n: free_name(docs, n) for n in [*MEASURES, "base_failed", "kept"]}
@@ -189,15 +193,13 @@ def judge(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     keep = [c for c in inner.columns if carry_text or c != at[text]]
     short = stage(measures(inner, at[text], [at[lang], at[source]] if carry_text else keep), "measures")
     base = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * repeat_percent)
-    table = stage(limits(short, at[lang], at[source], base=base, spread=spread, min_docs=min_docs), "quality-limits")
+    table = stage(limits(short, at[lang], at[source], base=base, min_docs=min_docs), "quality-limits")
     rows = measures(inner, at[text], keep) if carry_text else short
     rows = rows.withColumns({"g_lang": F.coalesce(F.concat(F.lit("0"), at[lang]), F.lit("1")),
                              "g_source": F.coalesce(F.concat(F.lit("0"), at[source]), F.lit("1"))})
     good = ~base
-    for m, (_, below) in LIMITS.items():
-        good = good & (_value(m) <= F.col(f"{m}_max"))
-        if below is not None:
-            good = good & (_value(m) >= F.col(f"{m}_min"))
+    for m in RATES:
+        good = good & within(m, spread, errors)
     back = {v: c for c, v in at.items()}
     return rows.join(table, ["g_lang", "g_source"]).select(
         *[F.col(c).alias(back[c]) for c in keep], *[F.col(m).alias(names[m]) for m in MEASURES],

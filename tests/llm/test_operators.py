@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -250,6 +251,52 @@ def test_quality_rules_split_good_from_junk(spark):
         assert x.kept == (r.quality == 1 and not x.base_failed)
 
 
+def test_quality_limits_match_exact_quantiles(spark):
+    """Verdicts equal those of exact quantiles, but where a rate lies within the sketch's error of its limit."""
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    rates = {}
+    for r in rows:
+        n, chars, symbols, dup, rep, failed = brute_measures(r.text)
+        lines = sum(bool(words(x)) for x in (r.text or "").split("\n"))
+        rates[r.doc_id] = failed, {
+            "symbols": ((symbols + 1) / max(n, 1), 1 / max(n, 1), False), "repeats": ((rep + 6) / max(n, 1), 6 / max(n, 1), False),
+            "lines": ((dup + 1) / max(lines, 1), 1 / max(lines, 1), False), "length": (chars / max(n, 1), 1 / max(n, 1), True)}
+
+    def quantiles(level, rate):
+        groups = collections.defaultdict(list)
+        for r in rows:
+            failed, x = rates[r.doc_id]
+            if not failed:
+                groups[level(r)].append(x[rate][0])
+        pick = lambda v, p: math.sqrt(sorted(v)[max(0, math.ceil(p * len(v) - 1e-9) - 1)])
+        return {g: (len(v), np.array([pick(v, p) for p in (0.2, 0.5, 0.8)])) for g, v in groups.items()}
+
+    levels = [lambda r: (), lambda r: r.lang, lambda r: (r.lang, r.source)]
+    sketches = {x: [quantiles(f, x) for f in levels] for x in ("symbols", "repeats", "lines", "length")}
+    got = {r.doc_id: r.kept for r in quality_rules.judge(
+        spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    near = rejected = 0
+    for r in rows:
+        failed, x = rates[r.doc_id]
+        kept, close = not failed, False
+        for name, (value, unit, below) in x.items():
+            low = mid = high = 0.0
+            for q, f in zip(sketches[name], levels):
+                n, est = q.get(f(r), (0, np.zeros(3)))
+                w = min(1.0, n / 200)
+                low, mid, high = est if f is levels[0] else w * est + (1 - w) * np.array([low, mid, high])
+            noise = 1.5 * math.sqrt(unit)
+            top, bottom = mid + max(8 * (high - mid), noise), mid - max(8 * (mid - low), noise)
+            slack = 0.0013 * (8 * max(high, mid) + 9 * mid)    # half a bucket of either quantile, as square roots
+            v = math.sqrt(value)
+            kept &= v <= top and (not below or v >= bottom)
+            close |= abs(v - top) <= slack or below and abs(v - bottom) <= slack
+        assert close or failed or got[r.doc_id] == kept, r.doc_id
+        near += close and got[r.doc_id] != kept
+        rejected += not kept and not failed
+    assert rejected > 20 and near < 0.01 * len(rows)
+
+
 def test_quality_limits_follow_their_group(spark):
     """Symbols are usual in one source, and words long in one language; a small group leans on its language."""
     rng = np.random.default_rng(2)
