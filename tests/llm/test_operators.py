@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from candlewright.llm import (html_crf, mixing, packing, probminhash, pu_quality, quality_rules, records,
@@ -342,6 +343,66 @@ def test_fingerprints_match_brute_force(docs, texts):
     assert all(len(v) == 1 for v in by_text.values())
 
 
+def brute_shingles(t):
+    """Sorted distinct hashes of 5-word runs: chained 64-bit xxHash, seed 42, as signed numbers."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    ws = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words(t)]
+    out = set()
+    for i in range(max(len(ws) - 4, min(len(ws), 1))):
+        h = 42
+        for w in ws[i:i + 5]:
+            h = xxhash.xxh64_intdigest(w.to_bytes(8, "little"), h)
+        out.add(signed(h))
+    return sorted(out)
+
+
+def brute_likeness(a, b):
+    """Exact where either text is short, else by the hashes below an eighth of their range."""
+    cut = -(1 << 63) + (1 << 61)
+    lows = [{h for h in x if h < cut} for x in (a, b)]
+    sets = [set(a), set(b)] if min(map(len, lows)) < 8 else lows
+    least = min(map(len, sets))
+    return len(sets[0] & sets[1]) / least if least else float(len(sets[0]) == len(sets[1]))
+
+
+def brute_fingerprint(a):
+    cut = -(1 << 63) + (1 << 61)
+    kept = [h for h in a if h < cut]
+    return "".join(f"{h & (1 << 64) - 1:016X}" for h in (kept if len(kept) >= 8 else a))
+
+
+def test_fingerprints_and_likeness_match_brute_force(docs, texts):
+    rows = {r.doc_id: r for r in scaled_sketch.fingerprints(docs).collect()}
+    kinds = set()
+    for i, (k, t) in enumerate(texts):
+        t, nxt = t or "", texts[(i + 1) % len(texts)][1] or ""
+        q = len(t) // 4
+        a, e, n = (brute_shingles(x) for x in (t, t[:len(t) - q] + nxt[:q], nxt))
+        assert rows[k].fingerprint == brute_fingerprint(a)
+        assert rows[k].edited_fingerprint == brute_fingerprint(e)
+        assert rows[k].near_edited == pytest.approx(brute_likeness(a, e))
+        assert rows[k].near_next == pytest.approx(brute_likeness(a, n))
+        kinds.add((len(rows[k].fingerprint) // 16 == len(a), len(a) > 64))
+    assert len(kinds) > 1
+
+
+def test_short_texts_are_found_in_long_ones(spark):
+    """Passages of 12 words of the next document, or of the one before: contained, always."""
+    rng = np.random.default_rng(5)
+    rows, expected = [], []
+    for i in range(60):
+        long = [f"a{i}x{j}" for j in range(3000)]
+        at = int(rng.integers(0, 2900))
+        pair = [" ".join(long[at:at + 12]), " ".join(long)]
+        rows += [(2 * i + j, x) for j, x in enumerate(pair if i % 2 else pair[::-1])]
+    got = {r.doc_id: r.near_next for r in scaled_sketch.fingerprints(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[2 * i] == 1.0 and got[2 * i + 1] == 0.0 for i in range(60))
+    known = spark.createDataFrame([(rows[2 * i][1], rows[2 * i + 1][1]) for i in range(60)], "a string, b string").select(
+        scaled_sketch.likeness(scaled_sketch.sketch(F.col("a")), scaled_sketch.sketch(F.col("b"))).alias("x")).collect()
+    assert {r.x for r in known} <= {1.0, None} and any(r.x for r in known)
+
+
 def test_fingerprints_plan_is_native(docs):
     plan = scaled_sketch.fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
