@@ -1,15 +1,15 @@
 """Main text of web pages by a linear-chain CRF over DOM leaf blocks.
 
 A page is cut into leaf blocks: runs of text between block-level tags, with character
-references decoded and white space runs as one space. Scripts, styles, comments and
-other raw text never form blocks. Each block has features of its ancestor tags, their
+references decoded and white space runs as one space. Scripts, styles, comments,
+text areas, frames, titles and drawings never form blocks. Each block has features of its ancestor tags, their
 class and id words (of inline and custom elements around it too, whatever their length),
 its length, links and punctuation; a two-label chain (content,
 other) scores features and label transitions; Viterbi decoding picks the labels, and
 the content blocks, in page order and joined by a newline, are the main text.
 
 Training is by conditional log-likelihood (Adam over forward-backward gradients, all
-pages at once). Labelled pages are a bounded sample of pages whose address ends in a
+pages at once, packed without padding, so memory follows the blocks). Labelled pages are a bounded sample of pages whose address ends in a
 document's number: a block is content when its text is a line of that document or
 begins it (the headline).
 
@@ -19,7 +19,8 @@ is a few thousand numbers.
 Defined results. Null or empty html gives '' and 0. Unclosed, misnested and truncated
 markup is parsed leniently: an inline element that is never closed ends with the block
 around it, and its end tag does not reach over an open block other than those whose end
-tag may be left out; a page without content blocks gives ''. Without labelled
+tag may be left out; an open ``select`` or drawing ends at the next block that cannot
+be in it; quotes delimit an attribute only right after its ``=``; a page without content blocks gives ''. Without labelled
 pages the model falls back to its starting weights, where only the ancestors named in
 ``OTHER`` speak against a block. Repeated rows get equal results; extra columns do not
 matter; an empty table gives no rows.
@@ -43,9 +44,10 @@ DIM = 2048
 #: Fixed values of HTML: tags that end a line of text, tags whose content is no markup.
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt
  fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu
- nav noscript ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead title
- tr ul""".split())
-RAW = ("script", "style", "template", "iframe", "noembed", "noframes", "svg", "math", "textarea", "title", "select")
+ nav noscript ol optgroup option p pre search section select summary table tbody td template textarea tfoot th thead
+ title tr ul""".split())
+RAW = ("script", "style", "iframe", "noembed", "noframes", "textarea", "title")
+IN_SELECT = frozenset("button div hr legend optgroup option select".split())
 #: Blocks whose end tag may be left out.
 OPEN_END = frozenset("p li dt dd option optgroup tr td th thead tbody tfoot".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,10 +55,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 OTHER = frozenset("""nav menu navigation header masthead banner footer aside sidebar side ad ads advert advertisement
  sponsor sponsored promo notice cookie consent gdpr popup modal form comment comments reply replies discussion
  disqus share social related breadcrumb breadcrumbs pagination subscribe newsletter login signup search button
- dialog noscript""".split())
+ dialog noscript select template""".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>",
-                  re.S)
+#: Comment, declaration, or tag; possessive, so that no page makes the search go back.
+_TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>"
+                  r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*+(?:\"[^\"]*\"|'[^']*')|[^<>])*+)>", re.S)
+#: A drawing's end, or the start of a block, which a drawing cannot hold.
+_DRAWN = re.compile(rf"(</svg\s*>)|<(?:{'|'.join(sorted(BLOCK - {'title'}))})[\s/>]", re.I)
 _ATTR = re.compile(r"(?:^|[\s\"'])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _NAME = re.compile(r"[a-zA-Z]+")
 _SPACE = re.compile(r"\s+")
@@ -117,6 +122,10 @@ def blocks(page: str) -> list[tuple[str, list[str], list[str], int]]:
             at = end.end() if end else len(page)
             if tag in BLOCK:
                 flush()
+        elif tag == "svg":
+            if not m[1] and not m[0].endswith("/>"):
+                end = _DRAWN.search(page, at)
+                at = len(page) if not end else end.end() if end[1] else end.start()
         elif tag == "br":
             run.append(" ")
         elif tag == "a":
@@ -135,6 +144,13 @@ def blocks(page: str) -> list[tuple[str, list[str], list[str], int]]:
             if tag in BLOCK:
                 flush()
                 in_link = 0
+                if tag not in IN_SELECT:
+                    for i in range(len(stack) - 1, -1, -1):
+                        if stack[i][0] == "select":
+                            del stack[i:]
+                            break
+                        if stack[i][0] in BLOCK and stack[i][0] not in IN_SELECT:
+                            break
                 i = around()
                 if i >= 0 and stack[i][0] == "p":
                     del stack[i:]
@@ -214,44 +230,42 @@ def fit(pages: list[tuple[list[list[int]], list[int]]], steps: int = 150, rate:
     pages = [p for p in pages if p[0]]
     if not pages:
         return model
-    n, t = len(pages), max(len(f) for f, _ in pages)
-    length = np.array([len(f) for f, _ in pages])
-    live = np.arange(t) < length[:, None]
-    y = np.zeros((n, t), int)
-    flat, owner = [], []
-    for i, (f, labels) in enumerate(pages):
-        y[i, : len(labels)] = labels
-        for j, slots in enumerate(f):
-            flat += slots
-            owner += [i * t + j] * len(slots)
-    flat, owner = np.array(flat), np.array(owner)
-    gold = np.eye(2)[y] * live[..., None]
-    gold_move = np.einsum("nta,ntb->ab", gold[:, :-1], gold[:, 1:])
+    # longest first, then all first blocks, all second blocks and so on: the pages that have a
+    # block j are a prefix, so every step below works on slices
+    pages.sort(key=lambda p: -len(p[0]))
+    n, length = len(pages), np.array([len(f) for f, _ in pages])
+    live = [int(np.searchsorted(-length, -j, "left")) for j in range(length[0])]
+    at = np.concatenate(([0], np.cumsum(live)))
+    total, last = at[-1], at[length - 1] + np.arange(n)
+    labels = np.array([pages[i][1][j] for j, c in enumerate(live) for i in range(c)])
+    rows = [pages[i][0][j] for j, c in enumerate(live) for i in range(c)]
+    flat = np.array([x for r in rows for x in r], int)
+    owner = np.repeat(np.arange(total), [len(r) for r in rows])
+    gold = np.eye(2)[labels]
+    later = np.arange(n, total)                     # blocks with a block before them
+    before = later - np.repeat(live[:-1], live[1:])  # of the same page
+    gold_move = np.zeros((2, 2))
+    np.add.at(gold_move, (labels[before], labels[later]), 1)
     params = [model.emit, model.move, model.start, model.bias]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
     lse = lambda v, axis: np.logaddexp.reduce(v, axis=axis)
+    page_of = np.concatenate([np.arange(c) for c in live])
     for step in range(1, steps + 1):
-        e = np.zeros((n * t, 2))
-        np.add.at(e, owner, model.emit[flat])
-        e = e.reshape(n, t, 2) + model.bias
-        f = np.empty((n, t, 2))
-        f[:, 0] = e[:, 0] + model.start
-        for j in range(1, t):
-            nxt = lse(f[:, j - 1, :, None] + model.move, 1) + e[:, j]
-            f[:, j] = np.where(live[:, j, None], nxt, f[:, j - 1])
-        z = lse(f[:, -1], 1)
-        b = np.zeros((n, t, 2))
-        for j in range(t - 2, -1, -1):
-            nxt = lse(model.move + (e[:, j + 1] + b[:, j + 1])[:, None, :], 2)
-            b[:, j] = np.where(live[:, j + 1, None], nxt, 0.0)
-        prob = np.exp(f + b - z[:, None, None]) * live[..., None]
-        pair = (f[:, :-1, :, None] + model.move + (e[:, 1:] + b[:, 1:])[:, :, None, :] - z[:, None, None, None])
-        pair = (np.exp(np.minimum(pair, 0)) * live[:, 1:, None, None]).sum(axis=(0, 1)) if t > 1 else np.zeros((2, 2))
-        gap = (prob - gold)
-        g_emit = np.zeros((DIM, 2))
-        np.add.at(g_emit, flat, gap.reshape(n * t, 2)[owner])
-        grads = [g_emit, pair - gold_move, gap[:, 0].sum(axis=0), gap.sum(axis=(0, 1))]
+        e = np.stack([np.bincount(owner, model.emit[flat, k], total) for k in (0, 1)], 1) + model.bias
+        f, b = np.empty((total, 2)), np.zeros((total, 2))
+        f[:n] = e[:n] + model.start
+        for j in range(1, len(live)):
+            x, y, c = at[j - 1], at[j], live[j]
+            f[y:y + c] = lse(f[x:x + c, :, None] + model.move, 1) + e[y:y + c]
+        z = lse(f[last], 1)[page_of][:, None]
+        for j in range(len(live) - 2, -1, -1):
+            x, y, c = at[j], at[j + 1], live[j + 1]
+            b[x:x + c] = lse(model.move + (e[y:y + c] + b[y:y + c])[:, None, :], 2)
+        gap = np.exp(f + b - z) - gold
+        pair = f[before][:, :, None] + model.move + (e[later] + b[later])[:, None, :] - z[later][:, :, None]
+        g_emit = np.stack([np.bincount(flat, gap[owner, k], DIM) for k in (0, 1)], 1)
+        grads = [g_emit, np.exp(np.minimum(pair, 0)).sum(axis=0) - gold_move, gap[:n].sum(axis=0), gap.sum(axis=0)]
         for k, (p, g) in enumerate(zip(params, grads)):
             g = g / n + ridge * p
             first[k] = 0.9 * first[k] + 0.1 * g
@@ -277,14 +291,15 @@ def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(pages: DataFrame, docs: DataFrame, *, max_pages: int = 1000) -> Model:
     """``pages``: page_id, url, html; ``docs``: doc_id, text. A page's document is the
-    number its path ends in."""
+    number its path ends in. At most ``max_pages`` labelled pages are fitted."""
     doc = F.regexp_extract("url", r"/(\d{1,18})(?:[?#].*)?$", 1)
     known = pages.where(doc != "").select("page_id", doc.cast("long").alias("doc_id"))
     chosen = sample(known, max_pages, "page_id", "doc_id")
     some = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id")  # max_pages ids
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
     rows = (some.join(texts, "doc_id").select("page_id", "html", "text")
-            .mapInArrow(_label, "page_id long, features array<array<long>>, labels array<long>").collect())
+            .mapInArrow(_label, "page_id long, features array<array<long>>, labels array<long>")
+            .orderBy("page_id", F.xxhash64("features", "labels")).limit(max_pages).collect())  # ids may repeat
     rows.sort(key=lambda r: (r.page_id, len(r.labels), r.labels))
     return fit([(r.features, r.labels) for r in rows])
 

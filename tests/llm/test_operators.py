@@ -423,6 +423,52 @@ def test_fingerprints_odd_rows(odd, nothing):
     assert scaled_sketch.fingerprints(nothing).count() == 0
 
 
+@pytest.mark.parametrize("page, expected", [
+    ("<p>A</p><svg><path/><p>B</p><p>C</p>", ["A", "B", "C"]),
+    ("<p>a <svg><title>t</title><text>x</text></svg> b</p>", ["a b"]),
+    ("<form><select><option>1<option>2<p>later</p><p>more</p></form>", ["1", "2", "later", "more"]),
+    ("<p>x <math><mi>y</mi>=2</math> end</p>", ["x y=2 end"]),
+    ("<p title=it's>Hello don't go</p><p>n</p>", ["Hello don't go", "n"]),
+    ("<p class='a b' title=\"1>2\">q</p>", ["q"]),
+    ("<!--> <p>seen</p><!-- <p>not</p>", ["seen"])])
+def test_blocks_lose_no_text_and_keep_no_markup(page, expected):
+    assert [b[0] for b in html_crf.blocks(page)] == expected
+
+
+def test_an_open_select_does_not_mark_what_follows():
+    assert "select" not in html_crf.blocks("<select><option>1<p>later")[-1][1]
+
+
+def test_crf_gradient_ascends_to_the_exact_likelihood():
+    """Training on pages of unlike lengths: labels of a page depend on the label before."""
+    rng = np.random.default_rng(3)
+    pages = []
+    for n in (1, 2, 5, 9, 3, 40):
+        y = [int(i % 4 < 2) for i in range(n)]
+        pages.append(([sorted({1 + v, 3 + int(rng.integers(0, 5))}) for v in y], y))
+    model = html_crf.fit(pages, steps=100)
+
+    def log_likelihood(m):
+        total = 0.0
+        for feats, y in pages:
+            e = m.emissions(feats)
+            a, gold = e[0] + m.start, e[0][y[0]] + m.start[y[0]]
+            for i in range(1, len(y)):
+                a = np.logaddexp.reduce(a[:, None] + m.move, axis=0) + e[i]
+                gold += m.move[y[i - 1], y[i]] + e[i][y[i]]
+            total += gold - np.logaddexp.reduce(a)
+        return total / len(pages) - 0.5e-3 * sum((p * p).sum() for p in (m.emit, m.move, m.start, m.bias))
+
+    assert all(model.decode(model.emissions(f)) == y for f, y in pages)
+    best = log_likelihood(model)
+    assert best > log_likelihood(html_crf.fit(pages, steps=20)) > log_likelihood(html_crf.Model())
+    # one small step along the numeric gradient of a transition: nearly flat
+    for i, j in ((0, 0), (0, 1), (1, 0), (1, 1)):
+        model.move[i, j] += 1e-4
+        assert abs(log_likelihood(model) - best) < 2e-5
+        model.move[i, j] -= 1e-4
+
+
 # --- classifiers and pages -----------------------------------------------------
 
 def held_out_accuracy(spark, query, label):
