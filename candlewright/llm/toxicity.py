@@ -4,7 +4,7 @@ Training. Words of labelled documents (ASCII lower case, cut at punctuation) and
 4, 5, 6 and 8 byte prefixes are counted by label; a prefix stands for the inflections
 of a stem; a document counts a token once, so that repetition is no evidence. The log-odds of a token between toxic and clean text use an informative
 Dirichlet prior (``prior`` times the labelled counts, spread as in all labelled text); tokens whose
-log-odds exceed ``z`` standard errors form the lexicon (at most ``lexicon`` of them).
+log-odds exceed ``z`` standard errors form the lexicon (whole: each was seen in ``min_count`` toxic places of the sample).
 
 Scoring. A word scores the largest log-odds among its lexicon entries, any other word
 the log-odds of a word outside the lexicon (``drift`` < 0). One linear pass finds every maximal scoring segment of the text. Under
@@ -15,11 +15,12 @@ normalised scores (its best one when none is positive); a logistic fit on the la
 rows turns it into a probability.
 
 Scale. Labelled rows are a bounded sample (``max_labelled``); counting is a Spark
-aggregate with task-side sums; lexicon and parameters, a few hundred kilobytes at most,
-go with the tasks. Every whole text is scored where it is read, without a shuffle.
+aggregate with task-side sums; lexicon and parameters, which follow that sample and
+not the corpus, go with the tasks. Every whole text is scored where it is read, without a shuffle.
 
 Defined results. Null or empty text has no words and gets the score of no evidence.
-Labels that are null or lack a document are ignored; repeated label rows count once. A
+Labels that are null or lack a document are ignored; repeated label rows count once, and
+a labelled id with several texts counts with its smallest one. A
 null doc_id is never labelled and not held out. Without both labels every score is the
 share of toxic labels (0 without labels). Extra columns do not matter; an empty table
 gives no rows.
@@ -152,11 +153,12 @@ def labelled(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
     """``text``, ``label`` of at most ``limit`` labelled documents outside the held-out fold."""
     use = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     use = sample(use.groupBy("doc_id").agg(F.max("label").cast("int").alias("label")), limit, "doc_id")
-    return docs.select("doc_id", "text").join(F.broadcast(use), "doc_id")  # limit rows
+    rows = docs.select("doc_id", "text").join(F.broadcast(use), "doc_id")  # limit rows
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, prior: float = 0.1,
-          z: float = 4.0, min_count: int = 4, lexicon: int = 50_000) -> Model:
+          z: float = 4.0, min_count: int = 4) -> Model:
     """``docs``: doc_id, text; ``labels``: doc_id, label."""
     rows = stage(labelled(docs, labels, max_labelled).select("text", "label"), "labelled")
     sums = rows.mapInArrow(_count, "token long, toxic long, clean long, words long")
@@ -175,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, pri
     error = F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("clean") + alpha))
     top = (sums.where(F.col("toxic") >= min_count).select("token", odds.alias("odds"), (odds / error).alias("z"),
                                                           ((F.col("clean") + alpha) / (n0 + prior)).alias("q"))
-           .where((F.col("z") > z) & (F.col("odds") > 0)).orderBy(F.desc("z"), "token").limit(lexicon).collect())
+           .where((F.col("z") > z) & (F.col("odds") > 0)).collect())  # of the labelled sample, each min_count times
     keys = np.array([r.token for r in top], np.int64).view(np.uint64)
     order = np.argsort(keys)
     keys, odd, q = keys[order], np.array([r.odds for r in top])[order], np.array([r.q for r in top])[order]
