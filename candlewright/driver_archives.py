@@ -189,8 +189,8 @@ def q_stream_late_repair(spark, d):
     is out; the stream's bars and the repair of marked days equal batch bars."""
     src, ticks, bars, ck1, ck2 = (shared_dir(spark, f"late-{n}") for n in ("src", "ticks", "bars", "ck1", "ck2"))
     T = trades_T(spark, d)
-    T.repartition(4, F.xxhash64("agg_trade_id")).write.parquet(src)
-    stream = SB.read_trade_stream(spark, src, T.schema, max_files=2)
+    k = SB.write_source(T, src, 4, "agg_trade_id")
+    stream = SB.read_trade_stream(spark, src, T.schema, max_files=2 * k)
     SB.bars_to_store(stream, bars, ck1, "1h", "1 hour", zero_qty="null", decimals=6)
     SB.tick_stream(stream, ticks, bars, ("symbol", "year", "agg_trade_id"), ck2, 3600)
     out = SB.repair(spark, ticks, bars, ("1h",), zero_qty="null", decimals=6)

@@ -639,14 +639,14 @@ def q_symbol_list(spark, d):
 def q_stream_bars(spark, d):
     src, out, ck = (shared_dir(spark, n) for n in ("stream_src", "stream_out", "stream_ck"))
     T = trades_T(spark, d)
-    T.repartition(6, "symbol").write.parquet(src)
+    k = SB.write_source(T, src, 6, "symbol", "agg_trade_id")
     # one far-later row closes every real window (its own bar is never emitted)
     (T.agg(F.min("symbol").alias("symbol"), (F.max("agg_trade_id") + 1).alias("agg_trade_id"),
            F.timestamp_add("DAY", F.lit(40), F.max("time")).alias("time"))
      .select(*[F.col(c) if c in ("symbol", "agg_trade_id", "time") else F.lit(None).cast(t).alias(c)
                for c, t in T.dtypes])
      .select(*T.columns).write.mode("append").parquet(src))
-    stream = SB.read_trade_stream(spark, src, T.schema, max_files=2)
+    stream = SB.read_trade_stream(spark, src, T.schema, max_files=2 * k)
     SB.run_to_parquet(SB.bar_stream(stream, "1h", watermark="31 days", zero_qty="null", decimals=6), out, ck)
     return spark.read.parquet(out)
 
@@ -654,8 +654,9 @@ def q_stream_bars(spark, d):
 def q_stream_dedup(spark, d):
     src, out, ck = (shared_dir(spark, n) for n in ("dedup_src", "dedup_out", "dedup_ck"))
     L = trades_L(spark, d)
-    L.repartition(4, "symbol").write.parquet(src)
-    stream = SB.read_trade_stream(spark, src, L.schema, max_files=1)
+    # all copies of an id sit in one file, four batches
+    k = SB.write_source(L, src, 4, "symbol", "agg_trade_id")
+    stream = SB.read_trade_stream(spark, src, L.schema, max_files=k)
     SB.run_to_parquet(SB.dedup_stream(stream, watermark="4000 days"), out, ck)
     return spark.read.parquet(out).select("symbol", "agg_trade_id")
 
@@ -665,8 +666,8 @@ def q_stream_upsert(spark, d):
     L = L_full(spark, d)
     ST.upsert(spark, L.filter(F.col("_p") % 2 == 0), store, UPSERT_KEYS, UPSERT_ORDER)
     # all copies of an id sit in one file, so one micro-batch sees them together
-    L.filter(F.col("_p") % 2 == 1).repartition(4, "symbol", "agg_trade_id").write.parquet(src)
-    stream = SB.read_trade_stream(spark, src, L.schema, max_files=2)
+    k = SB.write_source(L.filter(F.col("_p") % 2 == 1), src, 4, "symbol", "agg_trade_id")
+    stream = SB.read_trade_stream(spark, src, L.schema, max_files=2 * k)
     SB.upsert_stream(stream, store, UPSERT_KEYS, ck, UPSERT_ORDER)
     return ST.read_table(spark, store)
 

@@ -130,6 +130,21 @@ def latest(corrections: DataFrame, keys: Sequence[str] = ("symbol", "agg_trade_i
     return dedup_keep_last(corrections, keys, [rank, "is_correction"]).drop("is_correction")
 
 
+#: Rows of a file that a stream reads, about.
+ROWS_PER_SOURCE_FILE = 1_000_000
+
+
+def write_source(df: DataFrame, path: str, files: int, *keys: str) -> int:
+    """``df`` as files for :func:`read_trade_stream`: ``files`` of them, or the multiple of it that
+    holds each to about :data:`ROWS_PER_SOURCE_FILE` rows; the factor is returned, for ``max_files``.
+    So the batches stay as many, and no task writes more as the table grows. Rows equal in ``keys``
+    share a file; dealt by another hash than an exchange by the keys uses, so that a batch of some
+    files still spreads over all partitions of the stream's state."""
+    factor = max(1, -(-df.count() // (files * ROWS_PER_SOURCE_FILE)))
+    df.repartition(files * factor, F.xxhash64(*keys)).write.parquet(path)
+    return factor
+
+
 def read_trade_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema).format("parquet")
     if max_files:

@@ -86,3 +86,59 @@ def test_stream_and_repair_equal_batch_on_shuffled_files(spark):
     # late rows of a closed window, in a later run
     _trade(spark, ("X", 9_999, 5, 99.0)).withColumn("ts", F.lit(1704067500000000)).coalesce(1).write.mode("append").parquet(src)
     run()
+
+
+def _lineitem(spark, path, n, copies=8):
+    """``n`` ids of one flag over two years, one of ``copies`` again with another part, in one file."""
+    key, late = F.col("id") % n, F.col("id") >= n
+    (spark.range(n + n // copies).select(
+        F.lit("N").alias("l_returnflag"), key.alias("l_orderkey"), F.lit(1).alias("l_linenumber"),
+        F.timestamp_add("DAY", (key % 700).cast("int"), F.lit(dt.datetime(1996, 1, 1)).cast("timestamp_ntz")).alias("l_shipdate"),
+        (key * 2.0 + late.cast("int")).alias("l_extendedprice"), F.lit(1.0).alias("l_quantity"), F.lit("F").alias("l_linestatus"),
+        (key * 2 + late.cast("int")).alias("l_partkey"), key.alias("l_suppkey"))
+     .coalesce(1).write.parquet(path + "/lineitem.parquet"))
+
+
+def _source_spy(monkeypatch, SB):
+    """(path, max_files) of every stream that a query opens."""
+    seen, real = [], SB.read_trade_stream
+
+    def read(spark, path, schema, max_files=None):
+        seen.append((path, max_files))
+        return real(spark, path, schema, max_files)
+    monkeypatch.setattr(SB, "read_trade_stream", read)
+    monkeypatch.setattr(SB, "ROWS_PER_SOURCE_FILE", 500, raising=False)
+    return seen
+
+
+def test_a_dedup_stream_of_one_symbol_is_dealt_over_files_and_state(spark, monkeypatch):
+    from candlewright import driver_queries as Q
+    from candlewright.streaming import bars as SB
+    d, seen = shared_dir(spark, "t-one-symbol"), _source_spy(monkeypatch, SB)
+    _lineitem(spark, d, 8000)
+    got = Q.q_stream_dedup(spark, d)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(("N", i * 10 + 1) for i in range(8000))
+    (src, max_files), = seen
+    rows = spark.read.parquet(src).withColumn("_f", F.input_file_name())
+    sizes = [r["count"] for r in rows.groupBy("_f").count().collect()]
+    assert sum(sizes) == 9000 and len(sizes) == 20 and max(sizes) < 750       # one file of 9000 before
+    assert max_files == 5                                                     # still four batches
+    assert rows.groupBy("symbol", "agg_trade_id").agg(F.count_distinct("_f").alias("n")).where("n > 1").isEmpty()
+    # one batch's rows meet all partitions of an exchange by the key
+    batch = rows.where(F.col("_f").isin([r._f for r in rows.select("_f").distinct().limit(5).collect()]))
+    met = batch.groupBy(F.expr("pmod(hash(symbol, agg_trade_id), 20)").alias("p")).count().collect()
+    assert len(met) == 20 and max(r["count"] for r in met) < 3 * batch.count() / 20
+
+
+def test_an_upsert_stream_keeps_two_batches_and_bounds_its_files(spark, monkeypatch):
+    from candlewright import driver_queries as Q
+    from candlewright.streaming import bars as SB
+    d, seen, runs, real = shared_dir(spark, "t-up-src"), _source_spy(monkeypatch, SB), [], SB.upsert
+    monkeypatch.setattr(SB, "upsert", lambda *a, **b: runs.append(1) or real(*a, **b))
+    _lineitem(spark, d, 8000, copies=1)           # even parts are stored first, every copy has an odd one
+    got = {r.agg_trade_id: (r.year, r._p, r.price) for r in Q.q_stream_upsert(spark, d).collect()}
+    assert got == {i * 10 + 1: (1996 if i % 700 < 366 else 1997, 2 * i + 1, 2.0 * i + 1) for i in range(8000)}
+    (src, max_files), = seen
+    sizes = [r["count"] for r in spark.read.parquet(src).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 8000 and len(sizes) == 16 and max(sizes) < 750       # four files of 2000 before
+    assert max_files == 8 and len(runs) == 2
