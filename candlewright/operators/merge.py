@@ -4,7 +4,9 @@ Keep-last / keep-first use ``row_number() == 1`` over the key. Spark plans
 this with a partial ``WindowGroupLimit`` before the shuffle, so each task
 ships at most one row per key. The window is partitioned by the full key
 (``symbol`` plus id or time), never by symbol alone, so one hot symbol still
-spreads over every shuffle partition.
+spreads over every shuffle partition. Keys are named from coarse to fine; the
+window takes them from fine to coarse, so its sorts settle most comparisons by
+the id or time instead of a symbol and year that most rows of a task share.
 """
 
 from __future__ import annotations
@@ -29,13 +31,13 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 def dedup_keep_last(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     """One row per key, the one ranking last by ``order``."""
-    w = Window.partitionBy(*keys).orderBy(*[c.desc() for c in _cols(order)])
+    w = Window.partitionBy(*reversed(keys)).orderBy(*[c.desc() for c in _cols(order)])
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     """D3: one row per key, the one ranking first by ``order`` (e.g. file name)."""
-    w = Window.partitionBy(*keys).orderBy(*[c.asc() for c in _cols(order)])
+    w = Window.partitionBy(*reversed(keys)).orderBy(*[c.asc() for c in _cols(order)])
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 

@@ -61,33 +61,47 @@ def time_layout(rows: DataFrame, partition_cols: Sequence[str], rows_per_file: i
 
 
 def lay_out(df: DataFrame, layout: DataFrame | None, partition_cols: Sequence[str],
-            order: Sequence[str]) -> DataFrame:
+            order: Sequence[str], tasks: int | None = None) -> DataFrame:
     """One exchange by (partition, time bucket, salt), sorted inside each task. ``layout``
     (one row per touched partition, a written table) is broadcast only if Spark finds it small;
-    without one every partition is one bucket."""
+    without one every partition is one bucket. ``tasks``: into how many tasks the buckets are
+    dealt (None: as the session says)."""
     order = [c for c in order if c in df.columns]
+    dealt = () if tasks is None else (tasks,)
     if layout is None:
-        return df.repartition(*partition_cols).sortWithinPartitions(*partition_cols, *order)
+        return df.repartition(*dealt, *partition_cols).sortWithinPartitions(*partition_cols, *order)
     named = layout.select(*[F.col(c).alias(f"_of_{c}") for c in partition_cols], "_hours", "_parts")
     same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(named[f"_of_{c}"]) for c in partition_cols])
     hour = F.floor(ntz_to_micros(order[0]) / F.lit(3_600_000_000))
     keyed = df.join(named, same).select(
         *df.columns, F.floor(hour / F.col("_hours")).alias("_bucket"),
         F.pmod(F.xxhash64(*order), F.col("_parts")).alias("_salt"))
-    return (keyed.repartition(*partition_cols, "_bucket", "_salt")
+    return (keyed.repartition(*dealt, *partition_cols, "_bucket", "_salt")
             .sortWithinPartitions(*partition_cols, *order).drop("_bucket", "_salt"))
 
 
+def write_tasks(rows: int, files: int, rows_per_file: int, cores: int) -> int | None:
+    """Tasks of a write of ``rows`` rows in at least ``files`` files: four for each file, so that few
+    files share a task, whatever the session's number of shuffle partitions is. Many small
+    partitions share tasks: no more than eight for each core or four for each ``rows_per_file`` rows.
+    None, Spark's own choice, if all rows would fit into one file."""
+    if rows <= rows_per_file:
+        return None
+    return 4 * min(files, max(-(-rows // rows_per_file), 2 * cores))
+
+
 def _write_swap(swap: Swap, df: DataFrame, counted: DataFrame, order: Sequence[str], compression: str,
                 rows_per_file: int) -> None:
     """Write the partitions of ``df`` into the run and swap them in. ``counted`` has the partition
     columns and times of (at least) the rows of ``df``."""
     layout = None
-    largest = counted.groupBy(*swap.cols).count().agg(F.max("count")).first()[0] or 0
+    largest, rows, files = (n or 0 for n in counted.groupBy(*swap.cols).count().agg(
+        F.max("count"), F.sum("count"), F.sum(F.ceil(F.col("count") / F.lit(rows_per_file)))).first())
     if largest > rows_per_file:
         time_layout(counted, swap.cols, rows_per_file, order[0]).write.parquet(swap.folder("layout"))
         layout = swap.spark.read.parquet(swap.folder("layout"))
-    (lay_out(df, layout, swap.cols, order).write
+    tasks = write_tasks(rows, files, rows_per_file, swap.spark.sparkContext.defaultParallelism)
+    (lay_out(df, layout, swap.cols, order, tasks).write
      .option("compression", compression).option("maxRecordsPerFile", rows_per_file)
      .partitionBy(*swap.cols).parquet(swap.folder("data")))
     swap.commit()

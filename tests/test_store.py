@@ -190,3 +190,35 @@ def test_footers_note_every_broken_file(spark):
     assert got == {"A": (2024, 2, 5, 9, 3, ""), "x=y/50%+": (2024, 1, 7, 7, 0, ""), None: (2024, 1, 1, 1, 0, ""),
                    "C": (2024, 0, 0, 0, 0, "empty"), "D": (2024, 0, 0, 0, 0, "no statistics"),
                    "E": (2024, 0, 0, 0, 0, "no column"), "F": (2024, 3, 1, 4, 1, "")}
+
+
+def test_large_writes_are_dealt_by_their_files_not_by_the_session(spark, monkeypatch):
+    """Before, all buckets of a write shared the session's shuffle partitions (8 here)."""
+    assert ST.write_tasks(1000, 3, 1000, 4) is None                  # Spark's choice if one file holds all
+    assert ST.write_tasks(216_000_000, 70, 4_000_000, 12) == 4 * 54  # by rows
+    assert ST.write_tasks(12_000_000, 21, 4_000_000, 12) == 4 * 21   # by files
+    assert ST.write_tasks(12_000_000, 9000, 4_000_000, 12) == 4 * 24  # many small partitions share tasks
+    seen, real = [], ST.lay_out
+
+    def lay_out(*a):
+        out = real(*a)
+        seen.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+    monkeypatch.setattr(ST, "lay_out", lay_out)
+    path = shared_dir(spark, "t-dealt")
+    df = spark.range(4000).select(F.lit("A").alias("symbol"), F.col("id").alias("agg_trade_id"), F.timestamp_add(
+        "HOUR", F.col("id").cast("int"), F.lit(dt.datetime(2020, 1, 1)).cast("timestamp_ntz")).alias("time"), F.lit(1.0).alias("price"))
+    ST.write_table(df, path, rows_per_file=100)
+    cores = spark.sparkContext.defaultParallelism
+    assert f"], {4 * min(40, max(40, 2 * cores))}\n" in seen[0]      # RepartitionByExpression [...], n
+    assert sorted(r.agg_trade_id for r in ST.read_table(spark, path).collect()) == list(range(4000))
+
+
+def test_dedup_sorts_by_the_finest_key_first(spark):
+    from candlewright.operators.merge import dedup_keep_first, dedup_keep_last
+    df = rows(spark, ("A", 1, 2020, 1.0), ("A", 1, 2020, 2.0), (None, 1, 2020, 3.0), (None, 1, 2020, 4.0))
+    for f, want in ((dedup_keep_last, [2.0, 4.0]), (dedup_keep_first, [1.0, 3.0])):
+        out = f(df, ("symbol", "agg_trade_id"), ["price"])
+        assert sorted(r.price for r in out.collect()) == want
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Sort [agg_trade_id" in plan and "Sort [symbol" not in plan
