@@ -64,7 +64,7 @@ def lay_out(df: DataFrame, layout: DataFrame | None, partition_cols: Sequence[st
             order: Sequence[str], tasks: int | None = None) -> DataFrame:
     """One exchange by (partition, time bucket, salt), sorted inside each task. ``layout``
     (one row per touched partition, a written table) is broadcast only if Spark finds it small;
-    without one every partition is one bucket. ``tasks``: into how many tasks the buckets are
+    without one every partition is one bucket. ``tasks``: into how many tasks whole partitions are
     dealt (None: as the session says)."""
     order = [c for c in order if c in df.columns]
     dealt = () if tasks is None else (tasks,)
@@ -76,7 +76,7 @@ def lay_out(df: DataFrame, layout: DataFrame | None, partition_cols: Sequence[st
     keyed = df.join(named, same).select(
         *df.columns, F.floor(hour / F.col("_hours")).alias("_bucket"),
         F.pmod(F.xxhash64(*order), F.col("_parts")).alias("_salt"))
-    return (keyed.repartition(*dealt, *partition_cols, "_bucket", "_salt")
+    return (keyed.repartition(*partition_cols, "_bucket", "_salt")
             .sortWithinPartitions(*partition_cols, *order).drop("_bucket", "_salt"))
 
 

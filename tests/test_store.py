@@ -206,7 +206,7 @@ def test_large_writes_are_dealt_by_their_files_not_by_the_session(spark, monkeyp
         return out
     monkeypatch.setattr(ST, "lay_out", lay_out)
     path = shared_dir(spark, "t-dealt")
-    df = spark.range(4000).select(F.lit("A").alias("symbol"), F.col("id").alias("agg_trade_id"), F.timestamp_add(
+    df = spark.range(4000).select(F.concat(F.lit("A"), F.col("id") % 40).alias("symbol"), F.col("id").alias("agg_trade_id"), F.timestamp_add(
         "HOUR", F.col("id").cast("int"), F.lit(dt.datetime(2020, 1, 1)).cast("timestamp_ntz")).alias("time"), F.lit(1.0).alias("price"))
     ST.write_table(df, path, rows_per_file=100)
     cores = spark.sparkContext.defaultParallelism
